@@ -54,7 +54,7 @@ def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None
     if u is None:
         u = hash_unit([ctx.group, ctx.time], ctx.seed)
     observed = F.col(ctx.target).isNotNull()
-    return df.withColumn("is_masked", observed & (u < F.lit(ctx.mask_fraction))).withColumn(
+    return df.withColumn("is_masked", F.coalesce(observed & (u < F.lit(ctx.mask_fraction)), F.lit(False))).withColumn(
         "_bench_value", F.when(F.col("is_masked"), F.lit(None).cast("double")).otherwise(F.col(ctx.target))
     )
 

@@ -212,6 +212,6 @@ def _gold_windows_sql() -> str:
       from g_join window w as (partition by machine_id_std order by window_start))"""
 
 
-def oracle(final_select: str) -> str:
-    body = ",\n".join(f"{name} as (\n{sql}\n)" for name, sql in layer_ctes())
+def oracle(final_select: str, extra: list[tuple[str, str]] | None = None) -> str:
+    body = ",\n".join(f"{name} as (\n{sql}\n)" for name, sql in layer_ctes() + list(extra or []))
     return "with " + body + "\n" + final_select

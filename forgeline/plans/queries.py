@@ -19,26 +19,7 @@ from forgeline.plans import layers as L
 from forgeline.plans.oracle import FLAGS, oracle
 from forgeline.sources import fixtures as fx
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-
-    return deco
-
-
-def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
-
-
-def s6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) as {alias}"
+from forgeline.plans.registry import ORACLE, QUERIES, r6, register, s6
 
 
 # ---------------------------------------------------------------- W11 / A05 / A06
@@ -228,12 +209,13 @@ def q_a24_split_thresholds(spark, sf):
     return th.select(F.round("split_q70_us", 0).alias("split_q70_us"), F.round("split_q85_us", 0).alias("split_q85_us"))
 
 
+# the other query groups register themselves on import
+from forgeline.plans import q_silver, q_weather, q_profile, q_tables  # noqa: E402,F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
-
-
-__all__ = ["queries", "oracle_sql", "fx"]
