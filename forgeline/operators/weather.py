@@ -37,14 +37,14 @@ def page_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     after = F.regexp_extract(F.col(html), r'(?s)<div[^>]*class\s*=\s*["\']\s*toprint\s*["\'][^>]*>(.*)', 1)
     table = F.regexp_extract(after, r"(?s)<table[^>]*>(.*?)</table>", 1)
-    trs = F.regexp_extract_all(table, r"(?s)<tr[^>]*>(.*?)</tr>", 1)
+    trs = F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
     out = pages.select(*[c for c in pages.columns if c != html], F.posexplode(trs).alias("row_index", "_tr"))
 
     def clean(cell: Column) -> Column:
         text = F.regexp_replace(cell, r"<[^>]*>", " ")
         return F.trim(F.regexp_replace(text, r"\s+", " "))
 
-    cells = F.transform(F.regexp_extract_all(F.col("_tr"), r"(?s)<td[^>]*>(.*?)</td>", 1), clean)
+    cells = F.transform(F.regexp_extract_all(F.col("_tr"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), clean)
     return out.withColumn("cells", cells).where(F.size("cells") > 0).drop("_tr")
 
 

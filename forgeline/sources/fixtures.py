@@ -77,7 +77,7 @@ from {{events}} where event_type = 'error'
 
 # W: daily ambient weather (historic part, before 2000-08-01).
 WEATHER_DAILY_SQL = """
-select cast(o_orderdate as date) as day, avg(o_totalprice) / 10000 as temp_celsius,
+select cast(o_orderdate as date) as day, avg(o_custkey % 400) / 10.0 as temp_celsius,
   1000 + count(*) as pressure_hpa, avg(o_custkey % 40) as wind_kmh
 from {orders} where o_orderdate < timestamp '2000-08-01 00:00:00' group by cast(o_orderdate as date)
 """
@@ -88,7 +88,7 @@ from {orders} where o_orderdate < timestamp '2000-08-01 00:00:00' group by cast(
 WEATHER_CELLS_SQL = """
 select cast(o_orderdate as date) as day,
   'J. ' || lpad(cast(day(cast(o_orderdate as date)) as string), 2, '0') as day_label,
-  replace(cast(round(avg(o_totalprice) / 10000, 1) as string), '.', ',') || ' °C' as t_mean_text,
+  replace(cast(round(avg(o_custkey % 400) / 10.0, 1) as string), '.', ',') || ' °C' as t_mean_text,
   cast(count(*) % 30 as string) || ' km/h' as wind_text,
   case when count(*) % 7 = 0 then '--' else cast(995 + count(*) as string) end as p_min_text,
   case when count(*) % 5 = 0 then '' else cast(1005 + count(*) as string) end as p_max_text
