@@ -1 +1,274 @@
-"""placeholder"""
+"""Queries: files, stored tables, sinks and dimensions.
+
+These queries write the fixture layers to Parquet / CSV under the shared
+checkpoint folder and read them back, so each one exercises the real reader
+or writer.  Written paths are memoised per session and directory.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS
+from forgeline.operators import dims, validate
+from forgeline.operators.features import gold_table
+from forgeline.plans import layers as L
+from forgeline.plans.oracle import oracle
+from forgeline.plans.q_silver import _sensor_rules_sql, _codes_sql
+from forgeline.plans.q_weather import _W_CTES, _store
+from forgeline.plans.registry import big, r6, register
+from forgeline.session import scratch_path
+from forgeline.sources import files, sinks
+
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def _root(spark, sf) -> str:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ROOTS:
+        _ROOTS[key] = scratch_path(spark, f"tables-{uuid.uuid4().hex}")
+    return _ROOTS[key]
+
+
+def _once(spark, sf, name: str, write) -> str:
+    path = os.path.join(_root(spark, sf), name)
+    if not os.path.exists(os.path.join(path, "_SUCCESS")) and not os.path.exists(os.path.join(path, "_done")):
+        write(path)
+    return path
+
+
+# ------------------------------------------------------------------ S01-S06
+def _export_sources(spark, sf) -> str:
+    """Write the three raw exports as delimited files (one folder per file stem)."""
+    d = os.path.join(_root(spark, sf), "sources")
+    if not os.path.exists(os.path.join(d, "_done")):
+        t, p, i = L.chain(spark, sf).raw()
+        t.select(F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
+                 F.col("temperature_raw").alias("temperature")).write.mode("overwrite").option("header", True).option(
+            "sep", ";").csv(os.path.join(d, "capteurs_temperature.csv"))
+        p.select(F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
+                 F.col("pressure_raw").alias("pressure_bar")).write.mode("overwrite").option("header", True).option(
+            "sep", "\t").csv(os.path.join(d, "capteurs_pression.tsv"))
+        i.drop("row_number").write.mode("overwrite").option("header", True).option("sep", ",").csv(
+            os.path.join(d, "releves_incidents.csv"))
+        os.makedirs(d, exist_ok=True)
+        open(os.path.join(d, "_done"), "w").close()
+    return d
+
+
+def _first_part(path: str) -> str:
+    parts = sorted(x for x in os.listdir(path) if x.startswith("part-") and os.path.getsize(os.path.join(path, x)) > 0)
+    return os.path.join(path, parts[0])
+
+
+@register("s04_delimited_scan", oracle(
+    "select machine_id_raw as machine_id, timestamp_raw as timestamp, temperature_raw as temperature, ';' as separator from t_raw "
+    "union all select machine_id_raw, timestamp_raw, pressure_raw, chr(9) from p_raw"))
+def q_s04(spark, sf):
+    """S01 discovery, S03 delimiter sniffing, S04 all-string read, S06 value column choice."""
+    d = _export_sources(spark, sf)
+    found = files.find_source_files(d)
+    files.require_sources(found)
+    out = None
+    for kind in ("temperature", "pressure"):
+        sep = files.sniff_delimiter(spark, _first_part(found[kind]))
+        df = files.read_delimited(spark, found[kind], sep)
+        v = "temperature" if kind == "temperature" else files.value_column(df, "pressure_bar", "pressure")
+        part = df.select("machine_id", "timestamp", F.col(v).alias("temperature"), F.lit(sep).alias("separator"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("s05_typed_enrich_scan", oracle(
+    "select incident_id, machine_id, nullif(trim(severity), '') as severity, comment from i_raw"))
+def q_s05(spark, sf):
+    d = _export_sources(spark, sf)
+    found = files.find_source_files(d)
+    df = files.read_delimited(spark, found["incident"])
+    return df.select("incident_id", "machine_id", F.nullif(F.trim("severity"), F.lit("")).alias("severity"), "comment")
+
+
+# ------------------------------------------------------------------ Bronze / Silver tables
+def _bronze_path(spark, sf) -> str:
+    def write(path):
+        t, _, _ = L.chain(spark, sf).raw()
+        sinks.write_bronze(validate.validate_temperature(t), os.path.dirname(path), os.path.basename(path), "fixture", "overwrite")
+    return _once(spark, sf, "bronze_temperature", write)
+
+
+_T_CODES = _codes_sql(_sensor_rules_sql("temperature_raw"))
+
+
+@register("k01_bronze_append", oracle(
+    f"select row_number, {_T_CODES} is null as parse_ok, {_T_CODES} as rejected_reason, 'fixture' as ingestion_batch_id from t_raw"))
+def q_k01(spark, sf):
+    b = spark.read.parquet(_bronze_path(spark, sf))
+    return b.select("row_number", "parse_ok", "rejected_reason", "ingestion_batch_id")
+
+
+@register("s08_bronze_accepted_scan", oracle(
+    f"select row_number, machine_id_raw, timestamp_raw, temperature_raw from t_raw where {_T_CODES} is null"))
+def q_s08(spark, sf):
+    b = spark.read.parquet(_bronze_path(spark, sf))
+    return files.accepted_rows(b, ["row_number", "machine_id_raw", "timestamp_raw", "temperature_raw"])
+
+
+def _silver_path(spark, sf) -> str:
+    def write(path):
+        sinks.write_silver_sensors(L.chain(spark, sf).sensors(), os.path.dirname(path), "fixture")
+    return _once(spark, sf, "silver_sensor_reading", write)
+
+
+_DEC3 = "cast(cast(cast(sensor_value as varchar) as decimal(12,3)) as double)"
+
+
+@register("k04_silver_sensor_write", oracle(
+    f"select machine_id_std, event_ts as observed_at, sensor_type, {_DEC3} as sensor_value, is_missing, false as is_outlier from s_sensors"))
+def q_k04(spark, sf):
+    s = spark.read.parquet(_silver_path(spark, sf))
+    return s.select("machine_id_std", "observed_at", "sensor_type", F.col("sensor_value").cast("double").alias("sensor_value"),
+                    "is_missing", "is_outlier")
+
+
+@register("s09_silver_by_sensor_type", oracle(
+    f"select machine_id_std, event_ts, {_DEC3} as sensor_value, is_missing from s_sensors where sensor_type = 'pressure'"))
+def q_s09(spark, sf):
+    s = spark.read.parquet(_silver_path(spark, sf)).withColumnRenamed("observed_at", "event_ts")
+    p = files.silver_by_type(s, "pressure")
+    return p.select("machine_id_std", "event_ts", F.col("sensor_value").cast("double").alias("sensor_value"), "is_missing")
+
+
+@register("s10_date_range_probe", oracle("select min(cast(event_ts as date)) as start_date, max(cast(event_ts as date)) as end_date from t_parsed"))
+def q_s10(spark, sf):
+    r = files.date_range(L.chain(spark, sf).t_parsed())
+    return r.select(F.col("start_date").cast("timestamp_ntz").alias("start_date"), F.col("end_date").cast("timestamp_ntz").alias("end_date"))
+
+
+@register("k05_silver_incident_write", oracle(
+    "select upper(incident_id) as incident_code, machine_id_std, coalesce(operator_name, 'UNKNOWN') as operator_key, event_ts as occurred_at, "
+    "cast(severity as bigint) as severity, true as is_label_event, "
+    + ", ".join(f"cast({c} as bigint) as {c}" for c in INCIDENT_TYPE_COLUMNS) + " from i_dedup"))
+def q_k05(spark, sf):
+    def write(path):
+        sinks.write_table(sinks.silver_incident_rows(L.chain(spark, sf).i_silver(), "fixture"), os.path.dirname(path),
+                          os.path.basename(path))
+    s = spark.read.parquet(_once(spark, sf, "silver_incident", write))
+    return s.select("incident_code", "machine_id_std", "operator_key", "occurred_at", big("severity"), "is_label_event",
+                    *[big(c) for c in INCIDENT_TYPE_COLUMNS])
+
+
+def _dec(c: str, p: str) -> str:
+    return f"cast(cast(cast({c} as varchar) as decimal{p}) as double) as {c}"
+
+
+@register("k06_silver_weather_write", oracle(
+    f"select observed_at, {_dec('temp_celsius', '(8,2)')}, {_dec('pressure_hpa', '(8,2)')}, {_dec('wind_speed_ms', '(8,2)')}, is_imputed from w_hourly",
+    _W_CTES))
+def q_k06(spark, sf):
+    def write(path):
+        sinks.write_table(sinks.silver_weather_rows(_store(spark, sf), "fixture"), os.path.dirname(path), os.path.basename(path))
+    w = spark.read.parquet(_once(spark, sf, "silver_weather", write))
+    return w.select("observed_at", *[F.col(c).cast("double").alias(c) for c in ("temp_celsius", "pressure_hpa", "wind_speed_ms")],
+                    "is_imputed")
+
+
+@register("s13_stored_weather_scan", oracle(
+    "select count(*) as rows, min(observed_at) as first_hour, max(observed_at) as last_hour, count(*) filter (where is_imputed) as imputed from w_hourly",
+    _W_CTES))
+def q_s13(spark, sf):
+    def write(path):
+        _store(spark, sf).write.mode("overwrite").parquet(path)
+    w = files.read_weather_store(spark, _once(spark, sf, "weather_store", write))
+    return w.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.min("observed_at").alias("first_hour"),
+                 F.max("observed_at").alias("last_hour"), F.count_if("is_imputed").cast("bigint").alias("imputed"))
+
+
+@register("k02_bronze_weather", oracle(
+    "select cast(observed_at as varchar) as timestamp_raw, is_imputed, true as parse_ok from w_hourly", _W_CTES))
+def q_k02(spark, sf):
+    b = sinks.bronze_weather_rows(_store(spark, sf), "fixture")
+    return b.select("timestamp_raw", "is_imputed", "parse_ok")
+
+
+def _gold_path(spark, sf) -> str:
+    def write(path):
+        sinks.write_table(gold_table(L.chain(spark, sf).gold()), os.path.dirname(path), os.path.basename(path))
+    return _once(spark, sf, "gold_machine_hourly_feature", write)
+
+
+@register("k07_gold_write", oracle(
+    "select machine_id_std, window_start, window_end, cast(cast(cast(temp_std_24h as varchar) as decimal(12,3)) as double) as temp_std_24h, "
+    "cast(incident_count_prev_24h as bigint) as incident_count_prev_24h, coalesce(future_incident_count_24h > 0, false) as label_failure_next_24h, "
+    "split_set from g_split"))
+def q_k07(spark, sf):
+    g = spark.read.parquet(_gold_path(spark, sf))
+    return g.select("machine_id_std", "window_start", "window_end", F.col("temp_std_24h").cast("double").alias("temp_std_24h"),
+                    big("incident_count_prev_24h"), "label_failure_next_24h", "split_set")
+
+
+@register("k08_full_refresh", oracle("select count(*) as rows from g_roll"))
+def q_k08(spark, sf):
+    path = _gold_path(spark, sf)
+    g = spark.read.parquet(path)
+    # two full refreshes of the same table: the second replaces, never appends
+    root = os.path.join(_root(spark, sf), f"refresh-{uuid.uuid4().hex}")
+    sinks.write_table(g, root, "gold")
+    sinks.write_table(g, root, "gold")
+    return spark.read.parquet(sinks.table_path(root, "gold")).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+@register("k09_run_artifacts", oracle(
+    "select machine_id_std, cast(points_converted as bigint) as points_converted from t_windows"))
+def q_k09(spark, sf):
+    _, win = L.chain(spark, sf).t_normalized()
+
+    def write(path):
+        sinks.write_artifact_csv(win, os.path.dirname(path), os.path.basename(path))
+    p = _once(spark, sf, "temperature_normalization_windows.csv", write)
+    back = spark.read.option("header", True).csv(p)
+    return back.select("machine_id_std", F.col("points_converted").cast("bigint").alias("points_converted"))
+
+
+@register("k10_run_summary", oracle(
+    "select 'bronze_temperature' as stage, count(*) as rows from t_raw union all select 'bronze_pressure', count(*) from p_raw "
+    "union all select 'bronze_incident', count(*) from i_raw union all select 'silver_sensor_reading', count(*) from s_sensors "
+    "union all select 'silver_incident', count(*) from i_dedup union all select 'gold_machine_hourly_feature', count(*) from g_roll"))
+def q_k10(spark, sf):
+    """Runs the whole file-free batch run (Bronze -> Silver -> Gold) into a fresh folder."""
+    from forgeline.plans.pipeline import run_from_bronze_inputs
+
+    t, p, i = L.chain(spark, sf).raw()
+    out = os.path.join(_root(spark, sf), f"run-{uuid.uuid4().hex}")
+    counts = run_from_bronze_inputs(spark, t, p, i, out, batch_id="fixture")
+    rows = [(k, int(v)) for k, v in counts.items() if not k.endswith("_method")]
+    return spark.createDataFrame(rows, "stage string, rows bigint")
+
+
+# ------------------------------------------------------------------ dimensions
+_SEED_SQL = " union all ".join(f"select {n + 1} as machine_id, '{c[0]}' as machine_code" for n, c in enumerate(dims.MACHINE_SEED))
+
+
+@register("j06_dimension_lookup", oracle(
+    f"select s.machine_id_std, s.event_ts, s.sensor_type, cast(d.machine_id as bigint) as machine_id from s_sensors s join ({_SEED_SQL}) d "
+    "on s.machine_id_std = d.machine_code"))
+def q_j06(spark, sf):
+    s = L.chain(spark, sf).sensors()
+    j = dims.lookup(s, dims.machine_seed(spark), "machine_id_std", "machine_code", "machine_id", "inner")
+    return j.select("machine_id_std", "event_ts", "sensor_type", big("machine_id"))
+
+
+@register("j07_dimension_upsert", oracle(
+    "select operator_key, cast(row_number() over (order by operator_key) as bigint) as operator_id from "
+    "(select distinct coalesce(operator_name, 'UNKNOWN') as operator_key from i_dedup) "
+    f"union all select machine_code, cast(machine_id as bigint) from ({_SEED_SQL})"))
+def q_j07(spark, sf):
+    inc = L.chain(spark, sf).i_silver()
+    ops = dims.upsert_keys(dims.empty_operator_dim(spark), inc.select(F.col("operator_name_clean").alias("operator_key")),
+                           "operator_key", "operator_id")
+    machines = dims.upsert_keys(dims.machine_seed(spark), L.chain(spark, sf).sensors().select(
+        F.col("machine_id_std").alias("machine_code")), "machine_code", "machine_id")
+    return ops.select("operator_key", big("operator_id")).unionByName(
+        machines.select(F.col("machine_code").alias("operator_key"), F.col("machine_id").cast("bigint").alias("operator_id")))
