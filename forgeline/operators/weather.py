@@ -52,15 +52,15 @@ def page_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
 def daily_record_from_cells(rows: DataFrame, year: Column, month: Column, cells: str = "cells") -> DataFrame:
     """Daily weather record from table cells; short rows and invalid days dropped."""
     c = F.col(cells)
-    day_num = F.regexp_extract(c[0], r"([0-9]+)", 1)
+    day_num = F.regexp_extract(F.get(c, 0), r"([0-9]+)", 1)
     day = F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day_num, 2, "0"))
     out = rows.where(F.size(c) >= MIN_CELLS).withColumn("day", day.try_cast("date"))
-    wind = X.locale_number(c[IDX_WIND_MEAN])
+    wind = X.locale_number(F.get(c, IDX_WIND_MEAN))
     return out.where(F.col("day").isNotNull() & (day_num != "")).select(
         "day",
-        X.locale_number(c[IDX_TEMP_MEAN]).alias("temp_celsius"),
+        X.locale_number(F.get(c, IDX_TEMP_MEAN)).alias("temp_celsius"),
         F.lit(None).cast("double").alias("humidity_pct"),
-        X.pressure_mid(X.locale_number(c[IDX_PRESSURE_MIN]), X.locale_number(c[IDX_PRESSURE_MAX])).alias("pressure_hpa"),
+        X.pressure_mid(X.locale_number(F.get(c, IDX_PRESSURE_MIN)), X.locale_number(F.get(c, IDX_PRESSURE_MAX))).alias("pressure_hpa"),
         X.kmh_to_ms(wind).alias("wind_speed_ms"),
     )
 

@@ -1,0 +1,36 @@
+"""Files -> Bronze -> Silver -> Gold on exported fixture files; row numbering."""
+
+import os
+import tempfile
+
+from forgeline.plans import pipeline
+from forgeline.plans import layers as L
+from forgeline.sources import files
+
+
+def test_file_row_number_is_file_order(spark, tmp_path):
+    p = tmp_path / "capteurs_temperature.csv"
+    lines = ["machine_id;timestamp;temperature"] + [f"MACH-01;2025-01-01 {h % 24:02d}:00:00;{h}" for h in range(500)]
+    p.write_text("\n".join(lines) + "\n")
+    assert files.sniff_delimiter(spark, str(p)) == ";"
+    df = files.with_file_row_number(files.read_delimited(spark, str(p)))
+    got = sorted((r.row_number, int(r.temperature)) for r in df.collect())
+    assert got == [(i + 1, i) for i in range(500)]
+
+
+def test_run_from_files(spark):
+    t, pr, i = L.FixtureChain(spark, "/root/testdata/sf0.001").raw()
+    d = tempfile.mkdtemp(prefix="forgeline-src-")
+    t.select(t.machine_id_raw.alias("machine_id"), t.timestamp_raw.alias("timestamp"), t.temperature_raw.alias("temperature")) \
+        .coalesce(1).write.option("header", True).option("sep", ";").csv(os.path.join(d, "capteurs_temperature.csv"))
+    pr.select(pr.machine_id_raw.alias("machine_id"), pr.timestamp_raw.alias("timestamp"), pr.pressure_raw.alias("pressure_bar")) \
+        .coalesce(1).write.option("header", True).option("sep", "\t").csv(os.path.join(d, "capteurs_pression.tsv"))
+    i.drop("row_number").coalesce(1).write.option("header", True).csv(os.path.join(d, "releves_incidents.csv"))
+    out = tempfile.mkdtemp(prefix="forgeline-out-")
+    counts = pipeline.run_from_files(spark, d, out, batch_id="t")
+    assert counts["bronze_temperature"] == t.count()
+    assert counts["bronze_incident"] == i.count()
+    assert counts["gold_machine_hourly_feature"] > 0
+    assert counts["temperature_method"] in ("mean", "median")
+    gold = spark.read.parquet(os.path.join(out, "gold_machine_hourly_feature"))
+    assert "machine_id" in gold.columns and dict(gold.dtypes)["temp_mean_24h"] == "decimal(12,3)"
