@@ -124,10 +124,15 @@ _INT_COLS = ["incident_count_prev_24h", "incident_max_severity_prev_24h", "incid
              *[f"{f}_count_prev_24h" for f in FLAGS]]
 
 
+_RAW_INT = {"incident_count_1h", "incident_max_severity_1h", *FLAGS}
+
+
 def _gold_cols_spark(cols: list[str]) -> list:
     out = []
     for c in cols:
-        if c in ("machine_id_std", "window_start", "window_end", "split_set") or c.startswith("label_"):
+        if c in _RAW_INT:
+            out.append(F.col(c).cast("bigint").alias(c))
+        elif c in ("machine_id_std", "window_start", "window_end", "split_set") or c.startswith("label_"):
             out.append(F.col(c))
         elif c in _INT_COLS or c.startswith("future_incident_count"):
             out.append(F.coalesce(F.col(c), F.lit(0) if c != "incident_max_severity_prev_24h" else F.lit(None)).cast("bigint").alias(c))
@@ -139,7 +144,9 @@ def _gold_cols_spark(cols: list[str]) -> list:
 def _gold_cols_sql(cols: list[str]) -> str:
     out = []
     for c in cols:
-        if c in ("machine_id_std", "window_start", "window_end", "split_set"):
+        if c in _RAW_INT:
+            out.append(f"cast({c} as bigint) as {c}")
+        elif c in ("machine_id_std", "window_start", "window_end", "split_set"):
             out.append(c)
         elif c.startswith("label_failure_next_"):
             h = c.rsplit("_", 1)[1]
@@ -187,6 +194,8 @@ _register_gold("w09_hours_since_incident", ["hours_since_last_incident"])
 _register_gold("w10_failure_labels", [f"future_incident_count_{h}h" for h in (6, 12, 24, 48)]
                + [f"label_failure_next_{h}h" for h in (6, 12, 24, 48)])
 _register_gold("m06_temporal_split", ["split_set"])
+_register_gold("j02_incident_hourly_left_join", ["incident_count_1h", "incident_max_severity_1h"])
+_register_gold("j03_incident_type_sums_join", list(FLAGS))
 
 
 @register("a03_incident_hourly", oracle(
