@@ -52,12 +52,14 @@ def _cells(spark, sf):
                                    "p_min_text", "p_max_text").alias("cells"))
 
 
-def _wcols(df):
-    return df.select("observed_at", r6("temp_celsius").alias("temp_celsius"), r6("pressure_hpa").alias("pressure_hpa"),
-                     r6("wind_speed_ms").alias("wind_speed_ms"), "is_imputed")
+def _wcols(df, digits: int = 6):
+    r = lambda c: F.round(c, digits).alias(c)
+    return df.select("observed_at", r("temp_celsius"), r("pressure_hpa"), r("wind_speed_ms"), "is_imputed")
 
 
 _WSQL = "observed_at, round(temp_celsius, 6) as temp_celsius, round(pressure_hpa, 6) as pressure_hpa, round(wind_speed_ms, 6) as wind_speed_ms, is_imputed"
+# means over many hourly rows are compared at 4 decimals: engines sum in different orders
+_WSQL4 = _WSQL.replace(", 6)", ", 4)")
 
 
 @register("g01_daily_to_hourly", oracle(f"select {_WSQL} from w_hourly", _W_CTES))
@@ -95,12 +97,11 @@ def q_p21(spark, sf):
 
 
 @register("a12_monthly_means", oracle(
-    "select cast(month as bigint) as month, round(temp_celsius, 6) as temp_celsius, round(pressure_hpa, 6) as pressure_hpa, "
-    "round(wind_speed_ms, 6) as wind_speed_ms from w_means", _W_CTES))
+    "select cast(month as bigint) as month, round(temp_celsius, 4) as temp_celsius, round(pressure_hpa, 4) as pressure_hpa, "
+    "round(wind_speed_ms, 4) as wind_speed_ms from w_means", _W_CTES))
 def q_a12(spark, sf):
     m = WX.monthly_means(_store(spark, sf))
-    return m.select(big("month"), r6("temp_celsius").alias("temp_celsius"), r6("pressure_hpa").alias("pressure_hpa"),
-                    r6("wind_speed_ms").alias("wind_speed_ms"))
+    return m.select(big("month"), *[F.round(c, 4).alias(c) for c in ("temp_celsius", "pressure_hpa", "wind_speed_ms")])
 
 
 @register("g02_hour_spine", oracle("select observed_at from w_future_hours", _W_CTES))
@@ -108,9 +109,9 @@ def q_g02(spark, sf):
     return _future(spark, sf)
 
 
-@register("m07_weather_gap_fill", oracle(f"select {_WSQL} from w_filled", _W_CTES))
+@register("m07_weather_gap_fill", oracle(f"select {_WSQL4} from w_filled", _W_CTES))
 def q_m07(spark, sf):
-    return _wcols(WX.fill_future_hours(_future(spark, sf), WX.monthly_means(_store(spark, sf))))
+    return _wcols(WX.fill_future_hours(_future(spark, sf), WX.monthly_means(_store(spark, sf))), 4)
 
 
 @register("g03_month_spine", oracle(
@@ -133,12 +134,12 @@ def q_j09(spark, sf):
 
 
 @register("k11_weather_store_merge", oracle(
-    f"select {_WSQL} from (select * from w_hourly union all select * from w_filled where observed_at not in (select observed_at from w_hourly))",
+    f"select {_WSQL4} from (select * from w_hourly union all select * from w_filled where observed_at not in (select observed_at from w_hourly))",
     _W_CTES))
 def q_k11(spark, sf):
     store = _store(spark, sf)
     new = WX.fill_future_hours(_future(spark, sf), WX.monthly_means(store))
-    return _wcols(WX.merge_store(store, new))
+    return _wcols(WX.merge_store(store, new), 4)
 
 
 @register("u04_weather_hour_dedup", oracle(
