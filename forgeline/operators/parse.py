@@ -10,13 +10,13 @@ from forgeline.functions import expr as X
 
 def parse_temperature(raw: DataFrame, value_raw: str = "temperature_raw", value: str = "temperature") -> DataFrame:
     """Typed temperature rows; rows without machine or timestamp dropped."""
-    return (
-        raw.withColumn("machine_id_std", X.machine_code("machine_id_raw"))
-        .withColumn("event_ts", X.parse_timestamp("timestamp_raw"))
-        .withColumn(value, X.parse_number(value_raw))
-        .withColumn("is_missing", X.missing_flag(value))
-        .dropna(subset=["machine_id_std", "event_ts"])
-    )
+    v = X.parse_number(value_raw)
+    return raw.withColumns({
+        "machine_id_std": X.machine_code("machine_id_raw"),
+        "event_ts": X.parse_timestamp("timestamp_raw"),
+        value: v,
+        "is_missing": X.missing_flag(v),
+    }).dropna(subset=["machine_id_std", "event_ts"])
 
 
 def parse_pressure(raw: DataFrame) -> DataFrame:
@@ -27,22 +27,21 @@ def parse_pressure(raw: DataFrame) -> DataFrame:
 
 def parse_incidents(raw: DataFrame) -> DataFrame:
     """Typed incident rows keyed by the upper-cased incident id."""
-    out = (
-        raw.withColumn("incident_id", X.incident_code("incident_id"))
-        .withColumn("machine_id_std", X.machine_code("machine_id"))
-        .withColumn("event_ts", X.combine_date_time("date", "time"))
-        .withColumn("severity", X.blank_to_null("severity").try_cast("int"))
-    )
-    for c in X.INCIDENT_TYPE_COLUMNS:
-        out = out.withColumn(c, X.flag_int(F.col(c)) if c in raw.columns else F.lit(0))
-    return out.dropna(subset=["machine_id_std", "event_ts", "incident_id"])
+    cols = {
+        "incident_id": X.incident_code("incident_id"),
+        "machine_id_std": X.machine_code("machine_id"),
+        "event_ts": X.combine_date_time("date", "time"),
+        "severity": X.blank_to_null("severity").try_cast("int"),
+    }
+    cols.update({c: X.flag_int(F.col(c)) if c in raw.columns else F.lit(0) for c in X.INCIDENT_TYPE_COLUMNS})
+    return raw.withColumns(cols).dropna(subset=["machine_id_std", "event_ts", "incident_id"])
 
 
 def incident_silver_candidate(incidents: DataFrame) -> DataFrame:
     """Operator defaults and the severity policy."""
-    return (
-        incidents.withColumn("operator_name_clean", X.default_unknown("operator_name"))
-        .withColumn("operator_badge_clean", X.default_unknown("operator_badge"))
-        .withColumn("comment_clean", F.col("comment"))
-        .withColumn("severity_imputation_policy", X.severity_policy("severity"))
-    )
+    return incidents.withColumns({
+        "operator_name_clean": X.default_unknown("operator_name"),
+        "operator_badge_clean": X.default_unknown("operator_badge"),
+        "comment_clean": F.col("comment"),
+        "severity_imputation_policy": X.severity_policy("severity"),
+    })

@@ -20,10 +20,8 @@ MAX_REASON_CHARS = 512
 
 def _with_codes(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     codes = F.filter(F.array(*[F.when(cond, F.lit(code)) for code, cond in rules]), lambda c: c.isNotNull())
-    return df.withColumn("_codes", codes).withColumn("parse_ok", F.size("_codes") == 0).withColumn(
-        "rejected_reason",
-        F.when(F.size("_codes") > 0, F.substring(F.concat_ws(";", "_codes"), 1, MAX_REASON_CHARS)),
-    ).drop("_codes")
+    reason = F.nullif(F.substring(F.concat_ws(";", codes), 1, MAX_REASON_CHARS), F.lit(""))
+    return df.withColumn("rejected_reason", reason).withColumn("parse_ok", F.col("rejected_reason").isNull())
 
 
 def _machine_rules(c: str) -> list[tuple[str, Column]]:
