@@ -132,9 +132,9 @@ def weather_hourly_for_join(weather: DataFrame) -> DataFrame:
                          ["window_start"], [F.col("observed_at")], keep="first")
     return w.select(
         "window_start",
-        F.col("temp_celsius").alias("ambient_temp_c"),
-        F.col("humidity_pct").alias("ambient_humidity_pct"),
-        F.col("pressure_hpa").alias("ambient_pressure_hpa"),
+        F.col("temp_celsius").cast("double").alias("ambient_temp_c"),
+        F.col("humidity_pct").cast("double").alias("ambient_humidity_pct"),
+        F.col("pressure_hpa").cast("double").alias("ambient_pressure_hpa"),
     )
 
 

@@ -276,7 +276,7 @@ def q_p18(spark, sf):
 def q_p22(spark, sf):
     t = L.chain(spark, sf).t_parsed()
     f = X.calendar_features("event_ts")
-    return t.select("row_number", *[(v.cast("bigint") if k == "time_ordinal_hours" else v.cast("int")).alias(k) for k, v in f.items()])
+    return t.select("row_number", *[v.cast("bigint").alias(k) for k, v in f.items()])
 
 
 @register("p23_machine_category_code", oracle(

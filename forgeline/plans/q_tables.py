@@ -141,7 +141,7 @@ def q_s09(spark, sf):
     return p.select("machine_id_std", "event_ts", F.col("sensor_value").cast("double").alias("sensor_value"), "is_missing")
 
 
-@register("s10_date_range_probe", oracle("select min(cast(event_ts as date)) as start_date, max(cast(event_ts as date)) as end_date from t_parsed"))
+@register("s10_date_range_probe", oracle("select cast(min(cast(event_ts as date)) as timestamp) as start_date, cast(max(cast(event_ts as date)) as timestamp) as end_date from t_parsed"))
 def q_s10(spark, sf):
     r = files.date_range(L.chain(spark, sf).t_parsed())
     return r.select(F.col("start_date").cast("timestamp_ntz").alias("start_date"), F.col("end_date").cast("timestamp_ntz").alias("end_date"))
