@@ -60,14 +60,21 @@ def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None
 
 
 # A07 / A08 ---------------------------------------------------------------
-def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str) -> DataFrame:
+def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str,
+               median_accuracy: int | None = None) -> DataFrame:
     """``coalesce(value, group statistic, global statistic)``.
 
     Group statistics are an aggregate joined back (small side: one row per
     machine, AQE broadcasts it); the global fallback is a scalar subquery.
+    The exact median keeps one (value, count) entry per distinct value of a
+    group (bounded by the sensor's range at storage precision); for
+    unbounded value sets pass ``median_accuracy`` to use a fixed-size
+    quantile sketch (``percentile_approx``) instead.
     """
     if strategy == "mean":
         agg = F.avg(value)
+    elif strategy == "median" and median_accuracy:
+        agg = F.percentile_approx(value, 0.5, median_accuracy)
     elif strategy == "median":
         agg = F.median(value)
     else:

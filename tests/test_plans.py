@@ -70,3 +70,34 @@ def test_dedup_is_one_partial_aggregate(spark):
     assert "Window" not in plan
     assert plan.count("Exchange hashpartitioning(machine_id_std") == 1
     assert "partial_" in plan
+
+
+def _window_lines(plan: str) -> list[str]:
+    return [ln for ln in plan.splitlines() if ln.strip().lstrip(":+- ").startswith("Window [")]
+
+
+def test_unit_windows_never_window_a_whole_machine(spark):
+    """W11 orders raw readings only inside (machine, day) chunks or over chunk summaries."""
+    from forgeline.operators import units
+
+    c = L.FixtureChain(spark, SF)
+    out, _ = units.normalize_temperature_units(c.t_parsed())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = _window_lines(_plan(out))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert lines and all("_chunk" in ln for ln in lines), lines
+
+
+def test_zscore_alerts_window_by_bucket(spark):
+    from forgeline.operators import profile
+    from forgeline.plans.q_profile import _datasets
+
+    td, _, _ = _datasets(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = _window_lines(_plan(profile.rolling_zscore_alerts(td, "temperature")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert lines and all(("_chunk" in ln) or ("_bucket" in ln) for ln in lines), lines
