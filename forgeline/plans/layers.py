@@ -146,7 +146,22 @@ class FixtureChain:
     def p_silver(self, method: str = "mean") -> DataFrame:
         return impute.apply_method(self.p_deduped(), "pressure_bar", method, sensor_type="pressure", unit="bar")
 
+    def prepare(self) -> None:
+        """Build the three independent Silver inputs concurrently.
+
+        Temperature, pressure and incident layers share nothing, so their
+        jobs are submitted from separate driver threads and Spark schedules
+        their tasks side by side instead of one chain after the other.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(self.t_deduped), pool.submit(self.p_deduped), pool.submit(self.i_silver)]:
+                f.result()
+
     def sensors(self) -> DataFrame:
+        if "sensors" not in self._cache:
+            self.prepare()
         return self._get("sensors", lambda: silver_sensors(self.t_silver(), self.p_silver()))
 
     def gold(self, weather: bool = False) -> DataFrame:

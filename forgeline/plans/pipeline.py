@@ -20,6 +20,15 @@ from forgeline.plans.layers import PRESSURE_CONTEXT, SILVER_SENSOR_COLUMNS, TEMP
 from forgeline.sources import files, sinks
 
 
+def _parallel(*fns):
+    """Run independent job-submitting functions from separate driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(fns)) as pool:
+        futures = [pool.submit(f) for f in fns]
+        return [f.result() for f in futures]
+
+
 def choose(metrics: DataFrame) -> str:
     """W13 -> method name (one tiny row to the driver)."""
     row = impute.choose_method(metrics).select("recommended_method").first()
@@ -33,40 +42,44 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     batch_id = batch_id or str(uuid.uuid4())
     read = lambda name: spark.read.parquet(sinks.table_path(out_root, name))
 
-    # Bronze (K01, K03): every row, with accept/reject codes
-    sinks.write_bronze(validate.validate_temperature(t_in), out_root, "bronze_temperature", batch_id, "overwrite")
-    sinks.write_bronze(validate.validate_pressure(p_in), out_root, "bronze_pressure", batch_id, "overwrite")
-    sinks.write_bronze(validate.validate_incidents(i_in), out_root, "bronze_incident", batch_id, "overwrite")
+    # Bronze (K01, K03): every row, with accept/reject codes.  The three
+    # sources are independent: their jobs run concurrently.
+    _parallel(
+        lambda: sinks.write_bronze(validate.validate_temperature(t_in), out_root, "bronze_temperature", batch_id, "overwrite"),
+        lambda: sinks.write_bronze(validate.validate_pressure(p_in), out_root, "bronze_pressure", batch_id, "overwrite"),
+        lambda: sinks.write_bronze(validate.validate_incidents(i_in), out_root, "bronze_incident", batch_id, "overwrite"),
+    )
     ledger = (validate.batch_counts(read("bronze_temperature"), "capteurs_temperature", batch_id)
               .unionByName(validate.batch_counts(read("bronze_pressure"), "capteurs_pression", batch_id))
               .unionByName(validate.batch_counts(read("bronze_incident"), "releves_incidents", batch_id)))
     sinks.write_table(ledger.withColumn("finished_at", F.current_timestamp()), out_root, "ingestion_batch")
 
-    # Silver temperature: normalise units -> dedup -> benchmark -> fill
-    t_ok = parse.parse_temperature(read("bronze_temperature").where("parse_ok").drop("parse_ok", "rejected_reason",
-                                                                                     "ingestion_batch_id"))
-    t_norm, t_windows = units.normalize_temperature_units(t_ok)
-    sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
-    sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
-    t_dedup = read("_t_dedup")
-    t_method = choose(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods))
-    t_silver = impute.apply_method(t_dedup, "temperature_normalized", t_method, sensor_type="temperature", unit="C")
-
-    p_ok = parse.parse_pressure(read("bronze_pressure").where("parse_ok").drop("parse_ok", "rejected_reason",
-                                                                               "ingestion_batch_id"))
-    sinks.write_table(dedup.dedup_sensor(p_ok, "pressure_bar"), out_root, "_p_dedup")
-    p_dedup = read("_p_dedup")
-    p_method = choose(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods))
-    p_silver = impute.apply_method(p_dedup, "pressure_bar", p_method, sensor_type="pressure", unit="bar")
-
+    def accepted(name: str) -> DataFrame:
+        return read(name).where("parse_ok").drop("parse_ok", "rejected_reason", "ingestion_batch_id")
+
+    def temperature() -> tuple[DataFrame, str]:
+        # normalise units -> dedup -> benchmark -> fill
+        t_norm, t_windows = units.normalize_temperature_units(parse.parse_temperature(accepted("bronze_temperature")))
+        sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
+        sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
+        t_dedup = read("_t_dedup")
+        method = choose(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods))
+        return impute.apply_method(t_dedup, "temperature_normalized", method, sensor_type="temperature", unit="C"), method
+
+    def pressure() -> tuple[DataFrame, str]:
+        sinks.write_table(dedup.dedup_sensor(parse.parse_pressure(accepted("bronze_pressure")), "pressure_bar"), out_root, "_p_dedup")
+        p_dedup = read("_p_dedup")
+        method = choose(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods))
+        return impute.apply_method(p_dedup, "pressure_bar", method, sensor_type="pressure", unit="bar"), method
+
+    def incidents() -> None:
+        inc = parse.incident_silver_candidate(dedup.dedup_incidents(parse.parse_incidents(accepted("bronze_incident"))))
+        sinks.write_table(sinks.silver_incident_rows(inc, batch_id), out_root, "silver_incident")
+
+    (t_silver, t_method), (p_silver, p_method), _ = _parallel(temperature, pressure, incidents)
     sensors = t_silver.select(*SILVER_SENSOR_COLUMNS).unionByName(p_silver.select(*SILVER_SENSOR_COLUMNS))
     sinks.write_silver_sensors(sensors, out_root, batch_id)
 
-    i_ok = parse.parse_incidents(read("bronze_incident").where("parse_ok").drop("parse_ok", "rejected_reason",
-                                                                                 "ingestion_batch_id"))
-    incidents = parse.incident_silver_candidate(dedup.dedup_incidents(i_ok))
-    sinks.write_table(sinks.silver_incident_rows(incidents, batch_id), out_root, "silver_incident")
-
     # Gold reads Silver after Numeric(12,3) rounding (quirk Q6)
     silver = read("silver_sensor_reading").select(
         "machine_id_std", F.col("observed_at").alias("event_ts"), "sensor_type",
