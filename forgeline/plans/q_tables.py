@@ -272,3 +272,15 @@ def q_j07(spark, sf):
         F.col("machine_id_std").alias("machine_code")), "machine_code", "machine_id")
     return ops.select("operator_key", big("operator_id")).unionByName(
         machines.select(F.col("machine_code").alias("operator_key"), F.col("machine_id").cast("bigint").alias("operator_id")))
+
+
+@register("s07_file_row_number", oracle("select count(*) as rows, true as numbering_contiguous from t_raw"))
+def q_s07(spark, sf):
+    """Row numbers per exported file: every file numbered 1..n without gaps or repeats."""
+    d = _export_sources(spark, sf)
+    found = files.find_source_files(d)
+    df = files.with_file_row_number(files.read_delimited(spark, found["temperature"], ";"))
+    per_file = df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_number").alias("d"),
+                                             F.min("row_number").alias("lo"), F.max("row_number").alias("hi"))
+    ok = (F.col("n") == F.col("d")) & (F.col("lo") == 1) & (F.col("hi") == F.col("n"))
+    return per_file.agg(F.sum("n").cast("bigint").alias("rows"), F.bool_and(ok).alias("numbering_contiguous"))

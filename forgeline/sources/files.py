@@ -71,16 +71,25 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> Da
 
 
 def with_file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
-    """1-based position in file order without a global sort."""
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    # position inside the partition: the low 33 bits of monotonically_increasing_id
-    tagged = tagged.withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # one row per input partition: small by construction
-    return tagged.join(F.broadcast(offsets), "_pid").withColumn(out, (F.col("_off") + F.col("_pos") + 1).cast("bigint")).drop(
-        "_pid", "_mid", "_pos", "_off")
+    """1-based position of each row in its source file, without a global sort.
+
+    A file may be split into several blocks and a task may read several small
+    files, so rows are keyed by (file, block start) from the hidden
+    ``_metadata`` column.  Per key: row count and the first row id in the
+    task; blocks of one file are then prefix-summed in offset order (one
+    summary row per block).  The position inside a block is the distance to
+    the block's first ``monotonically_increasing_id`` (rows of one block are
+    contiguous in the task that reads it).
+    """
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_mid"))
+    blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # one row per file block: bounded by the number of input splits
+    return tagged.join(F.broadcast(offsets), ["_file", "_block"]).withColumn(
+        out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("bigint")
+    ).drop("_file", "_block", "_mid", "_first", "_off")
 
 
 def value_column(df: DataFrame, preferred: str, fallback: str) -> str:

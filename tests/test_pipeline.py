@@ -34,3 +34,18 @@ def test_run_from_files(spark):
     assert counts["temperature_method"] in ("mean", "median")
     gold = spark.read.parquet(os.path.join(out, "gold_machine_hourly_feature"))
     assert "machine_id" in gold.columns and dict(gold.dtypes)["temp_mean_24h"] == "decimal(12,3)"
+
+
+def test_file_row_number_many_files_and_blocks(spark, tmp_path):
+    """Several files, each split into several blocks, several small files per task."""
+    for k in range(3):
+        lines = ["machine_id;timestamp;temperature"] + [f"MACH-0{k};2025-01-01 00:00:00;{i}" for i in range(3000)]
+        (tmp_path / f"part-{k}.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = files.with_file_row_number(files.read_delimited(spark, str(tmp_path), ";"))
+        got = df.select("source_file", "row_number", "temperature").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 9000
+    assert all(r.row_number == int(r.temperature) + 1 for r in got)
