@@ -54,21 +54,30 @@ def hourly_incident_features(incidents: DataFrame, machine: str = "machine_id_st
     )
 
 
-def _rows(w: Window, back: int, ahead: int = 0) -> Window:
-    return w.rowsBetween(-back, ahead)
+def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include_current: bool = True,
+                     time_based: bool = False) -> DataFrame:
+    """W01-W10 in one window pass per machine, ordered by hour.
+
+    Frames count hours that exist (row frames, quirk Q4) by default;
+    ``time_based=True`` uses range frames over the hour number instead, so a
+    "24h" window never reaches past a gap.  ``include_current=False`` moves
+    lookbacks to the previous hours and labels to the next hours (Q3).
+    """
+    hour_no = X.ordinal_hours("window_start")
+    w = Window.partitionBy(machine).orderBy(hour_no if time_based else F.col("window_start"))
 
+    def frame(start: int, end: int) -> Window:
+        return w.rangeBetween(start, end) if time_based else w.rowsBetween(start, end)
 
-def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include_current: bool = True) -> DataFrame:
-    """W01-W10 in one window pass per machine, ordered by hour."""
-    w = Window.partitionBy(machine).orderBy("window_start")
     cols: dict[str, Column] = {}
     for h in ROLLING_HOURS:
         for p in ("temp", "pressure"):
-            cols[f"{p}_mean_{h}h"] = F.avg(f"{p}_mean_1h").over(_rows(w, h - 1))
-            cols[f"{p}_max_{h}h"] = F.max(f"{p}_max_1h").over(_rows(w, h - 1))
-            cols[f"{p}_std_{h}h"] = F.stddev_samp(f"{p}_mean_1h").over(_rows(w, h - 1))
+            cols[f"{p}_mean_{h}h"] = F.avg(f"{p}_mean_1h").over(frame(-(h - 1), 0))
+            cols[f"{p}_max_{h}h"] = F.max(f"{p}_max_1h").over(frame(-(h - 1), 0))
+            cols[f"{p}_std_{h}h"] = F.stddev_samp(f"{p}_mean_1h").over(frame(-(h - 1), 0))
     for p in ("temp", "pressure"):
-        cols[f"{p}_trend_6h"] = F.col(f"{p}_mean_1h") - F.lag(f"{p}_mean_1h", 6).over(w)
+        before = F.first(f"{p}_mean_1h").over(frame(-6, -6)) if time_based else F.lag(f"{p}_mean_1h", 6).over(w)
+        cols[f"{p}_trend_6h"] = F.col(f"{p}_mean_1h") - before
     out = hourly.withColumn("window_end", X.plus_hours("window_start", 1)).withColumns(cols)
     out = out.withColumn(
         "temp_zscore_24h",
@@ -78,12 +87,12 @@ def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include
     lb_end = 0 if include_current else -1
     cnt = F.col("incident_count_1h")
     inc: dict[str, Column] = {
-        "incident_count_prev_24h": F.coalesce(F.sum(cnt).over(w.rowsBetween(-23, lb_end)), F.lit(0)).cast("bigint"),
-        "incident_max_severity_prev_24h": F.max("incident_max_severity_1h").over(w.rowsBetween(-23, lb_end)),
-        "incident_count_prev_7d": F.coalesce(F.sum(cnt).over(w.rowsBetween(-167, lb_end)), F.lit(0)).cast("bigint"),
+        "incident_count_prev_24h": F.coalesce(F.sum(cnt).over(frame(-23, lb_end)), F.lit(0)).cast("bigint"),
+        "incident_max_severity_prev_24h": F.max("incident_max_severity_1h").over(frame(-23, lb_end)),
+        "incident_count_prev_7d": F.coalesce(F.sum(cnt).over(frame(-167, lb_end)), F.lit(0)).cast("bigint"),
     }
     for c in X.INCIDENT_TYPE_COLUMNS:
-        inc[f"{c}_count_prev_24h"] = F.coalesce(F.sum(c).over(w.rowsBetween(-23, lb_end)), F.lit(0)).cast("bigint")
+        inc[f"{c}_count_prev_24h"] = F.coalesce(F.sum(c).over(frame(-23, lb_end)), F.lit(0)).cast("bigint")
     last_inc = F.last(F.when(cnt > 0, F.col("window_start")), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, lb_end)
     )
@@ -92,7 +101,7 @@ def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include
     ) / F.lit(3600.0)
     la_start = 0 if include_current else 1
     for h in LABEL_HOURS:
-        fut = F.sum(cnt).over(w.rowsBetween(la_start, la_start + h - 1))
+        fut = F.sum(cnt).over(frame(la_start, la_start + h - 1))
         inc[f"future_incident_count_{h}h"] = F.coalesce(fut, F.lit(0)).cast("bigint")
         inc[f"label_failure_next_{h}h"] = F.coalesce(fut > 0, F.lit(False))
     return out.withColumns(inc)
@@ -144,6 +153,7 @@ def build_gold(
     weather: DataFrame | None = None,
     machine: str = "machine_id_std",
     include_current: bool = True,
+    time_based: bool = False,
 ) -> DataFrame:
     """The full Gold feature table (all intermediate columns kept)."""
     hourly = hourly_sensor_features(silver_sensors, machine)
@@ -153,7 +163,7 @@ def build_gold(
     )
     for c in X.INCIDENT_TYPE_COLUMNS:
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
-    gold = rolling_features(joined, machine, include_current)
+    gold = rolling_features(joined, machine, include_current, time_based)
     if weather is not None:
         # one row per hour of the covered span: bounded by time, not data volume
         gold = gold.join(F.broadcast(weather_hourly_for_join(weather)), "window_start", "left")

@@ -110,3 +110,21 @@ def test_fixture_invariants(spark):
     r = g.groupBy("split_set").agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).collect()
     d = {x.split_set: x for x in r}
     assert d["train"].hi < d["validation"].lo <= d["validation"].hi < d["test"].lo
+
+
+def test_time_based_frames_and_exclusive_lookbacks(spark):
+    t0 = dt.datetime(2025, 1, 1)
+    hours = [0, 1, 2, 50, 51]
+    sensor = [("MACH-01", t0 + dt.timedelta(hours=h), "temperature", float(10 * (i + 1)), False) for i, h in enumerate(hours)]
+    inc = [("MACH-01", t0 + dt.timedelta(hours=1), "I1", 3)]
+    rows_g = {r.window_start: r for r in features.build_gold(_silver(spark, sensor), _incidents(spark, inc)).collect()}
+    time_g = {r.window_start: r for r in features.build_gold(_silver(spark, sensor), _incidents(spark, inc), time_based=True).collect()}
+    excl_g = {r.window_start: r for r in features.build_gold(_silver(spark, sensor), _incidents(spark, inc), include_current=False).collect()}
+    h50 = t0 + dt.timedelta(hours=50)
+    assert rows_g[h50].temp_mean_24h == 25.0          # rows 10,20,30,40: the gap is ignored
+    assert time_g[h50].temp_mean_24h == 40.0          # only hour 50 lies within 24 hours
+    assert rows_g[h50].incident_count_prev_24h == 1 and time_g[h50].incident_count_prev_24h == 0
+    h1 = t0 + dt.timedelta(hours=1)
+    assert rows_g[h1].label_failure_next_6h and not excl_g[h1].label_failure_next_6h
+    assert rows_g[h1].incident_count_prev_24h == 1 and excl_g[h1].incident_count_prev_24h == 0
+    assert excl_g[t0].label_failure_next_6h
