@@ -176,6 +176,24 @@ def build_gold(
     return temporal_split(gold, split_thresholds(hourly))
 
 
+def dropped_incident_hours(silver_sensors: DataFrame, silver_incidents: DataFrame,
+                           machine: str = "machine_id_std") -> DataFrame:
+    """Incident hours without any sensor row: the Gold left join drops them (quirk Q5).
+
+    Returned in the data-quality issue layout so the loss is reported.
+    """
+    hourly = hourly_sensor_features(silver_sensors, machine).select(machine, "window_start")
+    inc = hourly_incident_features(silver_incidents, machine)
+    lost = inc.join(hourly, [machine, "window_start"], "left_anti")
+    return lost.select(
+        F.lit("gold_machine_hourly_feature").alias("dataset_name"),
+        F.lit("incident_hour_without_sensor_row").alias("rule_code"),
+        F.lit("warning").alias("severity"),
+        F.concat_ws("|", F.col(machine), F.col("window_start").cast("string")).alias("entity_key"),
+        F.concat(F.lit("incidents="), F.col("incident_count_1h").cast("string")).alias("details"),
+    )
+
+
 GOLD_DECIMALS = {
     "(12,3)": [f"{p}_{s}_{h}h" for p in ("temp", "pressure") for s in ("mean", "max", "std") for h in ROLLING_HOURS]
     + ["temp_trend_6h", "pressure_trend_6h"],

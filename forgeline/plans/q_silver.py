@@ -480,3 +480,14 @@ def q_m02(spark, sf):
     m = impute.mask_observed(d, L.TEMPERATURE_CONTEXT, _u(d))
     out = regression.regression_fill(m, "_bench_value", "machine_id_std", "event_ts", "candidate")
     return out.select("machine_id_std", "event_ts", "is_masked", r6("candidate").alias("candidate"))
+
+
+@register("d02_dropped_incident_hours", oracle(
+    "select 'gold_machine_hourly_feature' as dataset_name, 'incident_hour_without_sensor_row' as rule_code, 'warning' as severity, "
+    "machine_id_std || '|' || cast(window_start as varchar) as entity_key, 'incidents=' || cast(incident_count_1h as varchar) as details "
+    "from g_inc i where not exists (select 1 from g_hourly h where h.machine_id_std = i.machine_id_std and h.window_start = i.window_start)"))
+def q_d02_dropped(spark, sf):
+    from forgeline.operators.features import dropped_incident_hours
+
+    c = L.chain(spark, sf)
+    return dropped_incident_hours(c.sensors(), c.i_silver())
