@@ -58,8 +58,13 @@ def upsert_keys(dim: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataF
 
 
 def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, id_col: str, how: str = "inner") -> DataFrame:
-    """Code -> id.  ``inner`` drops unmatched rows (machines), ``left`` keeps them with NULL (operators)."""
-    d = F.broadcast(dim.select(F.col(dim_key).alias(fact_key), id_col))
+    """Code -> id.  ``inner`` drops unmatched rows (machines), ``left`` keeps them with NULL (operators).
+
+    No broadcast hint: a dimension is usually tiny and AQE broadcasts it from
+    its measured size, but a large operator dimension falls back to a
+    shuffle join instead of being forced into every executor.
+    """
+    d = dim.select(F.col(dim_key).alias(fact_key), id_col)
     return facts.join(d, fact_key, how)
 
 

@@ -165,8 +165,10 @@ def build_gold(
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
     gold = rolling_features(joined, machine, include_current, time_based)
     if weather is not None:
-        # one row per hour of the covered span: bounded by time, not data volume
-        gold = gold.join(F.broadcast(weather_hourly_for_join(weather)), "window_start", "left")
+        # one row per hour of the covered span (bounded by time, not data
+        # volume); no hint: AQE broadcasts it from the measured size of the
+        # deduplicated side and keeps a shuffle join for very long spans
+        gold = gold.join(weather_hourly_for_join(weather), "window_start", "left")
     else:
         gold = gold.withColumns({
             "ambient_temp_c": F.lit(None).cast("double"),
