@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
@@ -44,19 +44,48 @@ def arithmetic_hash_unit(ts: str, group_number: Column) -> Column:
     return F.pmod(hours * F.lit(2654435761) + group_number * F.lit(40503), F.lit(1000003)).cast("double") / F.lit(1000003.0)
 
 
-def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None) -> DataFrame:
-    """Hide about ``mask_fraction`` of the observed values (Bernoulli by hash).
+HASH_BUCKETS = 1 << 20
 
-    The reference draws exactly ``max(10, int(0.1 n))`` rows with a seeded
-    RNG; an exact global sample needs a global sort, so we draw each row
-    independently by a hash of its key instead (no shuffle, reproducible).
+
+def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None, exact: bool = True) -> DataFrame:
+    """Hide ``k = min(n, max(10, int(fraction * n)))`` observed values, chosen by key hash.
+
+    The reference draws the k rows with a seeded RNG.  Here the k observed
+    rows with the smallest hash (ties broken by key) are masked, found
+    without a global sort: rows are counted per hash bucket (at most 2^20
+    bucket rows), a running total over the buckets finds the bucket holding
+    the k-th row, and only that one bucket is ranked row by row.  Every
+    bucket below it is masked whole.  ``exact=False`` draws each row
+    independently (Bernoulli) instead.
     """
     if u is None:
         u = hash_unit([ctx.group, ctx.time], ctx.seed)
     observed = F.col(ctx.target).isNotNull()
-    return df.withColumn("is_masked", F.coalesce(observed & (u < F.lit(ctx.mask_fraction)), F.lit(False))).withColumn(
+    if not exact:
+        masked = F.coalesce(observed & (u < F.lit(ctx.mask_fraction)), F.lit(False))
+        return df.withColumn("is_masked", masked).withColumn(
+            "_bench_value", F.when(F.col("is_masked"), F.lit(None).cast("double")).otherwise(F.col(ctx.target)))
+
+    keys = [ctx.group, ctx.time]
+    d = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * HASH_BUCKETS).cast("bigint"))
+    obs = d.where(observed & F.col("_u").isNotNull())
+    n_obs = obs.agg(F.count(F.lit(1))).scalar()
+    k = F.least(n_obs, F.greatest(F.lit(10), F.floor(n_obs * F.lit(ctx.mask_fraction)).cast("bigint")))
+    per_bucket = obs.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per non-empty bucket (at most 2^20): the running total is a small single-partition window
+    running = per_bucket.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+    cut = running.where(F.col("_cum") >= k).agg(F.min_by(F.struct(F.col("_b"), (F.col("_cum") - F.col("_n")).alias("before")),
+                                                         F.col("_b")).alias("c"))
+    b_star = cut.select("c._b").scalar()
+    before = cut.select("c.before").scalar()
+    edge = obs.where(F.col("_b") == b_star).select(
+        *keys, F.row_number().over(Window.partitionBy("_b").orderBy("_u", *keys)).alias("_r"))
+    picked = edge.where(F.col("_r") <= k - before).select(*keys, F.lit(True).alias("_edge"))
+    out = d.join(picked, keys, "left")
+    masked = observed & F.col("_u").isNotNull() & ((F.col("_b") < b_star) | F.coalesce(F.col("_edge"), F.lit(False)))
+    return out.withColumn("is_masked", F.coalesce(masked, F.lit(False))).withColumn(
         "_bench_value", F.when(F.col("is_masked"), F.lit(None).cast("double")).otherwise(F.col(ctx.target))
-    )
+    ).drop("_u", "_b", "_edge")
 
 
 # A07 / A08 ---------------------------------------------------------------

@@ -318,9 +318,12 @@ def _mask_u_sql() -> str:
 
 def _bench_ctes(p: str, src: str, target: str) -> list[tuple[str, str]]:
     return [
-        (f"{p}_bench", f"""select *, coalesce({target} is not null and {_mask_u_sql()} < 0.1, false) as is_masked,
-            case when coalesce({target} is not null and {_mask_u_sql()} < 0.1, false) then null else {target} end as _bench_value
-          from {src}"""),
+        (f"{p}_rank", f"""select *, case when {target} is not null then row_number() over (partition by {target} is not null
+              order by {_mask_u_sql()}, machine_id_std, event_ts) end as _mrank,
+            count({target}) over () as _nobs from {src}"""),
+        (f"{p}_bench", f"""select * exclude (_mrank, _nobs), coalesce(_mrank <= least(_nobs, greatest(10, cast(floor(_nobs * 0.1) as bigint))), false) as is_masked,
+            case when coalesce(_mrank <= least(_nobs, greatest(10, cast(floor(_nobs * 0.1) as bigint))), false) then null else {target} end as _bench_value
+          from {p}_rank"""),
         (f"{p}_cands", f"""select b.*, coalesce(b._bench_value, gm._m, (select avg(_bench_value) from {p}_bench)) as _cand_mean,
             coalesce(b._bench_value, gd._d, (select median(_bench_value) from {p}_bench)) as _cand_median
           from {p}_bench b

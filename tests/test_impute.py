@@ -34,7 +34,7 @@ def test_benchmark_metrics_and_choice(spark):
     df = spark.createDataFrame(rows, "machine_id_std string, event_ts timestamp_ntz, v double")
     ctx = impute.ImputationContext("d", "v", plausible_min=0.0, plausible_max=120.0)
     m = {r.method: r for r in impute.evaluate_imputation(df, ctx, ("mean", "median")).collect()}
-    assert 0 < m["mean"].masked_rows < 600 and m["mean"].out_of_range_rate == 0.0
+    assert m["mean"].masked_rows == 60 and m["mean"].out_of_range_rate == 0.0
     assert m["mean"].rmse >= m["mean"].mae
     ch = impute.choose_method(impute.evaluate_imputation(df, ctx)).first()
     assert ch.recommended_method in ("mean", "median")
@@ -66,5 +66,9 @@ def test_mask_is_deterministic(spark):
     ctx = impute.ImputationContext("d", "v")
     a = impute.mask_observed(df, ctx).where("is_masked").select("event_ts").collect()
     b = impute.mask_observed(df, ctx).where("is_masked").select("event_ts").collect()
-    assert a == b and 20 < len(a) < 90
+    assert a == b and len(a) == 50  # exactly max(10, int(0.1 * 500))
+    few = spark.createDataFrame(rows[:40], "machine_id_std string, event_ts timestamp_ntz, v double")
+    assert impute.mask_observed(few, ctx).where("is_masked").count() == 10
+    loose = impute.mask_observed(df, ctx, exact=False).where("is_masked").count()
+    assert 20 < loose < 90
     assert impute.mask_observed(df, ctx).where(F.col("is_masked") & F.col("_bench_value").isNotNull()).count() == 0
