@@ -64,3 +64,13 @@ def test_one_row_per_key_on_fixture(spark):
 
     d = L.FixtureChain(spark, "/root/testdata/sf0.001").t_deduped()
     assert d.count() == d.select("machine_id_std", "event_ts").distinct().count()
+
+
+def test_golden_resolution_counts_sf001(spark):
+    """FIXTURES.md section 5: dedup classes of the raw temperature values at sf0.01."""
+    from forgeline.plans import layers as L
+
+    d = dedup.dedup_sensor(L.FixtureChain(spark, "/root/testdata/sf0.01").t_parsed(), "temperature")
+    got = {r[0]: r[1] for r in d.groupBy("dedupe_resolution").count().collect()}
+    assert got == {"unique": 3173, "strict_duplicate_drop": 95, "keep_non_missing_value": 71,
+                   "median_conflict_resolution": 716}
