@@ -105,7 +105,7 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
 
 def run_from_files(spark: SparkSession, data_dir: str, out_root: str, **kw) -> dict[str, int]:
     """S01-S07 + the layers: discover, sniff, read all-string, number rows, run."""
-    found = files.find_source_files(data_dir)
+    found = files.find_source_files(data_dir, spark)
     files.require_sources(found)
     frames = {k: files.with_file_row_number(files.read_delimited(spark, p)) for k, p in found.items()}
     return run_from_bronze_inputs(

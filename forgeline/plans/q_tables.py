@@ -21,7 +21,7 @@ from forgeline.plans.q_silver import _sensor_rules_sql, _codes_sql
 from forgeline.plans.q_weather import _W_CTES, _store
 from forgeline.plans.registry import big, r6, register
 from forgeline.session import scratch_path
-from forgeline.sources import files, sinks
+from forgeline.sources import files, fs, sinks
 
 _ROOTS: dict[tuple[str, str], str] = {}
 
@@ -35,7 +35,7 @@ def _root(spark, sf) -> str:
 
 def _once(spark, sf, name: str, write) -> str:
     path = os.path.join(_root(spark, sf), name)
-    if not os.path.exists(os.path.join(path, "_SUCCESS")) and not os.path.exists(os.path.join(path, "_done")):
+    if not fs.exists(spark, os.path.join(path, "_SUCCESS")):
         write(path)
     return path
 
@@ -44,7 +44,7 @@ def _once(spark, sf, name: str, write) -> str:
 def _export_sources(spark, sf) -> str:
     """Write the three raw exports as delimited files (one folder per file stem)."""
     d = os.path.join(_root(spark, sf), "sources")
-    if not os.path.exists(os.path.join(d, "_done")):
+    if not fs.exists(spark, os.path.join(d, "_done")):
         t, p, i = L.chain(spark, sf).raw()
         t.select(F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
                  F.col("temperature_raw").alias("temperature")).write.mode("overwrite").option("header", True).option(
@@ -54,14 +54,13 @@ def _export_sources(spark, sf) -> str:
             "sep", "\t").csv(os.path.join(d, "capteurs_pression.tsv"))
         i.drop("row_number").write.mode("overwrite").option("header", True).option("sep", ",").csv(
             os.path.join(d, "releves_incidents.csv"))
-        os.makedirs(d, exist_ok=True)
-        open(os.path.join(d, "_done"), "w").close()
+        fs.touch(spark, os.path.join(d, "_done"))
     return d
 
 
-def _first_part(path: str) -> str:
-    parts = sorted(x for x in os.listdir(path) if x.startswith("part-") and os.path.getsize(os.path.join(path, x)) > 0)
-    return os.path.join(path, parts[0])
+def _first_part(spark, path: str) -> str:
+    parts = [full for name, full, size in fs.list_names(spark, path) if name.startswith("part-") and size > 0]
+    return parts[0]
 
 
 @register("s04_delimited_scan", oracle(
@@ -70,11 +69,11 @@ def _first_part(path: str) -> str:
 def q_s04(spark, sf):
     """S01 discovery, S03 delimiter sniffing, S04 all-string read, S06 value column choice."""
     d = _export_sources(spark, sf)
-    found = files.find_source_files(d)
+    found = files.find_source_files(d, spark)
     files.require_sources(found)
     out = None
     for kind in ("temperature", "pressure"):
-        sep = files.sniff_delimiter(spark, _first_part(found[kind]))
+        sep = files.sniff_delimiter(spark, _first_part(spark, found[kind]))
         df = files.read_delimited(spark, found[kind], sep)
         v = "temperature" if kind == "temperature" else files.value_column(df, "pressure_bar", "pressure")
         part = df.select("machine_id", "timestamp", F.col(v).alias("temperature"), F.lit(sep).alias("separator"))
@@ -86,7 +85,7 @@ def q_s04(spark, sf):
     "select incident_id, machine_id, nullif(trim(severity), '') as severity, comment from i_raw"))
 def q_s05(spark, sf):
     d = _export_sources(spark, sf)
-    found = files.find_source_files(d)
+    found = files.find_source_files(d, spark)
     df = files.read_delimited(spark, found["incident"])
     return df.select("incident_id", "machine_id", F.nullif(F.trim("severity"), F.lit("")).alias("severity"), "comment")
 
@@ -278,7 +277,7 @@ def q_j07(spark, sf):
 def q_s07(spark, sf):
     """Row numbers per exported file: every file numbered 1..n without gaps or repeats."""
     d = _export_sources(spark, sf)
-    found = files.find_source_files(d)
+    found = files.find_source_files(d, spark)
     df = files.with_file_row_number(files.read_delimited(spark, found["temperature"], ";"))
     per_file = df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_number").alias("d"),
                                              F.min("row_number").alias("lo"), F.max("row_number").alias("hi"))

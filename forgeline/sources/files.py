@@ -25,11 +25,20 @@ DELIMITER_CANDIDATES = [";", ",", "\t", "|"]
 
 
 # S01 / S02 ---------------------------------------------------------------
-def find_source_files(data_dir: str) -> dict[str, str]:
-    """``{kind: path}`` by file stem; dotfiles skipped, last sorted match wins."""
+def find_source_files(data_dir: str, spark: SparkSession | None = None) -> dict[str, str]:
+    """``{kind: path}`` by file stem; dotfiles skipped, last sorted match wins.
+
+    With a session the folder is listed through Hadoop's FileSystem (any
+    shared store); without one, through the local file system.
+    """
+    if spark is not None:
+        from forgeline.sources import fs
+
+        entries = [(name, path) for name, path, _ in fs.list_names(spark, data_dir)]
+    else:
+        entries = [(os.path.basename(p), p) for p in sorted(glob.glob(os.path.join(data_dir, "*")))]
     found: dict[str, str] = {}
-    for path in sorted(glob.glob(os.path.join(data_dir, "*"))):
-        name = os.path.basename(path)
+    for name, path in entries:
         if name.startswith("."):
             continue
         stem = name.split(".")[0]
