@@ -38,15 +38,20 @@ def blank_to_null(c: Column | str) -> Column:
 
 # P01 ---------------------------------------------------------------------
 def machine_number(c: Column | str) -> Column:
-    """Last run of digits as a number; NULL when there is none."""
-    digits = F.regexp_extract(_col(c), r"([0-9]+)[^0-9]*$", 1)
+    """Last run of digits as a number; NULL when there is none.
+
+    The last run is the first run of the reversed text, so the pattern is a
+    plain left-to-right match with no backtracking over the tail.
+    """
+    digits = F.reverse(F.regexp_extract(F.reverse(_col(c)), r"[0-9]+", 0))
     return _try_cast(F.nullif(digits, F.lit("")), "bigint")
 
 
 def machine_code(c: Column | str) -> Column:
     """``MACH-%02d`` of the last digit run; NULL for NULL, blank or digit-free input."""
-    n = machine_number(c)
-    return F.when(n.isNotNull(), F.format_string(MACHINE_CODE_PREFIX + "%02d", n))
+    s = machine_number(c).cast("string")
+    # zero-padded to at least two digits; concat keeps NULL for NULL input
+    return F.concat(F.lit(MACHINE_CODE_PREFIX), F.lpad(s, F.greatest(F.lit(2), F.length(s)), F.lit("0")))
 
 
 def _try_cast(c: Column, type_name: str) -> Column:
