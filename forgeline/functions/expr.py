@@ -60,9 +60,19 @@ def _try_cast(c: Column, type_name: str) -> Column:
 
 # P03 / P04 ---------------------------------------------------------------
 def clean_timestamp_text(c: Column | str) -> Column:
-    """``T`` -> space and drop a trailing ``Z`` or ``+hh:mm`` (keeps wall clock)."""
+    """``T`` -> space and drop a trailing ``Z`` or ``+hh:mm`` (keeps wall clock).
+
+    Same result as removing ``(Z|[+-][0-9]{2}:[0-9]{2})$``, written with
+    suffix tests on the last six characters instead of a scanning regex.
+    """
     s = F.replace(F.trim(_col(c)), F.lit("T"), F.lit(" "))
-    return F.regexp_replace(s, r"(Z|[+-][0-9]{2}:[0-9]{2})$", "")
+    n = F.length(s)
+    offset = F.substring(s, -6, 6).rlike(r"^[+-][0-9]{2}:[0-9]{2}$")
+    return (
+        F.when(s.endswith("Z"), F.substring(s, F.lit(1), n - 1))
+        .when(offset, F.substring(s, F.lit(1), n - 6))
+        .otherwise(s)
+    )
 
 
 def parse_timestamp(c: Column | str) -> Column:
