@@ -181,9 +181,19 @@ def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=("mean",
     )
 
 
-def evaluate_imputation(df: DataFrame, ctx: ImputationContext, methods=("mean", "median"), u: Column | None = None) -> DataFrame:
-    """Mask, fill with each candidate, score.  Fails below 30 observed rows."""
+def evaluate_imputation(df: DataFrame, ctx: ImputationContext, methods=("mean", "median"), u: Column | None = None,
+                        store: bool = True) -> DataFrame:
+    """Mask, fill with each candidate, score.  Fails below 30 observed rows.
+
+    The masked frame is read once per candidate statistic and once for the
+    scores, so (with ``store``) its four needed columns are written to the
+    shared checkpoint folder first instead of recomputing the mask each time.
+    """
     masked = mask_observed(df, ctx, u)
+    if store:
+        from forgeline.session import materialize
+
+        masked = materialize(masked.select(ctx.group, ctx.time, ctx.target, "is_masked", "_bench_value"), "masked")
     n_obs = masked.agg(F.count(ctx.target).alias("_n")).scalar()
     metrics = benchmark_metrics(candidate_columns(masked, ctx, methods), ctx, methods, observed=df)
     return metrics.withColumn(
