@@ -5,7 +5,8 @@ as they land in a folder and appends them to Bronze with the same
 validation (P10-P12) and provenance (K01).  ``trigger(availableNow=True)``
 processes everything new and stops, so it runs like a scheduled batch job
 while the checkpoint (in the shared ``spark.checkpoint.dir``) records which
-files are done: a restarted or failed run neither skips nor repeats a file.
+files are done: a restarted or failed run neither skips nor repeats a file,
+and a replayed micro-batch rewrites only its own epoch partition.
 """
 
 from __future__ import annotations
@@ -38,8 +39,12 @@ def stream_bronze(spark: SparkSession, kind: str, source_dir: str, bronze_path:
     ckpt = os.path.join(checkpoint_dir(spark), f"bronze-stream-{name or kind}")
 
     def append(batch: DataFrame, epoch: int) -> None:
-        out = check(batch).withColumn("ingestion_batch_id", F.lit(f"{batch_id}-{epoch}"))
-        out.write.mode("append").parquet(bronze_path)
+        # each micro-batch owns one partition (stream_epoch); a retried epoch
+        # overwrites only its own partition, so a replay never duplicates rows
+        out = check(batch).withColumn("ingestion_batch_id", F.lit(f"{batch_id}-{epoch}")).withColumn(
+            "stream_epoch", F.lit(epoch).cast("bigint"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("stream_epoch").parquet(bronze_path))
 
     return (raw.writeStream.foreachBatch(append).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())

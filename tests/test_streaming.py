@@ -25,3 +25,17 @@ def test_available_now_appends_each_file_once(spark):
     df = spark.read.parquet(out)
     assert df.count() == 3
     assert sorted(r.source_file for r in df.select("source_file").distinct().collect()) == ["a.csv", "b.csv"]
+
+
+def test_replayed_epoch_does_not_duplicate(spark):
+    from pyspark.sql import functions as F
+
+    from forgeline.operators import validate
+
+    out = os.path.join(tempfile.mkdtemp(prefix="forgeline-stream-out-"), "bronze")
+    batch = spark.createDataFrame([("MACH-01", "2025-01-01 00:00:00", "1.0", "a.csv")],
+                                  "machine_id_raw string, timestamp_raw string, temperature_raw string, source_file string")
+    for _ in range(2):  # the same epoch written twice, as after a failure
+        (validate.validate_temperature(batch).withColumn("stream_epoch", F.lit(0).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream_epoch").parquet(out))
+    assert spark.read.parquet(out).count() == 1
