@@ -17,6 +17,7 @@ from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS
 from forgeline.operators import dedup, dims, impute, parse, units, validate
 from forgeline.operators.features import build_gold, gold_table
 from forgeline.plans.layers import PRESSURE_CONTEXT, SILVER_SENSOR_COLUMNS, TEMPERATURE_CONTEXT
+from forgeline.session import materialize
 from forgeline.sources import files, sinks
 
 
@@ -64,7 +65,9 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
 
     def temperature() -> tuple[DataFrame, str]:
         # normalise units -> dedup -> benchmark -> fill
-        t_norm, t_windows = units.normalize_temperature_units(parse.parse_temperature(accepted("bronze_temperature")))
+        # the flagged rows feed both the dedup table and the windows table: store them once
+        t_norm, t_windows = units.normalize_temperature_units(
+            parse.parse_temperature(accepted("bronze_temperature")), materialize_fn=lambda df: materialize(df, "t_norm"))
         sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
         sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
         t_dedup = read("_t_dedup")
