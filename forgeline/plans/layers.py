@@ -118,8 +118,23 @@ class FixtureChain:
     def raw(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return fixture_raw(self.spark, self.sf_dir)
 
+    def _bronze(self, key: str, validated: DataFrame) -> DataFrame:
+        """Stored Bronze (every row + codes); Silver reads its accepted rows.
+
+        Storing Bronze first also keeps the optimizer from inlining the raw
+        view and the validation rules into both the accept filter and the
+        parse projection (it pushes filters through projections), so every
+        rule runs once per row.
+        """
+        return self._get(key, lambda: materialize(validated, key))
+
+    @staticmethod
+    def _accepted(bronze: DataFrame) -> DataFrame:
+        return bronze.where("parse_ok").drop("parse_ok", "rejected_reason")
+
     def t_parsed(self) -> DataFrame:
-        return self._get("t_parsed", lambda: temperature_parsed(self.raw()[0]))
+        return self._get("t_parsed", lambda: materialize(parse.parse_temperature(self._accepted(
+            self._bronze("t_bronze", validate.validate_temperature(self.raw()[0]))))))
 
     def t_normalized(self) -> tuple[DataFrame, DataFrame]:
         return self._get("t_norm", lambda: units.normalize_temperature_units(self.t_parsed(), materialize_fn=materialize))
@@ -128,13 +143,15 @@ class FixtureChain:
         return self._get("t_dedup", lambda: materialize(dedup.dedup_sensor(self.t_normalized()[0], "temperature_normalized")))
 
     def p_parsed(self) -> DataFrame:
-        return self._get("p_parsed", lambda: pressure_parsed(self.raw()[1]))
+        return self._get("p_parsed", lambda: parse.parse_pressure(self._accepted(
+            self._bronze("p_bronze", validate.validate_pressure(self.raw()[1])))))
 
     def p_deduped(self) -> DataFrame:
         return self._get("p_dedup", lambda: materialize(dedup.dedup_sensor(self.p_parsed(), "pressure_bar")))
 
     def i_parsed(self) -> DataFrame:
-        return self._get("i_parsed", lambda: materialize(incidents_parsed(self.raw()[2])))
+        return self._get("i_parsed", lambda: parse.parse_incidents(self._accepted(
+            self._bronze("i_bronze", validate.validate_incidents(self.raw()[2])))))
 
     def i_silver(self) -> DataFrame:
         return self._get("i_silver", lambda: materialize(
