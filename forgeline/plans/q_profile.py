@@ -9,7 +9,7 @@ from forgeline.operators import impute
 from forgeline.operators import profile as PR
 from forgeline.plans import layers as L
 from forgeline.plans.oracle import FLAGS, mcode, num, oracle, ts_parse
-from forgeline.plans.q_silver import _IMP_CTES, _METRIC_COLS, _p_metrics, _t_metrics
+from forgeline.plans.q_silver import _IMP_CTES, _METRIC_COLS, _t_metrics
 from forgeline.plans.registry import big, r6, register, s6
 
 T_BUSINESS = ["machine_id", "timestamp", "temperature"]
@@ -304,5 +304,3 @@ def q_b01(spark, sf):
     out = m.unionByName(impute.severity_policy_row(spark).drop("decision_reason"), allowMissingColumns=True)
     return out.select("dataset_name", "target_column", "recommended_method", *[r6(c).alias(c) for c in _METRIC_COLS])
 
-
-__all__ = ["_p_metrics"]

@@ -19,7 +19,7 @@ from forgeline.plans import layers as L
 from forgeline.plans.oracle import oracle
 from forgeline.plans.q_silver import _sensor_rules_sql, _codes_sql
 from forgeline.plans.q_weather import _W_CTES, _store
-from forgeline.plans.registry import big, r6, register
+from forgeline.plans.registry import big, register
 from forgeline.session import scratch_path
 from forgeline.sources import files, fs, sinks
 

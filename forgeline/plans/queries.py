@@ -17,8 +17,6 @@ from forgeline.functions import expr as X
 from forgeline.operators import dedup, features, units
 from forgeline.plans import layers as L
 from forgeline.plans.oracle import FLAGS, oracle
-from forgeline.sources import fixtures as fx
-
 from forgeline.plans.registry import ORACLE, QUERIES, r6, register, s6
 
 
