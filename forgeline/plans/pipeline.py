@@ -39,12 +39,17 @@ def choose(metrics: DataFrame) -> str:
 def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame, i_in: DataFrame, out_root: str,
                            weather: DataFrame | None = None, batch_id: str | None = None,
                            methods=("mean", "median"), include_current: bool = True,
-                           time_based: bool = False) -> dict[str, int]:
+                           time_based: bool = False, artifacts_dir: str | None = None) -> dict[str, int]:
     """Run all layers from raw string frames (``*_bronze_input`` layouts).
 
     ``include_current`` / ``time_based`` select the Gold window semantics
-    (quirks Q3 / Q4; the defaults reproduce the reference).
+    (quirks Q3 / Q4; the defaults reproduce the reference).  With
+    ``artifacts_dir`` the run's report tables (unit windows, imputation
+    metrics and decisions, Gold preview) are written there as CSV (K09).
     """
+    import datetime as _dt
+
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     batch_id = batch_id or str(uuid.uuid4())
     read = lambda name: spark.read.parquet(sinks.table_path(out_root, name))
 
@@ -58,7 +63,8 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     ledger = (validate.batch_counts(read("bronze_temperature"), "capteurs_temperature", batch_id)
               .unionByName(validate.batch_counts(read("bronze_pressure"), "capteurs_pression", batch_id))
               .unionByName(validate.batch_counts(read("bronze_incident"), "releves_incidents", batch_id)))
-    sinks.write_table(ledger.withColumn("finished_at", F.current_timestamp()), out_root, "ingestion_batch")
+    sinks.write_table(ledger.withColumn("started_at", F.lit(started).cast("timestamp_ntz"))
+                      .withColumn("finished_at", F.current_timestamp().cast("timestamp_ntz")), out_root, "ingestion_batch")
 
     def accepted(name: str) -> DataFrame:
         return read(name).where("parse_ok").drop("parse_ok", "rejected_reason", "ingestion_batch_id")
@@ -71,13 +77,17 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
         sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
         sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
         t_dedup = read("_t_dedup")
-        method = choose(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods))
+        metrics = materialize(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods), "t_metrics")
+        sinks.write_table(metrics, out_root, "_t_metrics")
+        method = choose(metrics)
         return impute.apply_method(t_dedup, "temperature_normalized", method, sensor_type="temperature", unit="C"), method
 
     def pressure() -> tuple[DataFrame, str]:
         sinks.write_table(dedup.dedup_sensor(parse.parse_pressure(accepted("bronze_pressure")), "pressure_bar"), out_root, "_p_dedup")
         p_dedup = read("_p_dedup")
-        method = choose(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods))
+        metrics = materialize(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods), "p_metrics")
+        sinks.write_table(metrics, out_root, "_p_metrics")
+        method = choose(metrics)
         return impute.apply_method(p_dedup, "pressure_bar", method, sensor_type="pressure", unit="bar"), method
 
     def incidents() -> None:
@@ -108,6 +118,15 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     out = {r["stage"]: int(r["rows"]) for r in summary.collect()}
     out["temperature_method"] = t_method
     out["pressure_method"] = p_method
+    if artifacts_dir:
+        metrics = read("_t_metrics").unionByName(read("_p_metrics"))
+        decisions = impute.choose_method(metrics).unionByName(impute.severity_policy_row(spark), allowMissingColumns=True)
+        sinks.write_artifact_csv(read("temperature_normalization_windows"), artifacts_dir, "temperature_normalization_windows")
+        sinks.write_artifact_csv(metrics, artifacts_dir, "imputation_metrics")
+        sinks.write_artifact_csv(decisions, artifacts_dir, "imputation_decisions")
+        # the report shows the first 20 Gold rows: a top-k preview, bounded by k
+        preview = read("gold_machine_hourly_feature").orderBy("machine_id", "window_start").limit(20)
+        sinks.write_artifact_csv(preview, artifacts_dir, "gold_preview")
     return out
 
 

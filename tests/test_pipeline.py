@@ -27,13 +27,19 @@ def test_run_from_files(spark):
         .coalesce(1).write.option("header", True).option("sep", "\t").csv(os.path.join(d, "capteurs_pression.tsv"))
     i.drop("row_number").coalesce(1).write.option("header", True).csv(os.path.join(d, "releves_incidents.csv"))
     out = tempfile.mkdtemp(prefix="forgeline-out-")
-    counts = pipeline.run_from_files(spark, d, out, batch_id="t")
+    arts = tempfile.mkdtemp(prefix="forgeline-art-")
+    counts = pipeline.run_from_files(spark, d, out, batch_id="t", artifacts_dir=arts)
     assert counts["bronze_temperature"] == t.count()
     assert counts["bronze_incident"] == i.count()
     assert counts["gold_machine_hourly_feature"] > 0
     assert counts["temperature_method"] in ("mean", "median")
     gold = spark.read.parquet(os.path.join(out, "gold_machine_hourly_feature"))
     assert "machine_id" in gold.columns and dict(gold.dtypes)["temp_mean_24h"] == "decimal(12,3)"
+    decisions = spark.read.option("header", True).csv(os.path.join(arts, "imputation_decisions"))
+    assert decisions.count() == 3
+    assert spark.read.option("header", True).csv(os.path.join(arts, "gold_preview")).count() == 20
+    ledger = spark.read.parquet(os.path.join(out, "ingestion_batch")).collect()
+    assert all(r.started_at <= r.finished_at for r in ledger)
 
 
 def test_file_row_number_many_files_and_blocks(spark, tmp_path):
