@@ -18,15 +18,23 @@ I_BUSINESS = ["incident_id", "machine_id", "date", "time", "severity", "operator
 
 
 def _datasets(spark, sf):
-    t, p, i = L.chain(spark, sf).raw()
-    td = PR.enrich(t.select("row_number", F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
-                            X.parse_number("temperature_raw").alias("temperature")), "capteurs_temperature.csv", ",")
-    pd_ = PR.enrich(p.select("row_number", F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
-                             X.parse_number("pressure_raw").alias("pressure_bar")), "capteurs_pression.tsv", "\t")
-    inc = i.select("row_number", *[c for c in I_BUSINESS if c not in FLAGS and c != "severity"],
-                   F.col("severity").try_cast("int").alias("severity"), *[F.col(f).try_cast("int").alias(f) for f in FLAGS])
-    idd = PR.enrich(inc, "releves_incidents.csv", ",")
-    return td, pd_, idd
+    """The three enriched datasets of the profiling notebook, stored once per session."""
+    from forgeline.session import materialize
+
+    c = L.chain(spark, sf)
+
+    def build():
+        t, p, i = c.raw()
+        td = PR.enrich(t.select("row_number", F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
+                                X.parse_number("temperature_raw").alias("temperature")), "capteurs_temperature.csv", ",")
+        pd_ = PR.enrich(p.select("row_number", F.col("machine_id_raw").alias("machine_id"), F.col("timestamp_raw").alias("timestamp"),
+                                 X.parse_number("pressure_raw").alias("pressure_bar")), "capteurs_pression.tsv", "\t")
+        inc = i.select("row_number", *[x for x in I_BUSINESS if x not in FLAGS and x != "severity"],
+                       F.col("severity").try_cast("int").alias("severity"), *[F.col(f).try_cast("int").alias(f) for f in FLAGS])
+        idd = PR.enrich(inc, "releves_incidents.csv", ",")
+        return tuple(materialize(d, n) for d, n in ((td, "ds_t"), (pd_, "ds_p"), (idd, "ds_i")))
+
+    return c._get("profile_datasets", build)
 
 
 _DS_CTES = [
