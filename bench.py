@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,12 +19,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from forgeline.session import get_spark
+    from forgeline.session import get_spark, scratch_path
 
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="forgeline-bench-"))
 
     from forgeline.operators import impute, profile
     from forgeline.plans import layers as L
@@ -65,7 +63,7 @@ def main() -> None:
 
     def q_batch_run():
         t, p, i = fresh().raw()
-        run_from_bronze_inputs(spark, t, p, i, tempfile.mkdtemp(prefix="forgeline-run-", dir=spark.conf.get("spark.checkpoint.dir")),
+        run_from_bronze_inputs(spark, t, p, i, scratch_path(spark, f"bench-{uuid.uuid4().hex}"),
                                batch_id="bench")
 
     plan = [("m08_gold", q_gold), ("w11_unit_windows", q_unit_windows), ("u01_sensor_dedup", q_sensor_dedup),

@@ -46,17 +46,22 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temporary folder) when it is unset, as in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master,
+    where driver and executors are one process, may leave it unset: then a
+    fresh temporary folder serves the session.  Elsewhere a folder of the
+    driver's machine would not be seen by the executors, so that raises.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="forgeline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="forgeline-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
