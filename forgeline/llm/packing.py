@@ -31,6 +31,7 @@ from forgeline.llm.common import ranked, stored
 SEQUENCE = 2048
 WIDTH = 8
 END_ID = 1
+GAP = 2e-4  # column generation ends when no pattern betters the prices by more: sequences above the bound
 UNIT_CACHE = 400_000
 SPECIAL = "<|endoftext|>"
 
@@ -101,13 +102,14 @@ def tokenised_pieces(docs: DataFrame, sequence: int, vocabulary: str, reference:
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Unbounded knapsack: the dearest multiset of sizes within the capacity."""
     value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(1, capacity + 1):
-        value[room] = value[room - 1]
-        fits = sizes <= room
-        gains = np.where(fits, value[np.maximum(room - sizes, 0)] + prices, -1.0)
-        i = int(np.argmax(gains))
-        if gains[i] > value[room] + 1e-12:
-            value[room], last[room] = gains[i], i
+    fitting = np.searchsorted(sizes, np.arange(capacity + 1), "right").tolist()
+    best = 0.0
+    for room in range(int(sizes[0]), capacity + 1):
+        gains = value[room - sizes[: fitting[room]]] + prices[: fitting[room]]
+        i = int(gains.argmax())
+        if gains[i] > best + 1e-12:
+            best, last[room] = float(gains[i]), i
+        value[room] = best
     pattern, room = np.zeros(len(sizes), np.int64), capacity
     while room > 0:
         if last[room] < 0:
@@ -126,14 +128,20 @@ def solve_patterns(demand: dict[int, int], capacity: int, rounds: int = 5000) ->
     sizes = np.array(sorted(demand), dtype=np.int64)
     need = np.array([demand[int(s)] for s in sizes], dtype=float)
     basis = np.diag((capacity // sizes).astype(float))
-    for _ in range(rounds):
-        prices = np.linalg.solve(basis.T, np.ones(len(sizes)))
-        worth, pattern = best_pattern(prices, sizes, capacity)
-        if worth <= 1 + 1e-9:
+    inverse = np.linalg.inv(basis)
+    for i in range(rounds):
+        if i % 100 == 99:
+            inverse = np.linalg.inv(basis)  # the rank-one updates gather rounding errors
+        worth, pattern = best_pattern(inverse.sum(axis=0), sizes, capacity)
+        if worth <= 1 + GAP:
             break
-        direction, level = np.linalg.solve(basis, pattern.astype(float)), np.linalg.solve(basis, need)
+        direction, level = inverse @ pattern, inverse @ need
         ratios = np.where(direction > 1e-9, np.maximum(level, 0) / np.where(direction > 1e-9, direction, 1), np.inf)
-        basis[:, int(np.argmin(ratios))] = pattern
+        out = int(np.argmin(ratios))
+        basis[:, out] = pattern
+        row = inverse[out] / direction[out]
+        inverse -= np.outer(direction, row)
+        inverse[out] = row
     level = np.linalg.solve(basis, need)
     left = need.astype(np.int64)
     plan = []
