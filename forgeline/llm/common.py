@@ -83,7 +83,7 @@ def shingle_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(acc)
 
 
-def ranked(df: DataFrame, group: str, order: list, salt, rank: str, buckets: int = 4096) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list, salt, rank: str, buckets: int = 1024) -> DataFrame:
     """Gapless rank from 0 within ``group`` without one task per group.
 
     ``salt`` (a long expression on the rows) spreads each group over
