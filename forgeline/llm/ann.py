@@ -127,8 +127,16 @@ def search(table: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return spark.createDataFrame([], out)
     lists = int(min(MAX_LISTS, max(1, round(np.sqrt(n)))))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(MIN_SAMPLE, SAMPLE_PER_LIST * lists)).select("vec")
-    sample = np.array([r[0] for r in sample.collect()], dtype=float)
-    centroids = kmeans(sample, lists)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.concatenate([_matrix(b.column(0)) for b in batches])
+        centroids = kmeans(found, lists)
+        yield pa.RecordBatch.from_arrays([pa.array(centroids.tolist(), pa.list_(pa.float64())), pa.array([needed_probes(found, centroids, k, TARGET)] * len(centroids), pa.int32())],
+                                         names=["centroid", "probes"])
+
+    # the bounded sample is fitted by one task; at most MAX_LISTS centroids come back
+    fitted = sample.coalesce(1).mapInArrow(fit, "centroid array<double>, probes int").collect()
+    centroids, probes = np.array([r["centroid"] for r in fitted]), fitted[0]["probes"]
     lists = len(centroids)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +148,6 @@ def search(table: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     sizes = np.zeros(lists, np.int64)
     for r in placed.groupBy("list").count().collect():  # at most MAX_LISTS rows
         sizes[r["list"]] = r["count"]
-    probes = needed_probes(sample, centroids, k, TARGET)
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

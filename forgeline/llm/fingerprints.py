@@ -35,8 +35,8 @@ from forgeline.llm.common import WordHashes, shingle_hashes, text_bytes
 SHINGLE_WORDS = 5
 BASE_LEVEL = 4
 MIN_RETAINED = 64
-BUCKET_BYTES = 16 << 20
-MAX_BUCKETS = 20_000
+BUCKET_BYTES = 4 << 20
+MAX_BUCKETS = 100_000
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double, contained_edited double, contained_next double")

@@ -149,8 +149,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     x1 = np.column_stack([np.ones(len(x)), x])
     beta, penalty = np.zeros(x1.shape[1]), np.diag([1e-6] + [ridge] * x.shape[1])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ beta, -30, 30)))
-        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + penalty, x1.T @ (y - p) - penalty @ beta)
+        p = 1 / (1 + np.exp(-np.clip((x1 * beta).sum(1), -30, 30)))
+        curvature = np.einsum("ni,n,nj->ij", x1, p * (1 - p), x1) + penalty
+        step = np.linalg.solve(curvature, (x1 * (y - p)[:, None]).sum(0) - penalty @ beta)
         beta += step
         if np.abs(step).max() < 1e-8:
             break
