@@ -73,7 +73,7 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[st
     for d, target in enumerate(targets):
         names = sorted({c[d] for c in cells})
         at = {n: i for i, n in enumerate(names)}
-        own = np.array([at[c[d]] for c in cells])
+        own = np.array([at[c[d]] for c in cells], dtype=np.int64)
         present = np.bincount(own, tokens, len(names)) > 0
         share = np.array([target.get(n, 0.0) for n in names]) * present
         codes.append((own, share / share.sum() if share.sum() else share))

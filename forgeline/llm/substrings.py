@@ -39,7 +39,7 @@ from forgeline.llm.common import WordHashes, mixed, shingle_hashes, stored, text
 WINDOW = 20
 MINIMISER = 4
 CHUNK_WORDS = 1_000_000
-BUCKET_BYTES = 16 << 20  # text bytes per bucket of super-k-mers
+BUCKET_BYTES = 4 << 20  # text bytes per bucket of super-k-mers
 HOT_SHARE = 1 / 1000  # of a chunk's super-k-mers: a minimiser with more is a candidate
 HOT_TOTAL = 1 / 4000  # of all super-k-mers: such minimisers come last; at most 4000 of them
 _LATE = np.uint64(1 << 63)
@@ -222,9 +222,9 @@ def _counted(table: pa.Table) -> pa.Table:
     if len(order):
         docs, ties, starts, windows = docs[order], ties[order], starts[order], windows[order]
         numbers: dict[bytes, int] = {}
-        words = b" ".join([strings[i] for i in order.tolist()]).split()
-        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-        del words, numbers
+        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for i in order.tolist() for w in strings[i].split(b" ")), np.int64,
+                          int((windows + WINDOW - 1).sum()))
+        del strings, numbers
         base = np.cumsum(windows + WINDOW - 1) - (windows + WINDOW - 1)
         which = np.repeat(np.arange(len(windows)), windows)
         within = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
