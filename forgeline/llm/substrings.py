@@ -244,7 +244,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
     _, size = text_bytes(rows)
     buckets = max(1, -(-size // BUCKET_BYTES))
-    frequent = rows.mapInArrow(_frequent, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    frequent = stored(rows.mapInArrow(_frequent, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n")), "minimisers")
     total = frequent.where("minimiser = -1").select("n").first()
     late = np.empty(0, np.uint64)
     if total:
