@@ -285,7 +285,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     tuned = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     cells = tuned.applyInArrow(_cells(buckets, fit_types, fit_tokens), "b long, q2 long, q1 long, n long")
     # bounded by the cells: context buckets x quarter octaves of two probabilities
-    cells = [tuple(r) for r in cells.groupBy("b", "q2", "q1").agg(F.sum("n").alias("n")).collect()]
+    cells = [tuple(r) for r in stored(cells.groupBy("b", "q2", "q1").agg(F.sum("n").alias("n")), "lm-cells").collect()]
     weights = learned_weights(cells, fit_types)
     scores = tuned.applyInArrow(_scored(buckets, types, tokens, weights), _SCORES)
     whole = scores.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"),
