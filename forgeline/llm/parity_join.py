@@ -6,20 +6,24 @@ which bounds their symmetric difference by (|A| + |B|) / 9.
 
 Sketches: shingle hashes are dealt to G groups by hash and each group keeps
 the XOR of its hashes.  XOR is linear, so a difference of d shingles can
-change at most d groups, and by the pigeonhole principle two linked sets agree
-in at least G - d groups.  Both sets therefore share a group among the first
-d + 1 of any common order; a document emits those only.  The order puts groups
-made of very frequent shingles last and groups of several shingles first.
-G is fixed per size band (a factor of two; documents just above a band's lower
-edge also emit in the band below, so linked sizes always meet).  Below
-``PLAIN_BELOW`` shingles each shingle is its own group.
-
-Candidates of a group are not paired with each other but with one centre of
-the group; a second, parity sketch of one bit per hash slot (its Hamming
-distance never exceeds the symmetric difference) and the sizes sift them, and
-the survivors are verified on their shingles.  Groups that still span several
-components are tried against another centre, and what then remains is paired
-exhaustively, so no link that a shared group shows is lost.
+change at most d groups, and G = 2 d + 2: by the pigeonhole principle linked
+sets agree in most groups.  The first ``GROUPS`` groups that hold a shingle are
+emitted.  As shingles are dealt at random, linked sets share two fifths of
+those on average, so fewer than ``SURE`` shared ones lie five standard
+deviations away and none is out of reach.  G is fixed per size band (a factor
+of two; documents just above a band's lower edge also emit in the band below,
+so linked sizes always meet).  Below ``PLAIN_BELOW`` shingles each shingle is
+its own group and linked sets share four fifths of them.
+
+Frequent groups (a passage that many documents share): linked sets share at
+least ``SURE`` groups, so a document with fewer frequent groups than that drops
+them, and every link still shows in another group.  Documents with more of
+them, copies of each other, are not paired with one another but with one
+centre per group; a second, parity sketch of one bit per hash slot (its
+Hamming distance never exceeds the symmetric difference) and the sizes sift
+the pairs, and the survivors are verified on their shingles.  Groups that
+still span several components are tried against other centres, and what then
+remains is paired exhaustively, so no link that a shared group shows is lost.
 
 Equal texts (after folding) form a class under the smallest ``doc_id`` and are
 compared once.
@@ -44,11 +48,13 @@ from forgeline.llm.components import components
 
 SHINGLE_WORDS = 5
 PLAIN_BELOW = 64
-CHUNK_DOCS = 4000
-HOT_SHARE = 0.01  # of a chunk's documents and of all: a shingle in more is frequent
+GROUPS = 96
+SURE = 12  # groups that linked sets share at least
+FREQUENT = 16  # documents of a group that is worth dropping
 SEEN = 200_000  # classes a task remembers, so that it emits a copied text once
 
-_CLASSES = "kind int, doc_id long, class binary, n long, sketch binary"
+_CLASSES = "doc_id long, class binary, n long, sketch binary"
+_EMITTED = "key long, doc_id long, band int, spare int"
 
 
 def difference(a, b):
@@ -86,26 +92,25 @@ def hamming(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def groups(shingles: np.ndarray, band: int, frequent: np.ndarray) -> np.ndarray:
-    """The first d + 1 group sketches of a set in the common order, as 64-bit values."""
-    n = len(shingles)
-    hot = np.zeros(n, bool)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        hot = frequent[at] == shingles
+def groups(shingles: np.ndarray, band: int) -> np.ndarray:
+    """Keys of the group sketches that a set emits in a band, as 64-bit values."""
     spread = mixed(shingles ^ np.uint64(0xA5A5A5A55A5A5A5A))
     if 1 << band < PLAIN_BELOW:
-        keys, sizes, cold = spread, np.ones(n, np.int64), ~hot
-    else:
-        g = 2 * own_difference(5 << (band - 1)) + 2  # sizes in the band stay below 2.5 * 2^band
-        of = ((spread >> np.uint64(32)) * np.uint64(g) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(of, kind="stable")
-        first = np.flatnonzero(np.diff(of[order], prepend=-1))
-        keys = mixed(np.bitwise_xor.reduceat(spread[order], first) + mixed(of[order][first].astype(np.uint64) + np.uint64(1)))
-        sizes = np.diff(np.append(first, n))
-        cold = np.add.reduceat((~hot[order]).astype(np.int64), first) > 0
-    keys = mixed(keys ^ np.uint64(band + 1))
-    return keys[np.lexsort((keys, -sizes, ~cold))][: own_difference(n) + 1]
+        return mixed(spread ^ np.uint64(band + 1))
+    g = 2 * own_difference(5 << (band - 1)) + 2  # sizes in the band stay below 2.5 * 2^band
+    of = ((spread >> np.uint64(32)) * np.uint64(g) >> np.uint64(32)).astype(np.int64)
+    near = np.flatnonzero(of < GROUPS)
+    near = near[np.argsort(of[near], kind="stable")]
+    if not len(near):
+        return np.empty(0, np.uint64)
+    first = np.flatnonzero(np.diff(of[near], prepend=-1))
+    keys = mixed(np.bitwise_xor.reduceat(spread[near], first) + mixed(of[near][first].astype(np.uint64) + np.uint64(1)))
+    return mixed(keys ^ np.uint64(band + 1))
+
+
+def spare(n: int, band: int) -> int:
+    """How many shared groups a linked pair can lose and still share one."""
+    return (-(-4 * n // 5) if 1 << band < PLAIN_BELOW else SURE) - 1
 
 
 def bands(n: int) -> list[int]:
@@ -115,69 +120,39 @@ def bands(n: int) -> list[int]:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind 0: a row per document; kind 1: shingles (as doc_id) that many documents of a chunk hold (n); kind 2: its documents."""
     hashes = WordHashes()
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())])
-    sets: list[np.ndarray] = []
-    seen: set[bytes] = set()
-
-    def frequent():
-        found, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, np.int64))
-        often = counts >= max(4, HOT_SHARE * len(sets))
-        ids = found[often].view(np.int64)
-        k = len(ids)
-        out = pa.RecordBatch.from_arrays([pa.array([1] * k + [2], pa.int32()), pa.array(np.append(ids, 0)), pa.nulls(k + 1, pa.binary()),
-                                          pa.array(np.append(counts[often], len(sets))), pa.nulls(k + 1, pa.binary())], schema=schema)
-        sets.clear()
-        return out
-
+    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())])
     for batch in batches:
         rows: list[tuple] = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            words = folded_words(text.as_py())
+            own = shingle_set(words, hashes)
+            rows.append((doc, hashlib.sha256(b" ".join(words)).digest() if words else None, len(own), parity_bits(own) if words else None))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def _emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes, seen = WordHashes(), set()
+    for batch in batches:
+        found = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             words = folded_words(text.as_py())
             if not words:
-                rows.append((0, doc, None, 0, None))
                 continue
             name = hashlib.sha256(b" ".join(words)).digest()
+            if name in seen:
+                continue
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(name)
             own = shingle_set(words, hashes)
-            rows.append((0, doc, name, len(own), parity_bits(own)))
-            if name not in seen:
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(name)
-                sets.append(own)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-        if len(sets) >= CHUNK_DOCS:
-            yield frequent()
-    if sets:
-        yield frequent()
-
-
-def _emitted(late: np.ndarray):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
-        for batch in batches:
-            docs, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = folded_words(text.as_py())
-                if not words:
-                    continue
-                name = hashlib.sha256(b" ".join(words)).digest()
-                if name in seen:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(name)
-                own = shingle_set(words, hashes)
-                for band in bands(len(own)):
-                    k = groups(own, band, late)
-                    keys.append(k)
-                    docs.append(np.full(len(k), doc, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], names=["key", "doc_id"])
-
-    return emit
+            found += [(groups(own, band), doc, band, spare(len(own), band)) for band in bands(len(own))]
+        if found:
+            sizes = [len(f[0]) for f in found]
+            each = lambda i, kind, found=found, sizes=sizes: pa.array(np.repeat(np.array([f[i] for f in found], kind), sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), each(1, np.int64), each(2, np.int32), each(3, np.int32)],
+                                             names=["key", "doc_id", "band", "spare"])
 
 
 def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,66 +176,68 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(tried pairs of class representatives, those that link), both stored; pairs are (x, y) doc_ids."""
+def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of class representatives that link, stored; ``pairs`` are (x, y) doc_ids."""
     to = lambda side: reps.select(F.col("member").alias(f"__{side}"), F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
     named = pairs.join(to("a"), F.col("x") == F.col("__a")).join(to("b"), F.col("y") == F.col("__b")).where("a != b")
     one = F.col("a") < F.col("b")
     swap = lambda f, g, c: F.when(one, F.col(f)).otherwise(F.col(g)).alias(c)
     named = named.select(swap("a", "b", "a"), swap("b", "a", "b"), swap("n_a", "n_b", "n_a"), swap("s_a", "s_b", "s_a"), swap("n_b", "n_a", "n_b"), swap("s_b", "s_a", "s_b"))
-    tried = stored(named.dropDuplicates(["a", "b"]).select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(_sifted, "a long, b long"), "tried")
-    wanted = tried.select(F.explode(F.array("a", "b")).alias("__w")).distinct()
+    named = named.dropDuplicates(["a", "b"]).select("a", "b", "n_a", "s_a", "n_b", "s_b")
+    likely = stored(named.mapInArrow(_sifted, "a long, b long"), "likely")
+    if likely.isEmpty():
+        return likely
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("__w")).distinct()
     some = stored(texts.join(wanted, F.col("doc_id") == F.col("__w"), "left_semi").dropDuplicates(["doc_id"]), "candidates")
     left = some.select(F.col("doc_id").alias("__a"), F.col("text").alias("text_a"))
     right = some.select(F.col("doc_id").alias("__b"), F.col("text").alias("text_b"))
-    pairs = tried.join(left, F.col("a") == F.col("__a")).join(right, F.col("b") == F.col("__b"))
-    return tried, stored(pairs.select("a", "b", "text_b", "text_a").mapInArrow(_verified, "a long, b long"), "links")
+    pairs = likely.join(left, F.col("a") == F.col("__a")).join(right, F.col("b") == F.col("__b"))
+    return stored(pairs.select("a", "b", "text_b", "text_a").mapInArrow(_verified, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = stored(rows.mapInArrow(_described, _CLASSES), "classes")
-    own = described.where("kind = 0")
-    chunks = described.where("kind = 2").agg(F.sum("n")).first()[0] or 0
-    # bounded: a shingle in a hundredth of all texts; at most 100 times the mean number of shingles of a text
-    hot = described.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") >= max(4.0, HOT_SHARE * chunks))
-    late = np.sort(np.array([r[0] for r in hot.select("doc_id").collect()], dtype=np.int64).view(np.uint64))
-
+    own = stored(rows.mapInArrow(_described, _CLASSES), "classes")
     known = own.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
-    classes = known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = known.groupBy("class").agg(F.min("doc_id").alias("rep"))
     member = stored(known.select(F.col("doc_id").alias("member"), F.col("class").alias("__class"), "n", "sketch")
                     .join(classes, F.col("__class") == F.col("class")).select("member", "rep", "n", "sketch"), "members")
 
-    emitted = stored(rows.where(F.col("doc_id").isNotNull()).mapInArrow(_emitted(late), "key long, doc_id long"), "groups")
-    centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    shared = stored(emitted.join(centres.select(F.col("key").alias("__k"), "lo", "hi"), F.col("key") == F.col("__k")).select("key", "doc_id", "lo", "hi"), "shared")
+    emitted = stored(rows.where(F.col("doc_id").isNotNull()).mapInArrow(_emitted, _EMITTED), "groups")
+    centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("mid"),
+                                         F.count(F.lit(1)).alias("size")).where("lo < hi")
+    shared = stored(emitted.join(centres.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
+    frequent = F.col("size") > FREQUENT
+    few = shared.groupBy("doc_id", "band").agg(F.count_if(frequent).alias("__f"), F.max("spare").alias("__s")).where("__f > 0 and __f <= __s")
+    few = few.select(F.col("doc_id").alias("__d"), F.col("band").alias("__b"))
+    dropped = shared.where(frequent).join(few, (F.col("doc_id") == F.col("__d")) & (F.col("band") == F.col("__b")), "left_anti")
+    shared = stored(shared.where(~frequent).unionByName(dropped).select("key", "doc_id", "lo", "mid", "hi"), "shared")
 
     # rows that share a doc_id but not a text are one node
     split = member.groupBy("member").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select(F.col("member").alias("__m"), "a")
     links = member.join(split, F.col("member") == F.col("__m")).select("a", F.col("rep").alias("b")).where("a != b")
 
     texts = rows.where(F.col("doc_id").isNotNull())
-    tried, found = _links(shared.where("doc_id != lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y")).distinct(), member, texts)
-    links = links.unionByName(found)
-    tried_all, comps = tried, components(links)
-    for centre in ("hi", None):
-        # groups whose members lie in several components
-        label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
-        label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
-        named = shared.join(label, F.col("doc_id") == F.col("__m")).select("key", "doc_id", "hi", "comp")
-        mixed_groups = named.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select(F.col("key").alias("__k"))
-        open_groups = stored(named.join(mixed_groups, F.col("key") == F.col("__k")).select("key", "doc_id", "hi", "comp"), "open")
-        if centre:
-            at = label.select(F.col("__m").alias("__h"), F.col("comp").alias("__hc"))
-            pairs = open_groups.where("doc_id != hi").join(at, F.col("hi") == F.col("__h")).where("comp != __hc")
-            pairs = pairs.select(F.col("doc_id").alias("x"), F.col("hi").alias("y"))
-        else:
-            other = open_groups.select(F.col("key").alias("__k"), F.col("doc_id").alias("y"), F.col("comp").alias("__c"))
-            pairs = open_groups.join(other, F.col("key") == F.col("__k")).where("doc_id < y and comp != __c").select(F.col("doc_id").alias("x"), "y")
-        pairs = pairs.distinct()
-        tried, found = _links(pairs, member, texts)
-        links, tried_all = links.unionByName(found), tried_all.unionByName(tried)
+    comps = None
+    for centre in ("lo", "hi", "mid", None):
+        if comps is None:
+            pairs = shared.where("doc_id != lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y"))
+        else:  # groups whose members lie in several components
+            label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
+            label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
+            named = shared.join(label, F.col("doc_id") == F.col("__m")).drop("__m")
+            apart = named.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select(F.col("key").alias("__k"))
+            shared = stored(named.join(apart, F.col("key") == F.col("__k")).drop("__k"), "open")
+            if centre:
+                at = label.select(F.col("__m").alias("__h"), F.col("comp").alias("__hc"))
+                pairs = shared.where(F.col("doc_id") != F.col(centre)).join(at, F.col(centre) == F.col("__h")).where("comp != __hc")
+                pairs = pairs.select(F.col("doc_id").alias("x"), F.col(centre).alias("y"))
+            else:
+                other = shared.select(F.col("key").alias("__k"), F.col("doc_id").alias("y"), F.col("comp").alias("__c"))
+                pairs = shared.join(other, F.col("key") == F.col("__k")).where("doc_id < y and comp != __c").select(F.col("doc_id").alias("x"), "y")
+            shared = shared.drop("comp")
+        links = links.unionByName(_links(pairs.distinct(), member, texts))
         comps = components(links)
 
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("__c"))
