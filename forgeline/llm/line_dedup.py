@@ -15,6 +15,7 @@ occurred before; runs of any length are the union of their extensions.
 Skew: fingerprints and extensions are counted with partial aggregation, and
 first occurrences are stored before the join, so both sides are plain
 shuffles that adaptive execution splits; no pairs of occurrences are built.
+What grows with the input is never broadcast: joins are merge joins at any size.
 
 Edge cases: a null text stays null, an empty one empty; a text without
 repeated runs is returned unchanged, one that loses lines is the rest joined
@@ -59,7 +60,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """(id, tie, at): lines in runs that occur earlier; ``tie`` is xxhash64 of the text, a null id is the largest long."""
     marks = _positions(docs)
     often = stored(marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("__h")), "prints")
-    matched = marks.join(often, F.col("h") == F.col("__h"))
+    matched = marks.join(often.hint("merge"), F.col("h") == F.col("__h"))
     run = lambda first, key, *at: F.struct(first.cast("int").alias("first"), key.alias("key"), F.array(*at).alias("at"))
     grown = F.array(
         F.when(F.col("before").isNotNull(), run(F.col("pos") - 1, F.xxhash64("before.h", "h"), F.col("before.at"), F.col("at"))),
@@ -70,7 +71,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     place = F.struct("id", "tie", "first")
     first = stored(runs.groupBy("key").agg(F.min(place).alias("__at"), F.max(place).alias("__last")).where("__at < __last")
                    .select(F.col("key").alias("__key"), "__at"), "first-runs")
-    later = runs.join(first, F.col("key") == F.col("__key")).where(place > F.col("__at"))
+    later = runs.join(first.hint("merge"), F.col("key") == F.col("__key")).where(place > F.col("__at"))
     return later.select("id", "tie", F.explode("at").alias("at"))
 
 
@@ -80,7 +81,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
         F.col("id").alias("__id"), F.col("tie").alias("__tie"), "__gone")
     gone = stored(gone, "gone")
     own = docs.withColumns({"__own": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "__hash": F.xxhash64("text")})
-    joined = own.join(gone, (F.col("__own") == F.col("__id")) & (F.col("__hash") == F.col("__tie")), "left")
+    joined = own.join(gone.hint("merge"), (F.col("__own") == F.col("__id")) & (F.col("__hash") == F.col("__tie")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
