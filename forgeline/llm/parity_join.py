@@ -188,7 +188,7 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     if likely.isEmpty():
         return likely
     wanted = likely.select(F.explode(F.array("a", "b")).alias("__w")).distinct()
-    some = stored(texts.join(wanted, F.col("doc_id") == F.col("__w"), "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    some = stored(texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("__w"), "left_semi").dropDuplicates(["doc_id"]), "candidates")
     left = some.select(F.col("doc_id").alias("__a"), F.col("text").alias("text_a"))
     right = some.select(F.col("doc_id").alias("__b"), F.col("text").alias("text_b"))
     pairs = likely.join(left, F.col("a") == F.col("__a")).join(right, F.col("b") == F.col("__b"))
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     emitted = stored(rows.where(F.col("doc_id").isNotNull()).mapInArrow(_emitted, _EMITTED), "groups")
     centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("mid"),
                                          F.count(F.lit(1)).alias("size")).where("lo < hi")
-    shared = stored(emitted.join(centres.withColumnRenamed("key", "__k"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
+    shared = stored(emitted.join(centres.withColumnRenamed("key", "__k").hint("merge"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
     frequent = F.col("size") > FREQUENT
     few = shared.groupBy("doc_id", "band").agg(F.count_if(frequent).alias("__f"), F.max("spare").alias("__s")).where("__f > 0 and __f <= __s")
     few = few.select(F.col("doc_id").alias("__d"), F.col("band").alias("__b"))
@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("__c"))
     label = label.groupBy("__m").agg(F.min("__c").alias("__c"))
-    out = own.join(label, F.col("doc_id") == F.col("__m"), "left")
+    out = own.join(label.hint("merge"), F.col("doc_id") == F.col("__m"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("__c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
