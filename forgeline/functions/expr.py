@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference for right results.
 MACHINE_CODE_PREFIX = "MACH-"
+WHITE_SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 TEMPERATURE_RANGE = (0.0, 120.0)
 PRESSURE_RANGE = (100.0, 250.0)
 INCIDENT_TYPE_COLUMNS = [
@@ -31,9 +32,14 @@ def _col(c: Column | str) -> Column:
 
 
 # P02 ---------------------------------------------------------------------
+def strip(c: Column | str) -> Column:
+    """Without white space at either end (not only spaces)."""
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Strip, then turn an empty string into NULL."""
-    return F.nullif(F.trim(_col(c)), F.lit(""))
+    return F.nullif(strip(c), F.lit(""))
 
 
 # P01 ---------------------------------------------------------------------
@@ -65,7 +71,7 @@ def clean_timestamp_text(c: Column | str) -> Column:
     Same result as removing ``(Z|[+-][0-9]{2}:[0-9]{2})$``, written with
     suffix tests on the last six characters instead of a scanning regex.
     """
-    s = F.replace(F.trim(_col(c)), F.lit("T"), F.lit(" "))
+    s = F.replace(strip(c), F.lit("T"), F.lit(" "))
     n = F.length(s)
     offset = F.substring(s, -6, 6).rlike(r"^[+-][0-9]{2}:[0-9]{2}$")
     return (
@@ -91,7 +97,7 @@ def combine_date_time(date_col: Column | str, time_col: Column | str) -> Column:
 # P06 ---------------------------------------------------------------------
 def parse_number(c: Column | str) -> Column:
     """Lenient numeric parse: NULL for blank, junk, NaN and infinities."""
-    v = _try_cast(F.trim(_col(c)), "double")
+    v = _try_cast(strip(c), "double")
     return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
 
 
@@ -108,13 +114,13 @@ def missing_flag(c: Column | str) -> Column:
 
 # P08 ---------------------------------------------------------------------
 def incident_code(c: Column | str) -> Column:
-    return F.nullif(F.upper(F.trim(_col(c))), F.lit(""))
+    return F.nullif(F.upper(strip(c)), F.lit(""))
 
 
 # P09 ---------------------------------------------------------------------
 def flag_int(c: Column | str) -> Column:
     """Type flag: blank or absent -> 0, else integer."""
-    return F.coalesce(_try_cast(F.trim(_col(c)), "int"), F.lit(0))
+    return F.coalesce(_try_cast(strip(c), "int"), F.lit(0))
 
 
 # P14 ---------------------------------------------------------------------
@@ -129,10 +135,14 @@ def plus_hours(ts: Column | str, hours: int) -> Column:
 
 # P15 ---------------------------------------------------------------------
 def to_utc_wall_clock(ts: Column | str, source_zone: str | None = None) -> Column:
-    """Zone-aware timestamp -> naive UTC wall clock; naive input is taken as UTC."""
-    c = _col(ts)
+    """Time, or text with an optional offset, -> naive UTC wall clock.
+
+    Without an offset the time is taken as UTC, or as ``source_zone``'s.  The
+    session zone is UTC, so the zoned time's wall clock is UTC.
+    """
+    c = _col(ts).try_cast("timestamp")
     if source_zone:
-        c = F.to_utc_timestamp(c.cast("timestamp"), source_zone)
+        c = F.to_utc_timestamp(c, source_zone)
     return c.cast("timestamp_ntz")
 
 
@@ -154,7 +164,7 @@ def severity_policy(severity: Column | str) -> Column:
 # P19 ---------------------------------------------------------------------
 def locale_number(c: Column | str) -> Column:
     """``13,5 °C`` -> 13.5; ``--`` and blank -> NULL; leading number only."""
-    s = F.replace(F.trim(_col(c)), F.lit(","), F.lit("."))
+    s = F.replace(strip(c), F.lit(","), F.lit("."))
     lead = F.regexp_extract(s, r"^-?[0-9]+(\.[0-9]+)?", 0)
     return _try_cast(F.nullif(lead, F.lit("")), "double")
 
@@ -201,6 +211,3 @@ def in_range(c: Column | str, lo: float, hi: float) -> Column:
     """Inclusive between; NULL counts as outside."""
     return F.coalesce(_col(c).between(lo, hi), F.lit(False))
 
-
-def round6(c: Column | str) -> Column:
-    return F.round(_col(c), 6)

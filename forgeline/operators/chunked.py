@@ -20,20 +20,6 @@ def chunk_of(ts: Column | str, unit: str = "day") -> Column:
     return F.date_trunc(unit, c).cast("timestamp_ntz")
 
 
-def with_previous_ts(df: DataFrame, keys: list[str], chunk: str, ts: str, order: list[str], out: str) -> DataFrame:
-    """Timestamp of the previous row of the same key (``lag`` across chunks)."""
-    w_local = Window.partitionBy(*keys, chunk).orderBy(*order)
-    per_chunk = df.groupBy(*keys, chunk).agg(F.max(ts).alias("_chunk_last_ts"))
-    w_chunks = Window.partitionBy(*keys).orderBy(chunk)
-    carry = per_chunk.select(*keys, chunk, F.lag("_chunk_last_ts").over(w_chunks).alias("_carry_ts"))
-    return (
-        df.withColumn("_lag_ts", F.lag(ts).over(w_local))
-        .join(carry, [*keys, chunk], "left")
-        .withColumn(out, F.coalesce(F.col("_lag_ts"), F.col("_carry_ts")))
-        .drop("_lag_ts", "_carry_ts")
-    )
-
-
 def with_running_sum(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: str, out: str) -> DataFrame:
     """Inclusive running sum of ``value`` per key in ``order`` (across chunks)."""
     w_local = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

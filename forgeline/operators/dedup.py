@@ -1,8 +1,9 @@
 """Dedup and conflict resolution.
 
-All resolutions are single ``groupBy`` aggregates with map-side partial
+All resolutions are ``groupBy`` aggregates with map-side partial
 aggregation, so a hot key is pre-aggregated in every task before the
-shuffle; nothing is collected per group.
+shuffle; nothing is collected per group.  U01 counts keys first and computes
+medians for repeated keys only: single rows pass through.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 PROVENANCE_COLUMNS = ("row_number", "ingestion_batch_id", "source_file")
 
 
+def row_order(df: DataFrame) -> list[str]:
+    """Columns that order rows as read: row numbers restart in every file of a source."""
+    return [c for c in ("source_file", "row_number") if c in df.columns]
+
+
 def _all_equal(cols: list[str], n: Column) -> Column:
     """NULL-safe 'every row of the group has the same value' for each column."""
     checks = [
@@ -27,7 +33,7 @@ def dedup_sensor(
     df: DataFrame,
     value: str,
     keys: tuple[str, ...] = ("machine_id_std", "event_ts"),
-    order: str = "row_number",
+    order: list[str] | None = None,
     compare: list[str] | None = None,
 ) -> DataFrame:
     """One row per key.
@@ -36,32 +42,35 @@ def dedup_sensor(
     equal, NULL = NULL), ``all_missing_keep_first`` (no value),
     ``keep_non_missing_value`` (one distinct value), else
     ``median_conflict_resolution``.  Other columns come from the first row in
-    ``order``.  Adds ``is_duplicate``, ``dedupe_resolution``, ``records_in_group``.
+    ``order`` (source file and row number).  Adds ``is_duplicate``, ``dedupe_resolution``, ``records_in_group``.
     """
     others = [c for c in df.columns if c not in keys]
     if compare is None:
         compare = [c for c in others if c not in PROVENANCE_COLUMNS]
+    order = order or row_order(df)
     v = F.col(value)
     n = F.count(F.lit(1))
-    g = df.groupBy(*keys).agg(
+    repeated = df.groupBy(*keys).agg(n.alias("_times")).where("_times > 1").select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    single = df.join(repeated, same, "left_anti").select(
+        *keys, *others, F.lit(False).alias("is_duplicate"), F.lit("unique").alias("dedupe_resolution"), F.lit(1).cast("long").alias("records_in_group"))
+    g = df.join(repeated, same, "left_semi").groupBy(*keys).agg(
         n.alias("records_in_group"),
         F.count(v).alias("_n_val"),
         F.min(v).alias("_vmin"),
         F.max(v).alias("_vmax"),
         F.percentile(v, 0.5).alias("_vmed"),
         _all_equal(compare, n).alias("_strict"),
-        F.min_by(F.struct(*others), F.col(order)).alias("_first"),
+        F.min_by(F.struct(*others), F.struct(*order)).alias("_first"),
     )
-    n_c = F.col("records_in_group")
     resolution = (
-        F.when(n_c == 1, F.lit("unique"))
-        .when(F.col("_strict"), F.lit("strict_duplicate_drop"))
+        F.when(F.col("_strict"), F.lit("strict_duplicate_drop"))
         .when(F.col("_n_val") == 0, F.lit("all_missing_keep_first"))
         .when(F.col("_vmin") == F.col("_vmax"), F.lit("keep_non_missing_value"))
         .otherwise(F.lit("median_conflict_resolution"))
     )
     resolved = (
-        F.when(F.col("dedupe_resolution").isin("unique", "strict_duplicate_drop"), F.col(f"_first.{value}"))
+        F.when(F.col("dedupe_resolution") == "strict_duplicate_drop", F.col(f"_first.{value}"))
         .when(F.col("dedupe_resolution") == "all_missing_keep_first", F.lit(None))
         .when(F.col("dedupe_resolution") == "keep_non_missing_value", F.col("_vmin"))
         .otherwise(F.col("_vmed"))
@@ -71,17 +80,18 @@ def dedup_sensor(
         (F.col("_resolved").cast(df.schema[value].dataType) if c == value else F.col(f"_first.{c}")).alias(c)
         for c in others
     ]
-    return out.select(*cols, (n_c > 1).alias("is_duplicate"), "dedupe_resolution", "records_in_group")
+    return single.unionByName(out.select(*cols, F.lit(True).alias("is_duplicate"), "dedupe_resolution", "records_in_group"))
 
 
-def dedup_incidents(df: DataFrame, key: str = "incident_id", order: str = "row_number") -> DataFrame:
+def dedup_incidents(df: DataFrame, key: str = "incident_id", order: list[str] | None = None) -> DataFrame:
     """Keep the row with the most non-NULL columns, the first one on ties."""
+    order = order or row_order(df)
     others = [c for c in df.columns if c != key]
     business = [c for c in df.columns if c not in PROVENANCE_COLUMNS]
     non_null = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in business])
     g = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("records_in_group"),
-        F.max_by(F.struct(*others), F.struct(non_null, -F.col(order))).alias("_best"),
+        F.min_by(F.struct(*others), F.struct(-non_null, *order)).alias("_best"),
     )
     n_c = F.col("records_in_group")
     return g.select(

@@ -11,6 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from forgeline.session import materialize
+from forgeline.sources import fs
+
 MACHINE_SCHEMA = ("machine_id long, machine_code string, commissioning_date date, max_daily_capacity int, model string, "
                   "production_line string, location string, criticality string, is_active boolean")
 
@@ -47,16 +50,32 @@ def machine_seed(spark: SparkSession) -> DataFrame:
 def upsert_keys(dim: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataFrame:
     """Add missing keys (sorted) with ids after the current maximum; keep existing ids.
 
-    ``keys`` is reduced to distinct values first; new ids come from a
-    ``row_number`` over the (small) set of new keys only.
+    New keys are range-partitioned and stored, numbered inside their
+    partitions and shifted by the partitions' counts (one row per partition),
+    so no task numbers them all.
     """
     new = keys.select(key).where(F.col(key).isNotNull()).distinct().join(dim.select(key), key, "left_anti")
+    new = materialize(new.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "new-keys")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = new.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     base = F.coalesce(dim.agg(F.max(id_col)).scalar(), F.lit(0))
-    numbered = new.withColumn(id_col, (base + F.row_number().over(Window.orderBy(key))).cast("long"))
-    numbered = numbered.withColumn("is_active", F.lit(True))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(key))
+    numbered = new.withColumn("_place", place).join(shifts, "_part").select(
+        key, (base + F.col("_shift") + F.col("_place")).cast("long").alias(id_col), F.lit(True).alias("is_active"))
     return dim.unionByName(numbered, allowMissingColumns=True)
 
 
+def synced(spark: SparkSession, path: str, seed: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataFrame:
+    """The stored dimension (the seed at first) with new keys added, written back and read.
+
+    Ids given once are kept in every later run.
+    """
+    known = spark.read.parquet(path) if fs.exists(spark, path) else seed
+    full = materialize(upsert_keys(known, keys, key, id_col), "dimension")  # read back before its own table is replaced
+    full.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, id_col: str, how: str = "inner") -> DataFrame:
     """Code -> id.  ``inner`` drops unmatched rows (machines), ``left`` keeps them with NULL (operators).
 

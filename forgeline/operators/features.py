@@ -137,8 +137,8 @@ def weather_hourly_for_join(weather: DataFrame) -> DataFrame:
     from forgeline.operators.dedup import keep_one_per_key
 
     w = weather.withColumn("window_start", X.hour_floor("observed_at"))
-    w = keep_one_per_key(w.select("window_start", "observed_at", "temp_celsius", "humidity_pct", "pressure_hpa"),
-                         ["window_start"], [F.col("observed_at")], keep="first")
+    kept = ["observed_at", "temp_celsius", "humidity_pct", "pressure_hpa"]
+    w = keep_one_per_key(w.select("window_start", *kept), ["window_start"], [F.col(c) for c in kept], keep="first")
     return w.select(
         "window_start",
         F.col("temp_celsius").cast("double").alias("ambient_temp_c"),

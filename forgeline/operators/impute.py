@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
+from forgeline.functions.quantiles import exact_quantiles
+from forgeline.session import materialize
 
+METHODS = ("mean", "median", "iterative")
 METRIC_ORDER = ("out_of_range_rate", "rmse", "mae", "distribution_drift", "medae")
 
 
@@ -47,75 +50,67 @@ def arithmetic_hash_unit(ts: str, group_number: Column) -> Column:
 HASH_BUCKETS = 1 << 20
 
 
-def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None, exact: bool = True) -> DataFrame:
+def mask_observed(df: DataFrame, ctx: ImputationContext, u: Column | None = None) -> DataFrame:
     """Hide ``k = min(n, max(10, int(fraction * n)))`` observed values, chosen by key hash.
 
     The reference draws the k rows with a seeded RNG.  Here the k observed
     rows with the smallest hash (ties broken by key) are masked, found
     without a global sort: rows are counted per hash bucket (at most 2^20
     bucket rows), a running total over the buckets finds the bucket holding
-    the k-th row, and only that one bucket is ranked row by row.  Every
-    bucket below it is masked whole.  ``exact=False`` draws each row
-    independently (Bernoulli) instead.
+    the k-th row, and only that one bucket is ranked row by row, which gives
+    the k-th (hash, key).  Every observed row up to it is masked, so the rows
+    themselves are neither joined nor shuffled.
     """
     if u is None:
         u = hash_unit([ctx.group, ctx.time], ctx.seed)
     observed = F.col(ctx.target).isNotNull()
-    if not exact:
-        masked = F.coalesce(observed & (u < F.lit(ctx.mask_fraction)), F.lit(False))
-        return df.withColumn("is_masked", masked).withColumn(
-            "_bench_value", F.when(F.col("is_masked"), F.lit(None).cast("double")).otherwise(F.col(ctx.target)))
-
     keys = [ctx.group, ctx.time]
     d = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * HASH_BUCKETS).cast("bigint"))
     obs = d.where(observed & F.col("_u").isNotNull())
-    n_obs = obs.agg(F.count(F.lit(1))).scalar()
-    k = F.least(n_obs, F.greatest(F.lit(10), F.floor(n_obs * F.lit(ctx.mask_fraction)).cast("bigint")))
     per_bucket = obs.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     # one row per non-empty bucket (at most 2^20): the running total is a small single-partition window
-    running = per_bucket.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    cut = running.where(F.col("_cum") >= k).agg(F.min_by(F.struct(F.col("_b"), (F.col("_cum") - F.col("_n")).alias("before")),
-                                                         F.col("_b")).alias("c"))
-    b_star = cut.select("c._b").scalar()
-    before = cut.select("c.before").scalar()
-    edge = obs.where(F.col("_b") == b_star).select(
-        *keys, F.row_number().over(Window.partitionBy("_b").orderBy("_u", *keys)).alias("_r"))
-    picked = edge.where(F.col("_r") <= k - before).select(*keys, F.lit(True).alias("_edge"))
-    out = d.join(picked, keys, "left")
-    masked = observed & F.col("_u").isNotNull() & ((F.col("_b") < b_star) | F.coalesce(F.col("_edge"), F.lit(False)))
-    return out.withColumn("is_masked", F.coalesce(masked, F.lit(False))).withColumn(
+    w = Window.orderBy("_b")
+    running = per_bucket.select(
+        "_b", "_n", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    k = F.least(F.col("_all"), F.greatest(F.lit(10), F.floor(F.col("_all") * F.lit(ctx.mask_fraction)).cast("bigint")))
+    cut = running.where(F.col("_cum") >= k).agg(
+        F.min_by(F.struct(F.col("_b").alias("bucket"), (k - F.col("_cum") + F.col("_n")).alias("rest")), F.col("_b")).alias("c")).scalar()
+    place = F.struct("_u", *keys)
+    edge = obs.where(F.col("_b") == cut.getField("bucket")).select(
+        place.alias("_at"), F.row_number().over(Window.partitionBy("_b").orderBy("_u", *keys)).alias("_r"))
+    last = edge.where(F.col("_r") == cut.getField("rest")).agg(F.max("_at")).scalar()
+    masked = F.coalesce(observed & F.col("_u").isNotNull() & (place <= last), F.lit(False))
+    return d.withColumn("is_masked", masked).withColumn(
         "_bench_value", F.when(F.col("is_masked"), F.lit(None).cast("double")).otherwise(F.col(ctx.target))
-    ).drop("_u", "_b", "_edge")
+    ).drop("_u", "_b")
 
 
 # A07 / A08 ---------------------------------------------------------------
-def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str,
-               median_accuracy: int | None = None) -> DataFrame:
+def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str) -> DataFrame:
     """``coalesce(value, group statistic, global statistic)``.
 
     Group statistics are an aggregate joined back (small side: one row per
     machine, AQE broadcasts it); the global fallback is a scalar subquery.
-    The exact median keeps one (value, count) entry per distinct value of a
-    group (bounded by the sensor's range at storage precision); for
-    unbounded value sets pass ``median_accuracy`` to use a fixed-size
-    quantile sketch (``percentile_approx``) instead.
+    Medians come from the distributed exact quantiles.
     """
     if strategy == "mean":
-        agg = F.avg(value)
-    elif strategy == "median" and median_accuracy:
-        agg = F.percentile_approx(value, 0.5, median_accuracy)
+        stats = df.groupBy(group).agg(F.avg(value).alias(f"_{out}_g"))
+        global_stat = df.agg(F.avg(value)).scalar()
     elif strategy == "median":
-        agg = F.median(value)
+        # every value counts for its group and for all: one pass gives both medians, one row per group
+        both = F.explode(F.array(F.struct(F.lit(False).alias("all"), F.col(group).alias("g")), F.struct(F.lit(True).alias("all"), F.lit(None).alias("g"))))
+        medians = materialize(exact_quantiles(df.select(F.col(value).alias("v"), both.alias("of")).select("v", "of.all", "of.g"), "v", [0.5], ["all", "g"]), "medians")
+        stats = medians.where("not all").select(F.col("g").alias(group), F.col("q0").alias(f"_{out}_g"))
+        global_stat = medians.where("all").select("q0").scalar()
     else:
         raise ValueError(f"unsupported strategy {strategy}")
-    stats = df.groupBy(group).agg(agg.alias(f"_{out}_g"))
-    global_stat = df.agg(agg.alias("_g")).scalar()
     return df.join(stats, group, "left").withColumn(
         out, F.coalesce(F.col(value), F.col(f"_{out}_g"), global_stat)
     ).drop(f"_{out}_g")
 
 
-def candidate_columns(masked: DataFrame, ctx: ImputationContext, methods=("mean", "median")) -> DataFrame:
+def candidate_columns(masked: DataFrame, ctx: ImputationContext, methods=METHODS) -> DataFrame:
     out = masked
     for m in methods:
         if m in ("mean", "median"):
@@ -129,7 +124,7 @@ def candidate_columns(masked: DataFrame, ctx: ImputationContext, methods=("mean"
     return out
 
 
-def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=("mean", "median"),
+def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=METHODS,
                       observed: DataFrame | None = None) -> DataFrame:
     """A09-A11 per method, in one aggregate over a stacked view.
 
@@ -147,27 +142,34 @@ def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=("mean",
     full = F.coalesce(F.col("_truth"), F.col("pred"))
     err = F.when(F.col("is_masked"), F.col("pred") - F.col("_truth"))
     if ctx.plausible_min is not None and ctx.plausible_max is not None:
-        oor = F.avg((~X.in_range(full, ctx.plausible_min, ctx.plausible_max)).cast("double"))
+        oor = F.avg((~X.in_range(F.col("_full"), ctx.plausible_min, ctx.plausible_max)).cast("double"))
     else:
-        oor = F.lit(0.0)
-    m = stacked.groupBy("method").agg(
+        oor = F.max(F.lit(0.0))
+    scored = stacked.select("method", "is_masked", "_truth", full.alias("_full"), err.alias("_err"), F.abs(err).alias("_abs"))
+    source = observed if observed is not None else cands
+    m = scored.groupBy("method").agg(
         F.count_if(F.col("is_masked")).alias("masked_rows"),
-        F.avg(F.abs(err)).alias("mae"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.median(F.abs(err)).alias("medae"),
-        F.avg(err).alias("bias"),
+        F.avg("_abs").alias("mae"),
+        F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
+        F.avg("_err").alias("bias"),
         oor.alias("out_of_range_rate"),
-        F.avg(full).alias("_i_mean"),
-        F.median(full).alias("_i_median"),
-        F.stddev_pop(full).alias("_i_std"),
+        F.avg("_full").alias("_i_mean"),
+        F.stddev_pop("_full").alias("_i_std"),
     )
-    # statistics of the observed values, one scalar subquery (a struct) reused three times
-    orig = (observed if observed is not None else cands).agg(F.struct(
-        F.avg(ctx.target).alias("mean"),
-        F.median(ctx.target).alias("median"),
-        F.stddev_pop(ctx.target).alias("std"),
-    ).alias("_o")).scalar()
-    diffs = [F.abs(F.col(f"_i_{s}") - orig.getField(s)) for s in ("mean", "median", "std")]
+    # all medians in one pass: errors and filled values of every method, observed values once
+    kind = lambda name, v: F.struct(F.lit(name).alias("kind"), v.alias("v"))
+    values = scored.select("method", F.explode(F.array(
+        kind("medae", F.col("_abs")), kind("filled", F.col("_full")), kind("observed", F.when(F.col("method") == methods[0], F.col("_truth"))))).alias("k"))
+    medians = exact_quantiles(values.select("method", "k.kind", "k.v"), "v", [0.5], ["method", "kind"])
+    by_method = medians.groupBy("method").agg(F.max(F.when(F.col("kind") == "medae", F.col("q0"))).alias("medae"),
+                                              F.max(F.when(F.col("kind") == "filled", F.col("q0"))).alias("_i_median"),
+                                              F.max(F.when(F.col("kind") == "observed", F.col("q0"))).alias("_o_median"))
+    m = m.join(by_method, "method", "left").withColumn("_o_median", F.max("_o_median").over(Window.partitionBy()))  # one row per method
+    # statistics of the observed values, one scalar subquery (a struct) reused twice
+    orig = source.agg(F.struct(F.avg(ctx.target).alias("mean"), F.stddev_pop(ctx.target).alias("std")).alias("_o")).scalar()
+    base = {"mean": orig.getField("mean"), "std": orig.getField("std"),
+            "median": F.col("_o_median")}
+    diffs = [F.abs(F.col(f"_i_{s}") - base[s]) for s in ("mean", "median", "std")]
     n_ok = sum((d.isNotNull().cast("int") for d in diffs[1:]), diffs[0].isNotNull().cast("int"))
     tot = sum((F.coalesce(d, F.lit(0.0)) for d in diffs[1:]), F.coalesce(diffs[0], F.lit(0.0)))
     drift = F.when(n_ok > 0, tot / n_ok)
@@ -181,26 +183,25 @@ def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=("mean",
     )
 
 
-def evaluate_imputation(df: DataFrame, ctx: ImputationContext, methods=("mean", "median"), u: Column | None = None,
+def evaluate_imputation(df: DataFrame, ctx: ImputationContext, methods=METHODS, u: Column | None = None,
                         store: bool = True) -> DataFrame:
     """Mask, fill with each candidate, score.  Fails below 30 observed rows.
 
-    The masked frame is read once per candidate statistic and once for the
-    scores, so (with ``store``) its four needed columns are written to the
-    shared checkpoint folder first instead of recomputing the mask each time.
+    The masked frame is read for every candidate's statistics and the filled
+    one for every score, so (with ``store``) their needed columns are written
+    to the shared checkpoint folder instead of being computed each time.
     """
     masked = mask_observed(df, ctx, u)
     if store:
-        from forgeline.session import materialize
-
         masked = materialize(masked.select(ctx.group, ctx.time, ctx.target, "is_masked", "_bench_value"), "masked")
     n_obs = masked.agg(F.count(ctx.target).alias("_n")).scalar()
-    metrics = benchmark_metrics(candidate_columns(masked, ctx, methods), ctx, methods, observed=df)
-    return metrics.withColumn(
-        "masked_rows",
-        F.when(n_obs < 30, F.raise_error(F.lit(f"Not enough observed rows to evaluate {ctx.dataset_name}.{ctx.target}")).cast("bigint"))
-        .otherwise(F.col("masked_rows")),
-    )
+    cands = candidate_columns(masked, ctx, methods)
+    if store:
+        cands = materialize(cands.select(ctx.target, "is_masked", *[f"_cand_{m}" for m in methods]), "candidates")
+    metrics = benchmark_metrics(cands, ctx, methods, observed=masked)
+    # on the filter, so that no choice of columns prunes the check away
+    too_few = F.raise_error(F.lit(f"Not enough observed rows to evaluate {ctx.dataset_name}.{ctx.target}")).cast("boolean")
+    return metrics.where(F.when(n_obs < 30, too_few).otherwise(F.lit(True)))
 
 
 def choose_method(metrics: DataFrame) -> DataFrame:
@@ -214,10 +215,7 @@ def choose_method(metrics: DataFrame) -> DataFrame:
         "target_column",
         F.col("b.method").alias("recommended_method"),
         *[F.col(f"b.{c}").alias(c) for c in ("mae", "rmse", "medae", "bias", "out_of_range_rate", "distribution_drift")],
-        F.concat(
-            F.lit("Best trade-off on out-of-range rate, RMSE and MAE for "),
-            F.col("dataset_name"), F.lit("."), F.col("target_column"),
-        ).alias("decision_reason"),
+        F.lit("first_by_" + "_".join(METRIC_ORDER)).alias("decision_reason"),
     )
 
 
@@ -225,7 +223,7 @@ def severity_policy_row(spark) -> DataFrame:
     """The incident severity policy (rule based, never imputed)."""
     return spark.createDataFrame(
         [("releves_incidents", "severity", "rule_based_no_imputation",
-          "Severity is a critical field: kept, rejected or handled by an explicit business rule.")],
+          "business_rule_only")],
         "dataset_name string, target_column string, recommended_method string, decision_reason string",
     )
 

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
+from forgeline.functions.quantiles import exact_quantiles
 from forgeline.operators.chunked import chunk_of, halo_buckets, with_row_index
 
-DERIVED_COLUMNS = ("source_file", "separator", "machine_id_original", "machine_id_std", "event_ts")
+DERIVED_COLUMNS = ("source_file", "separator", "machine_id_original", "machine_id_std", "event_ts", "row_number")
 
 
 # S05 / P29 ---------------------------------------------------------------
@@ -40,12 +41,14 @@ def enrich(df: DataFrame, source_file: str, separator: str, machine: str | None
 
 
 def business_columns(df: DataFrame) -> list[str]:
+    """All columns but the derived ones."""
     return [c for c in df.columns if c not in DERIVED_COLUMNS]
 
 
 # A13 ---------------------------------------------------------------------
-def dataset_overview(df: DataFrame, name: str, business: list[str]) -> DataFrame:
+def dataset_overview(df: DataFrame, name: str, business: list[str] | None = None) -> DataFrame:
     """Rows, columns, exact duplicate rows, missing cells, distinct machines, time range."""
+    business = business or business_columns(df)
     nulls = [F.col(c).isNull().cast("int") for c in business]
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in business])
     distinct_rows = df.select(*business).distinct().agg(F.count(F.lit(1)).alias("_d"))
@@ -79,24 +82,20 @@ def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
 # A14 ---------------------------------------------------------------------
 def numeric_profile(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
     """Per numeric column: missing, min, median, max, mean, population std, IQR fences and alerts."""
-    long = _stack(df, cols)
-    q = long.groupBy("column").agg(
-        F.count_if(F.col("value").isNull()).alias("missing"),
-        F.count("value").alias("_n"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"),
-    ).where("_n > 0")
-    q = q.select(
-        "column", "missing", "min", F.col("_q")[1].alias("median"), "max", "mean", "std",
-        (F.col("_q")[0] - 1.5 * (F.col("_q")[2] - F.col("_q")[0])).alias("iqr_lower"),
-        (F.col("_q")[2] + 1.5 * (F.col("_q")[2] - F.col("_q")[0])).alias("iqr_upper"),
-    )
-    alerts = long.join(F.broadcast(q.select("column", "iqr_lower", "iqr_upper")), "column").groupBy("column").agg(
-        F.count_if((F.col("value") < F.col("iqr_lower")) | (F.col("value") > F.col("iqr_upper"))).alias("iqr_alerts"))
-    return q.join(alerts, "column").select(F.lit(name).alias("dataset"), "*")
+    # wide aggregates; only the quantiles' bucket counts see one row per column and cell
+    q = exact_quantiles(_stack(df, cols), "value", [0.25, 0.5, 0.75], ["column"])
+    q = q.select("column", F.col("q1").alias("median"), (F.col("q0") - 1.5 * (F.col("q2") - F.col("q0"))).alias("iqr_lower"),
+                 (F.col("q2") + 1.5 * (F.col("q2") - F.col("q0"))).alias("iqr_upper"))
+    fences = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("iqr_lower", "iqr_upper")))).alias("m")).scalar()  # one entry per column
+    v = {c: F.col(c).cast("double") for c in cols}
+    fence = lambda c, side: F.element_at(fences, F.lit(c)).getField(side)
+    wide = df.agg(*[F.struct(
+        F.lit(c).alias("column"), F.count_if(v[c].isNull()).alias("missing"), F.count(v[c]).alias("_n"), F.min(v[c]).alias("min"), F.max(v[c]).alias("max"),
+        F.avg(v[c]).alias("mean"), F.stddev_pop(v[c]).alias("std"),
+        F.count_if((v[c] < fence(c, "iqr_lower")) | (v[c] > fence(c, "iqr_upper"))).alias("iqr_alerts")).alias(f"_c{i}") for i, c in enumerate(cols)])
+    stats = wide.select(F.explode(F.array(*[f"_c{i}" for i in range(len(cols))])).alias("s")).select("s.*").where("_n > 0")
+    return stats.join(q, "column").select(F.lit(name).alias("dataset"), "column", "missing", "min", "median", "max", "mean", "std",
+                                          "iqr_lower", "iqr_upper", "iqr_alerts")
 
 
 # A15 ---------------------------------------------------------------------
@@ -138,10 +137,9 @@ def daily_resample(df: DataFrame, ts: str, value: str | None) -> DataFrame:
 # A19 ---------------------------------------------------------------------
 def global_iqr_alerts(df: DataFrame, value: str) -> DataFrame:
     v = df.where(F.col(value).isNotNull())
-    q = v.agg(F.percentile(value, [0.25, 0.75]).alias("_q")).select(
-        (F.col("_q")[0] - 1.5 * (F.col("_q")[1] - F.col("_q")[0])).alias("lower"),
-        (F.col("_q")[1] + 1.5 * (F.col("_q")[1] - F.col("_q")[0])).alias("upper"))
-    lo, hi = q.select("lower").scalar(), q.select("upper").scalar()
+    q = exact_quantiles(v, value, [0.25, 0.75]).select(F.struct(
+        (F.col("q0") - 1.5 * (F.col("q1") - F.col("q0"))).alias("lower"), (F.col("q1") + 1.5 * (F.col("q1") - F.col("q0"))).alias("upper")).alias("f")).scalar()
+    lo, hi = q.getField("lower"), q.getField("upper")
     return v.agg(
         F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"),
         F.count_if((F.col(value) < lo) | (F.col(value) > hi)).cast("bigint").alias("alerts"),

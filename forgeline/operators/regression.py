@@ -2,16 +2,19 @@
 
 The reference runs an iterative imputer in which only the target has gaps,
 which reduces to one regression of the target on calendar and machine
-features fitted on the observed rows.  Here that regression is an MLlib
-least-squares fit (normal equations, aggregated on the executors).
+features fitted on the observed rows.  Here its normal equations are one
+aggregate (means and covariances, combined on the executors); the small
+system, features x features, is solved on the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
+from forgeline.functions.quantiles import exact_quantiles
 
 FEATURES = ["machine_code_numeric", "hour", "dayofweek", "month", "time_ordinal_hours"]
 
@@ -33,14 +36,42 @@ def imputation_features(df: DataFrame, group: str, time: str, aux: list[str] | N
 
 
 def regression_fill(df: DataFrame, value: str, group: str, time: str, out: str, aux: list[str] | None = None) -> DataFrame:
-    """``coalesce(value, prediction)`` from a least-squares fit on observed rows."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    cols = FEATURES + list(aux or [])
-    feat = imputation_features(df, group, time, aux)
-    assembler = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep")
-    train = assembler.transform(feat.where(F.col(value).isNotNull() & F.col("machine_code_numeric").isNotNull()))
-    model = LinearRegression(featuresCol="_features", labelCol=value, solver="normal", regParam=0.0).fit(train)
-    scored = model.setPredictionCol("_pred").transform(assembler.transform(feat))
-    return scored.withColumn(out, F.coalesce(F.col(value), F.col("_pred"))).drop("_features", "_pred", *cols)
+    """``coalesce(value, prediction)`` from a least-squares fit on observed rows.
+
+    Gaps of auxiliary columns take the column's median.  A feature without
+    variance gets no weight; of collinear features the smallest weights are
+    taken.  Rows without a machine or time get no prediction.
+    """
+    codes = machine_codes(df, group).select(F.col(group).alias("__group"), F.col("machine_code_numeric").alias("__x0"))
+    rows = df.join(codes, F.col(group) == F.col("__group"), "left").drop("__group")
+    features = list(X.calendar_features(time).values())
+    features += [F.coalesce(F.col(c).cast("double"), exact_quantiles(df, c, [0.5]).select("q0").scalar()) for c in aux or []]
+    names = [f"__x{i}" for i in range(len(features) + 1)]
+    rows = rows.withColumns({n: f.cast("double") for n, f in zip(names[1:], features, strict=True)})
+    known = rows.select(F.col(value).cast("double").alias("__y"), *names).dropna()
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    stats = known.agg(F.avg("__y").alias("y"), *[F.avg(n).alias(n) for n in names], *[F.covar_pop(n, "__y").alias(f"{n}y") for n in names],
+                      *[F.covar_pop(a, b).alias(a + b) for a, b in pairs]).first()
+    if stats["y"] is None:
+        return rows.withColumn(out, F.col(value).cast("double")).drop(*names)
+    both = {p: stats[a + b] for a, b in pairs for p in ((a, b), (b, a))}
+    weights = _weights(np.array([[both[a, b] for b in names] for a in names]), np.array([stats[f"{n}y"] for n in names]))
+    prediction = F.lit(float(stats["y"]))
+    for n, w in zip(names, weights.tolist(), strict=True):
+        if w:
+            prediction = prediction + F.lit(w) * (F.col(n) - F.lit(float(stats[n])))
+    complete = F.lit(True)
+    for n in names:
+        complete = complete & F.col(n).isNotNull()
+    return rows.withColumn(out, F.coalesce(F.col(value).cast("double"), F.when(complete, prediction))).drop(*names)
+
+
+def _weights(covariances: np.ndarray, with_target: np.ndarray) -> np.ndarray:
+    """Least-squares weights from covariances, solved on standardised features."""
+    scale = np.sqrt(np.diag(covariances))
+    used = scale > 1e-12 * max(1.0, float(scale.max()))
+    weights = np.zeros(len(scale))
+    if used.any():
+        s = scale[used]
+        weights[used] = np.linalg.lstsq(covariances[np.ix_(used, used)] / np.outer(s, s), with_target[used] / s, rcond=1e-10)[0] / s
+    return weights

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgeline.functions.expr import fahrenheit_to_celsius
+from forgeline.functions.quantiles import exact_quantiles
+from forgeline.operators.dedup import row_order
 from pyspark.sql import Window
 
 from forgeline.operators.chunked import chunk_of
@@ -31,16 +33,10 @@ MIN_RUN = 3
 def machine_baseline(df: DataFrame, value: str = "temperature", group: str = "machine_id_std") -> DataFrame:
     """Median of values in 10..80, else median of all values, per machine."""
     v = F.col(value)
-    return (
-        df.where(F.col(group).isNotNull() & v.isNotNull())
-        .groupBy(group)
-        .agg(
-            F.coalesce(
-                F.percentile(F.when(v.between(*BASELINE_RANGE), v), 0.5),
-                F.percentile(v, 0.5),
-            ).alias("baseline_celsius")
-        )
-    )
+    kinds = F.explode(F.array(F.struct(F.lit(False).alias("usual"), v.alias("v")), F.struct(F.lit(True).alias("usual"), F.when(v.between(*BASELINE_RANGE), v).alias("v"))))
+    rows = df.where(F.col(group).isNotNull() & v.isNotNull()).select(group, kinds.alias("k")).select(group, "k.usual", "k.v")
+    medians = exact_quantiles(rows, "v", [0.5], [group, "usual"])
+    return medians.groupBy(group).agg(F.max_by("q0", "usual").alias("baseline_celsius"))
 
 
 def normalize_temperature_units(
@@ -48,7 +44,7 @@ def normalize_temperature_units(
     value: str = "temperature",
     group: str = "machine_id_std",
     ts: str = "event_ts",
-    order: str = "row_number",
+    order: list[str] | None = None,
     chunk_unit: str = "day",
     materialize_fn=None,
 ) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +73,7 @@ def normalize_temperature_units(
         .withColumn("_chunk", chunk_of(ts, chunk_unit))
     )
     keyed = rows.where(F.col(group).isNotNull())
-    keyed = _segments(keyed, group, ts, [ts, order])
+    keyed = _segments(keyed, group, ts, [ts, *(order or row_order(df))])
     run_len = (
         keyed.where("_suspected").groupBy(group, "_segment").agg(F.count(F.lit(1)).alias("_run_len"))
     )

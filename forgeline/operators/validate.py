@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
+from forgeline.operators.dims import CRITICALITY_VALUES
 
+# Width of the reason column.  All codes of a source together are shorter (a unit test adds them up), so it never cuts.
 MAX_REASON_CHARS = 512
+MACHINE_CODE_FORMAT = "^MACH-[0-9]{2}$"
 
 
 def _with_codes(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
@@ -112,8 +115,32 @@ def uniqueness_violations(df: DataFrame, keys: list[str], rule_code: str) -> Dat
     )
 
 
-def machine_code_rule() -> str:
-    return "^MACH-[0-9]{2}$"
+def all_constraints(machines: DataFrame, sensors: DataFrame, incidents: DataFrame, gold: DataFrame, weather: DataFrame,
+                    ts: str = "event_ts", incident_key: str = "incident_id") -> DataFrame:
+    """D01 in full: nine rules over the dimension, Silver and Gold tables -> (rule_code, violations).
+
+    A machine that came with the data has no capacity or criticality yet:
+    those rules apply to known values.
+    """
+    known = lambda c, ok: F.col(c).isNull() | ok
+    rows = constraint_violations({
+        "machine_code_format": (machines, F.col("machine_code").rlike(MACHINE_CODE_FORMAT)),
+        "machine_capacity_positive": (machines, known("max_daily_capacity", F.col("max_daily_capacity") > 0)),
+        "machine_criticality_known": (machines, known("criticality", F.col("criticality").isin(*CRITICALITY_VALUES))),
+        "severity_range": (incidents, F.col("severity").between(1, 5)),
+        "window_end_after_start": (gold, F.col("window_end") > F.col("window_start")),
+    })
+    for frame, keys, rule in ((gold, ["machine_id_std", "window_start"], "unique_machine_hour"), (incidents, [incident_key], "unique_incident_code"),
+                              (weather, ["observed_at"], "unique_weather_hour"), (sensors, ["machine_id_std", ts, "sensor_type"], "unique_sensor_reading")):
+        rows = rows.unionByName(uniqueness_violations(frame, keys, rule))
+    return rows
+
+
+def violations_as_issues(violations: DataFrame) -> DataFrame:
+    """Broken constraints (D01) in the data-quality issue layout."""
+    return violations.where("violations > 0").select(
+        F.lit("constraints").alias("dataset_name"), "rule_code", F.lit("error").alias("severity"), F.lit("").alias("entity_key"),
+        F.concat(F.lit("violations="), F.col("violations").cast("string")).alias("details"))
 
 
 # D02 ---------------------------------------------------------------------
@@ -142,6 +169,15 @@ def decisions_as_issues(decisions: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def quality_issues(validated: dict[str, DataFrame], deduped: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Rejects and dedup decisions of every source in the issue layout."""
+    from forgeline.operators.dedup import dedup_decisions
+
+    parts = [rejects_as_issues(df, name) for name, df in validated.items()]
+    parts += [decisions_as_issues(dedup_decisions(df, name, keys), keys) for name, (df, keys) in deduped.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # D03 ---------------------------------------------------------------------
 def pseudonymise(c: Column | str, salt: str) -> Column:
     """Salted SHA-256 of an operator badge or name (option; parity keeps clear keys)."""

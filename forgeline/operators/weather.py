@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
 from forgeline.operators.dedup import keep_one_per_key
+from forgeline.session import materialize
+from forgeline.sources.files import read_weather_store
 
 WEATHER_COLUMNS = ["observed_at", "temp_celsius", "humidity_pct", "pressure_hpa", "wind_speed_ms", "is_imputed"]
 
@@ -26,25 +28,32 @@ IDX_PRESSURE_MIN = 8
 IDX_PRESSURE_MAX = 9
 MIN_CELLS = 10
 
+# The entities that weather pages use; the ampersand last, so that nothing is decoded twice.
+ENTITIES = {"&nbsp;": " ", "&#160;": " ", "&deg;": "°", "&#176;": "°", "&eacute;": "é", "&ucirc;": "û", "&quot;": '"', "&#39;": "'",
+            "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
 
 # S11 ---------------------------------------------------------------------
 def page_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Rows of ``td`` cell texts of the first table after ``div class="toprint"``.
+    """Rows of ``td`` cell texts of the first table inside ``div class="toprint"``.
 
-    Nested ``div`` inside the caption do not end the table; only ``</table>``
-    does.  Tags inside a cell are dropped, whitespace runs collapse to one
-    space.  Rows without any ``td`` are skipped.
+    Tag names match in either case.  The table ends at its closing tag, so
+    blocks nested in its caption don't matter.  Tags inside a cell are
+    dropped, entities decoded, runs of white space become one space.  Rows
+    without any ``td`` have no cells and are left out.
     """
-    after = F.regexp_extract(F.col(html), r'(?s)<div[^>]*class\s*=\s*["\']\s*toprint\s*["\'][^>]*>(.*)', 1)
-    table = F.regexp_extract(after, r"(?s)<table[^>]*>(.*?)</table>", 1)
-    trs = F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
+    after = F.regexp_extract(F.col(html), r'(?is)<div[^>]*class\s*=\s*["\']\s*toprint\s*["\'][^>]*>(.*)', 1)
+    table = F.regexp_extract(after, r"(?is)<table[^>]*>(.*?)</table>", 1)
+    trs = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
     out = pages.select(*[c for c in pages.columns if c != html], F.posexplode(trs).alias("row_index", "_tr"))
 
     def clean(cell: Column) -> Column:
         text = F.regexp_replace(cell, r"<[^>]*>", " ")
-        return F.trim(F.regexp_replace(text, r"\s+", " "))
+        for entity, character in ENTITIES.items():
+            text = F.replace(text, F.lit(entity), F.lit(character))
+        return F.trim(F.regexp_replace(text, "[\\s\u00a0]+", " "))
 
-    cells = F.transform(F.regexp_extract_all(F.col("_tr"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), clean)
+    cells = F.transform(F.regexp_extract_all(F.col("_tr"), F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), clean)
     return out.withColumn("cells", cells).where(F.size("cells") > 0).drop("_tr")
 
 
@@ -79,13 +88,6 @@ def expand_daily_to_hourly(daily: DataFrame, day: str = "day") -> DataFrame:
 
 
 # G02 ---------------------------------------------------------------------
-def hour_spine(spark, start: Column, end: Column) -> DataFrame:
-    """Every hour from ``start`` (a date) to 23:00 of ``end`` (a date)."""
-    s = start.cast("timestamp_ntz")
-    e = X.plus_hours(end.cast("timestamp_ntz"), 23)
-    return spark.range(1).select(F.explode(F.sequence(s, e, F.make_dt_interval(F.lit(0), F.lit(1)))).alias("observed_at"))
-
-
 def hours_of(bounds: DataFrame, start: str, end: str) -> DataFrame:
     """G02 over a bounds frame (one row per range), distributed by ``explode``."""
     s = F.col(start).cast("timestamp_ntz")
@@ -145,14 +147,21 @@ def merge_store(stored: DataFrame, new: DataFrame) -> DataFrame:
     ranked = stored.select(*WEATHER_COLUMNS).withColumn("_src", F.lit(0)).unionByName(
         new.select(*WEATHER_COLUMNS).withColumn("_src", F.lit(1))
     )
-    return keep_one_per_key(ranked, ["observed_at"], [F.col("_src")], keep="first").drop("_src")
+    order = [F.col("_src"), *[F.col(c) for c in WEATHER_COLUMNS if c != "observed_at"]]
+    return keep_one_per_key(ranked, ["observed_at"], order, keep="first").drop("_src")
+
 
+def silver_weather(bronze_like: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Silver: floor to hour, keep the *last* row per hour.
 
-def silver_weather(bronze_like: DataFrame) -> DataFrame:
-    """Silver: floor to hour, keep the *last* row per hour."""
-    w = bronze_like.withColumn("_arrival", F.monotonically_increasing_id()) if "_arrival" not in bronze_like.columns else bronze_like
-    w = w.withColumn("observed_at", X.hour_floor("observed_at"))
-    return keep_one_per_key(w, ["observed_at"], [F.col("_arrival")], keep="last").drop("_arrival")
+    Last by ``arrival`` (a stored row number), then by the exact time and the
+    measured values, so equal inputs give equal rows in any partitioning.
+    """
+    values = [F.col(c) for c in WEATHER_COLUMNS if c in bronze_like.columns]
+    order = ([F.col(arrival).alias("_o_arrival")] if arrival else []) + [c.alias(f"_o{i}") for i, c in enumerate(values)]
+    w = bronze_like.withColumn("_order", F.struct(*order)).withColumn("observed_at", X.hour_floor("observed_at"))
+    out = keep_one_per_key(w, ["observed_at"], [F.col("_order")], keep="last").drop("_order")
+    return out.drop(arrival) if arrival else out
 
 
 # P27 ---------------------------------------------------------------------
@@ -161,3 +170,41 @@ def in_time_range(df: DataFrame, start: Column, end: Column, ts: str = "observed
     s = start.cast("timestamp_ntz")
     e = X.plus_hours(end.cast("timestamp_ntz"), 23)
     return df.where((F.col(ts) >= s) & (F.col(ts) <= e))
+
+
+# K11 write -----------------------------------------------------------------
+def write_store(merged: DataFrame, changed: DataFrame, path: str) -> None:
+    """Replace the months of ``changed`` hours in the store by their merged rows; other months' files stay."""
+    months = changed.select(F.date_format("observed_at", "yyyy-MM").alias("month")).distinct()
+    rows = merged.withColumn("month", F.date_format("observed_at", "yyyy-MM")).join(months, "month", "left_semi")
+    rows = materialize(rows, "weather-months")  # the store is read above and written below
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+
+
+def refresh_store(bounds: DataFrame, pages: DataFrame | None, path: str) -> DataFrame:
+    """Hourly weather of a date range (one row: start_date, end_date), completing the store at ``path``.
+
+    Hours the store lacks are taken from the pages (year, month, html) of
+    their months; what then is missing gets calendar-month means.  Returns
+    the hours of the range; the store keeps all parsed hours.
+    """
+    spark = bounds.sparkSession
+    wanted = hours_of(bounds, "start_date", "end_date").select("observed_at")
+    stored = read_weather_store(spark, path)
+    missing = materialize(missing_hours(wanted, stored), "missing-hours")
+    new = None
+    if pages is not None:
+        months = missing.select(F.year("observed_at").alias("year"), F.month("observed_at").alias("month")).distinct()
+        rows = page_table_rows(pages.join(months, ["year", "month"], "left_semi"))
+        parsed = expand_daily_to_hourly(keep_one_per_key(
+            daily_record_from_cells(rows, F.col("year"), F.col("month")), ["day"],
+            [F.col(c) for c in ("temp_celsius", "pressure_hpa", "wind_speed_ms")], keep="first"))
+        new = materialize(missing_hours(parsed, stored), "parsed-hours")
+    known = stored if new is None else merge_store(stored, new)
+    filled = fill_future_hours(missing_hours(missing, known), monthly_means(known))
+    added = filled if new is None else new.select(*WEATHER_COLUMNS).unionByName(filled.select(*WEATHER_COLUMNS))
+    added = materialize(added.select(*WEATHER_COLUMNS), "added-hours")
+    merged = merge_store(stored, added)
+    write_store(merged, added, path)
+    start, end = bounds.select("start_date").scalar(), bounds.select("end_date").scalar()
+    return in_time_range(read_weather_store(spark, path), start, end)

@@ -14,6 +14,8 @@ from forgeline.operators import dedup, impute, parse, units, validate
 from forgeline.operators.features import build_gold
 from forgeline.session import materialize
 from forgeline.sources import fixtures as fx
+from forgeline.sources import fs
+from forgeline.sources.sinks import stripped
 
 SILVER_SENSOR_COLUMNS = [
     "machine_id_std", "event_ts", "sensor_type", "sensor_value", "unit",
@@ -26,65 +28,12 @@ TEMPERATURE_CONTEXT = impute.ImputationContext(
 PRESSURE_CONTEXT = impute.ImputationContext("capteurs_pression", "pressure_bar", plausible_min=100.0, plausible_max=250.0)
 
 
-# temperature -------------------------------------------------------------
-def temperature_bronze(raw: DataFrame) -> DataFrame:
-    return validate.validate_temperature(raw)
-
-
-def temperature_parsed(raw: DataFrame) -> DataFrame:
-    """Accepted Bronze rows, typed (stored: Silver reads Bronze as a table)."""
-    return materialize(parse.parse_temperature(temperature_bronze(raw).where("parse_ok").drop("parse_ok", "rejected_reason")))
-
-
-def temperature_normalized(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return units.normalize_temperature_units(temperature_parsed(raw), materialize_fn=materialize)
-
-
-def temperature_deduped(raw: DataFrame) -> DataFrame:
-    normalized, _ = temperature_normalized(raw)
-    return materialize(dedup.dedup_sensor(normalized, "temperature_normalized"))
-
-
-def temperature_silver(raw: DataFrame, method: str = "mean") -> DataFrame:
-    return impute.apply_method(
-        temperature_deduped(raw), "temperature_normalized", method, sensor_type="temperature", unit="C"
-    )
-
-
-# pressure ----------------------------------------------------------------
-def pressure_parsed(raw: DataFrame) -> DataFrame:
-    return materialize(parse.parse_pressure(validate.validate_pressure(raw).where("parse_ok").drop("parse_ok", "rejected_reason")))
-
-
-def pressure_deduped(raw: DataFrame) -> DataFrame:
-    return materialize(dedup.dedup_sensor(pressure_parsed(raw), "pressure_bar"))
-
-
-def pressure_silver(raw: DataFrame, method: str = "mean") -> DataFrame:
-    return impute.apply_method(pressure_deduped(raw), "pressure_bar", method, sensor_type="pressure", unit="bar")
-
-
-# incidents ---------------------------------------------------------------
-def incidents_parsed(raw: DataFrame) -> DataFrame:
-    return parse.parse_incidents(validate.validate_incidents(raw).where("parse_ok").drop("parse_ok", "rejected_reason"))
-
-
-def incidents_silver(raw: DataFrame) -> DataFrame:
-    return materialize(parse.incident_silver_candidate(dedup.dedup_incidents(incidents_parsed(raw))))
-
-
 # union + gold ------------------------------------------------------------
 def silver_sensors(t_silver: DataFrame, p_silver: DataFrame) -> DataFrame:
     """One fact layout for both sensors."""
     return materialize(t_silver.select(*SILVER_SENSOR_COLUMNS).unionByName(p_silver.select(*SILVER_SENSOR_COLUMNS)))
 
 
-def gold_from_raw(t_raw: DataFrame, p_raw: DataFrame, i_raw: DataFrame, weather: DataFrame | None = None,
-                  t_method: str = "mean", p_method: str = "mean") -> DataFrame:
-    sensors = silver_sensors(temperature_silver(t_raw, t_method), pressure_silver(p_raw, p_method))
-    return build_gold(sensors, incidents_silver(i_raw), weather)
-
-
 # fixture shortcuts -------------------------------------------------------
 def fixture_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return fx.temperature_raw(spark, sf_dir), fx.pressure_raw(spark, sf_dir), fx.incident_raw(spark, sf_dir)
@@ -126,7 +75,7 @@ class FixtureChain:
         parse projection (it pushes filters through projections), so every
         rule runs once per row.
         """
-        return self._get(key, lambda: materialize(validated, key))
+        return self._get(key, lambda: materialize(stripped(validated), key))
 
     @staticmethod
     def _accepted(bronze: DataFrame) -> DataFrame:
@@ -186,11 +135,16 @@ class FixtureChain:
         return self._get(f"gold_{weather}", lambda: materialize(build_gold(self.sensors(), self.i_silver(), w)))
 
 
-_CHAINS: dict[tuple[str, str], FixtureChain] = {}
+_CHAINS: dict[tuple, FixtureChain] = {}
+
+
+def chain_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Session, directory and the state of the input files: changed inputs are read anew."""
+    return spark.sparkContext.applicationId, sf_dir, *(fs.stamp(spark, f"{sf_dir}/{t}.parquet") for t in ("events", "orders"))
 
 
 def chain(spark: SparkSession, sf_dir: str) -> FixtureChain:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = chain_key(spark, sf_dir)
     if key not in _CHAINS:
         _CHAINS[key] = FixtureChain(spark, sf_dir)
     return _CHAINS[key]

@@ -8,8 +8,22 @@ against an independent formulation.
 
 from __future__ import annotations
 
+from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS
 from forgeline.sources import fixtures as fx
 
+# white space as the engine strips it (the characters beyond 127 don't occur in the fixtures)
+WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31)"
+
+
+def strip(c: str) -> str:
+    return f"trim({c}, {WS})"
+
+
+def clean(c: str) -> str:
+    """Raw text as Bronze stores it: stripped, blank as NULL."""
+    return f"nullif({strip(c)}, '') as {c}"
+
+
 DIGITS = "regexp_extract({c}, '([0-9]+)[^0-9]*$', 1)"
 
 
@@ -19,36 +33,33 @@ def mcode(c: str) -> str:
 
 
 def ts_parse(c: str) -> str:
-    return f"try_cast(regexp_replace(replace(trim({c}), 'T', ' '), '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$', '') as timestamp)"
+    return f"try_cast(regexp_replace(replace({strip(c)}, 'T', ' '), '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$', '') as timestamp)"
 
 
 def num(c: str) -> str:
-    v = f"try_cast(trim({c}) as double)"
+    v = f"try_cast({strip(c)} as double)"
     return f"(case when not isnan({v}) and not isinf({v}) then {v} end)"
 
 
 def blank(c: str) -> str:
-    return f"(nullif(trim({c}), '') is null)"
+    return f"(nullif({strip(c)}, '') is null)"
 
 
 def sensor_valid(value_raw: str) -> str:
     return (
         f"not {blank('machine_id_raw')} and try_cast(nullif({DIGITS.format(c='machine_id_raw')}, '') as bigint) is not null"
         f" and not {blank('timestamp_raw')} and {ts_parse('timestamp_raw')} is not null"
-        f" and ({blank(value_raw)} or try_cast(nullif(trim({value_raw}), '') as double) is not null)"
+        f" and ({blank(value_raw)} or try_cast(nullif({strip(value_raw)}, '') as double) is not null)"
     )
 
 
-FLAGS = [
-    "type_surchauffe", "type_baisse_pression", "type_vibration", "type_bruit_mecanique", "type_surconsommation",
-    "type_blocage_mecanique", "type_alarme_capteur", "type_arret_urgence", "type_defaut_qualite",
-]
+FLAGS = INCIDENT_TYPE_COLUMNS
 
 
 def _incident_valid() -> str:
-    sev = "try_cast(nullif(trim(severity), '') as int)"
-    occ = "try_cast(trim(concat_ws(' ', nullif(trim(date), ''), coalesce(nullif(trim(time), ''), ''))) as timestamp)"
-    flags = " and ".join(f"(nullif(trim({f}), '') is null or try_cast(trim({f}) as int) is not null)" for f in FLAGS)
+    sev = f"try_cast(nullif({strip('severity')}, '') as int)"
+    occ = f"try_cast(trim(concat_ws(' ', nullif({strip('date')}, ''), coalesce(nullif({strip('time')}, ''), ''))) as timestamp)"
+    flags = " and ".join(f"(nullif({strip(f)}, '') is null or try_cast({strip(f)} as int) is not null)" for f in FLAGS)
     return (
         f"not {blank('incident_id')} and not {blank('machine_id')}"
         f" and try_cast(nullif({DIGITS.format(c='machine_id')}, '') as bigint) is not null"
@@ -61,9 +72,9 @@ def _dedup_cte(src: str, value: str, compare: list[str], carry: list[str]) -> st
     strict = " and ".join(
         f"(min({c}) is not distinct from max({c}) and (count({c}) = 0 or count({c}) = count(*)))" for c in compare
     )
-    firsts = ", ".join(f"arg_min({c}, row_number) as {c}" for c in carry)
+    firsts = ", ".join(f"arg_min_null({c}, row_number) as {c}" for c in carry)
     return f"""select machine_id_std, event_ts, {firsts},
-    arg_min({value}, row_number) as _first_value,
+    arg_min_null({value}, row_number) as _first_value,
     count(*) as records_in_group, count({value}) as _n_val, min({value}) as _vmin, max({value}) as _vmax,
     quantile_cont({value}, 0.5) as _vmed, {strict} as _strict
   from {src} group by machine_id_std, event_ts"""
@@ -98,7 +109,7 @@ def layer_ctes() -> list[tuple[str, str]]:
         ("w_daily", fx.sql_for_duckdb(fx.WEATHER_DAILY_SQL)),
         ("w_cells", fx.sql_for_duckdb(fx.WEATHER_CELLS_SQL)),
         # temperature ------------------------------------------------------
-        ("t_parsed", f"""select row_number, machine_id_raw, timestamp_raw, temperature_raw,
+        ("t_parsed", f"""select row_number, {clean('machine_id_raw')}, {clean('timestamp_raw')}, {clean('temperature_raw')},
             {mcode('machine_id_raw')} as machine_id_std, {ts_parse('timestamp_raw')} as event_ts,
             {num('temperature_raw')} as temperature, {num('temperature_raw')} is null as is_missing
           from t_raw where {sensor_valid('temperature_raw')}"""),
@@ -130,19 +141,19 @@ def layer_ctes() -> list[tuple[str, str]]:
                             [c for c in T_COLS], ["row_number", *[c for c in T_COLS if c != "temperature_normalized"]])),
         ("t_dedup", f"select {_resolve('temperature_normalized')} from t_dd"),
         # pressure ---------------------------------------------------------
-        ("p_parsed", f"""select row_number, machine_id_raw, timestamp_raw, pressure_raw,
+        ("p_parsed", f"""select row_number, {clean('machine_id_raw')}, {clean('timestamp_raw')}, {clean('pressure_raw')},
             {mcode('machine_id_raw')} as machine_id_std, {ts_parse('timestamp_raw')} as event_ts,
             {num('pressure_raw')} as pressure_bar, {num('pressure_raw')} is null as is_missing
           from p_raw where {sensor_valid('pressure_raw')}"""),
         ("p_dd", _dedup_cte("p_parsed", "pressure_bar", P_COLS, ["row_number", *[c for c in P_COLS if c != "pressure_bar"]])),
         ("p_dedup", f"select {_resolve('pressure_bar')} from p_dd"),
         # incidents --------------------------------------------------------
-        ("i_parsed", f"""select row_number, nullif(upper(trim(incident_id)), '') as incident_id, machine_id, date, time,
+        ("i_parsed", f"""select row_number, nullif(upper({strip('incident_id')}), '') as incident_id, machine_id, date, time,
             severity as severity_raw, operator_name, operator_badge, shift, comment,
-            {", ".join(f"coalesce(try_cast(trim({f}) as int), 0) as {f}" for f in FLAGS)},
+            {", ".join(f"coalesce(try_cast({strip(f)} as int), 0) as {f}" for f in FLAGS)},
             {mcode('machine_id')} as machine_id_std,
-            try_cast(trim(concat_ws(' ', nullif(trim(date), ''), coalesce(nullif(trim(time), ''), ''))) as timestamp) as event_ts,
-            try_cast(nullif(trim(severity), '') as int) as severity
+            try_cast(trim(concat_ws(' ', nullif({strip('date')}, ''), coalesce(nullif({strip('time')}, ''), ''))) as timestamp) as event_ts,
+            try_cast(nullif({strip('severity')}, '') as int) as severity
           from i_raw where {_incident_valid()}"""),
         ("i_ranked", f"""select *, count(*) over (partition by incident_id) as records_in_group,
             row_number() over (partition by incident_id order by {_nn_count(INC_COLS + ['incident_id'])} desc, row_number) as _rk
@@ -165,6 +176,8 @@ def layer_ctes() -> list[tuple[str, str]]:
         ("g_hourly", """select machine_id_std, date_trunc('hour', event_ts) as window_start,
             avg(case when sensor_type = 'temperature' then sensor_value end) as temp_mean_1h,
             max(case when sensor_type = 'temperature' then sensor_value end) as temp_max_1h,
+            sum(case when sensor_type = 'temperature' then cast(is_missing as int) end) as temp_missing_count,
+            sum(case when sensor_type = 'pressure' then cast(is_missing as int) end) as pressure_missing_count,
             avg(case when sensor_type = 'pressure' then sensor_value end) as pressure_mean_1h,
             max(case when sensor_type = 'pressure' then sensor_value end) as pressure_max_1h
           from s_sensors where sensor_value is not null group by 1, 2"""),

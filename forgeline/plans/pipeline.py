@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS
 from forgeline.operators import dedup, dims, impute, parse, units, validate
-from forgeline.operators.features import build_gold, gold_table
+from forgeline.operators import weather as weather_ops
+from forgeline.operators.features import build_gold, dropped_incident_hours, gold_table
 from forgeline.plans.layers import PRESSURE_CONTEXT, SILVER_SENSOR_COLUMNS, TEMPERATURE_CONTEXT
 from forgeline.session import materialize
 from forgeline.sources import files, sinks
@@ -37,38 +38,44 @@ def choose(metrics: DataFrame) -> str:
 
 
 def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame, i_in: DataFrame, out_root: str,
-                           weather: DataFrame | None = None, batch_id: str | None = None,
-                           methods=("mean", "median"), include_current: bool = True,
-                           time_based: bool = False, artifacts_dir: str | None = None) -> dict[str, int]:
+                           weather_pages: DataFrame | None = None, weather_store: str | None = None, batch_id: str | None = None,
+                           methods=impute.METHODS, include_current: bool = True, time_based: bool = False,
+                           artifacts_dir: str | None = None, operator_salt: str | None = None, mask_hash=None) -> dict[str, int]:
     """Run all layers from raw string frames (``*_bronze_input`` layouts).
 
-    ``include_current`` / ``time_based`` select the Gold window semantics
-    (quirks Q3 / Q4; the defaults reproduce the reference).  With
-    ``artifacts_dir`` the run's report tables (unit windows, imputation
-    metrics and decisions, Gold preview) are written there as CSV (K09).
+    Weather: hours of the sensors' date range come from the store at
+    ``weather_store`` (default: under ``out_root``); what it lacks is parsed
+    from ``weather_pages`` (year, month, html) and the rest filled with
+    monthly means.  ``include_current`` / ``time_based`` select the Gold
+    window semantics (quirks Q3 / Q4; the defaults reproduce the reference).
+    ``operator_salt`` stores pseudonyms of operators (D03).  With
+    ``artifacts_dir`` the run's report tables are written there as CSV (K09).
+    ``mask_hash`` (frame -> column in [0, 1)) replaces the hash that draws the
+    benchmark's masked rows.
     """
-    import datetime as _dt
-
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    drawn = mask_hash or (lambda df: None)
+    started = _now()
     batch_id = batch_id or str(uuid.uuid4())
     read = lambda name: spark.read.parquet(sinks.table_path(out_root, name))
 
-    # Bronze (K01, K03): every row, with accept/reject codes.  The three
-    # sources are independent: their jobs run concurrently.
+    # Bronze (K01, K02): every row, with accept/reject codes.  The sources
+    # are independent: their jobs run concurrently.
     _parallel(
         lambda: sinks.write_bronze(validate.validate_temperature(t_in), out_root, "bronze_temperature", batch_id, "overwrite"),
         lambda: sinks.write_bronze(validate.validate_pressure(p_in), out_root, "bronze_pressure", batch_id, "overwrite"),
         lambda: sinks.write_bronze(validate.validate_incidents(i_in), out_root, "bronze_incident", batch_id, "overwrite"),
     )
-    ledger = (validate.batch_counts(read("bronze_temperature"), "capteurs_temperature", batch_id)
-              .unionByName(validate.batch_counts(read("bronze_pressure"), "capteurs_pression", batch_id))
-              .unionByName(validate.batch_counts(read("bronze_incident"), "releves_incidents", batch_id)))
-    sinks.write_table(ledger.withColumn("started_at", F.lit(started).cast("timestamp_ntz"))
-                      .withColumn("finished_at", F.current_timestamp().cast("timestamp_ntz")), out_root, "ingestion_batch")
 
     def accepted(name: str) -> DataFrame:
         return read(name).where("parse_ok").drop("parse_ok", "rejected_reason", "ingestion_batch_id")
 
+    def weather() -> None:
+        bounds = materialize(files.date_range(parse.parse_temperature(accepted("bronze_temperature"))), "date-range")
+        store = weather_store or sinks.table_path(out_root, "weather_store")
+        hours = materialize(weather_ops.refresh_store(bounds, weather_pages, store), "weather")
+        sinks.write_table(sinks.bronze_weather_rows(hours, batch_id), out_root, "bronze_weather")
+        sinks.write_table(sinks.silver_weather_rows(weather_ops.silver_weather(hours), batch_id), out_root, "silver_weather")
+
     def temperature() -> tuple[DataFrame, str]:
         # normalise units -> dedup -> benchmark -> fill
         # the flagged rows feed both the dedup table and the windows table: store them once
@@ -77,7 +84,7 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
         sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
         sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
         t_dedup = read("_t_dedup")
-        metrics = materialize(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods), "t_metrics")
+        metrics = materialize(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods, drawn(t_dedup)), "t_metrics")
         sinks.write_table(metrics, out_root, "_t_metrics")
         method = choose(metrics)
         return impute.apply_method(t_dedup, "temperature_normalized", method, sensor_type="temperature", unit="C"), method
@@ -85,19 +92,30 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     def pressure() -> tuple[DataFrame, str]:
         sinks.write_table(dedup.dedup_sensor(parse.parse_pressure(accepted("bronze_pressure")), "pressure_bar"), out_root, "_p_dedup")
         p_dedup = read("_p_dedup")
-        metrics = materialize(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods), "p_metrics")
+        metrics = materialize(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods, drawn(p_dedup)), "p_metrics")
         sinks.write_table(metrics, out_root, "_p_metrics")
         method = choose(metrics)
         return impute.apply_method(p_dedup, "pressure_bar", method, sensor_type="pressure", unit="bar"), method
 
     def incidents() -> None:
         inc = parse.incident_silver_candidate(dedup.dedup_incidents(parse.parse_incidents(accepted("bronze_incident"))))
-        sinks.write_table(sinks.silver_incident_rows(inc, batch_id), out_root, "silver_incident")
+        sinks.write_table(inc, out_root, "_i_dedup")
 
-    (t_silver, t_method), (p_silver, p_method), _ = _parallel(temperature, pressure, incidents)
+    (t_silver, t_method), (p_silver, p_method), _, _ = _parallel(temperature, pressure, incidents, weather)
     sensors = t_silver.select(*SILVER_SENSOR_COLUMNS).unionByName(p_silver.select(*SILVER_SENSOR_COLUMNS))
+    imputed = materialize(sensors.groupBy("sensor_type").agg(F.count_if("was_imputed").alias("rows_imputed"), F.count_if("is_duplicate").alias("duplicates_flagged"),
+                                                             F.count(F.lit(1)).alias("rows")), "imputed")
     sinks.write_silver_sensors(sensors, out_root, batch_id)
 
+    # Dimensions are kept over runs: stored ids stay, new keys are added
+    i_dedup = read("_i_dedup")
+    codes = read("silver_sensor_reading").select(F.col("machine_id_std").alias("machine_code")).unionByName(
+        i_dedup.select(F.col("machine_id_std").alias("machine_code")))
+    machines = dims.synced(spark, sinks.table_path(out_root, "dim_machine"), dims.machine_seed(spark), codes, "machine_code", "machine_id")
+    operators = dims.synced(spark, sinks.table_path(out_root, "dim_operator"), dims.empty_operator_dim(spark),
+                            i_dedup.select(sinks.operator_key(operator_salt).alias("operator_key")), "operator_key", "operator_id")
+    sinks.write_table(sinks.silver_incident_rows(i_dedup, batch_id, operators, machines, operator_salt), out_root, "silver_incident")
+
     # Gold reads Silver after Numeric(12,3) rounding (quirk Q6)
     silver = read("silver_sensor_reading").select(
         "machine_id_std", F.col("observed_at").alias("event_ts"), "sensor_type",
@@ -105,31 +123,75 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     inc = read("silver_incident").select(
         "machine_id_std", F.col("occurred_at").alias("event_ts"), F.col("incident_code").alias("incident_id"),
         F.col("severity").cast("int").alias("severity"), *[F.col(c).cast("int").alias(c) for c in INCIDENT_TYPE_COLUMNS])
-    machine_dim = dims.upsert_keys(dims.machine_seed(spark), silver.select(F.col("machine_id_std").alias("machine_code")),
-                                   "machine_code", "machine_id")
-    gold = gold_table(build_gold(silver, inc, weather, include_current=include_current, time_based=time_based), machine_dim)
+    gold = gold_table(build_gold(silver, inc, read("silver_weather"), include_current=include_current, time_based=time_based), machines)
     sinks.write_table(gold, out_root, "gold_machine_hourly_feature")
 
-    summary = sinks.run_summary(spark, {
-        "bronze_temperature": read("bronze_temperature"), "bronze_pressure": read("bronze_pressure"),
-        "bronze_incident": read("bronze_incident"), "silver_sensor_reading": read("silver_sensor_reading"),
-        "silver_incident": read("silver_incident"), "gold_machine_hourly_feature": read("gold_machine_hourly_feature"),
-    })
+    # Quality: rejects, decisions, lost incident hours and broken constraints
+    deduped = {"capteurs_temperature": (read("_t_dedup"), ["machine_id_std", "event_ts"]),
+               "capteurs_pression": (read("_p_dedup"), ["machine_id_std", "event_ts"]), "releves_incidents": (i_dedup, ["incident_id"])}
+    violations = materialize(validate.all_constraints(machines, silver, inc, read("gold_machine_hourly_feature"), read("silver_weather")), "violations")
+    issues = validate.quality_issues({n: read(t) for n, t in SOURCES.items() if n in deduped}, deduped)
+    issues = issues.unionByName(dropped_incident_hours(silver, inc)).unionByName(validate.violations_as_issues(violations))
+    sinks.write_table(issues, out_root, "data_quality_issue")
+
+    ledger = None
+    for name, table in SOURCES.items():
+        row = validate.batch_counts(read(table), name, batch_id)
+        ledger = row if ledger is None else ledger.unionByName(row)
+    anchor = read("silver_sensor_reading").agg(F.count(F.lit(1)).alias("rows_read"), F.count(F.lit(1)).alias("rows_loaded")).select(
+        F.lit(batch_id).alias("ingestion_batch_id"), F.lit("silver").alias("source_name"), "rows_read", "rows_loaded",
+        F.lit(0).cast("long").alias("rows_rejected"), F.lit("completed").alias("status"))
+    ledger = ledger.unionByName(anchor)
+    sinks.write_table(ledger.withColumn("started_at", F.lit(started).cast("timestamp_ntz")).withColumn("finished_at", F.lit(_now()).cast("timestamp_ntz")),
+                      out_root, "ingestion_batch")
+
+    counted = [*SOURCES.values(), "silver_sensor_reading", "silver_incident", "silver_weather", "gold_machine_hourly_feature", "data_quality_issue",
+               "dim_machine", "dim_operator"]
+    summary = sinks.run_summary(spark, {n: read(n) for n in counted})
     out = {r["stage"]: int(r["rows"]) for r in summary.collect()}
+    # four ledger rows and two sensors: bounded
+    out |= {f"rejected_{r['source_name']}": int(r["rows_rejected"]) for r in read("ingestion_batch").where("source_name != 'silver'").collect()}
+    out |= {f"silver_{r['sensor_type']}": int(r["rows"]) for r in imputed.collect()}
     out["temperature_method"] = t_method
     out["pressure_method"] = p_method
     if artifacts_dir:
-        metrics = read("_t_metrics").unionByName(read("_p_metrics"))
-        decisions = impute.choose_method(metrics).unionByName(impute.severity_policy_row(spark), allowMissingColumns=True)
-        sinks.write_artifact_csv(read("temperature_normalization_windows"), artifacts_dir, "temperature_normalization_windows")
-        sinks.write_artifact_csv(metrics, artifacts_dir, "imputation_metrics")
-        sinks.write_artifact_csv(decisions, artifacts_dir, "imputation_decisions")
-        # the report shows the first 20 Gold rows: a top-k preview, bounded by k
-        preview = read("gold_machine_hourly_feature").orderBy("machine_id", "window_start").limit(20)
-        sinks.write_artifact_csv(preview, artifacts_dir, "gold_preview")
+        _artifacts(spark, read, imputed, deduped, artifacts_dir)
     return out
 
 
+SOURCES = {"capteurs_temperature": "bronze_temperature", "capteurs_pression": "bronze_pressure", "releves_incidents": "bronze_incident",
+           "weather": "bronze_weather"}
+
+
+def _now():
+    import datetime as dt
+
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def _artifacts(spark: SparkSession, read, imputed: DataFrame, deduped: dict, folder: str) -> None:
+    """The six report tables; only those of bounded size go into one file."""
+    metrics = read("_t_metrics").unionByName(read("_p_metrics"))
+    decisions = impute.choose_method(metrics).unionByName(impute.severity_policy_row(spark), allowMissingColumns=True)
+    names = F.when(F.col("sensor_type") == "temperature", F.lit("capteurs_temperature")).otherwise(F.lit("capteurs_pression"))
+    incidents = read("_i_dedup").agg(F.lit(0).cast("long").alias("rows_imputed"), F.count_if("is_duplicate").alias("duplicates_flagged"), F.count(F.lit(1)).alias("rows"))
+    overview = imputed.select(names.alias("dataset_name"), "rows", "rows_imputed", "duplicates_flagged").unionByName(
+        incidents.select(F.lit("releves_incidents").alias("dataset_name"), "rows", "rows_imputed", "duplicates_flagged"))
+    summary = None
+    for name, (df, _) in deduped.items():
+        part = df.where("records_in_group > 1").groupBy(F.col("dedupe_resolution").alias("resolution")).agg(
+            F.count(F.lit(1)).alias("groups"), F.sum("records_in_group").alias("records")).select(F.lit(name).alias("dataset_name"), "resolution", "groups", "records")
+        summary = part if summary is None else summary.unionByName(part)
+    sinks.write_artifact_csv(overview, folder, "overview", one_file=True)
+    sinks.write_artifact_csv(summary, folder, "deduplication_summary", one_file=True)
+    sinks.write_artifact_csv(read("temperature_normalization_windows"), folder, "temperature_normalization_windows")
+    sinks.write_artifact_csv(metrics, folder, "imputation_metrics", one_file=True)
+    sinks.write_artifact_csv(decisions, folder, "imputation_decisions", one_file=True)
+    # the report shows the first 20 Gold rows: a top-k preview, bounded by k
+    preview = read("gold_machine_hourly_feature").orderBy("machine_id", "window_start").limit(20)
+    sinks.write_artifact_csv(preview, folder, "gold_preview", one_file=True)
+
+
 def run_from_files(spark: SparkSession, data_dir: str, out_root: str, **kw) -> dict[str, int]:
     """S01-S07 + the layers: discover, sniff, read all-string, number rows, run."""
     found = files.find_source_files(data_dir, spark)

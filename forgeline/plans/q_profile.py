@@ -8,7 +8,7 @@ from forgeline.functions import expr as X
 from forgeline.operators import impute
 from forgeline.operators import profile as PR
 from forgeline.plans import layers as L
-from forgeline.plans.oracle import FLAGS, mcode, num, oracle, ts_parse
+from forgeline.plans.oracle import FLAGS, mcode, num, oracle, strip, ts_parse
 from forgeline.plans.q_silver import _IMP_CTES, _METRIC_COLS, _t_metrics
 from forgeline.plans.registry import big, r6, register, s6
 
@@ -45,7 +45,7 @@ _DS_CTES = [
     ("i_ds", f"""select row_number, incident_id, machine_id, date, time, try_cast(severity as int) as severity, operator_name, operator_badge, shift, comment,
         {", ".join(f"try_cast({f} as int) as {f}" for f in FLAGS)},
         machine_id as machine_id_original, {mcode('machine_id')} as machine_id_std,
-        try_cast(trim(concat_ws(' ', nullif(trim(date), ''), coalesce(nullif(trim(time), ''), ''))) as timestamp) as event_ts from i_raw"""),
+        try_cast(trim(concat_ws(' ', nullif({strip('date')}, ''), coalesce(nullif({strip('time')}, ''), ''))) as timestamp) as event_ts from i_raw"""),
 ]
 
 
@@ -69,9 +69,9 @@ _OVERVIEW_SQL = " union all ".join([
 
 def _overviews(spark, sf):
     td, pd_, idd = _datasets(spark, sf)
-    return (PR.dataset_overview(td, "capteurs_temperature", T_BUSINESS)
-            .unionByName(PR.dataset_overview(pd_, "capteurs_pression", P_BUSINESS))
-            .unionByName(PR.dataset_overview(idd, "releves_incidents", I_BUSINESS)))
+    return (PR.dataset_overview(td, "capteurs_temperature")
+            .unionByName(PR.dataset_overview(pd_, "capteurs_pression"))
+            .unionByName(PR.dataset_overview(idd, "releves_incidents")))
 
 
 @register("a13_dataset_overview", oracle(_OVERVIEW_SQL, _DS_CTES))
@@ -189,9 +189,9 @@ _W12_OUT = ("machine_id, event_ts, row_number, round(temperature, 6) as temperat
             "round(rolling_std, 6) as rolling_std, round(rolling_zscore, 6) as rolling_zscore, round(abs(rolling_zscore), 6) as abs_zscore")
 
 
-def _alerts(spark, sf, bucket_rows: int = 100_000):
+def _alerts(spark, sf):
     td, _, _ = _datasets(spark, sf)
-    return PR.rolling_zscore_alerts(td, "temperature", bucket_rows=bucket_rows)
+    return PR.rolling_zscore_alerts(td, "temperature")
 
 
 def _alert_cols(a):
@@ -201,8 +201,7 @@ def _alert_cols(a):
 
 @register("w12_rolling_zscore_alerts", oracle(f"select {_W12_OUT} from w12_alerts where abs(rolling_zscore) > 4", _W12_CTES))
 def q_w12(spark, sf):
-    # small buckets so the halo logic is exercised on the test scale as well
-    return _alert_cols(_alerts(spark, sf, bucket_rows=200))
+    return _alert_cols(_alerts(spark, sf))
 
 
 @register("a20_alerts_per_machine", oracle(
@@ -219,15 +218,33 @@ def q_l02(spark, sf):
     return _alert_cols(PR.top_k(a, [F.col("abs_zscore").desc(), F.col("machine_id"), F.col("event_ts"), F.col("row_number")], 20))
 
 
+_SAMPLE_ORDER = "order by (row_number * 2654435761) % 1000003, row_number limit"
+
+
 @register("l04_fixed_size_sample", oracle(
-    "select row_number, machine_id_std, event_ts, round(temperature, 6) as temperature from t_ds where event_ts is not null and temperature is not null "
-    "order by (row_number * 2654435761) % 1000003, row_number limit 8000", _DS_CTES))
+    "select * from (select 'temperature' as sample, row_number, machine_id_std, event_ts, round(temperature, 6) as value from t_ds "
+    f"where event_ts is not null and temperature is not null {_SAMPLE_ORDER} 8000) "
+    "union all select * from (select 'pressure', row_number, machine_id_std, event_ts, round(pressure_bar, 6) from p_ds "
+    f"where event_ts is not null and pressure_bar is not null {_SAMPLE_ORDER} 8000) "
+    "union all select * from (select 'both', row_number, machine_id_std, event_ts, round(temperature, 6) from "
+    "(select t.row_number, machine_id_std, event_ts, t.temperature, p.pressure_bar, p.row_number as p_row from t_ds t join p_ds p using (machine_id_std, event_ts) "
+    "where t.temperature is not null and p.pressure_bar is not null) order by (row_number * 2654435761 + p_row) % 1000003, row_number, p_row limit 12000)", _DS_CTES))
 def q_l04(spark, sf):
-    td, _, _ = _datasets(spark, sf)
-    base = td.where(F.col("event_ts").isNotNull() & F.col("temperature").isNotNull())
+    """The three samples: each sensor's readings and the pairs measured at the same time."""
+    td, pd_, _ = _datasets(spark, sf)
     h = F.pmod(F.col("row_number") * F.lit(2654435761), F.lit(1000003))
-    s = PR.sample_rows(base, 8000, ["row_number"], hash_col=h)
-    return s.select("row_number", "machine_id_std", "event_ts", r6("temperature").alias("temperature"))
+
+    def one(df, value, name):
+        base = df.where(F.col("event_ts").isNotNull() & F.col(value).isNotNull())
+        return PR.sample_rows(base, 8000, ["row_number"], hash_col=h).select(
+            F.lit(name).alias("sample"), "row_number", "machine_id_std", "event_ts", r6(value).alias("value"))
+
+    t = td.where(F.col("temperature").isNotNull()).select("row_number", "machine_id_std", "event_ts", "temperature")
+    p = pd_.where(F.col("pressure_bar").isNotNull()).select(F.col("row_number").alias("p_row"), "machine_id_std", "event_ts")
+    both = PR.sample_rows(t.join(p, ["machine_id_std", "event_ts"]), 12000, ["row_number", "p_row"],
+                          hash_col=F.pmod(F.col("row_number") * F.lit(2654435761) + F.col("p_row"), F.lit(1000003)))
+    return one(td, "temperature", "temperature").unionByName(one(pd_, "pressure_bar", "pressure")).unionByName(
+        both.select(F.lit("both").alias("sample"), "row_number", "machine_id_std", "event_ts", r6("temperature").alias("value")))
 
 
 @register("j05_exact_time_join", oracle(
@@ -304,11 +321,11 @@ def q_a23(spark, sf):
 
 
 @register("b01_union_by_name", oracle(
-    "select dataset_name, target_column, method as recommended_method, " + ", ".join(s6(c, c) for c in _METRIC_COLS)
+    "select dataset_name, target_column, method as recommended_method, " + ", ".join(f"round({c}, 4) as {c}" for c in _METRIC_COLS)
     + " from ti_metrics union all select 'releves_incidents', 'severity', 'rule_based_no_imputation', "
     + ", ".join("null" for _ in _METRIC_COLS), _IMP_CTES))
 def q_b01(spark, sf):
     m = _t_metrics(spark, sf).withColumnRenamed("method", "recommended_method").drop("masked_rows")
     out = m.unionByName(impute.severity_policy_row(spark).drop("decision_reason"), allowMissingColumns=True)
-    return out.select("dataset_name", "target_column", "recommended_method", *[r6(c).alias(c) for c in _METRIC_COLS])
+    return out.select("dataset_name", "target_column", "recommended_method", *[F.round(c, 4).alias(c) for c in _METRIC_COLS])
 

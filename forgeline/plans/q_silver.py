@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
-from forgeline.operators import impute, regression, validate
+from forgeline.operators import dims, impute, regression, validate
 from forgeline.plans import layers as L
-from forgeline.plans.oracle import DIGITS, FLAGS, blank, mcode, num, oracle, ts_parse
+from forgeline.plans.oracle import DIGITS, FLAGS, blank, mcode, num, oracle, strip, ts_parse
+from forgeline.plans.q_weather import _W_CTES, _store
 from forgeline.plans.registry import big, r6, register, s6
 
 
@@ -27,7 +28,7 @@ def q_p01(spark, sf):
 
 
 @register("p02_blank_to_null", oracle(
-    "select row_number, nullif(trim(temperature_raw), '') as temperature_clean from t_raw"))
+    f"select row_number, nullif({strip('temperature_raw')}, '') as temperature_clean from t_raw"))
 def q_p02(spark, sf):
     t, _, _ = _raw(spark, sf)
     return t.select("row_number", X.blank_to_null("temperature_raw").alias("temperature_clean"))
@@ -48,7 +49,7 @@ def q_p04(spark, sf):
 
 
 @register("p05_date_time_concat", oracle(
-    "select row_number, try_cast(trim(concat_ws(' ', nullif(trim(date), ''), coalesce(nullif(trim(time), ''), ''))) as timestamp) "
+    f"select row_number, try_cast(trim(concat_ws(' ', nullif({strip('date')}, ''), coalesce(nullif({strip('time')}, ''), ''))) as timestamp) "
     "as occurred_at from i_raw"))
 def q_p05(spark, sf):
     _, _, i = _raw(spark, sf)
@@ -57,7 +58,7 @@ def q_p05(spark, sf):
 
 @register("p06_numeric_parse", oracle(
     f"select row_number, temperature_raw, round({num('temperature_raw')}, 6) as temperature, "
-    f"({blank('temperature_raw')} or try_cast(nullif(trim(temperature_raw), '') as double) is not null) as strict_ok from t_raw"))
+    f"({blank('temperature_raw')} or try_cast(nullif({strip('temperature_raw')}, '') as double) is not null) as strict_ok from t_raw"))
 def q_p06(spark, sf):
     t, _, _ = _raw(spark, sf)
     return t.select("row_number", "temperature_raw", r6(X.parse_number("temperature_raw")).alias("temperature"),
@@ -71,14 +72,14 @@ def q_p07(spark, sf):
     return p.select("row_number", X.missing_flag(X.parse_number("pressure_raw")).alias("is_missing"))
 
 
-@register("p08_incident_code", oracle("select row_number, nullif(upper(trim(incident_id)), '') as incident_code from i_raw"))
+@register("p08_incident_code", oracle(f"select row_number, nullif(upper({strip('incident_id')}), '') as incident_code from i_raw"))
 def q_p08(spark, sf):
     _, _, i = _raw(spark, sf)
     return i.select("row_number", X.incident_code("incident_id").alias("incident_code"))
 
 
 @register("p09_type_flags", oracle(
-    "select row_number, " + ", ".join(f"cast(coalesce(try_cast(trim({f}) as int), 0) as bigint) as {f}" for f in FLAGS)
+    "select row_number, " + ", ".join(f"cast(coalesce(try_cast({strip(f)} as int), 0) as bigint) as {f}" for f in FLAGS)
     + " from i_raw"))
 def q_p09(spark, sf):
     _, _, i = _raw(spark, sf)
@@ -98,15 +99,15 @@ def _sensor_rules_sql(value_raw: str) -> list[tuple[str, str]]:
         ("machine_id_without_digits", f"not {blank('machine_id_raw')} and {dig} is null"),
         ("missing_timestamp", blank("timestamp_raw")),
         ("unparsable_timestamp", f"not {blank('timestamp_raw')} and {ts_parse('timestamp_raw')} is null"),
-        ("non_numeric_value", f"not ({blank(value_raw)} or try_cast(nullif(trim({value_raw}), '') as double) is not null)"),
+        ("non_numeric_value", f"not ({blank(value_raw)} or try_cast(nullif({strip(value_raw)}, '') as double) is not null)"),
     ]
 
 
 def _incident_rules_sql() -> list[tuple[str, str]]:
     dig = f"try_cast(nullif({DIGITS.format(c='machine_id')}, '') as bigint)"
-    sev = "try_cast(nullif(trim(severity), '') as int)"
-    occ = "try_cast(trim(concat_ws(' ', nullif(trim(date), ''), coalesce(nullif(trim(time), ''), ''))) as timestamp)"
-    flag_bad = " or ".join(f"(nullif(trim({f}), '') is not null and try_cast(nullif(trim({f}), '') as int) is null)" for f in FLAGS)
+    sev = f"try_cast(nullif({strip('severity')}, '') as int)"
+    occ = f"try_cast(trim(concat_ws(' ', nullif({strip('date')}, ''), coalesce(nullif({strip('time')}, ''), ''))) as timestamp)"
+    flag_bad = " or ".join(f"(nullif({strip(f)}, '') is not null and try_cast(nullif({strip(f)}, '') as int) is null)" for f in FLAGS)
     return [
         ("missing_incident_id", blank("incident_id")),
         ("missing_machine_id", blank("machine_id")),
@@ -166,54 +167,80 @@ def q_k03(spark, sf):
     return out.select("source_name", big("rows_read"), big("rows_loaded"), big("rows_rejected"), "status")
 
 
+def _counts_sql(name: str, src: str, rules, imputed: str) -> str:
+    codes = _codes_sql(rules)
+    return (f"select '{name}' as dataset_name, count(*) filter (where {codes} is null) as rows_loaded, "
+            f"count(*) filter (where {codes} is not null) as rows_rejected, {imputed} as rows_imputed from {src}")
+
+
 @register("a25_batch_counts", oracle(
-    "select 'capteurs_temperature' as dataset_name, count(*) as rows_loaded, "
-    "count(*) filter (where is_missing_v and sensor_value is not null) as rows_imputed from t_silver"))
+    _counts_sql("capteurs_temperature", "t_raw", _sensor_rules_sql("temperature_raw"),
+                "(select count(*) from t_silver where is_missing_v and sensor_value is not null)") + " union all "
+    + _counts_sql("capteurs_pression", "p_raw", _sensor_rules_sql("pressure_raw"),
+                  "(select count(*) from p_silver where is_missing_v and sensor_value is not null)") + " union all "
+    + _counts_sql("releves_incidents", "i_raw", _incident_rules_sql(), "0")))
 def q_a25(spark, sf):
-    s = L.chain(spark, sf).t_silver()
-    return s.agg(F.count(F.lit(1)).alias("rows_loaded"), F.count_if("was_imputed").alias("rows_imputed")).select(
-        F.lit("capteurs_temperature").alias("dataset_name"), big("rows_loaded"), big("rows_imputed"))
+    """Loaded, rejected and imputed rows of the three sources."""
+    c = L.chain(spark, sf)
+    t, p, i = c.raw()
+    parts = []
+    for name, checked, silver in (("capteurs_temperature", validate.validate_temperature(t), c.t_silver()),
+                                  ("capteurs_pression", validate.validate_pressure(p), c.p_silver()),
+                                  ("releves_incidents", validate.validate_incidents(i), None)):
+        imputed = F.lit(0) if silver is None else silver.agg(F.count_if("was_imputed")).scalar()
+        parts.append(validate.batch_counts(checked, name, "fixture").select(
+            F.lit(name).alias("dataset_name"), big("rows_loaded"), big("rows_rejected"), imputed.cast("bigint").alias("rows_imputed")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("d01_constraint_violations", oracle(
-    "select 'machine_code_format' as rule_code, count(*) filter (where not regexp_full_match(machine_id_std, 'MACH-[0-9]{2}')) as violations from t_dedup "
+    "select 'machine_code_format' as rule_code, count(*) filter (where not coalesce(regexp_matches(machine_id_std, '^MACH-[0-9]{2}$'), false)) as violations "
+    "from (select distinct machine_id_std from s_sensors) "
+    "union all select 'machine_capacity_positive', 0 union all select 'machine_criticality_known', 0 "
     "union all select 'severity_range', count(*) filter (where not coalesce(severity between 1 and 5, false)) from i_dedup "
     "union all select 'window_end_after_start', count(*) filter (where not coalesce(window_end > window_start, false)) from g_roll "
     "union all select 'unique_machine_hour', count(*) from (select machine_id_std, window_start from g_roll group by 1, 2 having count(*) > 1) "
     "union all select 'unique_incident_code', count(*) from (select incident_id from i_dedup group by 1 having count(*) > 1) "
-    "union all select 'unique_sensor_reading', count(*) from (select machine_id_std, event_ts, sensor_type from s_sensors group by 1, 2, 3 having count(*) > 1)"))
+    "union all select 'unique_weather_hour', count(*) from (select observed_at from w_hourly group by 1 having count(*) > 1) "
+    "union all select 'unique_sensor_reading', count(*) from (select machine_id_std, event_ts, sensor_type from s_sensors group by 1, 2, 3 having count(*) > 1)",
+    _W_CTES))
 def q_d01(spark, sf):
     c = L.chain(spark, sf)
-    t, inc, gold, sensors = c.t_deduped(), c.i_silver(), c.gold(), c.sensors()
-    rows = validate.constraint_violations({
-        "machine_code_format": (t, F.col("machine_id_std").rlike(r"^MACH-[0-9]{2}$")),
-        "severity_range": (inc, F.col("severity").between(1, 5)),
-        "window_end_after_start": (gold, F.col("window_end") > F.col("window_start")),
-    })
-    rows = rows.unionByName(validate.uniqueness_violations(gold, ["machine_id_std", "window_start"], "unique_machine_hour"))
-    rows = rows.unionByName(validate.uniqueness_violations(inc, ["incident_id"], "unique_incident_code"))
-    rows = rows.unionByName(validate.uniqueness_violations(sensors, ["machine_id_std", "event_ts", "sensor_type"], "unique_sensor_reading"))
+    codes = c.sensors().select(F.col("machine_id_std").alias("machine_code")).distinct()
+    machines = codes.join(dims.machine_seed(spark), "machine_code", "left")
+    rows = validate.all_constraints(machines, c.sensors(), c.i_silver(), c.gold(), _store(spark, sf))
     return rows.select("rule_code", big("violations"))
 
 
+def _rejects_sql(dataset: str, codes: str, src: str) -> str:
+    return (f"select '{dataset}' as dataset_name, unnest(string_split(r, ';')) as rule_code, 'error' as severity, cast(row_number as varchar) as entity_key "
+            f"from (select row_number, {codes} as r from {src}) where r is not null")
+
+
 @register("d02_quality_issues", oracle(
     "select dataset_name, rule_code, severity, entity_key, count(*) as n from ("
-    "select 'capteurs_temperature' as dataset_name, unnest(string_split(r, ';')) as rule_code, 'error' as severity, cast(row_number as varchar) as entity_key "
-    f"from (select row_number, {_codes_sql(_sensor_rules_sql('temperature_raw'))} as r from t_raw) where r is not null "
-    "union all select 'releves_incidents', unnest(string_split(r, ';')), 'error', cast(row_number as varchar) "
-    f"from (select row_number, {_codes_sql(_incident_rules_sql())} as r from i_raw) where r is not null "
-    "union all select 'capteurs_temperature', 'dedup_' || dedupe_resolution, 'info', cast(machine_id_std as varchar) || '|' || cast(event_ts as varchar) "
-    "from t_dedup where records_in_group > 1) group by all"))
+    + _rejects_sql("capteurs_temperature", _codes_sql(_sensor_rules_sql("temperature_raw")), "t_raw")
+    + " union all " + _rejects_sql("capteurs_pression", _codes_sql(_sensor_rules_sql("pressure_raw")), "p_raw")
+    + " union all " + _rejects_sql("releves_incidents", _codes_sql(_incident_rules_sql()), "i_raw")
+    + " union all select 'capteurs_temperature', 'dedup_' || dedupe_resolution, 'info', machine_id_std || '|' || cast(event_ts as varchar) "
+    "from t_dedup where records_in_group > 1 "
+    "union all select 'capteurs_pression', 'dedup_' || dedupe_resolution, 'info', machine_id_std || '|' || cast(event_ts as varchar) "
+    "from p_dedup where records_in_group > 1 "
+    "union all select 'releves_incidents', 'dedup_' || dedupe_resolution, 'info', incident_id from i_dedup where records_in_group > 1 "
+    "union all select 'gold_machine_hourly_feature', 'incident_hour_without_sensor_row', 'warning', machine_id_std || '|' || cast(window_start as varchar) "
+    "from g_inc i where not exists (select 1 from g_hourly h where h.machine_id_std = i.machine_id_std and h.window_start = i.window_start)"
+    ") group by all"))
 def q_d02(spark, sf):
     c = L.chain(spark, sf)
-    t, _, i = c.raw()
-    from forgeline.operators.dedup import dedup_decisions
-
-    a = validate.rejects_as_issues(validate.validate_temperature(t), "capteurs_temperature")
-    b = validate.rejects_as_issues(validate.validate_incidents(i), "releves_incidents")
-    d = validate.decisions_as_issues(
-        dedup_decisions(c.t_deduped(), "capteurs_temperature", ["machine_id_std", "event_ts"]), ["machine_id_std", "event_ts"])
-    out = a.unionByName(b).unionByName(d)
+    t, p, i = c.raw()
+    from forgeline.operators.features import dropped_incident_hours
+
+    out = validate.quality_issues(
+        {"capteurs_temperature": validate.validate_temperature(t), "capteurs_pression": validate.validate_pressure(p),
+         "releves_incidents": validate.validate_incidents(i)},
+        {"capteurs_temperature": (c.t_deduped(), ["machine_id_std", "event_ts"]), "capteurs_pression": (c.p_deduped(), ["machine_id_std", "event_ts"]),
+         "releves_incidents": (c.i_silver(), ["incident_id"])},
+    ).unionByName(dropped_incident_hours(c.sensors(), c.i_silver()))
     return out.groupBy("dataset_name", "rule_code", "severity", "entity_key").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
@@ -246,14 +273,13 @@ _OFFSET_SQL = ("case when regexp_matches(timestamp_raw, '[+-][0-9]{2}:[0-9]{2}$'
 
 
 @register("p15_utc_wall_clock", oracle(
-    f"select row_number, {ts_parse('timestamp_raw')} - to_minutes({_OFFSET_SQL}) as observed_utc from p_raw"))
+    f"select row_number, {ts_parse('timestamp_raw')} - to_minutes({_OFFSET_SQL}) as observed_utc, "
+    f"{ts_parse('timestamp_raw')} - interval 2 hour as from_zone from p_raw"))
 def q_p15(spark, sf):
+    """Text with offsets to UTC wall clock; and naive times of a zone two hours ahead."""
     _, p, _ = _raw(spark, sf)
-    raw = F.col("timestamp_raw")
-    has = raw.rlike(r"[+-][0-9]{2}:[0-9]{2}$")
-    sign = F.when(F.substring(raw, -6, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    minutes = F.when(has, sign * (F.substring(raw, -5, 2).cast("int") * 60 + F.substring(raw, -2, 2).cast("int"))).otherwise(F.lit(0))
-    return p.select("row_number", (X.parse_timestamp("timestamp_raw") - F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias("observed_utc"))
+    return p.select("row_number", X.to_utc_wall_clock("timestamp_raw").alias("observed_utc"),
+                    X.to_utc_wall_clock(X.parse_timestamp("timestamp_raw"), "Etc/GMT-2").alias("from_zone"))
 
 
 @register("p17_default_fills", oracle(
@@ -324,17 +350,36 @@ def _bench_ctes(p: str, src: str, target: str) -> list[tuple[str, str]]:
         (f"{p}_bench", f"""select * exclude (_mrank, _nobs), coalesce(_mrank <= least(_nobs, greatest(10, cast(floor(_nobs * 0.1) as bigint))), false) as is_masked,
             case when coalesce(_mrank <= least(_nobs, greatest(10, cast(floor(_nobs * 0.1) as bigint))), false) then null else {target} end as _bench_value
           from {p}_rank"""),
-        (f"{p}_cands", f"""select b.*, coalesce(b._bench_value, gm._m, (select avg(_bench_value) from {p}_bench)) as _cand_mean,
+        (f"{p}_groups", f"""select b.*, coalesce(b._bench_value, gm._m, (select avg(_bench_value) from {p}_bench)) as _cand_mean,
             coalesce(b._bench_value, gd._d, (select median(_bench_value) from {p}_bench)) as _cand_median
           from {p}_bench b
           left join (select machine_id_std, avg(_bench_value) as _m from {p}_bench group by 1) gm using (machine_id_std)
           left join (select machine_id_std, median(_bench_value) as _d from {p}_bench group by 1) gd using (machine_id_std)"""),
+        *_regression_ctes(p),
+    ]
+
+
+def _regression_ctes(p: str) -> list[tuple[str, str]]:
+    """Least squares by residuals: each centred feature loses its projections on the ones before (Gram-Schmidt), over observed rows."""
+    seen = "filter (where _obs) over ()"
+    out = [
+        (f"{p}_feat", f"""select g.*, _bench_value is not null as _obs, c._x1, cast(hour(event_ts) as double) as _x2,
+            cast(isodow(event_ts) - 1 as double) as _x3, cast(month(event_ts) as double) as _x4, cast(floor(epoch(event_ts) / 3600) as double) as _x5
+          from {p}_groups g left join (select machine_id_std, cast(dense_rank() over (order by machine_id_std) - 1 as double) as _x1
+            from (select distinct machine_id_std from {p}_groups)) c using (machine_id_std)"""),
+        (f"{p}_z", "select *, " + ", ".join(f"_x{i} - avg(_x{i}) {seen} as _z{i}" for i in range(1, 6)) + f", avg(_bench_value) {seen} as _y0 from {p}_feat"),
+        (f"{p}_q1", f"select *, _z1 as _q1 from {p}_z"),
     ]
+    for i in range(2, 6):
+        minus = " ".join(f"- coalesce(sum(_z{i} * _q{j}) {seen} / nullif(sum(_q{j} * _q{j}) {seen}, 0), 0) * _q{j}" for j in range(1, i))
+        out.append((f"{p}_q{i}", f"select *, _z{i} {minus} as _q{i} from {p}_q{i - 1}"))
+    plus = " ".join(f"+ coalesce(sum(_bench_value * _q{j}) {seen} / nullif(sum(_q{j} * _q{j}) {seen}, 0), 0) * _q{j}" for j in range(1, 6))
+    return [*out, (f"{p}_cands", f"select *, coalesce(_bench_value, _y0 {plus}) as _cand_iterative from {p}_q5")]
 
 
 def _metrics_ctes(p: str, dataset: str, target: str, lo: float, hi: float) -> list[tuple[str, str]]:
     stack = " union all ".join(
-        f"select is_masked, {target} as _truth, '{m}' as method, _cand_{m} as pred from {p}_cands" for m in ("mean", "median"))
+        f"select is_masked, {target} as _truth, '{m}' as method, _cand_{m} as pred from {p}_cands" for m in impute.METHODS)
     return [
         (f"{p}_stack", stack),
         (f"{p}_m", f"""select method, count(*) filter (where is_masked) as masked_rows,
@@ -368,22 +413,22 @@ def _u(df):
     return impute.arithmetic_hash_unit("event_ts", X.machine_number("machine_id_std"))
 
 
-def _t_metrics(spark, sf, methods=("mean", "median")):
+def _t_metrics(spark, sf, methods=impute.METHODS):
     d = L.chain(spark, sf).t_deduped()
     return impute.evaluate_imputation(d, L.TEMPERATURE_CONTEXT, methods, u=_u(d))
 
 
-def _p_metrics(spark, sf, methods=("mean", "median")):
+def _p_metrics(spark, sf, methods=impute.METHODS):
     d = L.chain(spark, sf).p_deduped()
     return impute.evaluate_imputation(d, L.PRESSURE_CONTEXT, methods, u=_u(d))
 
 
 def _metrics_out(m):
-    return m.select("dataset_name", "target_column", "method", big("masked_rows"), *[r6(c).alias(c) for c in _METRIC_COLS])
+    return m.select("dataset_name", "target_column", "method", big("masked_rows"), *[F.round(c, 4).alias(c) for c in _METRIC_COLS])
 
 
 _METRICS_SQL = ", ".join(["dataset_name", "target_column", "method", "cast(masked_rows as bigint) as masked_rows"]
-                         + [s6(c, c) for c in _METRIC_COLS])
+                         + [f"round({c}, 4) as {c}" for c in _METRIC_COLS])
 
 
 @register("w14_masked_sample", oracle(
@@ -418,9 +463,9 @@ def q_m03(spark, sf):
 
 
 @register("a09_imputation_errors", oracle(
-    "select method, round(mae, 6) as mae, round(rmse, 6) as rmse, round(medae, 6) as medae, round(bias, 6) as bias from ti_metrics", _IMP_CTES))
+    "select method, round(mae, 4) as mae, round(rmse, 4) as rmse, round(medae, 4) as medae, round(bias, 4) as bias from ti_metrics", _IMP_CTES))
 def q_a09(spark, sf):
-    return _t_metrics(spark, sf).select("method", *[r6(c).alias(c) for c in ("mae", "rmse", "medae", "bias")])
+    return _t_metrics(spark, sf).select("method", *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "medae", "bias")])
 
 
 @register("a10_out_of_range_rate", oracle(
@@ -430,9 +475,9 @@ def q_a10(spark, sf):
 
 
 @register("a11_distribution_drift", oracle(
-    "select method, round(distribution_drift, 6) as distribution_drift from ti_metrics", _IMP_CTES))
+    "select method, round(distribution_drift, 4) as distribution_drift from ti_metrics", _IMP_CTES))
 def q_a11(spark, sf):
-    return _t_metrics(spark, sf).select("method", r6("distribution_drift").alias("distribution_drift"))
+    return _t_metrics(spark, sf).select("method", F.round("distribution_drift", 4).alias("distribution_drift"))
 
 
 _CHOICE_SQL = ("select dataset_name, target_column, method as recommended_method, "
@@ -476,13 +521,13 @@ def q_m01(spark, sf):
     return f.select("machine_id_std", "event_ts", *regression.FEATURES)
 
 
-@register("m02_regression_impute")
+@register("m02_regression_impute", oracle(
+    "select machine_id_std, event_ts, is_masked, round(_cand_iterative, 4) as candidate from ti_cands", _IMP_CTES))
 def q_m02(spark, sf):
-    """Least-squares fill of the masked values (no SQL closed form; rows-only check + unit test)."""
     d = L.chain(spark, sf).t_deduped()
     m = impute.mask_observed(d, L.TEMPERATURE_CONTEXT, _u(d))
     out = regression.regression_fill(m, "_bench_value", "machine_id_std", "event_ts", "candidate")
-    return out.select("machine_id_std", "event_ts", "is_masked", r6("candidate").alias("candidate"))
+    return out.select("machine_id_std", "event_ts", "is_masked", F.round("candidate", 4).alias("candidate"))
 
 
 @register("d02_dropped_incident_hours", oracle(

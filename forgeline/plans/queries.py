@@ -122,7 +122,7 @@ _INT_COLS = ["incident_count_prev_24h", "incident_max_severity_prev_24h", "incid
              *[f"{f}_count_prev_24h" for f in FLAGS]]
 
 
-_RAW_INT = {"incident_count_1h", "incident_max_severity_1h", *FLAGS}
+_RAW_INT = {"incident_count_1h", "incident_max_severity_1h", "temp_missing_count", "pressure_missing_count", *FLAGS}
 
 
 def _gold_cols_spark(cols: list[str]) -> list:
@@ -177,8 +177,8 @@ GOLD_COLUMNS = [
     *[f"label_failure_next_{h}h" for h in (6, 12, 24, 48)], "split_set",
 ]
 _register_gold("m08_gold", GOLD_COLUMNS)
-_register_gold("a01_temperature_hourly", ["temp_mean_1h", "temp_max_1h"])
-_register_gold("a02_pressure_hourly", ["pressure_mean_1h", "pressure_max_1h"])
+_register_gold("a01_temperature_hourly", ["temp_mean_1h", "temp_max_1h", "temp_missing_count"])
+_register_gold("a02_pressure_hourly", ["pressure_mean_1h", "pressure_max_1h", "pressure_missing_count"])
 _register_gold("j01_sensor_hourly_full_outer", ["temp_mean_1h", "pressure_mean_1h", "window_end"])
 _register_gold("w01_rolling_mean", [c for c in _ROLL if "_mean_" in c])
 _register_gold("w02_rolling_max", [c for c in _ROLL if "_max_" in c])

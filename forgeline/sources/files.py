@@ -9,12 +9,13 @@ is prefix-summed and added to the position inside each partition.
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from forgeline.sources import fs
+
 # Fixed values that must equal the reference for right results.
 SOURCE_STEMS = {
     "temperature": "capteurs_temperature",
@@ -25,23 +26,17 @@ DELIMITER_CANDIDATES = [";", ",", "\t", "|"]
 
 
 # S01 / S02 ---------------------------------------------------------------
-def find_source_files(data_dir: str, spark: SparkSession | None = None) -> dict[str, str]:
+def find_source_files(data_dir: str, spark: SparkSession) -> dict[str, str]:
     """``{kind: path}`` by file stem; dotfiles skipped, last sorted match wins.
 
-    With a session the folder is listed through Hadoop's FileSystem (any
-    shared store); without one, through the local file system.
+    The stem is the name without its last suffix, so ``x.csv.bak`` is not
+    ``x``.  The folder is listed through Hadoop's FileSystem (any shared store).
     """
-    if spark is not None:
-        from forgeline.sources import fs
-
-        entries = [(name, path) for name, path, _ in fs.list_names(spark, data_dir)]
-    else:
-        entries = [(os.path.basename(p), p) for p in sorted(glob.glob(os.path.join(data_dir, "*")))]
     found: dict[str, str] = {}
-    for name, path in entries:
+    for name, path, _ in fs.list_names(spark, data_dir):
         if name.startswith("."):
             continue
-        stem = name.split(".")[0]
+        stem = os.path.splitext(name)[0]
         for kind, want in SOURCE_STEMS.items():
             if stem == want:
                 found[kind] = path
@@ -68,11 +63,15 @@ def sniff_delimiter(spark: SparkSession, path: str, default: str = ",") -> str:
 
 # S04 / S06 / S07 ---------------------------------------------------------
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """All-string scan with stripped header names, blanks kept as ''."""
+    """All-string scan with stripped header names, blanks kept as ''.
+
+    A folder's files must agree in their header line: another column order
+    raises instead of being read into the wrong columns.
+    """
     sep = sep or sniff_delimiter(spark, path)
     df = (
         spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-        .option("emptyValue", "").option("nullValue", None).option("mode", "PERMISSIVE")
+        .option("emptyValue", "").option("nullValue", None).option("mode", "PERMISSIVE").option("enforceSchema", False)
         .csv(path)
     )
     df = df.toDF(*[c.strip() for c in df.columns])
@@ -95,8 +94,8 @@ def with_file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
     blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # one row per file block: bounded by the number of input splits
-    return tagged.join(F.broadcast(offsets), ["_file", "_block"]).withColumn(
+    # one row per file block; no hint: its size is that of the input's splits, AQE measures it
+    return tagged.join(offsets, ["_file", "_block"]).withColumn(
         out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("bigint")
     ).drop("_file", "_block", "_mid", "_first", "_off")
 
@@ -156,9 +155,6 @@ WEATHER_SCHEMA = ("observed_at timestamp_ntz, temp_celsius double, humidity_pct
 
 def read_weather_store(spark: SparkSession, path: str) -> DataFrame:
     """Stored hourly weather, or an empty frame with the schema."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(WEATHER_SCHEMA).parquet(path)
-    except AnalysisException:  # path does not exist yet
+    if not fs.exists(spark, path):
         return spark.createDataFrame([], WEATHER_SCHEMA)
+    return spark.read.schema(WEATHER_SCHEMA).parquet(path)

@@ -26,8 +26,8 @@ _MC = "lpad(cast(user_id % 15 + 1 as string), 2, '0')"
 TEMPERATURE_RAW_SQL = f"""
 select event_id as row_number,
   case event_id % 6 when 0 then 'MACH_' || {_MC} when 2 then 'M-' || {_MC} else 'MACH-' || {_MC} end as machine_id_raw,
-  cast(date_trunc('hour', ts) as string) as timestamp_raw,
-  case when event_id % 40 = 0 then '' when event_id % 194 = 2 then 'abc'
+  case when event_id % 58 = 0 then chr(9) else '' end || cast(date_trunc('hour', ts) as string) as timestamp_raw,
+  case when event_id % 80 = 0 then chr(9) || ' ' when event_id % 40 = 0 then '' when event_id % 194 = 2 then 'abc'
        when user_id % 15 % 3 = 0 and day(ts) between 6 and 9
          then cast(round((28 + (event_id % 21) * 0.5) * 1.8 + 32, 2) as string)
        else cast(28 + (event_id % 21) * 0.5 as string) end as temperature_raw
@@ -75,11 +75,11 @@ select event_id as row_number,
 from {{events}} where event_type = 'error'
 """
 
-# W: daily ambient weather (historic part, before 2000-08-01).
+# W: daily ambient weather, every order day.
 WEATHER_DAILY_SQL = """
 select cast(o_orderdate as date) as day, avg(o_custkey % 400) / 10.0 as temp_celsius,
   1000 + count(*) as pressure_hpa, avg(o_custkey % 40) as wind_kmh
-from {orders} where o_orderdate < timestamp '2000-08-01 00:00:00' group by cast(o_orderdate as date)
+from {orders} group by cast(o_orderdate as date)
 """
 
 # Weather page cells as text, one row per order day, as scraped from a
@@ -133,14 +133,3 @@ def weather_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_for_duckdb(template: str) -> str:
     """The same view text with plain table names, for the DuckDB oracle."""
     return template.format(events="events", orders="orders")
-
-
-def oracle_ctes() -> str:
-    """``WITH`` prefix defining the raw views for oracle queries."""
-    return (
-        "with t_raw as (" + sql_for_duckdb(TEMPERATURE_RAW_SQL) + "),\n"
-        "p_raw as (" + sql_for_duckdb(PRESSURE_RAW_SQL) + "),\n"
-        "i_raw as (" + sql_for_duckdb(INCIDENT_RAW_SQL) + "),\n"
-        "w_daily as (" + sql_for_duckdb(WEATHER_DAILY_SQL) + "),\n"
-        "w_cells as (" + sql_for_duckdb(WEATHER_CELLS_SQL) + ")\n"
-    )

@@ -32,3 +32,12 @@ def list_names(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
         return []
     out = [(st.getPath().getName(), st.getPath().toString(), int(st.getLen())) for st in fs.listStatus(p)]
     return sorted(out)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, latest modification time) of a file or of a folder's files."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0, 0
+    files = list(fs.listStatus(p))
+    return sum(int(f.getLen()) for f in files), max((int(f.getModificationTime()) for f in files), default=0)

@@ -12,7 +12,10 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS
+from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS, blank_to_null, ordinal_hours
+
+from forgeline.operators.dims import lookup
+from forgeline.operators.validate import pseudonymise
 
 FACT_TABLES = [
     "bronze_temperature", "bronze_pressure", "bronze_incident", "bronze_weather",
@@ -25,9 +28,15 @@ def table_path(root: str, name: str) -> str:
 
 
 # K01 ---------------------------------------------------------------------
+def stripped(validated: DataFrame) -> DataFrame:
+    """Raw text as Bronze keeps it: stripped, blank cells as NULL."""
+    text = [f.name for f in validated.schema.fields if f.dataType.simpleString() == "string" and f.name not in ("source_file", "rejected_reason")]
+    return validated.withColumns({c: blank_to_null(c) for c in text})
+
+
 def bronze_rows(validated: DataFrame, batch_id: str) -> DataFrame:
     """Every row, accepted or not, with the batch id."""
-    return validated.withColumn("ingestion_batch_id", F.lit(batch_id))
+    return stripped(validated).withColumn("ingestion_batch_id", F.lit(batch_id))
 
 
 def write_bronze(validated: DataFrame, root: str, name: str, batch_id: str, mode: str = "append") -> DataFrame:
@@ -38,10 +47,10 @@ def write_bronze(validated: DataFrame, root: str, name: str, batch_id: str, mode
 
 # K02 ---------------------------------------------------------------------
 def bronze_weather_rows(weather: DataFrame, batch_id: str) -> DataFrame:
-    """Stringified metrics + ``is_imputed``; all rows accepted."""
+    """Stringified metrics + ``is_imputed``; all rows accepted.  Rows are one per hour, numbered by it."""
     return weather.select(
         F.lit(batch_id).alias("ingestion_batch_id"),
-        F.monotonically_increasing_id().alias("row_number"),
+        (ordinal_hours("observed_at") - weather.agg(F.min(ordinal_hours("observed_at"))).scalar() + 1).alias("row_number"),
         F.col("observed_at").cast("string").alias("timestamp_raw"),
         F.col("temp_celsius").cast("string").alias("temp_raw"),
         F.col("humidity_pct").cast("string").alias("humidity_raw"),
@@ -68,9 +77,24 @@ def write_silver_sensors(silver: DataFrame, root: str, batch_id: str) -> None:
         table_path(root, "silver_sensor_reading"))
 
 
-def silver_incident_rows(incidents: DataFrame, batch_id: str) -> DataFrame:
+def operator_key(salt: str | None = None):
+    """The stored operator key: the clear name, or with a salt its pseudonym."""
+    return pseudonymise("operator_name_clean", salt) if salt else F.col("operator_name_clean")
+
+
+def silver_incident_rows(incidents: DataFrame, batch_id: str, operators: DataFrame | None = None, machines: DataFrame | None = None,
+                         salt: str | None = None) -> DataFrame:
+    """K05; with the dimensions, operator and machine ids are looked up (unknown operators stay NULL)."""
+    incidents = incidents.drop("machine_id").withColumn("operator_key", operator_key(salt))  # the raw machine text gives way to the id
+    ids = []
+    if operators is not None:
+        incidents = lookup(incidents, operators, "operator_key", "operator_key", "operator_id", "left")
+        ids.append("operator_id")
+    if machines is not None:
+        incidents = lookup(incidents, machines, "machine_id_std", "machine_code", "machine_id", "left")
+        ids.append("machine_id")
     return incidents.select(
-        F.col("incident_id").alias("incident_code"), "machine_id_std", F.col("operator_name_clean").alias("operator_key"),
+        F.col("incident_id").alias("incident_code"), "machine_id_std", "operator_key", *ids,
         F.col("event_ts").alias("occurred_at"), F.col("severity").cast("short").alias("severity"), "shift",
         F.col("comment_clean").alias("comment"), F.lit(True).alias("is_label_event"),
         *[F.col(c).cast("short").alias(c) for c in INCIDENT_TYPE_COLUMNS], F.lit(batch_id).alias("ingestion_batch_id"),
@@ -97,15 +121,11 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
     w.parquet(table_path(root, name))
 
 
-def gold_partitioned(gold_table: DataFrame) -> DataFrame:
-    """Gold partitioned by month of ``window_start`` for pruning."""
-    return gold_table.withColumn("month", F.date_format("window_start", "yyyy-MM"))
-
-
 # K09 ---------------------------------------------------------------------
-def write_artifact_csv(df: DataFrame, run_dir: str, name: str) -> str:
+def write_artifact_csv(df: DataFrame, run_dir: str, name: str, one_file: bool = False) -> str:
+    """One folder of CSV files; ``one_file`` only for tables of bounded size (one row per method, a top-k preview)."""
     path = os.path.join(run_dir, name)
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -10,14 +10,14 @@ SF = os.environ.get("FORGELINE_ORACLE_SF", "/root/testdata/sf0.001")
 
 
 def _names():
-    from __spark_entry__ import queries
+    from forgeline.plans.queries import queries
 
     return sorted(queries())
 
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF, verbose=False)
+    return compare(spark, SF, _names(), verbose=False)
 
 
 @pytest.mark.parametrize("name", _names())

@@ -7,6 +7,8 @@ from forgeline.plans import pipeline
 from forgeline.plans import layers as L
 from forgeline.sources import files
 
+import pytest
+
 
 def test_file_row_number_is_file_order(spark, tmp_path):
     p = tmp_path / "capteurs_temperature.csv"
@@ -32,7 +34,7 @@ def test_run_from_files(spark):
     assert counts["bronze_temperature"] == t.count()
     assert counts["bronze_incident"] == i.count()
     assert counts["gold_machine_hourly_feature"] > 0
-    assert counts["temperature_method"] in ("mean", "median")
+    assert counts["temperature_method"] in ("mean", "median", "iterative")
     gold = spark.read.parquet(os.path.join(out, "gold_machine_hourly_feature"))
     assert "machine_id" in gold.columns and dict(gold.dtypes)["temp_mean_24h"] == "decimal(12,3)"
     decisions = spark.read.option("header", True).csv(os.path.join(arts, "imputation_decisions"))
@@ -42,6 +44,57 @@ def test_run_from_files(spark):
     assert all(r.started_at <= r.finished_at for r in ledger)
 
 
+def test_sources_need_exact_stems_and_equal_headers(spark, tmp_path):
+    for name in ("capteurs_temperature.csv", "capteurs_temperature.csv.bak", "capteurs_temperature.old.csv", ".capteurs_pression.tsv"):
+        (tmp_path / name).write_text("machine_id,timestamp,temperature\n")
+    found = files.find_source_files(str(tmp_path), spark)
+    assert [p.rsplit("/", 1)[1] for p in found.values()] == ["capteurs_temperature.csv"]
+    with pytest.raises(FileNotFoundError, match="incident, pressure"):
+        files.require_sources(found)
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts" / "a.csv").write_text("machine_id,temperature\nM-1,2\n")
+    (tmp_path / "parts" / "b.csv").write_text("temperature,machine_id\n2,M-1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_delimited(spark, str(tmp_path / "parts"), ",").collect()
+
+
+def test_checkpoint_folder_must_be_shared():
+    from types import SimpleNamespace
+
+    from forgeline.session import checkpoint_dir
+
+    def session(master, configured=None, made=None):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[0] if made else None, setCheckpointDir=lambda d: made.append(d),
+                             getConf=lambda: SimpleNamespace(get=lambda *a: configured))
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session(master, made=[]))
+    assert checkpoint_dir(session("local[2]", made=[]))
+    assert checkpoint_dir(session("yarn", "hdfs://x/y", [])) == "hdfs://x/y"
+
+
+def test_reject_reasons_fit_their_column():
+    import re
+    from pathlib import Path
+
+    from forgeline.operators import validate
+
+    codes = re.findall(r'\("([a-z_]+)", ', Path(validate.__file__).read_text())
+    assert len(codes) > 10 and len(";".join(codes)) <= validate.MAX_REASON_CHARS
+
+
+def test_dimension_ids_are_kept(spark, tmp_path):
+    from forgeline.operators import dims
+
+    path = str(tmp_path / "dim")
+    keys = lambda *k: spark.createDataFrame([(x,) for x in k], "machine_code string")
+    first = {r.machine_code: r.machine_id for r in dims.synced(spark, path, dims.machine_seed(spark), keys("MACH-20", "MACH-01"), "machine_code", "machine_id").collect()}
+    second = {r.machine_code: r.machine_id for r in dims.synced(spark, path, dims.machine_seed(spark), keys("MACH-17", "MACH-20", None), "machine_code", "machine_id").collect()}
+    assert first["MACH-20"] == 16 and second == {**first, "MACH-17": 17}
+
+
 def test_file_row_number_many_files_and_blocks(spark, tmp_path):
     """Several files, each split into several blocks, several small files per task."""
     for k in range(3):

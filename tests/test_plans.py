@@ -14,14 +14,14 @@ def _plan(df) -> str:
 
 
 def _names():
-    from __spark_entry__ import queries
+    from forgeline.plans.queries import queries
 
     return sorted(queries())
 
 
 @pytest.mark.parametrize("name", _names())
 def test_no_cartesian_products(spark, name):
-    from __spark_entry__ import queries
+    from forgeline.plans.queries import queries
 
     plan = _plan(queries()[name](spark, SF))
     assert not any(op in plan for op in FORBIDDEN), plan
@@ -58,7 +58,7 @@ def test_gold_plan_shuffles_hourly_rows_only(spark):
     assert not any(op in plan for op in FORBIDDEN)
 
 
-def test_dedup_is_one_partial_aggregate(spark):
+def test_dedup_computes_medians_for_repeated_keys_only(spark):
     from forgeline.operators.dedup import dedup_sensor
 
     c = L.FixtureChain(spark, SF)
@@ -67,9 +67,25 @@ def test_dedup_is_one_partial_aggregate(spark):
         plan = _plan(dedup_sensor(c.p_parsed(), "pressure_bar"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "Window" not in plan
-    assert plan.count("Exchange hashpartitioning(machine_id_std") == 1
-    assert "partial_" in plan
+    assert "Window" not in plan and "partial_" in plan
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    # the percentile aggregate stands above the semi join, the pass-through rows beside it
+    assert plan.index("percentile") < plan.index("LeftSemi")
+
+
+def test_quantiles_never_gather_a_group(spark):
+    """No percentile over raw values; only buckets and their distinct values are ordered."""
+    from forgeline.functions.quantiles import exact_quantiles
+    from forgeline.operators import impute, profile, units
+
+    c = L.FixtureChain(spark, SF)
+    t = c.t_parsed()
+    frames = [units.machine_baseline(t), impute.group_fill(t, "temperature", "machine_id_std", "median", "f"),
+              profile.numeric_profile(t, "t", ["temperature"]), profile.global_iqr_alerts(t, "temperature"), exact_quantiles(t, "temperature", [0.5])]
+    for df in frames:
+        plan = _plan(df)
+        assert "percentile" not in plan and "median(" not in plan
+        assert all("_b" in ln for ln in _window_lines(plan))
 
 
 def _window_lines(plan: str) -> list[str]:

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from forgeline.functions import expr as X
 from forgeline.operators import weather as WX
 
 PAGE = """<html><body><table><tr><td>ignored</td></tr></table>
@@ -29,6 +30,30 @@ def test_page_rows_and_daily_records(spark):
     assert (rec[1].temp_celsius, rec[1].pressure_hpa, rec[1].wind_speed_ms) == (None, 1000.0, None)
 
 
+def test_tags_in_either_case_and_entities(spark):
+    html = '<DIV CLASS="toprint"><TABLE><TR><TD>Jeu.&nbsp;01</TD><TD>&nbsp;13,5&nbsp;&deg;C </TD><TD>a &amp;lt; b</TD></TR></TABLE></DIV>'
+    got = WX.page_table_rows(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
+    assert [r.cells for r in got] == [["Jeu. 01", "13,5 °C", "a &lt; b"]]
+    assert spark.range(1).select(X.locale_number(F.lit("13,5 °C"))).first()[0] == 13.5
+
+
+def test_store_refresh_keeps_other_months(spark, tmp_path):
+    path = str(tmp_path / "store")
+    page = lambda t: ('<div class="toprint"><table>' + "".join(f"<tr><td>{d}</td><td></td><td></td><td>{t}</td><td>36</td>" + "<td></td>" * 3
+                      + "<td>1000</td><td>1010</td></tr>" for d in range(1, 28)) + "</table></div>")
+    pages = spark.createDataFrame([(2024, 1, page(5)), (2024, 2, page(7))], "year int, month int, html string")
+    bounds = lambda a, b: spark.createDataFrame([(a, b)], "start_date date, end_date date")
+    first = WX.refresh_store(bounds(dt.date(2024, 1, 20), dt.date(2024, 1, 30)), pages, path).collect()
+    assert len(first) == 11 * 24 and sum(r.is_imputed for r in first) == 3 * 24 and {r.temp_celsius for r in first} == {5.0}
+    changed = spark.createDataFrame([(2024, 1, page(99)), (2024, 2, page(7))], "year int, month int, html string")
+    second = WX.refresh_store(bounds(dt.date(2024, 1, 25), dt.date(2024, 2, 2)), changed, path).collect()
+    assert {r.temp_celsius for r in second if r.observed_at.month == 1 and r.observed_at.day < 31} == {5.0}  # stored hours win
+    assert {r.temp_celsius for r in second if r.observed_at.month == 2} == {7.0}
+    from forgeline.sources.files import read_weather_store
+
+    assert read_weather_store(spark, path).count() == (31 + 27) * 24
+
+
 def test_hourly_expansion_monthly_fill_and_merge(spark):
     daily = spark.createDataFrame([(dt.date(2025, 1, 1), 5.0, 1000.0, 2.0), (dt.date(2025, 1, 3), 7.0, 1010.0, 4.0)],
                                   "day date, temp_celsius double, pressure_hpa double, wind_speed_ms double")
