@@ -229,6 +229,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             named = shared.join(label, F.col("doc_id") == F.col("__m")).drop("__m")
             apart = named.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select(F.col("key").alias("__k"))
             shared = stored(named.join(apart, F.col("key") == F.col("__k")).drop("__k"), "open")
+            if shared.isEmpty():
+                break
             if centre:
                 at = label.select(F.col("__m").alias("__h"), F.col("comp").alias("__hc"))
                 pairs = shared.where(F.col("doc_id") != F.col(centre)).join(at, F.col(centre) == F.col("__h")).where("comp != __hc")
@@ -237,8 +239,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 other = shared.select(F.col("key").alias("__k"), F.col("doc_id").alias("y"), F.col("comp").alias("__c"))
                 pairs = shared.join(other, F.col("key") == F.col("__k")).where("doc_id < y and comp != __c").select(F.col("doc_id").alias("x"), "y")
             shared = shared.drop("comp")
-        links = links.unionByName(_links(pairs.distinct(), member, texts))
-        comps = components(links)
+        found = _links(pairs.distinct(), member, texts)
+        if comps is None or not found.isEmpty():
+            links = links.unionByName(found)
+            comps = components(links)
 
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("__c"))
     label = label.groupBy("__m").agg(F.min("__c").alias("__c"))
