@@ -22,11 +22,14 @@ empty result; other columns are passed through, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TEMPERATURE = 0.7
 KEEP_SHARE = 0.8
@@ -38,20 +41,38 @@ NULL = "\0null"
 _DIMS = ("__source", "__language", "__topic")
 
 
-def token_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+# Fixed bytes whose share tells forms of text apart.
+_SIGNS = b"0123456789#$%&*+=<>{}|"
+_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def topic_of(text: Column) -> Column:
+def topic_of(text: str | None) -> str:
     """A coarse topic from a text's form, for tables without one: legal, symbols, capitals, lines or prose."""
-    size = F.greatest(F.length(text), F.lit(1))
-    share = lambda pattern: F.length(F.regexp_replace(text, pattern, "")) / size
-    return (F.when(text.isNull(), F.lit("none"))
-            .when(text.rlike(r"(?i)licen[sc]e|copyright"), F.lit("legal"))
-            .when(share(r"[^0-9#$%&*+=<>{}|]+") > 0.04, F.lit("symbols"))
-            .when(share(r"[^\p{Lu}]+") > 0.4, F.lit("capitals"))
-            .when(size < 60 * (1 + F.regexp_count(text, F.lit("\n"))), F.lit("lines"))
-            .otherwise(F.lit("prose")))
+    if text is None:
+        return "none"
+    data = text.encode()
+    size, low = max(len(data), 1), data.lower()
+    if b"license" in low or b"licence" in low or b"copyright" in low:
+        return "legal"
+    if size - len(data.translate(None, _SIGNS)) > 0.04 * size:
+        return "symbols"
+    if size - len(data.translate(None, _CAPITALS)) > 0.4 * size:
+        return "capitals"
+    return "lines" if size < 60 * (1 + data.count(b"\n")) else "prose"
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """``docs`` with __form (the topic by form) and __tokens (words) of every whole text."""
+    at = docs.columns.index("text")
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([topic_of(t) for t in texts], pa.string()), pa.array([len((t or "").encode().split()) for t in texts], pa.int64())],
+                names=[*batch.schema.names, "__form", "__tokens"])
+
+    return docs.mapInArrow(describe, T.StructType([*docs.schema.fields, T.StructField("__form", T.StringType()), T.StructField("__tokens", T.LongType())]))
 
 
 @dataclass(frozen=True)
@@ -98,12 +119,13 @@ def rake(cells: list[tuple[str, ...]], tokens: np.ndarray, targets: list[dict[st
     return Raked(p, n, worst)
 
 
-def calibrated(docs: DataFrame, source: Column, language: Column, topic: Column, targets: dict[str, dict[str, float]] | None = None,
+def calibrated(docs: DataFrame, source: Column, language: Column, topic: Column | None = None, targets: dict[str, dict[str, float]] | None = None,
                keep_share: float = KEEP_SHARE, temperature: float = TEMPERATURE) -> DataFrame:
-    """``docs`` with __source, __language, __topic, __tokens, __probability and __kept."""
+    """``docs`` with __source, __language, __topic (by form unless given), __tokens, __probability and __kept."""
     spark = docs.sparkSession
+    topic = F.col("__form") if topic is None else topic
     named = [F.coalesce(c.cast("string"), F.lit(NULL)).alias(d) for d, c in zip(_DIMS, (source, language, topic), strict=True)]
-    rows = docs.select("*", *named, token_count(F.col("text")).alias("__tokens"))
+    rows = described(docs).select("*", *named).drop("__form")
     sums = rows.groupBy(*_DIMS).agg(F.sum("__tokens").alias("t")).limit(MAX_CELLS + 1).collect()
     if len(sums) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic: use coarser categories")
@@ -126,5 +148,5 @@ def calibrated(docs: DataFrame, source: Column, language: Column, topic: Column,
 
 def sampled(docs: DataFrame, **options) -> DataFrame:
     """The documents drawn, all their columns: source and lang columns, topic by form."""
-    rows = calibrated(docs, F.col("source"), F.col("lang"), topic_of(F.col("text")), **options)
+    rows = calibrated(docs, F.col("source"), F.col("lang"), **options)
     return rows.where("__kept").select(*docs.columns)

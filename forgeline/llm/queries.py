@@ -67,7 +67,7 @@ def op8_sharding(spark, sf_dir):
 
 @register
 def op9_mixing(spark, sf_dir):
-    rows = mixing.calibrated(documents(spark, sf_dir), F.col("source"), F.col("lang"), mixing.topic_of(F.col("text")))
+    rows = mixing.calibrated(documents(spark, sf_dir), F.col("source"), F.col("lang"))
     return rows.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"),
                        F.col("__probability").alias("probability"), F.col("__kept").alias("kept"))
 

@@ -54,6 +54,8 @@ def test_sample_follows_targets(frame):
 
 def test_edge_cases(frame):
     docs = frame([(None, None), (None, ""), (1, None), (2, "a b"), (2, "a b"), (3, "x " * 50000)])
-    assert X.calibrated(docs, F.col("source"), F.col("lang"), X.topic_of(F.col("text"))).count() == 6
+    assert X.calibrated(docs, F.col("source"), F.col("lang")).count() == 6
+    assert [X.topic_of(t) for t in (None, "", "see the LICENSE here", "1 2 3 4 # 5", "ALL THE CAPITALS IN ONE", "word " * 40)] == [
+        "none", "lines", "legal", "symbols", "capitals", "prose"]
     assert X.sampled(frame([(1, None), (2, "")])).count() == 2
     assert X.sampled(frame([])).count() == 0
