@@ -51,7 +51,7 @@ def topic_of(text: str | None) -> str:
     if text is None:
         return "none"
     data = text.encode()
-    size, low = max(len(data), 1), data.lower()
+    size, low = len(data), data.lower()
     if b"license" in low or b"licence" in low or b"copyright" in low:
         return "legal"
     if size - len(data.translate(None, _SIGNS)) > 0.04 * size:
