@@ -377,7 +377,7 @@ def run_oracle(final_select: str) -> str:
 
 
 @register("k10_run_gold", run_oracle(
-    "select g.machine_id_std, g.window_start, cast(cast(cast(g.temp_mean_24h as varchar) as decimal(12,3)) as double) as temp_mean_24h, "
+    "select g.machine_id_std, g.window_start, cast(cast(cast(g.temp_max_24h as varchar) as decimal(12,3)) as double) as temp_max_24h, "
     "cast(cast(cast(g.pressure_max_6h as varchar) as decimal(12,3)) as double) as pressure_max_6h, "
     "cast(g.incident_count_prev_24h as bigint) as incident_count_prev_24h, coalesce(g.future_incident_count_24h > 0, false) as label_failure_next_24h, "
     "g.split_set, cast(cast(cast(w.temp_celsius as varchar) as decimal(8,2)) as double) as ambient_temp_c, cast(d.machine_id as bigint) as machine_id from g_split g "
@@ -386,7 +386,7 @@ def q_k10_gold(spark, sf):
     """Values of the run's stored Gold table (made of rounded Silver), with ambient columns and machine ids."""
     g = _run_table(spark, sf, "gold_machine_hourly_feature")
     number = lambda c: F.col(c).cast("double").alias(c)
-    return g.select("machine_id_std", "window_start", number("temp_mean_24h"), number("pressure_max_6h"), big("incident_count_prev_24h"),
+    return g.select("machine_id_std", "window_start", number("temp_max_24h"), number("pressure_max_6h"), big("incident_count_prev_24h"),
                     "label_failure_next_24h", "split_set", number("ambient_temp_c"), big("machine_id"))
 
 
