@@ -23,7 +23,9 @@ centre per group; a second, parity sketch of one bit per hash slot (its
 Hamming distance never exceeds the symmetric difference) and the sizes sift
 the pairs, and the survivors are verified on their shingles.  Groups that
 still span several components are tried against other centres, and what then
-remains is paired exhaustively, so no link that a shared group shows is lost.
+remains is compared exhaustively, block by block, without a row per pair: only
+pairs that sizes and sketches allow leave a task.  No link that a shared group
+shows is lost.
 
 Equal texts (after folding) form a class under the smallest ``doc_id`` and are
 compared once.
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.llm.common import WordHashes, mixed, shingle_hashes, stored
@@ -51,6 +53,7 @@ PLAIN_BELOW = 64
 GROUPS = 96
 SURE = 12  # groups that linked sets share at least
 FREQUENT = 16  # documents of a group that is worth dropping
+BLOCK = 4096  # documents of a group that are compared in one cell
 SEEN = 200_000  # classes a task remembers, so that it emits a copied text once
 
 _CLASSES = "doc_id long, class binary, n long, sketch binary"
@@ -163,6 +166,52 @@ def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _near_within(rows: pa.Table) -> pa.Table:
+    """Pairs of different components within one cell of a group that sizes and sketches don't rule out."""
+    side, doc, comp, n = (rows[c].to_numpy() for c in ("side", "doc_id", "comp", "n"))
+    bits = [np.frombuffer(s, np.uint8) for s in rows["sketch"].to_pylist()]
+    width = min(map(len, bits))
+    for i, b in enumerate(bits):
+        while len(b) > width:
+            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+        bits[i] = b
+    table = np.stack(bits).view(np.uint64)  # widths are powers of two from 8 bytes on
+    one_block = rows["i"][0].as_py() == rows["j"][0].as_py()
+    found: list[tuple[np.ndarray, int]] = []
+    for k in range(len(doc)):
+        if one_block:
+            others = np.flatnonzero((comp != comp[k]) & (doc > doc[k]))
+        elif side[k] == 0:
+            others = np.flatnonzero((comp != comp[k]) & (side == 1))
+        else:
+            continue
+        others = others[(4 * np.maximum(n[others], n[k]) <= 5 * np.minimum(n[others], n[k]))]
+        if len(others):
+            apart = np.bitwise_count(table[others] ^ table[k]).sum(axis=1)
+            others = others[apart <= difference(n[others], n[k])]
+            if len(others):
+                found.append((doc[others], int(doc[k])))
+    y = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64)
+    x = np.repeat(np.array([f[1] for f in found], np.int64), [len(f[0]) for f in found]) if found else y
+    return pa.table({"x": pa.array(x), "y": pa.array(y)})
+
+
+def _sifted_within(groups: DataFrame, reps: DataFrame) -> DataFrame:
+    """All likely pairs (x, y) of different components in every group.
+
+    A group is compared in blocks of ``BLOCK`` documents, each pair of blocks
+    one task's cell; only pairs that pass sizes and sketches become rows.
+    """
+    about = reps.groupBy("member").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumnRenamed("member", "__m")
+    rows = groups.join(about.hint("merge"), F.col("doc_id") == F.col("__m"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    rows = rows.select("key", "doc_id", "comp", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    rows = rows.select("key", i.alias("i"), j.alias("j"), (F.col("own") != i).cast("int").alias("side"), "doc_id", "comp", "n", "sketch")
+    return rows.groupBy("key", "i", "j").applyInArrow(_near_within, "x long, y long")
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -209,10 +258,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                          F.count(F.lit(1)).alias("size")).where("lo < hi")
     shared = stored(emitted.join(centres.withColumnRenamed("key", "__k").hint("merge"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
     frequent = F.col("size") > FREQUENT
-    few = shared.groupBy("doc_id", "band").agg(F.count_if(frequent).alias("__f"), F.max("spare").alias("__s")).where("__f > 0 and __f <= __s")
-    few = few.select(F.col("doc_id").alias("__d"), F.col("band").alias("__b"))
-    dropped = shared.where(frequent).join(few, (F.col("doc_id") == F.col("__d")) & (F.col("band") == F.col("__b")), "left_anti")
-    shared = stored(shared.where(~frequent).unionByName(dropped).select("key", "doc_id", "lo", "mid", "hi"), "shared")
+    own_groups = Window.partitionBy("doc_id", "band")  # at most GROUPS or PLAIN_BELOW rows
+    shared = shared.withColumn("__often", F.count_if(frequent).over(own_groups)).where(~frequent | (F.col("__often") > F.col("spare")))
+    shared = stored(shared.select("key", "doc_id", "lo", "mid", "hi", "size"), "shared")
 
     # rows that share a doc_id but not a text are one node
     split = member.groupBy("member").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select(F.col("member").alias("__m"), "a")
@@ -236,8 +284,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 pairs = shared.where(F.col("doc_id") != F.col(centre)).join(at, F.col(centre) == F.col("__h")).where("comp != __hc")
                 pairs = pairs.select(F.col("doc_id").alias("x"), F.col(centre).alias("y"))
             else:
-                other = shared.select(F.col("key").alias("__k"), F.col("doc_id").alias("y"), F.col("comp").alias("__c"))
-                pairs = shared.join(other, F.col("key") == F.col("__k")).where("doc_id < y and comp != __c").select(F.col("doc_id").alias("x"), "y")
+                pairs = _sifted_within(shared, member)
             shared = shared.drop("comp")
         found = _links(pairs.distinct(), member, texts)
         if comps is None or not found.isEmpty():
