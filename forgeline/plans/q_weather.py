@@ -195,10 +195,10 @@ def q_p27(spark, sf):
 
 
 @register("s11_page_table_rows", oracle(
-    "select year, month, row_index, cells from w_page_rows", _W_CTES + PAGE_CTES))
+    "select year, month, row_index, array_to_string(cells, '|') as cells from w_page_rows", _W_CTES + PAGE_CTES))
 def q_s11(spark, sf):
     """Monthly pages written as HTML (upper-case tags, entities, nested caption, decoy tables), parsed back."""
-    return WX.page_table_rows(weather_pages(spark, sf)).select(big("year"), big("month"), big("row_index"), "cells")
+    return WX.page_table_rows(weather_pages(spark, sf)).select(big("year"), big("month"), big("row_index"), F.array_join("cells", "|").alias("cells"))
 
 
 def _gold_weather_cols(g):
