@@ -30,11 +30,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     def same(left: str, right: str):
         return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
-    spans = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    span = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n")]
+    if by:
+        spans = rows.groupBy(*keys).agg(*span)
+        spanned = rows.alias("r").join(spans.alias("s"), same("r", "s")).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_lo", "_hi", "_n")
+    else:  # one span for all rows: a scalar, not a join
+        whole = rows.agg(F.struct(*span)).scalar()
+        spanned = rows.select("*", *[whole.getField(c).alias(c) for c in ("_lo", "_hi", "_n")])
     width = F.col("_hi") - F.col("_lo")
     bucket = F.when(width > 0, F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / width * buckets))).otherwise(F.lit(0))
-    placed = rows.alias("r").join(spans.alias("s"), same("r", "s")).select(
-        *[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_n", bucket.cast("int").alias("_b"))
+    placed = spanned.select(*keys, "_v", "_n", bucket.cast("int").alias("_b"))
 
     ranks = []  # (lower rank, upper rank, weight of the upper value) per wanted quantile
     for p in probs:
