@@ -239,7 +239,7 @@ def _pairs(model: Model):
                     if after >= 0:
                         own.add(text[start : after + 1])
                 n[toxic].update(own)
-            pairs = list(n[0])
+            pairs = list(n[0] | n[1])  # of either class: the clean rows of a pair may lie in other batches
             yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array([n[1][p] for p in pairs], pa.int64()),
                                               pa.array([n[0][p] for p in pairs], pa.int64())], names=["pair", "toxic", "clean"])
 

@@ -50,6 +50,31 @@ def test_learns_and_separates_held_out(spark, frame):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {d for d in got if not got[d].predicted}
 
 
+def test_one_and_many_batches_give_one_model(spark, frame):
+    rows, labels = corpus()
+    # "plain vilebad" is far likelier in toxic rows, "fine grosso" is at home in clean ones
+    more = [(f"plain vilebad u{i} " + "vilebad " * 5, 1) for i in range(40)] + [(f"plain vilebad c{i}", 0) for i in range(10)]
+    more += [(f"fine grosso c{i}", 0) for i in range(10)]
+    more += [(f"{CLEAN[i % 400]} k{i}", 0) for i in range(900)]
+    docs = frame(rows + [(1000 + i, t) for i, (t, _) in enumerate(more)])
+    known = spark.createDataFrame(labels + [(1000 + i, y) for i, (_, y) in enumerate(more)], "doc_id long, toxic int")
+    models = []
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for values in (("1", "10000", "true"), ("4", "1", "false")):
+            for k, v in zip(settings, values, strict=True):
+                spark.conf.set(k, v)
+            models.append(T.fit(docs, known, held_out=3))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    one, many = models
+    assert one.terms == many.terms and one.exceptions == many.exceptions and one.prior == many.prior
+    assert all(abs(a - b) < 1e-6 for a, b in zip(one.coefficients, many.coefficients, strict=True))
+    assert " fine grosso " in one.exceptions and " plain vilebad " not in one.exceptions
+
+
 def test_edge_cases(spark, frame):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = frame([(1, None), (2, ""), (None, "x"), (2, ""), (3, "y " * 50000)])
