@@ -18,6 +18,7 @@ other input columns are ignored.  Texts of any length are tokenised whole.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,7 @@ END_ID = 1
 GAP = 2e-4  # column generation ends this close to the lower bound of sequences, or half a sequence
 UNIT_CACHE = 400_000
 SPECIAL = "<|endoftext|>"
+_TOUCHING = re.compile(r" (?:\s|(?<=\s ))")  # a space beside white space; \s has every character that the tokenizer's has
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -67,14 +69,16 @@ def _encoders(vocabulary: str, reference: str):
 def packed_ids(text: str, units: Units, tokenizer) -> bytes:
     """The ids of a text as packed little-endian 32-bit integers.
 
-    A space after a character that is no space always starts a new pre-token,
-    so a text whose spaces stand alone is the concatenation of its units.
+    A space between characters that are no white space always starts a new
+    pre-token, so a text whose spaces stand alone is the concatenation of its
+    units.  Beside other white space (line ends, tabs, U+00A0) a space can lie
+    inside a token of a run: such a text is encoded whole.
     """
     if not text:
         return b""
     if SPECIAL in text:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    if "  " in text or text[0] == " " or text[-1] == " ":
+    if text[0] == " " or text[-1] == " " or _TOUCHING.search(text):
         return np.array(units.encode(text), dtype="<u4").tobytes()
     first, *rest = text.split(" ")
     return units[first] + b"".join([units[" " + u] for u in rest])

@@ -18,6 +18,18 @@ def test_ids_are_the_tokenizers_ids():
         assert np.frombuffer(P.packed_ids(t or "", units, tokenizer), "<u4").tolist() == want, t
 
 
+def test_spaces_beside_other_white_space():
+    encode, tokenizer = P._encoders("byte_bpe_50k.tiktoken", "byte_bpe_50k.json")
+    units = P.Units(encode)
+    spaces = ["\u00a0", "\n", "\t", "\r\n", "\u2003", "\u3000", "\x85", "\x0b", "\x1c", "\u200b"]
+    texts = [f"price{lead}{(a + b) * n}{tail}end of it" for s in spaces for a, b in ((" ", s), (s, " ")) for n in (1, 2, 3, 4, 8)
+             for lead in ("", " ") for tail in ("", " ")]
+    texts += ["price" + " \u00a0" * 3 + " end", "\u00a0 a", "a \u00a0", "a\n b \n c\t d"]
+    for t in texts:
+        want = tokenizer.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(P.packed_ids(t, units, tokenizer), "<u4").tolist() == want, t
+
+
 def test_every_id_lies_in_one_piece(frame):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, "a  b"), (None, "null id")] + [(100 + i, "some words here " * (i % 50)) for i in range(200)]
     got = P.pack_documents(frame(rows)).collect()
