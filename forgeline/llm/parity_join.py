@@ -304,8 +304,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     values stays; rows without an id or without words all stay.
     """
     near = stored(near_duplicates(docs), "near")
-    gone = near.where("n_shingles > 0 and component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    ids = near.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(
+        F.max((F.col("component_id") != F.col("doc_id")).cast("int")).alias("__gone"), F.count(F.lit(1)).alias("__n"))
+    marked = stored(ids.where("__gone = 1 or __n > 1").select("__id", "__gone"), "marked")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    is_marked = worded & (F.col("doc_id").cast("long") == F.col("__id"))
+    kept = docs.join(marked, is_marked, "left_anti")
+    repeated = marked.where("__gone = 0")
+    if repeated.isEmpty():
+        return kept
+    # one row per id from partial minima, so that no task holds all rows of an id; maps can't be ordered
+    values = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = F.struct(F.xxhash64("text").alias("__hash"), *values)
+    one = docs.join(repeated, is_marked, "left_semi").groupBy(F.col("doc_id").cast("long").alias("__id"))
+    one = one.agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("__row"))
+    return kept.unionByName(one.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns]))
 
 
 def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:

@@ -86,3 +86,20 @@ def test_keep_one_and_edges(frame):
     kept = J.keep_one(docs)
     assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 2, None, 4, 5, 8], key=str)
     assert J.near_duplicates(frame([])).count() == 0 and J.keep_one(frame([])).count() == 0
+
+
+def test_keep_one_keeps_one_row_of_the_smallest_id(frame):
+    base = " ".join(f"q{i}" for i in range(50))
+    # id 1 leads a group and is repeated, with another text too; 20 has no links; 30 has words in one row only; 40 goes, but for its wordless row
+    rows = [(1, base), (1, base), (1, base + " end"), (3, base), (3, base), (20, "alone here"), (20, "alone here"), (20, "quite another text"),
+            (30, "some words"), (30, None), (30, " \n"), (40, base), (40, ""), (None, base), (None, base), (50, "single row")]
+    docs = frame(rows)
+    got = J.keep_one(docs)
+    assert got.columns == docs.columns and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema]
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    alone = [t for d, t in kept if d == 20]
+    lead = [t for d, t in kept if d == 1]
+    assert len(alone) == len(lead) == 1 and (1, lead[0]) in rows and (20, alone[0]) in rows
+    assert [r for r in kept if r[0] not in (1, 20)] == sorted([(30, "some words"), (30, None), (30, " \n"), (40, ""), (None, base), (None, base), (50, "single row")], key=str)
+    again = J.keep_one(frame(rows[::-1]).repartition(5))
+    assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == kept
