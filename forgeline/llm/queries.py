@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import ann, fingerprints, line_dedup, lm, mixing, packing, parity_join, sharding, substrings, toxicity
+from forgeline.llm import ann, fingerprints, line_dedup, lm, merkle, mixing, packing, parity_join, sharding, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,11 @@ from documents d left join (
   select l.doc_id, string_agg(line, chr(10) order by l.i) as text
   from lines l left join gone g on l.doc_id = g.doc_id and l.i = g.i where g.i is null group by l.doc_id) k on d.doc_id = k.doc_id
 """.replace("LONG", str(line_dedup.LONG_WORDS))
+
+
+@register
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+ORACLE["op11_merkle_manifest"] = merkle.oracle_sql()

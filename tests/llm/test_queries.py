@@ -17,7 +17,7 @@ def docs():
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
 
 
 def test_substrings(spark, docs):
