@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from forgeline.llm.common import stored
 
 FAN = 16
-RANGE_ROWS = 100_000  # leaves of a range in which one task numbers rows
+RANGE_ROWS = 1_000_000  # nodes of a range, in which one task numbers rows
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_PATH = "array<struct<before:string,after:string>>"
@@ -59,14 +59,14 @@ def folded(text: Column) -> Column:
 
 
 def leaves(docs: DataFrame) -> DataFrame:
-    """doc_id, source, the row's leaf, and ``now``: the leaf of the row after tampering (the same where it isn't tampered with)."""
+    """doc_id, source, the row's leaf, ``now``: the leaf of the row after tampering (the same where it isn't tampered with), and ``tie``, which spreads equal rows."""
     d = {c: F.col(f"`{c}`") for c in FIELDS}
     d["doc_id"], d["n_chars"] = d["doc_id"].cast("long"), d["n_chars"].cast("long")
     own = leaf(*d.values())
     hit = F.coalesce(F.crc32(F.encode(d["doc_id"].cast("string"), "UTF-8")) % 5 == 0, F.lit(False)) & (folded(d["text"]) != d["text"])
     other = F.when(F.coalesce(hit, F.lit(False)), leaf(*[folded(v) if c == "text" else v for c, v in d.items()]))
     return docs.select(d["doc_id"].alias("doc_id"), d["source"].alias("source"), own.alias("leaf"), other.alias("other")).select(
-        "doc_id", "source", "leaf", F.coalesce("other", "leaf").alias("now"))
+        "doc_id", "source", "leaf", F.coalesce("other", "leaf").alias("now"), F.monotonically_increasing_id().alias("tie"))
 
 
 def placed(nodes: DataFrame, tree: str | None, order: list[str], total: int) -> DataFrame:
@@ -74,7 +74,7 @@ def placed(nodes: DataFrame, tree: str | None, order: list[str], total: int) ->
 
     A window over a tree runs over its ranges' counts, never over its rows.
     """
-    parts = max(1, math.ceil(total / RANGE_ROWS))
+    parts = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / RANGE_ROWS))
     keys = [tree] if tree else []
     ranged = nodes.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in [*keys, *order]])
     ranged = stored(ranged.withColumn("range", F.spark_partition_id()), "ranges")
@@ -159,7 +159,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     """One row per document: leaf, subroot, root, proof digest, and whether the (tampered) row still leads to the root."""
     own = stored(leaves(docs), "leaves")
     total = own.count()
-    own = stored(placed(own, "source", ["doc_id", "leaf"], total).withColumnsRenamed({"source": "tree", "leaf": "digest"}), "placed")
+    own = stored(placed(own, "source", ["doc_id", "leaf", "tie"], total).withColumnsRenamed({"source": "tree", "leaf": "digest"}), "placed")
     largest = own.agg(F.max("n")).first()[0] or 0
     forest = levels(own, largest)
     subroots = stored(tops(forest), "subroots").withColumnRenamed("tree", "source")
@@ -178,12 +178,12 @@ def manifest(docs: DataFrame) -> DataFrame:
 
 def oracle_sql(depth: int = 8) -> str:
     """DuckDB SQL of ``manifest`` for trees of at most FAN^depth nodes."""
-    crc_byte = "list_reduce(list_prepend(xor(c, b), range(8)), (x, i) -> xor(x >> 1, 3988292384 * (x & 1)))"
+    crc_byte = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
     enc = lambda c: f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')"
     tampered = f"translate(text, '{UPPER}', '{LOWER}')"
     leaf_of = lambda text: "sha256(" + " || ".join([*map(enc, FIELDS[:-1]), enc(text)]) + ")"
     out = [f"""with digits as (
-  select doc_id as id, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), x -> ascii(x)::bigint)), (c, b) -> {crc_byte}) as c
+  select doc_id as id, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)), lambda c, b: {crc_byte}) as c
   from (select distinct doc_id from documents where doc_id is not null)),
 own as (
   select d.doc_id, d.source, {leaf_of('text')} as leaf,
