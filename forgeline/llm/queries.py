@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm import ann, fingerprints, line_dedup, lm, merkle, mixing, packing, parity_join, sharding, substrings, toxicity
+from forgeline.llm import ann, fingerprints, line_dedup, lm, merkle, mixing, packing, parity_join, sharding, simhash, substrings, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,13 @@ def op11_merkle_manifest(spark, sf_dir):
 
 
 ORACLE["op11_merkle_manifest"] = merkle.oracle_sql()
+
+
+@register
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@register
+def op13_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))

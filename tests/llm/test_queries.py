@@ -5,7 +5,7 @@ import hashlib
 import duckdb
 import pytest
 
-from forgeline.llm import ann, line_dedup, parity_join, substrings
+from forgeline.llm import ann, line_dedup, merkle, parity_join, simhash, substrings
 from forgeline.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +17,7 @@ def docs():
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_substrings(spark, docs):
@@ -30,6 +30,23 @@ def test_near_duplicates(spark, docs):
     assert got == parity_join.brute_force(docs)
 
 
+def test_simhash(spark, docs):
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op13_simhash_near_dedup"](spark, SF).collect()}
+    assert got == simhash.brute_force(docs)
+
+
+def test_merkle(spark):
+    rows = duckdb.sql(f"select doc_id, text, lang, source, n_chars from '{SF}/documents.parquet'").fetchall()
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op11_merkle_manifest"](spark, SF).collect()}
+    assert got == merkle.brute_force(rows)
+
+
+def test_whitening(spark):
+    rows = duckdb.sql(f"select vec_id, embedding from '{SF}/embeddings.parquet'").fetchall()
+    got = QUERIES["op12_embedding_whitening"](spark, SF).collect()
+    assert len(got) == 8 * len(rows) and {r.identity_error < 1e-9 for r in got} == {True}
+
+
 def test_lines(spark, docs):
     got = {r.doc_id: r.text for r in QUERIES["op10_line_dedup"](spark, SF).collect()}
     con = duckdb.connect()
