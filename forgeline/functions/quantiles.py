@@ -1,69 +1,87 @@
-"""Exact quantiles without one task per group.
+"""Exact quantiles without one task per group: radix selection.
 
-Values are counted per bucket of the value range, a running total over the
-buckets finds those that hold the wanted ranks, and only their distinct values
-are ordered.  What one task sorts is a bucket's distinct values, never a whole
-group; what crosses the first shuffle is pre-aggregated bucket counts.
+A double is read as a 64-bit integer in the same order (its bit pattern).  The
+values are counted by their first digit, a running total over the digits finds
+those that hold the wanted ranks, and only their values are counted by the next
+digit, until a digit is one value.  Digits have at most 22 bits, so the counts
+that one task orders are bounded whatever the values: one value of 1e12 or an
+infinite one takes a digit of its own and leaves the others where they are.
+What crosses a shuffle is pre-aggregated counts.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+DIGITS = (22, 21, 21)  # bits of the digits, the first ones first
+_LEAST_NORMAL, _LEAST = 2.0**-1022, 2.0**-1074
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+def ordered_bits(v: Column) -> Column:
+    """A long per double, in the order of the doubles: the IEEE pattern of the magnitude, negative for negative values.
+
+    Every step is exact: dividing by a power of two only changes the exponent,
+    and the exponent from the logarithm is corrected where that rounds.
+    """
+    a = F.abs(v)
+    power = lambda e: F.pow(F.lit(2.0), e)
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(a)).cast("double")))
+    exponent = F.when(power(guess) > a, guess - 1).when(a >= power(guess + 1), guess + 1).otherwise(guess)
+    normal = (exponent + 1023).cast("long") * (1 << 52) + ((a / power(exponent) - 1) * float(1 << 52)).cast("long")
+    magnitude = F.when(a == float("inf"), F.lit(2047 << 52)).when(a < _LEAST_NORMAL, (a / _LEAST).cast("long")).otherwise(normal)
+    return F.when(v < 0, -magnitude).otherwise(magnitude)
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, digits: tuple[int, ...] = DIGITS) -> DataFrame:
     """One row per group of ``by`` (or one for all): ``n`` and linearly interpolated quantiles ``q0``, ``q1``, ...
 
-    NULL and NaN values don't count; a group without values has no row.
+    NULL and NaN values don't count, infinite ones do; a group without values
+    has no row.
     """
+    if sum(digits) != 64:
+        raise ValueError("digits must cover 64 bits")
     by = list(by or [])
     keys = [f"_k{i}" for i in range(len(by))] or ["_k0"]
     named = [F.col(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
     v = F.col(value).cast("double")
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(v)).select(*named, v.alias("_v"))
+    rows = rows.withColumn("_bits", ordered_bits(F.col("_v")))
 
-    def same(left: str, right: str):
-        return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
-    span = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n")]
-    if by:
-        spans = rows.groupBy(*keys).agg(*span)
-        spanned = rows.alias("r").join(spans.alias("s"), same("r", "s")).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_lo", "_hi", "_n")
-    else:  # one span for all rows: a scalar, not a join
-        whole = rows.agg(F.struct(*span)).scalar()
-        spanned = rows.select("*", *[whole.getField(c).alias(c) for c in ("_lo", "_hi", "_n")])
-    width = F.col("_hi") - F.col("_lo")
-    bucket = F.when(width > 0, F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / width * buckets))).otherwise(F.lit(0))
-    placed = spanned.select(*keys, "_v", "_n", bucket.cast("int").alias("_b"))
-
-    ranks = []  # (lower rank, upper rank, weight of the upper value) per wanted quantile
-    for p in probs:
+    def ranks(p: float) -> tuple[Column, Column, Column]:
+        """(lower rank, upper rank, weight of the upper value)."""
         position = F.lit(float(p)) * (F.col("_n") - 1)
-        ranks.append((F.floor(position).cast("long"), F.ceil(position).cast("long"), position - F.floor(position)))
-    wanted = F.array(*[r for low, high, _ in ranks for r in (low, high)])
-
-    running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy(*keys, "_n", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(running), F.lit(0)))
-    hit = counts.where(F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))))
+        return F.floor(position).cast("long"), F.ceil(position).cast("long"), position - F.floor(position)
 
-    inside = placed.alias("p").join(hit.alias("h"), same("p", "h") & (F.col("p._b") == F.col("h._b")))
-    values = inside.select(*[F.col(f"p.{k}").alias(k) for k in keys], "_v", F.col("p._n").alias("_n"), F.col("p._b").alias("_b"), "_before")
-    values = values.groupBy(*keys, "_n", "_b", "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    values = values.withColumn("_first", F.col("_before") + F.coalesce(F.sum("_c").over(within), F.lit(0)))
+    wanted = F.array(*[r for p in probs for r in ranks(p)[:2]])
+    left, hit = 64, None
+    for i, bits in enumerate(digits):
+        left -= bits
+        digit = (F.col("_v") if i == len(digits) - 1 else F.shiftright("_bits", left)).alias("_b")
+        if hit is None:
+            counts = rows.select(*keys, digit).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+            every = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            counts = counts.withColumn("_n", F.sum("_c").over(every)).withColumn("_from", F.lit(0).cast("long"))
+            inside = keys
+        else:  # only values whose digits so far hold a wanted rank
+            same = reduce(Column.__and__, [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
+            open_ = rows.alias("r").join(hit.alias("h"), same & (F.shiftright("r._bits", left + bits) == F.col("h._b")))
+            open_ = open_.select(*[F.col(f"r.{k}").alias(k) for k in keys], "r._bits", "r._v", "h._n", F.col("h._before").alias("_from"))
+            inside = [*keys, "_n", "_from"]
+            counts = open_.select(*inside, digit).groupBy(*inside, "_b").agg(F.count(F.lit(1)).alias("_c"))
+        running = Window.partitionBy(*inside).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.col("_from") + F.coalesce(F.sum("_c").over(running), F.lit(0)))
+        hit = counts.where(F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))))
 
-    def at(rank):
-        return F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_c")), F.col("_v")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c")), F.col("_b")))
 
-    picked = values.groupBy(*keys, "_n").agg(
-        *[x for i, (low, high, _) in enumerate(ranks) for x in (at(low).alias(f"_low{i}"), at(high).alias(f"_high{i}"))])
+    picked = hit.groupBy(*keys, "_n").agg(*[x for i, p in enumerate(probs) for x in (at(ranks(p)[0]).alias(f"_low{i}"), at(ranks(p)[1]).alias(f"_high{i}"))])
     out = [F.col(k).alias(b) for b, k in zip(by, keys)] + [F.col("_n").alias("n")]
-    for i, (_, _, weight) in enumerate(ranks):
-        out.append((F.col(f"_low{i}") * (1 - weight) + F.col(f"_high{i}") * weight).alias(f"q{i}"))
+    for i, p in enumerate(probs):
+        low, high, weight = F.col(f"_low{i}"), F.col(f"_high{i}"), ranks(p)[2]
+        between = F.when(low == high, low).otherwise(low * (1 - weight) + high * weight)  # an infinite value times 0 is none
+        out.append(between.alias(f"q{i}"))
     return picked.select(*out)
