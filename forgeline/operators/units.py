@@ -5,20 +5,25 @@ Some temperature exports switch to Fahrenheit for a while.  A reading is
 a run of at least three consecutive suspected readings (no gap over two
 hours, no normal reading in between) is converted to Celsius.
 
-Plan: per-machine baseline (one aggregate, joined back), then gaps and
-islands with the chunked helpers, so no task ever holds a whole machine.
+Plan: per-machine baseline (one aggregate, joined back), then one pass over
+(machine, time chunk) partitions.  Whether a reading is in a run of three shows
+in the two rows before and after it, and rows of one run lie within two hours of
+each other, so readings within four hours of a chunk's edge are copied into the
+neighbouring chunk and every chunk decides alone: raw rows are shuffled and
+sorted once and joined with nothing per run.  Runs that cross chunks are put
+together from one summary per run and chunk (points, sums, first and last time).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions.expr import fahrenheit_to_celsius
 from forgeline.functions.quantiles import exact_quantiles
 from forgeline.operators.dedup import row_order
-from pyspark.sql import Window
-
 from forgeline.operators.chunked import chunk_of
 
 # Fixed values that must equal the reference for right results.
@@ -51,119 +56,82 @@ def normalize_temperature_units(
     """Returns (rows with ``temperature_normalized`` etc., A06 window summary).
 
     Output columns added: ``temperature_original``, ``temperature_normalized``,
-    ``detected_unit`` ('C'/'F'), ``normalization_rule``, ``baseline_celsius``.
-    Rows with a NULL machine pass through unchanged (trap T9).
-    ``materialize_fn`` (e.g. a checkpoint) is applied to the flagged rows
-    before the two outputs are derived from them.
+    ``detected_unit`` ('C'/'F') and ``normalization_rule``.  Rows with a NULL
+    machine pass through unchanged (trap T9); rows without a time form runs of
+    their own.  A caller that needs both outputs can have the flagged rows
+    stored once (``materialize_fn``); neither output needs it.
     """
-    base = machine_baseline(df, value, group)
-    raw = F.col(value)
-    conv = fahrenheit_to_celsius(raw)
-    b = F.col("baseline_celsius")
-    suspected = F.coalesce(
-        raw.isNotNull()
-        & raw.between(*FAHRENHEIT_RAW_RANGE)
-        & conv.between(*CONVERTED_RANGE)
-        & ((F.abs(conv - b) + MARGIN) < F.abs(raw - b)),
-        F.lit(False),
-    )
-    rows = (
-        df.join(base, group, "left")
-        .withColumn("_suspected", suspected)
-        .withColumn("_chunk", chunk_of(ts, chunk_unit))
-    )
-    keyed = rows.where(F.col(group).isNotNull())
-    keyed = _segments(keyed, group, ts, [ts, *(order or row_order(df))])
-    run_len = (
-        keyed.where("_suspected").groupBy(group, "_segment").agg(F.count(F.lit(1)).alias("_run_len"))
-    )
-    keyed = keyed.join(run_len, [group, "_segment"], "left")
-    converted = F.col("_suspected") & (F.coalesce(F.col("_run_len"), F.lit(0)) >= MIN_RUN)
-    keyed = keyed.withColumn("_converted", converted)
-
-    unkeyed = rows.where(F.col(group).isNull()).select(
-        *rows.columns, F.lit(None).cast("bigint").alias("_segment"), F.lit(False).alias("_converted")
-    )
-    allrows = keyed.select(*rows.columns, "_segment", "_converted").unionByName(unkeyed)
-
+    out = flagged_readings(df, value, group, ts, order, chunk_unit)
+    raw, in_run = F.col(value), F.col("__w11_converted")
     out = (
-        allrows.withColumn("temperature_original", raw)
-        .withColumn("temperature_normalized", F.when(F.col("_converted"), conv).otherwise(raw))
-        .withColumn("detected_unit", F.when(F.col("_converted"), F.lit("F")).otherwise(F.lit("C")))
-        .withColumn(
-            "normalization_rule",
-            F.when(F.col("_converted"), F.lit("fahrenheit_window_to_celsius")).otherwise(F.lit("identity")),
-        )
+        out.withColumn("temperature_original", raw)
+        .withColumn("temperature_normalized", F.when(in_run, fahrenheit_to_celsius(raw)).otherwise(raw))
+        .withColumn("detected_unit", F.when(in_run, F.lit("F")).otherwise(F.lit("C")))
+        .withColumn("normalization_rule", F.when(in_run, F.lit("fahrenheit_window_to_celsius")).otherwise(F.lit("identity")))
     )
     if materialize_fn is not None:
         out = materialize_fn(out)
-    windows = unit_window_summary(out, value, group, ts)
-    return out.drop("_suspected", "_chunk", "_segment", "_converted", "baseline_celsius"), windows
-
-
-def unit_window_summary(normalized: DataFrame, value: str, group: str, ts: str) -> DataFrame:
-    """One row per converted run."""
-    return (
-        normalized.where("_converted")
-        .groupBy(group, "_segment")
-        .agg(
-            F.min(ts).alias("window_start"),
-            F.max(ts).alias("window_end"),
-            F.count(F.lit(1)).alias("points_converted"),
-            F.avg(value).alias("raw_mean"),
-            F.avg("temperature_normalized").alias("converted_mean_celsius"),
-            F.first("baseline_celsius").alias("baseline_celsius"),
-        )
-        .drop("_segment")
-    )
+    return out.drop(*[c for c in out.columns if c.startswith("__w11_")]), unit_window_summary(out, value, group, ts)
 
 
-def _seconds(c) -> F.Column:
-    return F.unix_seconds(c.cast("timestamp"))
+def suspected(value: str, baseline: Column) -> Column:
+    """The reading looks like Fahrenheit next to the machine's usual level."""
+    raw, conv = F.col(value), fahrenheit_to_celsius(F.col(value))
+    looks = raw.between(*FAHRENHEIT_RAW_RANGE) & conv.between(*CONVERTED_RANGE) & ((F.abs(conv - baseline) + MARGIN) < F.abs(raw - baseline))
+    return F.coalesce(looks, F.lit(False))
 
 
-def _segments(keyed: DataFrame, group: str, ts: str, order: list[str]) -> DataFrame:
-    """Segment id per row: running count of break rows in (machine, time) order.
+def flagged_readings(df: DataFrame, value: str, group: str, ts: str, order: list[str] | None, chunk_unit: str) -> DataFrame:
+    """The rows with ``__w11_baseline``, ``__w11_chunk``, ``__w11_converted`` and ``__w11_run``.
 
-    A break is a non-suspected row or a gap of more than two hours to the
-    previous row.  Rows are ordered inside (machine, chunk) partitions; one
-    small per-chunk summary (first/last time, first row's flag, break count)
-    carries the previous timestamp and the running offset across chunks.
+    ``__w11_run`` numbers the converted runs that begin in a chunk from 1; 0 is
+    the run that goes on from the chunk before.
     """
-    w = Window.partitionBy(group, "_chunk").orderBy(*order)
-    lag_ts = F.lag(ts).over(w)
-    local = keyed.withColumn("_lag_ts", lag_ts).withColumn(
-        "_brk_local",
-        F.when(
-            F.col("_lag_ts").isNotNull(),
-            (F.coalesce(_seconds(F.col(ts)) - _seconds(F.col("_lag_ts")) > MAX_GAP_SECONDS, F.lit(False))
-             | ~F.col("_suspected")).cast("int"),
-        ),
-    ).withColumn(
-        "_cum_local",
-        F.coalesce(F.sum("_brk_local").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0)),
-    )
-    summary = local.groupBy(group, "_chunk").agg(
-        F.min(ts).alias("_c_first_ts"),
-        F.max(ts).alias("_c_last_ts"),
-        F.min_by("_suspected", F.struct(*[F.col(c) for c in order])).alias("_c_first_susp"),
-        F.coalesce(F.sum("_brk_local"), F.lit(0)).alias("_c_inner_brk"),
-    )
-    wc = Window.partitionBy(group).orderBy("_chunk")
-    prev_last = F.lag("_c_last_ts").over(wc)
-    first_brk = (
-        F.coalesce(_seconds(F.col("_c_first_ts")) - _seconds(prev_last) > MAX_GAP_SECONDS, F.lit(False))
-        | ~F.col("_c_first_susp")
-    ).cast("int")
-    carry = summary.withColumn("_c_first_brk", first_brk).withColumn(
-        "_c_offset",
-        F.coalesce(
-            F.sum(F.col("_c_first_brk") + F.col("_c_inner_brk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).select(group, "_chunk", "_c_first_brk", "_c_offset")
-    return (
-        local.join(carry, [group, "_chunk"], "left")
-        .withColumn("_segment", (F.col("_c_offset") + F.col("_c_first_brk") + F.col("_cum_local")).cast("bigint"))
-        .drop("_lag_ts", "_brk_local", "_cum_local", "_c_first_brk", "_c_offset")
-    )
+    base = machine_baseline(df, value, group).select(F.col(group).alias("__w11_machine"), F.col("baseline_celsius").alias("__w11_baseline"))
+    rows = df.join(base, F.col(group) == F.col("__w11_machine"), "left").drop("__w11_machine")
+    home = chunk_of(ts, chunk_unit)
+    reach = F.expr(f"INTERVAL {(MIN_RUN - 1) * MAX_GAP_SECONDS + MIN_RUN} SECOND")  # whole seconds count: one more a row
+    near = F.sequence(chunk_of(F.col(ts) - reach, chunk_unit), chunk_of(F.col(ts) + reach, chunk_unit), F.expr(f"INTERVAL 1 {chunk_unit}"))
+    rows = rows.withColumn("__w11_suspected", suspected(value, F.col("__w11_baseline")))
+    rows = rows.select("*", F.explode_outer(near).alias("__w11_chunk")).withColumn("__w11_home", F.col("__w11_chunk").eqNullSafe(home))
+
+    w = Window.partitionBy(group, "__w11_chunk").orderBy(ts, *(order or row_order(df)))
+    gap = _seconds(F.col(ts)) - _seconds(F.lag(ts).over(w))
+    linked = F.col("__w11_suspected") & F.coalesce(F.lag("__w11_suspected").over(w), F.lit(False)) & (F.coalesce(gap, F.lit(0)) <= MAX_GAP_SECONDS)
+    rows = rows.withColumn("__w11_linked", linked & F.col(group).isNotNull())
+
+    # a run of MIN_RUN rows that holds this row starts MIN_RUN - 1 rows back at most
+    at = {k: F.coalesce((F.lag if k < 0 else F.lead)("__w11_linked", abs(k)).over(w), F.lit(False)) if k else F.col("__w11_linked") for k in range(2 - MIN_RUN, MIN_RUN)}
+    runs = [reduce(Column.__and__, [at[k] for k in range(first + 1, first + MIN_RUN)]) for first in range(1 - MIN_RUN, 1)]
+    rows = rows.withColumn("__w11_converted", reduce(Column.__or__, runs))
+    begins = F.col("__w11_home") & F.col("__w11_converted") & ~F.col("__w11_linked")
+    rows = rows.withColumn("__w11_run", F.sum(begins.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.where("__w11_home").drop("__w11_home", "__w11_suspected", "__w11_linked")
+
+
+def unit_window_summary(flagged: DataFrame, value: str, group: str, ts: str) -> DataFrame:
+    """One row per converted run.
+
+    A run's rows are summed per chunk first; a run that goes on from the chunk
+    before belongs to the last one that began earlier, which one small window
+    over (machine, chunk) rows finds.
+    """
+    celsius = fahrenheit_to_celsius(F.col(value))
+    parts = flagged.where("__w11_converted").groupBy(group, "__w11_chunk", "__w11_run").agg(
+        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("points"),
+        F.sum(value).alias("raw"), F.sum(celsius).alias("celsius"), F.first("__w11_baseline").alias("baseline"))
+    begun = parts.groupBy(F.col(group).alias("in_group"), F.col("__w11_chunk").alias("in_chunk")).agg(F.max("__w11_run").alias("runs"))
+    earlier = Window.partitionBy("in_group").orderBy("in_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    last_run = F.last(F.when(F.col("runs") > 0, F.struct("in_chunk", "runs")), ignorenulls=True).over(earlier)
+    begun = begun.withColumn("going_on", last_run)
+    same = (F.col(group) == F.col("in_group")) & F.col("__w11_chunk").eqNullSafe(F.col("in_chunk"))
+    own = F.struct(F.col("__w11_chunk").alias("in_chunk"), F.col("__w11_run").alias("runs"))
+    run = F.when(F.col("__w11_run") > 0, own).otherwise(F.col("going_on"))
+    return parts.join(begun, same).groupBy(group, run.alias("run")).agg(
+        F.min("start").alias("window_start"), F.max("end").alias("window_end"), F.sum("points").alias("points_converted"),
+        (F.sum("raw") / F.sum("points")).alias("raw_mean"), (F.sum("celsius") / F.sum("points")).alias("converted_mean_celsius"),
+        F.first("baseline").alias("baseline_celsius")).drop("run")
+
+
+def _seconds(c: Column) -> Column:
+    return F.unix_seconds(c.cast("timestamp"))

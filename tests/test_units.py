@@ -80,3 +80,69 @@ def test_golden_counts_sf001(spark):
     norm, win = c.t_normalized()
     assert win.count() == 32
     assert norm.where("detected_unit = 'F'").count() == 143
+
+
+def _reference(rows):
+    """(row numbers converted, runs as (start, end, points)) by a scan of each machine's rows in order."""
+    base = {}
+    for m in {r[1] for r in rows}:
+        usual = sorted(r[3] for r in rows if r[1] == m and r[3] is not None and 10 <= r[3] <= 80) or sorted(r[3] for r in rows if r[1] == m and r[3] is not None)
+        base[m] = (usual[(len(usual) - 1) // 2] + usual[len(usual) // 2]) / 2 if usual else None
+    converted, runs = set(), []
+    for m in base:
+        run = []
+
+        def close():
+            if len(run) >= 3:
+                converted.update(r[0] for r in run)
+                runs.append((m, run[0][2], run[-1][2], len(run)))
+            run.clear()
+
+        before = None
+        for r in sorted((r for r in rows if r[1] == m), key=lambda r: (r[2], r[0])):
+            v, b = r[3], base[m]
+            c = None if v is None else (v - 32) * 5 / 9
+            hot = v is not None and 80 <= v <= 180 and 10 <= c <= 80 and abs(c - b) + 3 < abs(v - b)
+            if not hot or (before is not None and (r[2] - before) > dt.timedelta(hours=2)):
+                close()
+            if hot:
+                run.append(r)
+            before = r[2]
+        close()
+    return converted, sorted(runs)
+
+
+def test_runs_that_cross_chunks(spark):
+    """Runs over many chunks, over chunks of one row, with ties, gaps of exactly two hours at a chunk's edge and runs of two."""
+    import random
+
+    rng = random.Random(2)
+    start, rows = dt.datetime(2025, 3, 1), []
+    for m in ("MACH-01", "MACH-02", "MACH-03"):
+        at, hot = start, False
+        for _ in range(500):
+            at += dt.timedelta(minutes=rng.choice([0, 1, 20, 60, 119, 120, 120, 121, 300]))
+            hot = hot if rng.random() < 0.85 else not hot
+            rows.append((len(rows), m, at, None if rng.random() < 0.03 else 98.0 + rng.random() if hot else 37.0 + rng.random()))
+    rng.shuffle(rows)
+    want, runs = _reference(rows)
+    assert len(runs) > 30 and any(r[2].date() > r[1].date() for r in runs)
+    for unit in ("day", "hour", "minute", "month"):
+        out, win = units.normalize_temperature_units(spark.createDataFrame(rows, SCHEMA), chunk_unit=unit)
+        got = out.collect()
+        assert len(got) == len(rows) and {r.row_number for r in got if r.detected_unit == "F"} == want
+        assert sorted((r.machine_id_std, r.window_start, r.window_end, r.points_converted) for r in win.collect()) == runs
+
+
+def test_raw_rows_are_sorted_once(spark):
+    df = spark.createDataFrame(_rows(BASE), SCHEMA).repartition(2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        out, _ = units.normalize_temperature_units(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sorts = [ln for ln in plan.splitlines() if "Sort [" in ln and "__w11_chunk" in ln]
+    assert len(sorts) == 1 and "__w11_run" not in plan  # the run's number is only computed for the summary
+    assert not any("Join" in ln and ("segment" in ln or "__w11_chunk" in ln) for ln in plan.splitlines())
