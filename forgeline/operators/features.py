@@ -4,9 +4,9 @@ Plan (SURVEY 4.3): Silver is one fact table tagged by ``sensor_type``, so
 the temperature x pressure full outer join becomes one conditional
 aggregate per (machine, hour) with map-side partial aggregation.  Hourly
 incidents are one more aggregate, left-joined on the same key.  The rolling
-features then run as a single window pass per machine over the *hourly*
-grid, whose length is bounded by the time span (8,760 rows per machine and
-year), not by the raw volume.  Ambient weather (one row per hour) is
+features then run as a single window pass over the *hourly* grid (8,760 rows
+per machine and year at most), cut into buckets with a halo so that a machine
+isn't one task.  Ambient weather (one row per hour) is
 broadcast; split thresholds are a scalar subquery over (hour, count) pairs.
 
 All windows are row based over hours that exist (quirk Q4) and lookbacks
@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
+from forgeline.operators.chunked import halo_buckets, with_row_index
 
 ROLLING_HOURS = (6, 12, 24)
 LABEL_HOURS = (6, 12, 24, 48)
+LOOKBACK_HOURS = 168
+BUCKET_HOURS = 4096  # hours of a machine that one window partition holds, without its halo
 # Fixed values that must equal the reference for right results.
 SPLIT_QUANTILES = (0.70, 0.85)
 ZSCORE_CLIP = 10.0
@@ -55,20 +58,56 @@ def hourly_incident_features(incidents: DataFrame, machine: str = "machine_id_st
 
 
 def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include_current: bool = True,
-                     time_based: bool = False) -> DataFrame:
-    """W01-W10 in one window pass per machine, ordered by hour.
+                     time_based: bool = False, bucket_hours: int = BUCKET_HOURS) -> DataFrame:
+    """W01-W10 in one window pass, ordered by hour.
 
     Frames count hours that exist (row frames, quirk Q4) by default;
     ``time_based=True`` uses range frames over the hour number instead, so a
     "24h" window never reaches past a gap.  ``include_current=False`` moves
     lookbacks to the previous hours and labels to the next hours (Q3).
+
+    A machine's hours are cut into buckets of ``bucket_hours`` (of its rows, or
+    of hours when time based) with a halo as long as the longest frames, so the
+    windows run per (machine, bucket) and one machine spreads over many tasks.
+    The one unbounded frame, the last incident, is carried from bucket to
+    bucket by a summary of one row per bucket.
     """
-    hour_no = X.ordinal_hours("window_start")
-    w = Window.partitionBy(machine).orderBy(hour_no if time_based else F.col("window_start"))
+    added = {**_sensor_windows(machine, time_based), **_incident_windows(machine, include_current, time_based)}
+    clash = [c for c in hourly.columns if c.startswith("__w_")]
+    if clash:
+        raise ValueError(f"column names in use: {clash}")
+    at = X.ordinal_hours("window_start").cast("bigint").alias("__w_hour")
+    rows = hourly.select("*", at)
+    if time_based:
+        rows = rows.withColumn("__w_at", F.col("__w_hour"))
+    else:
+        rows = rows.withColumn("__w_chunk", F.floor(F.col("__w_hour") / bucket_hours))
+        rows = with_row_index(rows, [machine], "__w_chunk", ["__w_hour"], "__w_at")
+    rows = halo_buckets(rows, "__w_at", bucket_hours, LOOKBACK_HOURS - 1, max(LABEL_HOURS), bucket="__w_bucket", home="__w_home")
+
+    happened = F.when(F.col("incident_count_1h") > 0, F.col("window_start"))
+    last = rows.where("__w_home").groupBy(F.col(machine).alias("__w_machine"), F.col("__w_bucket").alias("__w_in")).agg(F.max(happened).alias("__w_last"))
+    before = Window.partitionBy("__w_machine").orderBy("__w_in").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("__w_machine", "__w_in", F.max("__w_last").over(before).alias("__w_carried"))
+
+    out = rows.withColumns(added).where("__w_home")
+    out = out.join(carried, F.col(machine).eqNullSafe(F.col("__w_machine")) & (F.col("__w_bucket") == F.col("__w_in")))
+    last_incident = F.coalesce(F.col("__w_last_incident"), F.col("__w_carried"))
+    hours = (F.unix_seconds(F.col("window_start").cast("timestamp")) - F.unix_seconds(last_incident.cast("timestamp"))) / F.lit(3600.0)
+    zscore = X.safe_ratio_clipped(F.col("temp_mean_1h") - F.col("temp_mean_24h"), F.col("temp_std_24h"), -ZSCORE_CLIP, ZSCORE_CLIP)
+    out = out.withColumns({"window_end": X.plus_hours("window_start", 1), "temp_zscore_24h": zscore, "hours_since_last_incident": hours})
+    return out.drop(*[c for c in out.columns if c.startswith("__w_")])
+
+
+def _frames(machine: str, time_based: bool):
+    """(window over a machine's bucket, frame from a to b hours around the row)."""
+    w = Window.partitionBy(machine, "__w_bucket").orderBy("__w_hour")
+    return w, (w.rangeBetween if time_based else w.rowsBetween)
 
-    def frame(start: int, end: int) -> Window:
-        return w.rangeBetween(start, end) if time_based else w.rowsBetween(start, end)
 
+def _sensor_windows(machine: str, time_based: bool) -> dict[str, Column]:
+    """W01-W04."""
+    w, frame = _frames(machine, time_based)
     cols: dict[str, Column] = {}
     for h in ROLLING_HOURS:
         for p in ("temp", "pressure"):
@@ -78,33 +117,28 @@ def rolling_features(hourly: DataFrame, machine: str = "machine_id_std", include
     for p in ("temp", "pressure"):
         before = F.first(f"{p}_mean_1h").over(frame(-6, -6)) if time_based else F.lag(f"{p}_mean_1h", 6).over(w)
         cols[f"{p}_trend_6h"] = F.col(f"{p}_mean_1h") - before
-    out = hourly.withColumn("window_end", X.plus_hours("window_start", 1)).withColumns(cols)
-    out = out.withColumn(
-        "temp_zscore_24h",
-        X.safe_ratio_clipped(F.col("temp_mean_1h") - F.col("temp_mean_24h"), F.col("temp_std_24h"), -ZSCORE_CLIP, ZSCORE_CLIP),
-    )
-    # incident lookbacks; the reference includes the current hour (Q3)
-    lb_end = 0 if include_current else -1
+    return cols
+
+
+def _incident_windows(machine: str, include_current: bool, time_based: bool) -> dict[str, Column]:
+    """W06-W10; the reference includes the current hour in lookbacks and labels (Q3)."""
+    w, frame = _frames(machine, time_based)
+    end, start = (0, 0) if include_current else (-1, 1)
     cnt = F.col("incident_count_1h")
-    inc: dict[str, Column] = {
-        "incident_count_prev_24h": F.coalesce(F.sum(cnt).over(frame(-23, lb_end)), F.lit(0)).cast("bigint"),
-        "incident_max_severity_prev_24h": F.max("incident_max_severity_1h").over(frame(-23, lb_end)),
-        "incident_count_prev_7d": F.coalesce(F.sum(cnt).over(frame(-167, lb_end)), F.lit(0)).cast("bigint"),
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    cols = {
+        "incident_count_prev_24h": whole(F.sum(cnt).over(frame(-23, end))),
+        "incident_max_severity_prev_24h": F.max("incident_max_severity_1h").over(frame(-23, end)),
+        "incident_count_prev_7d": whole(F.sum(cnt).over(frame(-(LOOKBACK_HOURS - 1), end))),
+        **{f"{c}_count_prev_24h": whole(F.sum(c).over(frame(-23, end))) for c in X.INCIDENT_TYPE_COLUMNS},
+        # the last incident hour in the bucket and its halo
+        "__w_last_incident": F.last(F.when(cnt > 0, F.col("window_start")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, end)),
     }
-    for c in X.INCIDENT_TYPE_COLUMNS:
-        inc[f"{c}_count_prev_24h"] = F.coalesce(F.sum(c).over(frame(-23, lb_end)), F.lit(0)).cast("bigint")
-    last_inc = F.last(F.when(cnt > 0, F.col("window_start")), ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, lb_end)
-    )
-    inc["hours_since_last_incident"] = (
-        F.unix_seconds(F.col("window_start").cast("timestamp")) - F.unix_seconds(last_inc.cast("timestamp"))
-    ) / F.lit(3600.0)
-    la_start = 0 if include_current else 1
     for h in LABEL_HOURS:
-        fut = F.sum(cnt).over(frame(la_start, la_start + h - 1))
-        inc[f"future_incident_count_{h}h"] = F.coalesce(fut, F.lit(0)).cast("bigint")
-        inc[f"label_failure_next_{h}h"] = F.coalesce(fut > 0, F.lit(False))
-    return out.withColumns(inc)
+        future = F.sum(cnt).over(frame(start, start + h - 1))
+        cols[f"future_incident_count_{h}h"] = whole(future)
+        cols[f"label_failure_next_{h}h"] = F.coalesce(future > 0, F.lit(False))
+    return cols
 
 
 def split_thresholds(hourly: DataFrame) -> DataFrame:
@@ -154,6 +188,7 @@ def build_gold(
     machine: str = "machine_id_std",
     include_current: bool = True,
     time_based: bool = False,
+    bucket_hours: int = BUCKET_HOURS,
 ) -> DataFrame:
     """The full Gold feature table (all intermediate columns kept)."""
     hourly = hourly_sensor_features(silver_sensors, machine)
@@ -163,7 +198,7 @@ def build_gold(
     )
     for c in X.INCIDENT_TYPE_COLUMNS:
         joined = joined.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
-    gold = rolling_features(joined, machine, include_current, time_based)
+    gold = rolling_features(joined, machine, include_current, time_based, bucket_hours)
     if weather is not None:
         # one row per hour of the covered span (bounded by time, not data
         # volume); no hint: AQE broadcasts it from the measured size of the

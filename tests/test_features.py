@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from forgeline.operators import features
@@ -128,3 +129,44 @@ def test_time_based_frames_and_exclusive_lookbacks(spark):
     assert rows_g[h1].label_failure_next_6h and not excl_g[h1].label_failure_next_6h
     assert rows_g[h1].incident_count_prev_24h == 1 and excl_g[h1].incident_count_prev_24h == 0
     assert excl_g[t0].label_failure_next_6h
+
+
+def _random_series(spark, hours=400, machines=2):
+    import random
+
+    rng = random.Random(11)
+    t0, sensors, incidents = dt.datetime(2025, 1, 1), [], []
+    for m in range(machines):
+        h = 0
+        for i in range(hours):
+            h += 1 if rng.random() < 0.9 else rng.randint(2, 90)
+            at = t0 + dt.timedelta(hours=h, minutes=rng.randint(0, 59))
+            sensors.append((f"MACH-{m:02d}", at, rng.choice(["temperature", "pressure"]), None if rng.random() < 0.05 else round(rng.uniform(20, 60), 2), False))
+            if (i < 20 or i > 330) and rng.random() < 0.1:  # buckets without an incident in between
+                incidents.append((f"MACH-{m:02d}", at, f"I{m}-{i}", rng.randint(1, 5)))
+    return _silver(spark, sensors), _incidents(spark, incidents)
+
+
+@pytest.mark.parametrize(("include_current", "time_based"), [(True, False), (False, False), (True, True), (False, True)])
+def test_small_buckets_give_the_same_gold(spark, include_current, time_based):
+    """Buckets of a few rows, shorter than every frame, with the last incident carried over several of them."""
+    sensors, incidents = _random_series(spark)
+    whole, small = (features.build_gold(sensors, incidents, include_current=include_current, time_based=time_based, bucket_hours=b) for b in (1 << 20, 7))
+    key = lambda r: (r.machine_id_std, r.window_start)
+    a, b = sorted(whole.collect(), key=key), sorted(small.collect(), key=key)
+    assert whole.columns == small.columns and len(a) == len(b) and sum(r.hours_since_last_incident is not None for r in a) > 300
+    for x, y in zip(a, b):
+        for c in whole.columns:
+            assert _close(x[c], y[c]) if isinstance(x[c], float) else x[c] == y[c], (c, key(x))
+
+
+def test_no_window_over_a_machine(spark):
+    sensors, incidents = _random_series(spark, hours=5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = features.build_gold(sensors, incidents)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    windows = [ln for ln in plan.splitlines() if ln.strip().lstrip(":+- ").startswith("Window [")]
+    assert windows and all("__w_chunk" in ln or "__w_bucket" in ln or "__w_in" in ln or "of_1" in ln for ln in windows)
+    assert any("temp_mean_24h" in ln and "__w_bucket" in ln for ln in windows)
