@@ -2,8 +2,10 @@
 
 All resolutions are ``groupBy`` aggregates with map-side partial
 aggregation, so a hot key is pre-aggregated in every task before the
-shuffle; nothing is collected per group.  U01 counts keys first and computes
-medians for repeated keys only: single rows pass through.
+shuffle; nothing is collected per group.  U01 finds repeated keys by an
+eight-byte hash, builds a Bloom filter of them, and rows that it doesn't contain
+pass through: no join, and only repeated keys (and the filter's few false
+positives, which the aggregate resolves as groups of one) are shuffled whole.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FILTER_BITS = 1 << 21  # a quarter of a megabyte: 100,000 repeated keys make it contain 1 % of the others
 PROVENANCE_COLUMNS = ("row_number", "ingestion_batch_id", "source_file")
 
 
@@ -35,6 +38,7 @@ def dedup_sensor(
     keys: tuple[str, ...] = ("machine_id_std", "event_ts"),
     order: list[str] | None = None,
     compare: list[str] | None = None,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """One row per key.
 
@@ -50,11 +54,11 @@ def dedup_sensor(
     order = order or row_order(df)
     v = F.col(value)
     n = F.count(F.lit(1))
-    repeated = df.groupBy(*keys).agg(n.alias("_times")).where("_times > 1").select(*[F.col(k).alias(f"_r_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    single = df.join(repeated, same, "left_anti").select(
+    key_hash = F.xxhash64(*keys)
+    often = in_filter(key_hash, repeated_filter(df, key_hash, filter_bits), filter_bits)
+    single = df.where(~often).select(
         *keys, *others, F.lit(False).alias("is_duplicate"), F.lit("unique").alias("dedupe_resolution"), F.lit(1).cast("long").alias("records_in_group"))
-    g = df.join(repeated, same, "left_semi").groupBy(*keys).agg(
+    g = df.where(often).groupBy(*keys).agg(
         n.alias("records_in_group"),
         F.count(v).alias("_n_val"),
         F.min(v).alias("_vmin"),
@@ -64,13 +68,14 @@ def dedup_sensor(
         F.min_by(F.struct(*others), F.struct(*order)).alias("_first"),
     )
     resolution = (
-        F.when(F.col("_strict"), F.lit("strict_duplicate_drop"))
+        F.when(F.col("records_in_group") == 1, F.lit("unique"))  # a false positive of the filter
+        .when(F.col("_strict"), F.lit("strict_duplicate_drop"))
         .when(F.col("_n_val") == 0, F.lit("all_missing_keep_first"))
         .when(F.col("_vmin") == F.col("_vmax"), F.lit("keep_non_missing_value"))
         .otherwise(F.lit("median_conflict_resolution"))
     )
     resolved = (
-        F.when(F.col("dedupe_resolution") == "strict_duplicate_drop", F.col(f"_first.{value}"))
+        F.when(F.col("dedupe_resolution").isin("unique", "strict_duplicate_drop"), F.col(f"_first.{value}"))
         .when(F.col("dedupe_resolution") == "all_missing_keep_first", F.lit(None))
         .when(F.col("dedupe_resolution") == "keep_non_missing_value", F.col("_vmin"))
         .otherwise(F.col("_vmed"))
@@ -80,7 +85,31 @@ def dedup_sensor(
         (F.col("_resolved").cast(df.schema[value].dataType) if c == value else F.col(f"_first.{c}")).alias(c)
         for c in others
     ]
-    return single.unionByName(out.select(*cols, F.lit(True).alias("is_duplicate"), "dedupe_resolution", "records_in_group"))
+    return single.unionByName(out.select(*cols, (F.col("records_in_group") > 1).alias("is_duplicate"), "dedupe_resolution", "records_in_group"))
+
+
+def repeated_filter(df: DataFrame, key_hash: Column, bits: int) -> Column:
+    """A Bloom filter (array of longs, ``bits`` bits) of the key hashes that occur more than once, as a scalar.
+
+    Its size is fixed: with more repeated keys than it can tell apart it
+    contains more single rows, which costs their shuffle and changes no result.
+    """
+    repeated = df.select(key_hash.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    places = repeated.select(F.explode(F.array(*_places(F.col("_h"), bits))).alias("_at"))
+    words = places.groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 as int))")).alias("_bits"))
+    every = df.sparkSession.range(bits // 64).select(F.col("id").alias("_word")).join(words, "_word", "left")
+    dense = F.array_sort(F.collect_list(F.struct("_word", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits"))))
+    return every.agg(F.transform(dense, lambda w: w["_bits"]).alias("_filter")).scalar()
+
+
+def _places(key_hash: Column, bits: int) -> list[Column]:
+    """The two positions of a key in a filter."""
+    return [F.pmod(key_hash, F.lit(bits)).cast("long"), F.pmod(F.shiftrightunsigned(key_hash, 32), F.lit(bits)).cast("long")]
+
+
+def in_filter(key_hash: Column, words: Column, bits: int) -> Column:
+    """Whether the filter contains the key."""
+    return reduce(Column.__and__, [F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1 for at in _places(key_hash, bits)])
 
 
 def dedup_incidents(df: DataFrame, key: str = "incident_id", order: list[str] | None = None) -> DataFrame:
