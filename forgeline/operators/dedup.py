@@ -2,10 +2,12 @@
 
 All resolutions are ``groupBy`` aggregates with map-side partial
 aggregation, so a hot key is pre-aggregated in every task before the
-shuffle; nothing is collected per group.  U01 finds repeated keys by an
-eight-byte hash, builds a Bloom filter of them, and rows that it doesn't contain
-pass through: no join, and only repeated keys (and the filter's few false
-positives, which the aggregate resolves as groups of one) are shuffled whole.
+shuffle; nothing is collected per group.  U01 reads its input once and joins
+nothing: one aggregate by key resolves single rows and groups alike.  Where
+hardly any key is repeated, ``filter_bits`` saves the shuffle of single rows:
+repeated keys are found by an eight-byte hash, a Bloom filter of them is built,
+and rows that it doesn't contain pass through (its false positives are groups of
+one in the aggregate); that reads the input three times, twice in part.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FILTER_BITS = 1 << 21  # a quarter of a megabyte: 100,000 repeated keys make it contain 1 % of the others
+FILTER_BITS = 1 << 21  # a quarter of a megabyte: 100,000 repeated keys make it contain 1 % of the others; a size for ``filter_bits``
 PROVENANCE_COLUMNS = ("row_number", "ingestion_batch_id", "source_file")
 
 
@@ -38,7 +40,7 @@ def dedup_sensor(
     keys: tuple[str, ...] = ("machine_id_std", "event_ts"),
     order: list[str] | None = None,
     compare: list[str] | None = None,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """One row per key.
 
@@ -54,11 +56,12 @@ def dedup_sensor(
     order = order or row_order(df)
     v = F.col(value)
     n = F.count(F.lit(1))
-    key_hash = F.xxhash64(*keys)
-    often = in_filter(key_hash, repeated_filter(df, key_hash, filter_bits), filter_bits)
-    single = df.where(~often).select(
-        *keys, *others, F.lit(False).alias("is_duplicate"), F.lit("unique").alias("dedupe_resolution"), F.lit(1).cast("long").alias("records_in_group"))
-    g = df.where(often).groupBy(*keys).agg(
+    rows = df
+    if filter_bits:
+        key_hash = F.xxhash64(*keys)
+        often = in_filter(key_hash, repeated_filter(df, key_hash, filter_bits), filter_bits)
+        rows = df.where(often)
+    g = rows.groupBy(*keys).agg(
         n.alias("records_in_group"),
         F.count(v).alias("_n_val"),
         F.min(v).alias("_vmin"),
@@ -68,7 +71,7 @@ def dedup_sensor(
         F.min_by(F.struct(*others), F.struct(*order)).alias("_first"),
     )
     resolution = (
-        F.when(F.col("records_in_group") == 1, F.lit("unique"))  # a false positive of the filter
+        F.when(F.col("records_in_group") == 1, F.lit("unique"))
         .when(F.col("_strict"), F.lit("strict_duplicate_drop"))
         .when(F.col("_n_val") == 0, F.lit("all_missing_keep_first"))
         .when(F.col("_vmin") == F.col("_vmax"), F.lit("keep_non_missing_value"))
@@ -85,7 +88,12 @@ def dedup_sensor(
         (F.col("_resolved").cast(df.schema[value].dataType) if c == value else F.col(f"_first.{c}")).alias(c)
         for c in others
     ]
-    return single.unionByName(out.select(*cols, (F.col("records_in_group") > 1).alias("is_duplicate"), "dedupe_resolution", "records_in_group"))
+    out = out.select(*cols, (F.col("records_in_group") > 1).alias("is_duplicate"), "dedupe_resolution", "records_in_group")
+    if not filter_bits:
+        return out
+    single = df.where(~often).select(
+        *keys, *others, F.lit(False).alias("is_duplicate"), F.lit("unique").alias("dedupe_resolution"), F.lit(1).cast("long").alias("records_in_group"))
+    return single.unionByName(out)
 
 
 def repeated_filter(df: DataFrame, key_hash: Column, bits: int) -> Column:

@@ -81,14 +81,14 @@ def test_a_small_filter_changes_nothing(spark):
     from forgeline.plans import layers as L
 
     rows = L.FixtureChain(spark, "/root/testdata/sf0.001").p_parsed()
-    a, b = (sorted(map(str, dedup.dedup_sensor(rows, "pressure_bar", filter_bits=bits).collect())) for bits in (64, dedup.FILTER_BITS))
-    assert a == b and a
+    a, b, c = (sorted(map(str, dedup.dedup_sensor(rows, "pressure_bar", filter_bits=bits).collect())) for bits in (None, 64, dedup.FILTER_BITS))
+    assert a == b == c and a
 
 
 def test_null_keys_and_single_rows(spark):
     t0 = dt.datetime(2025, 1, 1)
     df = spark.createDataFrame([(1, None, t0, 1.0), (2, None, t0, 3.0), (3, "MACH-01", None, 5.0), (4, "MACH-01", t0, None)],
                                "row_number long, machine_id_std string, event_ts timestamp_ntz, temperature double")
-    for bits in (64, dedup.FILTER_BITS):
+    for bits in (None, 64, dedup.FILTER_BITS):
         got = {(r.machine_id_std, r.event_ts): (r.temperature, r.dedupe_resolution, r.is_duplicate, r.records_in_group) for r in dedup.dedup_sensor(df, "temperature", filter_bits=bits).collect()}
         assert got == {(None, t0): (2.0, "median_conflict_resolution", True, 2), ("MACH-01", None): (5.0, "unique", False, 1), ("MACH-01", t0): (None, "unique", False, 1)}

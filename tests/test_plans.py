@@ -58,20 +58,21 @@ def test_gold_plan_shuffles_hourly_rows_only(spark):
     assert not any(op in plan for op in FORBIDDEN)
 
 
-def test_dedup_computes_medians_for_repeated_keys_only(spark):
-    """Single rows pass a Bloom filter: no join of readings and, but for key hashes, no exchange of single rows."""
-    from forgeline.operators.dedup import dedup_sensor
+def test_dedup_reads_once_and_joins_nothing(spark):
+    """U01 is one aggregate; with a filter, single rows pass and only rows that it contains are shuffled whole."""
+    from forgeline.operators.dedup import FILTER_BITS, dedup_sensor
 
-    c = L.FixtureChain(spark, SF)
+    rows = L.FixtureChain(spark, SF).p_parsed()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(dedup_sensor(c.p_parsed(), "pressure_bar"))
+        plan, filtered = _plan(dedup_sensor(rows, "pressure_bar")), _plan(dedup_sensor(rows, "pressure_bar", filter_bits=FILTER_BITS))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "Window" not in plan and "partial_" in plan and "getbit" in plan
-    assert all("_word" in ln for ln in plan.splitlines() if "Join" in ln)  # the filter's words, no readings
-    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(machine_id_std" in ln]
-    assert len(exchanges) == 1  # of the rows that the filter contains, already aggregated per task
+    for p in (plan, filtered):
+        assert "Window" not in p and "partial_" in p
+        assert len([ln for ln in p.splitlines() if "Exchange hashpartitioning(machine_id_std" in ln]) == 1
+    assert "Join" not in plan and plan.count("FileScan") == 1
+    assert all("_word" in ln for ln in filtered.splitlines() if "Join" in ln) and "getbit" in filtered  # the filter's words, no readings
 
 
 def test_quantiles_never_gather_a_group(spark):
