@@ -7,6 +7,7 @@ count and a checksum.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,30 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(_star(_star(edges, False), True), "stars")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def merged(label: np.ndarray, hits: np.ndarray, forest: list[tuple[int, int]]) -> np.ndarray | None:
+    """Labels after the links ``hits``; those that joined two components are added to ``forest``."""
+    a, b = label[hits[:, 0]], label[hits[:, 1]]
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    _, first = np.unique(a * (int(label.max()) + 1) + b, return_index=True)
+    first = first[a[first] != b[first]]
+    if not len(first):
+        return None
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for i in first.tolist():
+        x, y = root(int(a[i])), root(int(b[i]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            forest.append((int(hits[i, 0]), int(hits[i, 1])))
+    to = np.arange(int(label.max()) + 1)
+    for x in parent:
+        to[x] = root(x)
+    return to[label]

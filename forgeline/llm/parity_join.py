@@ -23,9 +23,12 @@ centre per group; a second, parity sketch of one bit per hash slot (its
 Hamming distance never exceeds the symmetric difference) and the sizes sift
 the pairs, and the survivors are verified on their shingles.  Groups that
 still span several components are tried against other centres, and what then
-remains is compared exhaustively, block by block, without a row per pair: only
-pairs that sizes and sketches allow leave a task.  No link that a shared group
-shows is lost.
+remains is compared exhaustively, block by block, on sizes and sketches: a task
+returns a spanning forest of the likely pairs, fewer than its rows, and never
+the pairs of a group.  The forest is verified; where that refutes pairs, the
+groups are compared again without them, with twice as many pairs a document
+each time, until nothing likely is left between components.  No link that a
+shared group shows is lost.
 
 Equal texts (after folding) form a class under the smallest ``doc_id`` and are
 compared once.
@@ -46,7 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.llm.common import WordHashes, mixed, shingle_hashes, stored
-from forgeline.llm.components import components
+from forgeline.llm.components import components, merged
 
 SHINGLE_WORDS = 5
 PLAIN_BELOW = 64
@@ -56,8 +59,10 @@ FREQUENT = 16  # documents of a group that is worth dropping
 BLOCK = 4096  # documents of a group that are compared in one cell
 SEEN = 200_000  # classes a task remembers, so that it emits a copied text once
 
-_CLASSES = "doc_id long, class binary, n long, sketch binary"
-_EMITTED = "key long, doc_id long, band int, spare int"
+_DESCRIBED = "doc_id long, class binary, n long, sketch binary, band int, own_keys array<long>, own_spare int, low_keys array<long>, low_spare int"
+_DESCRIBED_NAMES = [c.split()[0] for c in _DESCRIBED.split(", ")]
+THIN = 128  # bytes of the folded sketches that all rows of a cell are compared on
+ROWS = 64  # rows of a cell that are compared with the others at a time
 
 
 def difference(a, b):
@@ -123,39 +128,33 @@ def bands(n: int) -> list[int]:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())])
-    for batch in batches:
-        rows: list[tuple] = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = folded_words(text.as_py())
-            own = shingle_set(words, hashes)
-            rows.append((doc, hashlib.sha256(b" ".join(words)).digest() if words else None, len(own), parity_bits(own) if words else None))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-
-def _emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class, sketch and, once a task and class, the group keys of every text, from one pass over its words."""
     hashes, seen = WordHashes(), set()
     for batch in batches:
-        found = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        doc, name, n, sketch, band, own_keys, own_spare, low_keys, low_spare = ([] for _ in range(9))
+        for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             words = folded_words(text.as_py())
-            if not words:
-                continue
-            name = hashlib.sha256(b" ".join(words)).digest()
-            if name in seen:
-                continue
-            if len(seen) >= SEEN:
-                seen.clear()
-            seen.add(name)
             own = shingle_set(words, hashes)
-            found += [(groups(own, band), doc, band, spare(len(own), band)) for band in bands(len(own))]
-        if found:
-            sizes = [len(f[0]) for f in found]
-            each = lambda i, kind, found=found, sizes=sizes: pa.array(np.repeat(np.array([f[i] for f in found], kind), sizes))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[0] for f in found]).view(np.int64)), each(1, np.int64), each(2, np.int32), each(3, np.int32)],
-                                             names=["key", "doc_id", "band", "spare"])
+            digest = hashlib.sha256(b" ".join(words)).digest() if words else None
+            at = bands(len(own)) if words and d is not None and digest not in seen else []
+            if at:
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(digest)
+            doc.append(d)
+            name.append(digest)
+            n.append(len(own))
+            sketch.append(parity_bits(own) if words else None)
+            band.append(at[0] if at else None)
+            for i, keys, spares in ((0, own_keys, own_spare), (1, low_keys, low_spare)):
+                keys.append(groups(own, at[i]).view(np.int64) if i < len(at) else np.empty(0, np.int64))
+                spares.append(spare(len(own), at[i]) if i < len(at) else None)
+        lists = lambda parts: pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(list(map(len, parts)))]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+        if doc:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc, pa.int64()), pa.array(name, pa.binary()), pa.array(n, pa.int64()), pa.array(sketch, pa.binary()), pa.array(band, pa.int32()),
+                lists(own_keys), pa.array(own_spare, pa.int32()), lists(low_keys), pa.array(low_spare, pa.int32())], names=_DESCRIBED_NAMES)
 
 
 def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,50 +165,79 @@ def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _near_within(rows: pa.Table) -> pa.Table:
-    """Pairs of different components within one cell of a group that sizes and sketches don't rule out."""
-    side, doc, comp, n = (rows[c].to_numpy() for c in ("side", "doc_id", "comp", "n"))
-    bits = [np.frombuffer(s, np.uint8) for s in rows["sketch"].to_pylist()]
-    width = min(map(len, bits))
-    for i, b in enumerate(bits):
-        while len(b) > width:
-            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-        bits[i] = b
-    table = np.stack(bits).view(np.uint64)  # widths are powers of two from 8 bytes on
-    one_block = rows["i"][0].as_py() == rows["j"][0].as_py()
-    found: list[tuple[np.ndarray, int]] = []
-    for k in range(len(doc)):
-        if one_block:
-            others = np.flatnonzero((comp != comp[k]) & (doc > doc[k]))
-        elif side[k] == 0:
-            others = np.flatnonzero((comp != comp[k]) & (side == 1))
-        else:
-            continue
-        others = others[(4 * np.maximum(n[others], n[k]) <= 5 * np.minimum(n[others], n[k]))]
-        if len(others):
-            apart = np.bitwise_count(table[others] ^ table[k]).sum(axis=1)
-            others = others[apart <= difference(n[others], n[k])]
-            if len(others):
-                found.append((doc[others], int(doc[k])))
-    y = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64)
-    x = np.repeat(np.array([f[1] for f in found], np.int64), [len(f[0]) for f in found]) if found else y
-    return pa.table({"x": pa.array(x), "y": pa.array(y)})
-
-
-def _sifted_within(groups: DataFrame, reps: DataFrame) -> DataFrame:
-    """All likely pairs (x, y) of different components in every group.
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[-1] > width:
+        bits = bits[..., : bits.shape[-1] // 2] ^ bits[..., bits.shape[-1] // 2 :]
+    return bits
+
+
+def _likely_within(more: int):
+    """Spanning forest of the pairs of one cell that sizes and sketches don't rule out, between different components.
+
+    Refuted pairs don't count; ``more`` pairs a row come on top of the forest.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        side, rep, n = (rows[c].to_numpy() for c in ("side", "rep", "n"))
+        _, comp = np.unique(rows["comp"].to_numpy(), return_inverse=True)
+        sketches = [np.frombuffer(s, np.uint8) for s in rows["sketch"].to_pylist()]
+        width = min(map(len, sketches))
+        table = np.stack([_folded(s, width) for s in sketches])
+        thin = np.unpackbits(_folded(table, min(width, THIN)), axis=1).astype(np.float32)
+        table, ones = table.view(np.uint64), thin.sum(axis=1)
+        refuted = {int(rep[i]): set(x) for i, x in enumerate(rows["refuted"].to_pylist()) if x}
+        one_block = rows["i"][0].as_py() == rows["j"][0].as_py()
+        left = np.arange(len(rep)) if one_block else np.flatnonzero(side == 0)
+        right = left if one_block else np.flatnonzero(side == 1)
+        label, forest, extra = comp.astype(np.int64), [], []
+        for start in range(0, len(left), ROWS):
+            a = left[start : start + ROWS]
+            apart = ones[a][:, None] + ones[right] - 2 * (thin[a] @ thin[right].T)  # counts below 2^24: exact in float32
+            of = comp if more else label
+            ok = (apart <= difference(n[a][:, None], n[right])) & (of[a][:, None] != of[right])
+            ok &= 4 * np.maximum(n[a][:, None], n[right]) <= 5 * np.minimum(n[a][:, None], n[right])
+            if one_block:
+                ok &= rep[a][:, None] < rep[right]
+            x, y = np.nonzero(ok)
+            x, y = a[x], right[y]
+            near = np.bitwise_count(table[x] ^ table[y]).sum(axis=1) <= difference(n[x], n[y])
+            x, y = x[near], y[near]
+            if refuted and len(x):
+                left_over = np.array([int(rep[j]) not in refuted.get(int(rep[i]), ()) for i, j in zip(x, y)])
+                x, y = x[left_over], y[left_over]
+            if len(x):
+                if more:
+                    nth = np.arange(len(x)) - np.searchsorted(x, x)  # x ascends
+                    extra.append(np.column_stack([x, y])[nth < more])
+                now = merged(label, np.column_stack([x, y]), forest)
+                label = label if now is None else now
+        pairs = rep[np.concatenate([np.array(forest, np.int64).reshape(-1, 2), *extra])]
+        return pa.table({"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
+
+
+def _likely(open_groups: DataFrame, reps: DataFrame, refuted: DataFrame | None, more: int) -> DataFrame:
+    """Likely pairs (x, y) of class representatives of different components, no more than the groups have rows (times ``more`` + 1).
 
     A group is compared in blocks of ``BLOCK`` documents, each pair of blocks
-    one task's cell; only pairs that pass sizes and sketches become rows.
+    one task's cell.
     """
-    about = reps.groupBy("member").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumnRenamed("member", "__m")
-    rows = groups.join(about.hint("merge"), F.col("doc_id") == F.col("__m"))
+    about = reps.select(F.col("member").alias("__m"), "rep", "n", "sketch")
+    rows = open_groups.join(about.hint("merge"), F.col("doc_id") == F.col("__m")).dropDuplicates(["key", "rep"])
+    if refuted is None:
+        rows = rows.withColumn("refuted", F.array().cast("array<long>"))
+    else:
+        both = refuted.select("a", "b").unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        lists = both.groupBy(F.col("a").alias("__r")).agg(F.collect_set("b").alias("refuted"))
+        rows = rows.join(lists, F.col("rep") == F.col("__r"), "left")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    rows = rows.select("key", "doc_id", "comp", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    kept = ["rep", "comp", "n", "sketch", "refuted"]
+    rows = rows.select("key", *kept, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     i, j = F.least("own", "other"), F.greatest("own", "other")
-    rows = rows.select("key", i.alias("i"), j.alias("j"), (F.col("own") != i).cast("int").alias("side"), "doc_id", "comp", "n", "sketch")
-    return rows.groupBy("key", "i", "j").applyInArrow(_near_within, "x long, y long")
+    rows = rows.select("key", i.alias("i"), j.alias("j"), (F.col("own") != i).cast("int").alias("side"), *kept)
+    return rows.groupBy("key", "i", "j").applyInArrow(_likely_within(more), "x long, y long").distinct()
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,13 +275,15 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = stored(rows.mapInArrow(_described, _CLASSES), "classes")
+    own = stored(rows.mapInArrow(_described, _DESCRIBED), "classes")
     known = own.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = known.groupBy("class").agg(F.min("doc_id").alias("rep"))
     member = stored(known.select(F.col("doc_id").alias("member"), F.col("class").alias("__class"), "n", "sketch")
                     .join(classes, F.col("__class") == F.col("class")).select("member", "rep", "n", "sketch"), "members")
 
-    emitted = stored(rows.where(F.col("doc_id").isNotNull()).mapInArrow(_emitted, _EMITTED), "groups")
+    sides = F.array(F.struct(F.col("band"), F.col("own_spare").alias("spare"), F.col("own_keys").alias("keys")),
+                    F.struct((F.col("band") - 1).alias("band"), F.col("low_spare").alias("spare"), F.col("low_keys").alias("keys")))
+    emitted = own.where("band is not null").select("doc_id", F.explode(sides).alias("s")).select(F.explode("s.keys").alias("key"), "doc_id", "s.band", "s.spare")
     centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("mid"),
                                          F.count(F.lit(1)).alias("size")).where("lo < hi")
     shared = stored(emitted.join(centres.withColumnRenamed("key", "__k").hint("merge"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
@@ -267,29 +297,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = member.join(split, F.col("member") == F.col("__m")).select("a", F.col("rep").alias("b")).where("a != b")
 
     texts = rows.where(F.col("doc_id").isNotNull())
-    comps = None
-    for centre in ("lo", "hi", "mid", None):
-        if comps is None:
-            pairs = shared.where("doc_id != lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y"))
-        else:  # groups whose members lie in several components
-            label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
-            label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
-            named = shared.join(label, F.col("doc_id") == F.col("__m")).drop("__m")
-            apart = named.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select(F.col("key").alias("__k"))
-            shared = stored(named.join(apart, F.col("key") == F.col("__k")).drop("__k"), "open")
-            if shared.isEmpty():
-                break
-            if centre:
-                at = label.select(F.col("__m").alias("__h"), F.col("comp").alias("__hc"))
-                pairs = shared.where(F.col("doc_id") != F.col(centre)).join(at, F.col(centre) == F.col("__h")).where("comp != __hc")
-                pairs = pairs.select(F.col("doc_id").alias("x"), F.col(centre).alias("y"))
-            else:
-                pairs = _sifted_within(shared, member)
-            shared = shared.drop("comp")
-        found = _links(pairs.distinct(), member, texts)
-        if comps is None or not found.isEmpty():
+    found = _links(shared.where("doc_id != lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y")).distinct(), member, texts)
+    links = links.unionByName(found)
+    comps = components(links)
+    for centre in ("hi", "mid"):
+        shared = _open(shared, member, comps, centre)
+        if shared.isEmpty():
+            break
+        pairs = shared.where((F.col("doc_id") != F.col(centre)) & (F.col("comp") != F.col("of_centre")))
+        found = _links(pairs.select(F.col("doc_id").alias("x"), F.col(centre).alias("y")).distinct(), member, texts)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            comps = components(links)
+
+    refuted, more = None, 0
+    while True:
+        shared = _open(shared, member, comps, "lo")
+        if shared.isEmpty():
+            break
+        likely = stored(_likely(shared, member, refuted, more).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "likely-pairs")
+        if likely.isEmpty():
+            break
+        found = _links(likely.select(F.col("a").alias("x"), F.col("b").alias("y")), member, texts)
+        if not found.isEmpty():
             links = links.unionByName(found)
             comps = components(links)
+        right = found.select(F.col("a").alias("__a"), F.col("b").alias("__b"))
+        wrong = stored(likely.join(right, (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left_anti"), "refuted")
+        if wrong.isEmpty():
+            break  # every likely pair lies within a component now
+        refuted = wrong if refuted is None else refuted.unionByName(wrong)
+        more = max(1, 2 * more)
 
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("__c"))
     label = label.groupBy("__m").agg(F.min("__c").alias("__c"))
@@ -297,6 +335,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("__c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _open(shared: DataFrame, member: DataFrame, comps: DataFrame, centre: str) -> DataFrame:
+    """Rows of the groups whose members lie in several components, with ``comp`` and their centre's component (one value a group)."""
+    shared = shared.select("key", "doc_id", "lo", "mid", "hi", "size")
+    label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
+    label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
+    named = shared.join(label, F.col("doc_id") == F.col("__m")).drop("__m")
+    apart = named.groupBy(F.col("key").alias("__k")).agg(
+        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max(F.when(F.col("doc_id") == F.col(centre), F.col("comp"))).alias("of_centre")).where("c0 < c1")
+    return stored(named.join(apart, F.col("key") == F.col("__k")).drop("__k", "c0", "c1"), "open")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, all their columns, without those whose component has a smaller doc_id.
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.llm.common import stored
-from forgeline.llm.components import components
+from forgeline.llm.components import components, merged
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -172,40 +172,13 @@ def trie_links(tables: list[np.ndarray], labels: list[np.ndarray], width: int, b
         if len(u):
             stack.append((u, v))
         if len(hits):
-            merged = _merged(label, hits, forest)
-            if merged is not None:
-                label = merged
+            now = merged(label, hits, forest)
+            if now is not None:
+                label = now
                 of = whole()
     return np.array(forest, np.int64).reshape(-1, 2)
 
 
-def _merged(label: np.ndarray, hits: np.ndarray, forest: list[tuple[int, int]]) -> np.ndarray | None:
-    """Labels after the links ``hits``; those that joined two components are added to ``forest``."""
-    a, b = label[hits[:, 0]], label[hits[:, 1]]
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    _, first = np.unique(a * (int(label.max()) + 1) + b, return_index=True)
-    first = first[a[first] != b[first]]
-    if not len(first):
-        return None
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    for i in first.tolist():
-        x, y = root(int(a[i])), root(int(b[i]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            forest.append((int(hits[i, 0]), int(hits[i, 1])))
-    to = np.arange(int(label.max()) + 1)
-    for x in parent:
-        to[x] = root(x)
-    return to[label]
-
-
 def rotated(prints: np.ndarray, first: int) -> np.ndarray:
     """The bits from position ``first`` on come first."""
     if not first:

@@ -103,3 +103,54 @@ def test_keep_one_keeps_one_row_of_the_smallest_id(frame):
     assert [r for r in kept if r[0] not in (1, 20)] == sorted([(30, "some words"), (30, None), (30, " \n"), (40, ""), (None, base), (None, base), (50, "single row")], key=str)
     again = J.keep_one(frame(rows[::-1]).repartition(5))
     assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == kept
+
+
+def drifting(n=120, words=150, seed=3):
+    """A group in which each document is near the next one only, and templates that are not quite near each other."""
+    r = random.Random(seed)
+    word = lambda: f"d{r.randrange(10**6)}"
+    w, rows = [word() for _ in range(words)], []
+    for d in range(n):
+        w = list(w)
+        w[r.randrange(words)] = word()
+        w[r.randrange(words)] = word()
+        rows.append((5000 - d, " ".join(w)))
+    base = [word() for _ in range(words)]
+    for d in range(n):  # 3 of 150 words differ from the template each: similarity around the threshold
+        t = list(base)
+        for _ in range(3):
+            t[r.randrange(words)] = word()
+        rows.append((9000 + d, " ".join(t)))
+    return rows
+
+
+def test_a_group_that_no_centre_links(frame, monkeypatch):
+    rows = drifting()
+    want = J.brute_force(rows)
+    counts = []
+    within = J._likely_within
+
+    def counted(more):
+        counts.append(more)
+        return within(more)
+
+    monkeypatch.setattr(J, "_likely_within", counted)
+    monkeypatch.setattr(J, "BLOCK", 25)  # cells of two blocks
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(frame(rows)).collect()}
+    assert got == want
+    assert 5000 - 119 in {c for _, c in want.values()} and counts
+
+
+def test_a_cell_returns_a_forest():
+    """All pairs of 3,000 rows are likely: fewer edges than rows leave the cell, and none of the refuted ones."""
+    import pyarrow as pa
+
+    n = 3000
+    sets = [np.arange(i, i + 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in range(3)]
+    columns = {"key": [1] * n, "i": [0] * n, "j": [0] * n, "side": [0] * n, "rep": list(range(n)), "comp": list(range(n)), "n": [400] * n,
+               "sketch": [J.parity_bits(sets[i % 3]) for i in range(n)], "refuted": [[1, 2] if i == 0 else [0] if i < 3 else [] for i in range(n)]}
+    table = pa.table(columns)
+    out = J._likely_within(0)(table)
+    assert out.num_rows == n - 1 and not {(0, 1), (0, 2)} & set(zip(out["x"].to_pylist(), out["y"].to_pylist()))
+    some = J._likely_within(2)(table.slice(0, 60))
+    assert 59 < some.num_rows <= 3 * 60
