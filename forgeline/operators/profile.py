@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from forgeline.functions import expr as X
 from forgeline.functions.quantiles import exact_quantiles
-from forgeline.operators.chunked import chunk_of, halo_buckets, with_row_index
+from forgeline.operators.chunked import chunk_of
+from forgeline.operators.dedup import row_order
 
 DERIVED_COLUMNS = ("source_file", "separator", "machine_id_original", "machine_id_std", "event_ts", "row_number")
 
@@ -148,27 +149,46 @@ def global_iqr_alerts(df: DataFrame, value: str) -> DataFrame:
 
 # W12 ---------------------------------------------------------------------
 def rolling_zscore_alerts(df: DataFrame, value: str = "temperature", group: str = "machine_id_std",
-                          ts: str = "event_ts", order: str = "row_number", window_rows: int = 168,
-                          min_periods: int = 24, threshold: float = 4.0, bucket_rows: int = 100_000) -> DataFrame:
+                          ts: str = "event_ts", order: list[str] | None = None, window_rows: int = 168,
+                          min_periods: int = 24, threshold: float = 4.0, chunk_unit: str = "month") -> DataFrame:
     """Per machine, 168-row rolling mean / population std (min 24 values); keep |z| > 4.
 
-    Rows are numbered per machine with the chunked running count and copied
-    into neighbour buckets (halo of ``window_rows - 1``), so the rolling
-    window runs per (machine, bucket) and a hot machine spreads over many
-    tasks.  Sorting by |z| is left to the caller (L02).
+    Rows are ordered by time, source file and row number.  A machine's rows are
+    dealt once, by (machine, time chunk), and the window runs inside a chunk.
+    What its first rows need from before it are the last rows of earlier chunks:
+    from one count per chunk follows which chunks those are and how many rows
+    each must hand on (several chunks, where they hold few rows), and only
+    those rows are copied.  Sorting by |z| is left to the caller (L02).
     """
+    order = order or row_order(df)
+    before = window_rows - 1
     clean = df.where(F.col(group).isNotNull() & F.col(ts).isNotNull() & F.col(value).isNotNull()).select(
-        group, ts, order, value).withColumn("_chunk", chunk_of(ts))
-    indexed = with_row_index(clean, [group], "_chunk", [ts, order], "_idx")
-    halo = halo_buckets(indexed, "_idx", bucket_rows, window_rows - 1)
-    w = Window.partitionBy(group, "_bucket").orderBy("_idx").rowsBetween(-(window_rows - 1), 0)
-    scored = halo.withColumn("_n", F.count(value).over(w)).withColumn("_m", F.avg(value).over(w)).withColumn(
-        "_s", F.stddev_pop(value).over(w)).where("_home")
+        group, ts, *order, value, chunk_of(ts, chunk_unit).alias("_chunk")).where(F.col("_chunk").isNotNull())  # as the join below infers: one exchange
+    w = Window.partitionBy(group, "_chunk").orderBy(ts, *order)
+
+    chunks = clean.groupBy(F.col(group).alias("_group"), F.col("_chunk").alias("_from_chunk")).agg(F.count(F.lit(1)).alias("_rows"))
+    wc = Window.partitionBy("_group").orderBy("_from_chunk")
+    ends = F.sum("_rows").over(wc.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chunks = chunks.withColumn("_ends", ends)
+    later = F.collect_list(F.struct(F.col("_from_chunk").alias("chunk"), (F.col("_ends") - F.col("_rows")).alias("starts"))).over(wc.rowsBetween(1, before))
+    heirs = F.filter(F.transform(later, lambda c: F.struct(c["chunk"].alias("chunk"), (F.lit(before) - c["starts"] + F.col("_ends")).alias("rows"))), lambda c: c["rows"] > 0)
+    chunks = chunks.withColumn("_heirs", heirs).select("_group", "_from_chunk", F.explode("_heirs").alias("_heir"))
+
+    after = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - F.row_number().over(w)
+    dealt = clean.repartition(group, "_chunk")  # the one exchange of all rows, for the tails and for the result
+    tails = dealt.withColumn("_after", after).where(F.col("_after") < before)
+    tails = tails.join(chunks, (F.col(group) == F.col("_group")) & (F.col("_chunk") == F.col("_from_chunk"))).where(F.col("_after") < F.col("_heir.rows"))
+    tails = tails.select(group, ts, *order, value, F.col("_heir.chunk").alias("_chunk"), F.lit(False).alias("_home")).repartition(group, "_chunk")
+    rows = dealt.withColumn("_home", F.lit(True)).unionByName(tails)  # dealt alike, so the union keeps its rows where they are
+
+    rolling = w.rowsBetween(-before, 0)
+    scored = rows.withColumn("_n", F.count(value).over(rolling)).withColumn("_m", F.avg(value).over(rolling)).withColumn(
+        "_s", F.stddev_pop(value).over(rolling)).where("_home")
     mean = F.when(F.col("_n") >= min_periods, F.col("_m"))
     std = F.when(F.col("_n") >= min_periods, F.nullif(F.col("_s"), F.lit(0.0)))
     z = (F.col(value) - mean) / std
     return scored.select(
-        F.col(group).alias("machine_id"), ts, order, value,
+        F.col(group).alias("machine_id"), ts, *order, value,
         mean.alias("rolling_mean"), std.alias("rolling_std"), z.alias("rolling_zscore"), F.abs(z).alias("abs_zscore"),
     ).where(F.col("abs_zscore") > threshold)
 
