@@ -32,6 +32,7 @@ class ImputationContext:
     plausible_max: float | None = None
     mask_fraction: float = 0.1
     seed: int = 42
+    estimator: str = "bayesian_ridge"  # of the iterative candidate; "least_squares" is the form that SQL can check
 
 
 # W14 ---------------------------------------------------------------------
@@ -116,9 +117,9 @@ def candidate_columns(masked: DataFrame, ctx: ImputationContext, methods=METHODS
         if m in ("mean", "median"):
             out = group_fill(out, "_bench_value", ctx.group, m, f"_cand_{m}")
         elif m == "iterative":
-            from forgeline.operators.regression import regression_fill
+            from forgeline.operators.regression import FILLS
 
-            out = regression_fill(out, "_bench_value", ctx.group, ctx.time, "_cand_iterative")
+            out = FILLS[ctx.estimator](out, "_bench_value", ctx.group, ctx.time, "_cand_iterative")
         else:
             raise ValueError(m)
     return out
@@ -229,14 +230,15 @@ def severity_policy_row(spark) -> DataFrame:
 
 
 def apply_method(df: DataFrame, value: str, method: str, group: str = "machine_id_std",
-                 time: str = "event_ts", sensor_type: str | None = None, unit: str | None = None) -> DataFrame:
+                 time: str = "event_ts", sensor_type: str | None = None, unit: str | None = None,
+                 estimator: str = "bayesian_ridge") -> DataFrame:
     """Fill missing values with the chosen method, refit on all observed rows (Q2)."""
     if method in ("mean", "median"):
         filled = group_fill(df, value, group, method, "sensor_value")
     elif method == "iterative":
-        from forgeline.operators.regression import regression_fill
+        from forgeline.operators.regression import FILLS
 
-        filled = regression_fill(df, value, group, time, "sensor_value")
+        filled = FILLS[estimator](df, value, group, time, "sensor_value")
     else:
         filled = df.withColumn("sensor_value", F.col(value))
     out = filled.withColumn("is_missing", F.col(value).isNull()).withColumn(

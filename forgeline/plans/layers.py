@@ -22,10 +22,13 @@ SILVER_SENSOR_COLUMNS = [
     "is_missing", "is_duplicate", "was_imputed",
 ]
 
+# the queries use the estimator whose fit SQL can repeat; the batch run chooses its own
 TEMPERATURE_CONTEXT = impute.ImputationContext(
-    "capteurs_temperature", "temperature_normalized", plausible_min=0.0, plausible_max=120.0
+    "capteurs_temperature", "temperature_normalized", plausible_min=0.0, plausible_max=120.0, estimator="least_squares"
+)
+PRESSURE_CONTEXT = impute.ImputationContext(
+    "capteurs_pression", "pressure_bar", plausible_min=100.0, plausible_max=250.0, estimator="least_squares"
 )
-PRESSURE_CONTEXT = impute.ImputationContext("capteurs_pression", "pressure_bar", plausible_min=100.0, plausible_max=250.0)
 
 
 # union + gold ------------------------------------------------------------

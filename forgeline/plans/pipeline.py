@@ -9,6 +9,7 @@ driver are the chosen imputation methods and the run summary counts.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ def choose(metrics: DataFrame) -> str:
 def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame, i_in: DataFrame, out_root: str,
                            weather_pages: DataFrame | None = None, weather_store: str | None = None, batch_id: str | None = None,
                            methods=impute.METHODS, include_current: bool = True, time_based: bool = False,
-                           artifacts_dir: str | None = None, operator_salt: str | None = None, mask_hash=None) -> dict[str, int]:
+                           artifacts_dir: str | None = None, operator_salt: str | None = None, mask_hash=None,
+                           estimator: str = "bayesian_ridge") -> dict[str, int]:
     """Run all layers from raw string frames (``*_bronze_input`` layouts).
 
     Weather: hours of the sensors' date range come from the store at
@@ -51,7 +53,7 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     ``operator_salt`` stores pseudonyms of operators (D03).  With
     ``artifacts_dir`` the run's report tables are written there as CSV (K09).
     ``mask_hash`` (frame -> column in [0, 1)) replaces the hash that draws the
-    benchmark's masked rows.
+    benchmark's masked rows; ``estimator`` is the iterative candidate's.
     """
     drawn = mask_hash or (lambda df: None)
     started = _now()
@@ -84,18 +86,18 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
         sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
         sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
         t_dedup = read("_t_dedup")
-        metrics = materialize(impute.evaluate_imputation(t_dedup, TEMPERATURE_CONTEXT, methods, drawn(t_dedup)), "t_metrics")
+        metrics = materialize(impute.evaluate_imputation(t_dedup, replace(TEMPERATURE_CONTEXT, estimator=estimator), methods, drawn(t_dedup)), "t_metrics")
         sinks.write_table(metrics, out_root, "_t_metrics")
         method = choose(metrics)
-        return impute.apply_method(t_dedup, "temperature_normalized", method, sensor_type="temperature", unit="C"), method
+        return impute.apply_method(t_dedup, "temperature_normalized", method, sensor_type="temperature", unit="C", estimator=estimator), method
 
     def pressure() -> tuple[DataFrame, str]:
         sinks.write_table(dedup.dedup_sensor(parse.parse_pressure(accepted("bronze_pressure")), "pressure_bar"), out_root, "_p_dedup")
         p_dedup = read("_p_dedup")
-        metrics = materialize(impute.evaluate_imputation(p_dedup, PRESSURE_CONTEXT, methods, drawn(p_dedup)), "p_metrics")
+        metrics = materialize(impute.evaluate_imputation(p_dedup, replace(PRESSURE_CONTEXT, estimator=estimator), methods, drawn(p_dedup)), "p_metrics")
         sinks.write_table(metrics, out_root, "_p_metrics")
         method = choose(metrics)
-        return impute.apply_method(p_dedup, "pressure_bar", method, sensor_type="pressure", unit="bar"), method
+        return impute.apply_method(p_dedup, "pressure_bar", method, sensor_type="pressure", unit="bar", estimator=estimator), method
 
     def incidents() -> None:
         inc = parse.incident_silver_candidate(dedup.dedup_incidents(parse.parse_incidents(accepted("bronze_incident"))))

@@ -530,6 +530,15 @@ def q_m02(spark, sf):
     return out.select("machine_id_std", "event_ts", "is_masked", F.round("candidate", 4).alias("candidate"))
 
 
+@register("m02_bayesian_ridge")
+def q_m02_bayesian(spark, sf):
+    """The iterative imputer's own estimator; SQL can't repeat the fit, tests/test_impute.py does in plain NumPy."""
+    d = L.chain(spark, sf).t_deduped()
+    m = impute.mask_observed(d, L.TEMPERATURE_CONTEXT, _u(d))
+    out = regression.chained_fill(m, "_bench_value", "machine_id_std", "event_ts", "candidate")
+    return out.select("machine_id_std", "event_ts", "is_masked", F.round("candidate", 4).alias("candidate"))
+
+
 @register("d02_dropped_incident_hours", oracle(
     "select 'gold_machine_hourly_feature' as dataset_name, 'incident_hour_without_sensor_row' as rule_code, 'warning' as severity, "
     "machine_id_std || '|' || cast(window_start as varchar) as entity_key, 'incidents=' || cast(incident_count_1h as varchar) as details "

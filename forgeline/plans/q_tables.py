@@ -302,7 +302,7 @@ def _run(spark, sf) -> tuple[str, dict]:
     if key not in _RUNS:
         t, p, i = L.chain(spark, sf).raw()
         out = os.path.join(_root(spark, sf), f"run-{uuid.uuid4().hex}")
-        counts = run_from_bronze_inputs(spark, t, p, i, out, weather_pages=weather_pages(spark, sf), batch_id="fixture", mask_hash=_u,
+        counts = run_from_bronze_inputs(spark, t, p, i, out, weather_pages=weather_pages(spark, sf), batch_id="fixture", mask_hash=_u, estimator="least_squares",
                                         artifacts_dir=os.path.join(out, "artifacts"))
         _RUNS[key] = out, counts
     return _RUNS[key]
