@@ -26,8 +26,8 @@ still span several components are tried against other centres, and what then
 remains is compared exhaustively, block by block, on sizes and sketches: a task
 returns a spanning forest of the likely pairs, fewer than its rows, and never
 the pairs of a group.  The forest is verified; where that refutes pairs, the
-groups are compared again without them, with twice as many pairs a document
-each time, until nothing likely is left between components.  No link that a
+groups are compared again without them, with four times as many pairs a
+document each time, until nothing likely is left between components.  No link that a
 shared group shows is lost.
 
 Equal texts (after folding) form a class under the smallest ``doc_id`` and are
@@ -61,8 +61,10 @@ SEEN = 200_000  # classes a task remembers, so that it emits a copied text once
 
 _DESCRIBED = "doc_id long, class binary, n long, sketch binary, band int, own_keys array<long>, own_spare int, low_keys array<long>, low_spare int"
 _DESCRIBED_NAMES = [c.split()[0] for c in _DESCRIBED.split(", ")]
-THIN = 128  # bytes of the folded sketches that all rows of a cell are compared on
-ROWS = 64  # rows of a cell that are compared with the others at a time
+SMALL = 256  # rows of a cell whose pairs are listed; larger cells are compared as products of sketches
+THIN = 128  # bytes of the folded sketches of those products
+ROWS = 64  # rows of a large cell that are compared with the others at a time
+BUCKET = 1 << 14  # rows of a task's group of cells, about
 
 
 def difference(a, b):
@@ -84,8 +86,12 @@ def shingle_set(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles dealt to each of m bits, m the power of two above the set's size (64 at least)."""
-    m = max(64, 1 << int(len(shingles)).bit_length())
+    """Parity of the shingles dealt to each of m bits, m four times the power of two above the set's size (64 at least).
+
+    So many that few shingles meet in a bit: sets whose similarity lies below
+    0.79 hardly ever look linked.
+    """
+    m = max(64, 4 << int(len(shingles)).bit_length())
     counts = np.bincount((mixed(shingles) & np.uint64(m - 1)).astype(np.int64), minlength=m)
     return np.packbits(counts & 1 != 0, bitorder="little").tobytes()
 
@@ -165,54 +171,117 @@ def _sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _folded(bits: np.ndarray, width: int) -> np.ndarray:
-    while bits.shape[-1] > width:
-        bits = bits[..., : bits.shape[-1] // 2] ^ bits[..., bits.shape[-1] // 2 :]
-    return bits
+class Sketches:
+    """Sketches of different lengths, compared at the shorter one's by folding the longer."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.rows = [np.frombuffer(s, np.uint8) for s in sketches]
+        self.width = np.array([len(s) for s in sketches], np.int64)
+        self.tables: dict[int, np.ndarray] = {}
+
+    def folded(self, at: np.ndarray, width: int) -> np.ndarray:
+        """The sketches of rows ``at`` (no shorter than ``width``) at that width."""
+        out = np.empty((len(at), width), np.uint8)
+        for w in np.unique(self.width[at]):
+            which = np.flatnonzero(self.width[at] == w)
+            bits = np.stack([self.rows[i] for i in at[which]])
+            while bits.shape[1] > width:
+                bits = bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
+            out[which] = bits
+        return out
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Hamming distances of the pairs of rows (x, y)."""
+        out, common = np.empty(len(x), np.int64), np.minimum(self.width[x], self.width[y])
+        for w in np.unique(common).tolist():
+            which = np.flatnonzero(common == w)
+            if w not in self.tables:
+                fit = np.flatnonzero((self.width >= w) & (self.width <= 2 * w))  # linkable sizes lie within a quarter
+                place = np.full(len(self.rows), -1, np.int64)
+                place[fit] = np.arange(len(fit))
+                self.tables[w] = (place, self.folded(fit, w).view(np.uint64))
+            place, table = self.tables[w]
+            for i in range(0, len(which), 1 << 16):
+                part = which[i : i + (1 << 16)]
+                out[part] = np.bitwise_count(table[place[x[part]]] ^ table[place[y[part]]]).sum(axis=1)
+        return out
+
+
+def _listed(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of small cells (runs of rows)."""
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for s in np.unique(sizes).tolist():
+        if s > 1:
+            i, j = np.triu_indices(s, 1)
+            at = starts[sizes == s][:, None]
+            left.append((at + i).ravel())
+            right.append((at + j).ravel())
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _likely_within(more: int):
-    """Spanning forest of the pairs of one cell that sizes and sketches don't rule out, between different components.
+    """Spanning forest of the pairs in a group of cells that sizes and sketches don't rule out, between different components.
 
     Refuted pairs don't count; ``more`` pairs a row come on top of the forest.
     """
 
     def run(rows: pa.Table) -> pa.Table:
-        side, rep, n = (rows[c].to_numpy() for c in ("side", "rep", "n"))
-        _, comp = np.unique(rows["comp"].to_numpy(), return_inverse=True)
-        sketches = [np.frombuffer(s, np.uint8) for s in rows["sketch"].to_pylist()]
-        width = min(map(len, sketches))
-        table = np.stack([_folded(s, width) for s in sketches])
-        thin = np.unpackbits(_folded(table, min(width, THIN)), axis=1).astype(np.float32)
-        table, ones = table.view(np.uint64), thin.sum(axis=1)
-        refuted = {int(rep[i]): set(x) for i, x in enumerate(rows["refuted"].to_pylist()) if x}
-        one_block = rows["i"][0].as_py() == rows["j"][0].as_py()
-        left = np.arange(len(rep)) if one_block else np.flatnonzero(side == 0)
-        right = left if one_block else np.flatnonzero(side == 1)
+        rows = rows.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("side", "ascending")])
+        key, block_i, block_j, side, names, size_of = (rows[c].to_numpy() for c in ("key", "i", "j", "side", "rep", "n"))
+        reps, first, node = np.unique(names, return_index=True, return_inverse=True)  # a node is a class, in however many cells
+        n, sketches = size_of[first], Sketches(rows["sketch"].take(first).to_pylist())
+        _, comp = np.unique(rows["comp"].to_numpy()[first], return_inverse=True)
         label, forest, extra = comp.astype(np.int64), [], []
-        for start in range(0, len(left), ROWS):
-            a = left[start : start + ROWS]
-            apart = ones[a][:, None] + ones[right] - 2 * (thin[a] @ thin[right].T)  # counts below 2^24: exact in float32
+        refuted = [np.empty(0, np.int64)]
+        for a, others in zip(range(len(reps)), rows["refuted"].take(first).to_pylist(), strict=True):
+            if others:
+                at = np.searchsorted(reps, others)
+                known = (at < len(reps)) & (reps[np.minimum(at, len(reps) - 1)] == others)
+                refuted.append(a * len(reps) + at[known])
+        refuted_pairs = np.unique(np.concatenate(refuted))
+        new = np.flatnonzero((np.diff(key, prepend=key[0] - 1) != 0) | (np.diff(block_i, prepend=-1) != 0) | (np.diff(block_j, prepend=-1) != 0))
+        sizes = np.diff(np.append(new, len(key)))
+
+        def add(x: np.ndarray, y: np.ndarray) -> None:
+            """Pairs of nodes: sifted by component, size, refutation and sketch, then joined."""
+            nonlocal label
+            x, y = np.minimum(x, y), np.maximum(x, y)
             of = comp if more else label
-            ok = (apart <= difference(n[a][:, None], n[right])) & (of[a][:, None] != of[right])
-            ok &= 4 * np.maximum(n[a][:, None], n[right]) <= 5 * np.minimum(n[a][:, None], n[right])
-            if one_block:
-                ok &= rep[a][:, None] < rep[right]
-            x, y = np.nonzero(ok)
-            x, y = a[x], right[y]
-            near = np.bitwise_count(table[x] ^ table[y]).sum(axis=1) <= difference(n[x], n[y])
+            ok = (of[x] != of[y]) & (4 * np.maximum(n[x], n[y]) <= 5 * np.minimum(n[x], n[y]))
+            pairs = np.unique(x[ok] * len(reps) + y[ok])
+            pairs = pairs[~np.isin(pairs, refuted_pairs, assume_unique=True)]
+            x, y = pairs // len(reps), pairs % len(reps)
+            near = sketches.apart(x, y) <= difference(n[x], n[y])
             x, y = x[near], y[near]
-            if refuted and len(x):
-                left_over = np.array([int(rep[j]) not in refuted.get(int(rep[i]), ()) for i, j in zip(x, y)])
-                x, y = x[left_over], y[left_over]
             if len(x):
                 if more:
                     nth = np.arange(len(x)) - np.searchsorted(x, x)  # x ascends
                     extra.append(np.column_stack([x, y])[nth < more])
                 now = merged(label, np.column_stack([x, y]), forest)
                 label = label if now is None else now
-        pairs = rep[np.concatenate([np.array(forest, np.int64).reshape(-1, 2), *extra])]
-        return pa.table({"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())})
+
+        small = sizes <= SMALL
+        x, y = _listed(new[small], sizes[small])
+        across = (block_i[x] == block_j[x]) | (side[x] != side[y])
+        add(node[x[across]], node[y[across]])
+        for start, size in zip(new[~small].tolist(), sizes[~small].tolist(), strict=True):
+            cell = np.arange(start, start + size)
+            whole = block_i[start] == block_j[start]
+            left, right = (cell, cell) if whole else (cell[side[cell] == 0], cell[side[cell] == 1])
+            width = min(THIN, int(sketches.width[node[cell]].min()))
+            thin = np.unpackbits(sketches.folded(node[cell], width), axis=1).astype(np.float32)
+            ones = thin.sum(axis=1)
+            for i in range(0, len(left), ROWS):
+                a = left[i : i + ROWS]
+                of = comp if more else label
+                distance = ones[a - start][:, None] + ones[right - start] - 2 * (thin[a - start] @ thin[right - start].T)  # exact: counts below 2^24
+                ok = (distance <= difference(n[node[a]][:, None], n[node[right]])) & (of[node[a]][:, None] != of[node[right]])
+                if whole:
+                    ok &= a[:, None] < right
+                p, q = np.nonzero(ok)
+                add(node[a[p]], node[right[q]])
+        found = reps[np.concatenate([np.array(forest, np.int64).reshape(-1, 2), *extra])]
+        return pa.table({"x": pa.array(found[:, 0], pa.int64()), "y": pa.array(found[:, 1], pa.int64())})
 
     return run
 
@@ -220,8 +289,8 @@ def _likely_within(more: int):
 def _likely(open_groups: DataFrame, reps: DataFrame, refuted: DataFrame | None, more: int) -> DataFrame:
     """Likely pairs (x, y) of class representatives of different components, no more than the groups have rows (times ``more`` + 1).
 
-    A group is compared in blocks of ``BLOCK`` documents, each pair of blocks
-    one task's cell.
+    A group is compared in blocks of ``BLOCK`` documents, each pair of blocks a
+    cell; a task takes cells of about ``BUCKET`` rows together, as most are small.
     """
     about = reps.select(F.col("member").alias("__m"), "rep", "n", "sketch")
     rows = open_groups.join(about.hint("merge"), F.col("doc_id") == F.col("__m")).dropDuplicates(["key", "rep"])
@@ -237,7 +306,8 @@ def _likely(open_groups: DataFrame, reps: DataFrame, refuted: DataFrame | None,
     rows = rows.select("key", *kept, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     i, j = F.least("own", "other"), F.greatest("own", "other")
     rows = rows.select("key", i.alias("i"), j.alias("j"), (F.col("own") != i).cast("int").alias("side"), *kept)
-    return rows.groupBy("key", "i", "j").applyInArrow(_likely_within(more), "x long, y long").distinct()
+    buckets = max(1, open_groups.count() // BUCKET)
+    return rows.groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)).alias("bucket")).applyInArrow(_likely_within(more), "x long, y long").distinct()
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +397,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if wrong.isEmpty():
             break  # every likely pair lies within a component now
         refuted = wrong if refuted is None else refuted.unionByName(wrong)
-        more = max(1, 2 * more)
+        more = max(4, 4 * more)
 
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("__c"))
     label = label.groupBy("__m").agg(F.min("__c").alias("__c"))

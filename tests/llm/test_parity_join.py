@@ -142,7 +142,7 @@ def test_a_group_that_no_centre_links(frame, monkeypatch):
 
 
 def test_a_cell_returns_a_forest():
-    """All pairs of 3,000 rows are likely: fewer edges than rows leave the cell, and none of the refuted ones."""
+    """All pairs of 3,000 rows are likely: fewer edges than rows leave a cell, large or small, and none of the refuted ones."""
     import pyarrow as pa
 
     n = 3000
@@ -152,5 +152,17 @@ def test_a_cell_returns_a_forest():
     table = pa.table(columns)
     out = J._likely_within(0)(table)
     assert out.num_rows == n - 1 and not {(0, 1), (0, 2)} & set(zip(out["x"].to_pylist(), out["y"].to_pylist()))
-    some = J._likely_within(2)(table.slice(0, 60))
-    assert 59 < some.num_rows <= 3 * 60
+    for cells in ([1] * 60, [k // 3 for k in range(60)]):
+        few = table.slice(0, 60).set_column(0, "key", pa.array(cells))
+        assert J._likely_within(0)(few).num_rows == (59 if cells[0] else 39)
+        assert J._likely_within(0)(few).num_rows < J._likely_within(2)(few).num_rows <= 3 * 60
+
+
+def test_sketches_of_different_lengths():
+    r = random.Random(2)
+    sets = [np.unique(np.array([r.getrandbits(63) for _ in range(k)], np.uint64)) for k in (3, 15, 16, 31, 33, 40, 63, 64, 70)]
+    bits = [J.parity_bits(x) for x in sets]
+    all_ = J.Sketches(bits)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if max(len(bits[i]), len(bits[j])) <= 2 * min(len(bits[i]), len(bits[j]))]
+    got = all_.apart(*map(np.array, zip(*pairs)))
+    assert got.tolist() == [J.hamming(bits[i], bits[j]) for i, j in pairs]
