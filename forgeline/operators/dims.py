@@ -68,11 +68,11 @@ def upsert_keys(dim: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataF
 def synced(spark: SparkSession, path: str, seed: DataFrame, keys: DataFrame, key: str, id_col: str) -> DataFrame:
     """The stored dimension (the seed at first) with new keys added, written back and read.
 
-    Ids given once are kept in every later run.
+    Ids given once are kept in every later run, also when writing fails: the
+    stored table is only replaced by a whole one.
     """
-    known = spark.read.parquet(path) if fs.exists(spark, path) else seed
-    full = materialize(upsert_keys(known, keys, key, id_col), "dimension")  # read back before its own table is replaced
-    full.write.mode("overwrite").parquet(path)
+    known = spark.read.parquet(path) if fs.recovered(spark, path) else seed
+    fs.replace_table(upsert_keys(known, keys, key, id_col), path)
     return spark.read.parquet(path)
 
 

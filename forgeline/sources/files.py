@@ -1,19 +1,22 @@
 """Delimited source files.
 
 Readers keep every column as a string (Bronze keeps raw text).  The
-delimiter is detected from the header line only (a one-line read), then the
-CSV reader parses the whole file in parallel.  Row numbers are the 1-based
-position in the file, computed without a global sort: a per-partition count
-is prefix-summed and added to the position inside each partition.
+delimiter is detected from the first lines, then the CSV reader parses the
+whole file in parallel.  Row numbers are the 1-based position in the file,
+computed without a global sort: a count per block is prefix-summed and added to
+the position inside each block.
 """
 
 from __future__ import annotations
 
+import csv
 import os
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from forgeline.session import materialize
 from forgeline.sources import fs
 
 # Fixed values that must equal the reference for right results.
@@ -24,6 +27,9 @@ SOURCE_STEMS = {
 }
 DELIMITER_CANDIDATES = [";", ",", "\t", "|"]
 
+SNIFF_LINES, SNIFF_WIDTH = 100, 10_000  # lines of a source, and characters of a line, that the delimiter is detected from
+BROADCAST_BLOCKS = 100_000  # file blocks (8 MB of offsets)
+
 
 # S01 / S02 ---------------------------------------------------------------
 def find_source_files(data_dir: str, spark: SparkSession) -> dict[str, str]:
@@ -51,14 +57,28 @@ def require_sources(found: dict[str, str], required=("temperature", "pressure",
 
 # S03 ---------------------------------------------------------------------
 def sniff_delimiter(spark: SparkSession, path: str, default: str = ",") -> str:
-    """Pick the candidate that occurs most in the header line (ties: list order)."""
-    head = spark.read.text(path).limit(1).collect()
-    if not head:
-        return default
-    line = head[0][0] or ""
-    counts = {d: line.count(d) for d in DELIMITER_CANDIDATES}
-    best = max(DELIMITER_CANDIDATES, key=lambda d: (counts[d], -DELIMITER_CANDIDATES.index(d)))
-    return best if counts[best] > 0 else default
+    """The candidate under which a sample of the first lines agrees best on the number of fields."""
+    lines = spark.read.text(path).select(F.substring("value", 1, SNIFF_WIDTH)).limit(SNIFF_LINES).collect()
+    return best_delimiter([r[0] or "" for r in lines], default)
+
+
+def best_delimiter(lines: list[str], default: str = ",") -> str:
+    """Quote-aware: delimiters and line ends inside quotes count for nothing.
+
+    The candidate with the largest share of records of the most common width
+    wins, then the wider records, then the order of the candidates; one that
+    separates nothing doesn't count.
+    """
+    best, found = (0.0, 0), default
+    for d in DELIMITER_CANDIDATES:
+        records = [len(r) for r in csv.reader([line + "\n" for line in lines], delimiter=d) if r]
+        if len(lines) == SNIFF_LINES and len(records) > 1:
+            records.pop()  # the sample may end inside a record
+        width, times = Counter(records).most_common(1)[0] if records else (0, 0)
+        score = (times / max(1, len(records)), width)
+        if width > 1 and score > best:
+            best, found = score, d
+    return found
 
 
 # S04 / S06 / S07 ---------------------------------------------------------
@@ -81,23 +101,31 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> Da
 def with_file_row_number(df: DataFrame, out: str = "row_number") -> DataFrame:
     """1-based position of each row in its source file, without a global sort.
 
-    A file may be split into several blocks and a task may read several small
-    files, so rows are keyed by (file, block start) from the hidden
-    ``_metadata`` column.  Per key: row count and the first row id in the
-    task; blocks of one file are then prefix-summed in offset order (one
-    summary row per block).  The position inside a block is the distance to
-    the block's first ``monotonically_increasing_id`` (rows of one block are
-    contiguous in the task that reads it).
+    The text is scanned once: rows are stored with their file, the start of the
+    block they were read from (the hidden ``_metadata`` column) and an id that
+    grows inside a task.  Rows of one block are contiguous in the task that
+    reads it, so the position inside a block is the distance to its smallest
+    id; the stored blocks' counts, one row per block and prefix-summed in file
+    order, give the rest.  Up to ``BROADCAST_BLOCKS`` blocks those offsets are
+    broadcast and no row is shuffled; beyond, they are joined by size.
     """
-    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                       F.monotonically_increasing_id().alias("_mid"))
-    blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # one row per file block; no hint: its size is that of the input's splits, AQE measures it
-    return tagged.join(offsets, ["_file", "_block"]).withColumn(
-        out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("bigint")
-    ).drop("_file", "_block", "_mid", "_first", "_off")
+    file, block, place, first, offset = (_unused(df, c) for c in ("_file", "_block", "_place", "_first", "_offset"))
+    tagged = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias(place))
+    rows = materialize(tagged, "numbered-lines")
+    blocks = rows.groupBy(file, block).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias(first))
+    w = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(file, block, first, F.coalesce(F.sum("n").over(w), F.lit(0)).alias(offset))
+    offsets = materialize(offsets, "line-offsets")
+    if offsets.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    number = (F.col(offset) + F.col(place) - F.col(first) + 1).cast("bigint")
+    return rows.join(offsets, [file, block]).withColumn(out, number).drop(file, block, place, first, offset)
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = "_" + name
+    return name
 
 
 def value_column(df: DataFrame, preferred: str, fallback: str) -> str:

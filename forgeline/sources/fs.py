@@ -41,3 +41,34 @@ def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
         return 0, 0
     files = list(fs.listStatus(p))
     return sum(int(f.getLen()) for f in files), max((int(f.getModificationTime()) for f in files), default=0)
+
+
+def replace_table(df, path: str, partition_by: list[str] | None = None) -> None:
+    """Store ``df`` as the table at ``path``: written beside it, then moved into its place.
+
+    A write that fails leaves the old table as it was, so ``df`` may read it.
+    The old one stays as ``<path>.previous`` until the next replacement; should
+    the run end between the two moves, ``recovered`` finds it.
+    """
+    spark = df.sparkSession
+    new, previous = path.rstrip("/") + ".new", path.rstrip("/") + ".previous"
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(new)
+    fs, at = _fs(spark, path)
+    _, old = _fs(spark, previous)
+    _, fresh = _fs(spark, new)
+    if fs.exists(at):
+        fs.delete(old, True)
+        if not fs.rename(at, old):
+            raise OSError(f"can't move {path} to {previous}")
+    if not fs.rename(fresh, at):
+        raise OSError(f"can't move {new} to {path}")
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``, after moving a previous one back that a run has left without successor."""
+    fs, at = _fs(spark, path)
+    _, old = _fs(spark, path.rstrip("/") + ".previous")
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
+    return bool(fs.exists(at))

@@ -16,6 +16,7 @@ from forgeline.functions.expr import INCIDENT_TYPE_COLUMNS, blank_to_null, ordin
 
 from forgeline.operators.dims import lookup
 from forgeline.operators.validate import pseudonymise
+from forgeline.sources import fs
 
 FACT_TABLES = [
     "bronze_temperature", "bronze_pressure", "bronze_incident", "bronze_weather",
@@ -114,11 +115,8 @@ def silver_weather_rows(weather: DataFrame, batch_id: str) -> DataFrame:
 
 # K07 / K08 ---------------------------------------------------------------
 def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of one fact table (overwrite)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(table_path(root, name))
+    """Full refresh of one fact table; a write that fails leaves the one of the run before."""
+    fs.replace_table(df, table_path(root, name), partition_by)
 
 
 # K09 ---------------------------------------------------------------------

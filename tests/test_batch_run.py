@@ -3,12 +3,12 @@
 import os
 import tempfile
 
+import pytest
+
 from forgeline.plans import pipeline
 from forgeline.plans import layers as L
 from forgeline.sources import files
 
-import pytest
-
 
 def test_file_row_number_is_file_order(spark, tmp_path):
     p = tmp_path / "capteurs_temperature.csv"
@@ -108,3 +108,51 @@ def test_file_row_number_many_files_and_blocks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(got) == 9000
     assert all(r.row_number == int(r.temperature) + 1 for r in got)
+
+
+def test_delimiter_of_a_sample():
+    from forgeline.sources.files import best_delimiter
+
+    assert best_delimiter(['"a;b",c', '"1;2",3', '"4;5",6']) == ","
+    assert best_delimiter(['a;b;c', '1,5;2,5;3', '1;2;"x,y,z"']) == ";"
+    assert best_delimiter(['a|b', '"line', 'one; still the same, field"|2', '3|4']) == "|"
+    assert best_delimiter(['id\tnote', '1\tyes, no; perhaps', '2\tone, two, three']) == "\t"
+    assert best_delimiter([]) == best_delimiter(["single", "column"]) == best_delimiter([""]) == ","
+    assert best_delimiter(["a;b,c", "1;2", "3;4"]) == ";"  # the header alone would not tell
+    assert best_delimiter([f"{i};{i}" for i in range(99)] + ['"cut inside']) == ";"
+
+
+def test_row_numbers_scan_the_text_once(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"p{k}.csv").write_text("_file;_place;value\n" + "".join(f"x;y;{i}\n" for i in range(50)))
+    df = files.with_file_row_number(files.read_delimited(spark, str(tmp_path), ";"))
+    assert df.columns == ["_file", "_place", "value", "source_file", "row_number"]
+    assert all(r.row_number == int(r.value) + 1 for r in df.collect())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "csv" not in plan.lower().replace(str(tmp_path).lower(), "") and "Exchange hashpartitioning" not in plan  # stored rows, offsets broadcast
+
+
+def test_a_failed_write_keeps_the_stored_dimension(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from forgeline.operators import dims
+    from forgeline.sources import fs, sinks
+
+    path, keys = str(tmp_path / "dim"), lambda *names: spark.createDataFrame([(n,) for n in names], "machine_code string")
+    first = {r.machine_code: r.machine_id for r in dims.synced(spark, path, dims.machine_seed(spark), keys("MACH-20"), "machine_code", "machine_id").collect()}
+    broken = keys("MACH-30").withColumn("machine_code", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        dims.synced(spark, path, dims.machine_seed(spark), broken, "machine_code", "machine_id")
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_table(broken, str(tmp_path), "dim")
+    assert {r.machine_code: r.machine_id for r in spark.read.parquet(path).collect()} == first
+    # a run that ended between the two moves
+    (tmp_path / "dim").rename(tmp_path / "dim.previous")
+    assert fs.recovered(spark, path) and not fs.recovered(spark, str(tmp_path / "none"))
+    again = dims.synced(spark, path, dims.machine_seed(spark), keys("MACH-21"), "machine_code", "machine_id")
+    assert {r.machine_code: r.machine_id for r in again.collect()} == {**first, "MACH-21": max(first.values()) + 1}
+    assert {r.machine_code for r in spark.read.parquet(path + ".previous").collect()} == set(first)
