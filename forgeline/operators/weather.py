@@ -2,13 +2,16 @@
 
 The reference scrapes a monthly HTML table per month and keeps a CSV cache.
 Here pages are rows of an already stored DataFrame; table rows and cells are
-pulled out with regular-expression functions and ``explode``, and every
+found by a fold over each page's tags with higher-order functions, and every
 later step (daily -> hourly, monthly means, gap fill, coverage) is a plain
 DataFrame plan.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,33 +31,82 @@ IDX_PRESSURE_MIN = 8
 IDX_PRESSURE_MAX = 9
 MIN_CELLS = 10
 
-# The entities that weather pages use; the ampersand last, so that nothing is decoded twice.
-ENTITIES = {"&nbsp;": " ", "&#160;": " ", "&deg;": "°", "&#176;": "°", "&eacute;": "é", "&ucirc;": "û", "&quot;": '"', "&#39;": "'",
-            "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+# S11 ---------------------------------------------------------------------
+_TOKEN = r"""(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|</?[a-z](?:"[^"]*"|'[^']*'|[^'">])*>|[^<]+|<"""
+_CLASS = r"""(?is)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_ENTITY = r"&#[0-9]+;|&#[xX][0-9A-Fa-f]+;|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&"
+
+
+def decoded(text: Column) -> Column:
+    """Character references resolved: decimal, hexadecimal and named ones (HTML 4); others stay as they are."""
+    names = F.from_json(F.lit(json.dumps({f"&{n};": chr(c) for n, c in name2codepoint.items()} | {"&apos;": "'"})), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        hexadecimal = F.when(piece.rlike("^&#[0-9]"), F.hex(F.regexp_extract(piece, "[0-9]+", 0).try_cast("long"))).otherwise(
+            F.upper(F.regexp_extract(piece, "^&#[xX]0*([0-9A-Fa-f]{1,8});", 1)))
+        point = F.when((F.length(hexadecimal) <= 6) & (hexadecimal != "") & (hexadecimal != "0"), F.lpad(hexadecimal, 8, "0"))
+        known = F.when((point <= "0010FFFF") & ~point.between("0000D800", "0000DFFF"), F.decode(F.unhex(point), "UTF-32"))
+        return F.when(piece.startswith("&#"), F.coalesce(known, F.lit("\ufffd"))).when(piece.startswith("&"), F.coalesce(F.try_element_at(names, piece), piece)).otherwise(piece)
+
+    whole = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), one), "")
+    return F.when(text.contains("&"), whole).otherwise(text)
+
+
+def _tokens(html: Column) -> Column:
+    """Tags and texts of a page in order: (kind, tag, marked, text); comments, scripts and styles are neither."""
+
+    def token(t: Column) -> Column:
+        tag = F.lower(F.regexp_extract(t, r"^</?([A-Za-z][^\s/>]*)", 1))
+        hidden = t.startswith("<!--") | tag.isin("script", "style")
+        kind = F.when(hidden, "none").when(tag == "", "text").when(t.startswith("</"), "close").otherwise("open")
+        named = F.concat(*[F.regexp_extract(t, _CLASS, g) for g in (1, 2, 3)])
+        return F.struct(kind.alias("kind"), tag.alias("tag"), ((tag == "div") & (F.trim(named) == "toprint")).alias("marked"), t.alias("text"))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), token)
+
+
+def _followed(s: Column, t: Column) -> Column:
+    """State after a token: what a parser that walks through the page would know."""
+    opens, closes = (lambda tag: (t["kind"] == "open") & (t["tag"] == tag)), (lambda tag: (t["kind"] == "close") & (t["tag"] == tag))
+    none, strings = F.array().cast("array<string>"), "array<string>"
+    marked = s["marked"] | ((t["kind"] == "open") & t["marked"])
+    in_table = s["in_table"] | (opens("table") & marked)
+    row_starts = opens("tr") & in_table
+    cell_starts = opens("td") & (s["in_row"] | row_starts)
+    table_ends = closes("table") & s["in_table"]
+    row_ends = closes("tr") & s["in_table"] & s["in_row"]
+    cell_ends = closes("td") & s["in_row"]
+    words = F.trim(F.regexp_replace(decoded(t["text"]), "[\\s\u00a0]+", " "))
+    says = (t["kind"] == "text") & s["in_cell"]
+    cell = F.when(cell_starts, none).when(says, F.filter(F.concat(s["cell"], F.array(words)), lambda x: x != "")).otherwise(s["cell"])
+    row = F.when(row_starts, none).when(cell_ends, F.concat(s["row"], F.array(F.array_join(s["cell"], " ")))).otherwise(s["row"])
+    full = F.struct((s["begun"] - 1).alias("row_index"), s["row"].alias("cells"))
+    return F.struct(
+        (marked & ~table_ends).alias("marked"), (in_table & ~table_ends).alias("in_table"), ((s["in_row"] | row_starts) & ~row_ends).alias("in_row"),
+        ((s["in_cell"] | cell_starts) & ~cell_ends).alias("in_cell"), (s["begun"] + row_starts.cast("int")).alias("begun"),
+        cell.cast(strings).alias("cell"), row.cast(strings).alias("row"),
+        F.when(row_ends & (F.size(s["row"]) > 0), F.concat(s["rows"], F.array(full))).otherwise(s["rows"]).alias("rows"))
 
 
-# S11 ---------------------------------------------------------------------
 def page_table_rows(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Rows of ``td`` cell texts of the first table inside ``div class="toprint"``.
-
-    Tag names match in either case.  The table ends at its closing tag, so
-    blocks nested in its caption don't matter.  Tags inside a cell are
-    dropped, entities decoded, runs of white space become one space.  Rows
-    without any ``td`` have no cells and are left out.
+    """Rows of ``td`` cell texts of every table after a ``div class="toprint"``.
+
+    A fold over the page's tags and texts keeps where it is: a marked div makes
+    the next table count, until that table's end tag (whatever it nests, so a
+    table inside a cell ends it); a row counts when it is closed and has cells,
+    numbered by its ``tr`` among all of them; a cell when it is closed.  A new
+    ``tr`` or ``td`` drops an unclosed one.  Tag and attribute names match in
+    either case, attributes may be quoted or not; comments, scripts and styles
+    are skipped; character references are decoded; a cell's texts are joined by
+    a space, runs of white space are one.  A page that is null, or has no
+    marked table, has no rows.
     """
-    after = F.regexp_extract(F.col(html), r'(?is)<div[^>]*class\s*=\s*["\']\s*toprint\s*["\'][^>]*>(.*)', 1)
-    table = F.regexp_extract(after, r"(?is)<table[^>]*>(.*?)</table>", 1)
-    trs = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    out = pages.select(*[c for c in pages.columns if c != html], F.posexplode(trs).alias("row_index", "_tr"))
-
-    def clean(cell: Column) -> Column:
-        text = F.regexp_replace(cell, r"<[^>]*>", " ")
-        for entity, character in ENTITIES.items():
-            text = F.replace(text, F.lit(entity), F.lit(character))
-        return F.trim(F.regexp_replace(text, "[\\s\u00a0]+", " "))
-
-    cells = F.transform(F.regexp_extract_all(F.col("_tr"), F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), clean)
-    return out.withColumn("cells", cells).where(F.size("cells") > 0).drop("_tr")
+    start = F.struct(*[F.lit(False).alias(c) for c in ("marked", "in_table", "in_row", "in_cell")], F.lit(0).alias("begun"),
+                     *[F.array().cast("array<string>").alias(c) for c in ("cell", "row")],
+                     F.array().cast("array<struct<row_index:int,cells:array<string>>>").alias("rows"))
+    rows = F.aggregate(_tokens(F.col(html)), start, _followed, lambda s: s["rows"])
+    return pages.select(*[c for c in pages.columns if c != html], F.explode(rows).alias("_row")).select(
+        *[c for c in pages.columns if c != html], "_row.row_index", "_row.cells")
 
 
 # S12 ---------------------------------------------------------------------

@@ -69,3 +69,88 @@ def test_hourly_expansion_monthly_fill_and_merge(spark):
     assert merged.count() == 96 and merged.where("temp_celsius = 99.0").count() == 0
     missing = WX.missing_months(WX.months_of(spark.createDataFrame([(dt.date(2025, 1, 5), dt.date(2025, 3, 1))], "s date, e date"), "s", "e"), hourly)
     assert sorted((r.year, r.month) for r in missing.collect()) == [(2025, 2), (2025, 3)]
+
+
+def _walked(html):
+    """What a page parser that keeps the same state finds: (row number, cells) of every marked table."""
+    from html.parser import HTMLParser
+
+    class Walk(HTMLParser):
+        marked = in_table = in_row = in_cell = False
+        begun = 0
+
+        def __init__(self):
+            super().__init__()
+            self.cell, self.row, self.rows = [], [], []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "div" and (dict(attrs).get("class") or "").strip() == "toprint":
+                self.marked = True
+            if tag == "table" and self.marked:
+                self.in_table = True
+            if tag == "tr" and self.in_table:
+                self.in_row, self.row, self.begun = True, [], self.begun + 1
+            if tag == "td" and self.in_row:
+                self.in_cell, self.cell = True, []
+
+        def handle_endtag(self, tag):
+            if tag == "table" and self.in_table:
+                self.in_table = self.marked = False
+            elif tag == "tr" and self.in_table and self.in_row:
+                if self.row:
+                    self.rows.append((self.begun - 1, self.row))
+                self.in_row = False
+            elif tag == "td" and self.in_row:
+                self.row.append(" ".join(self.cell))
+                self.in_cell = False
+
+        def handle_data(self, data):
+            if self.in_cell and data.split():
+                self.cell.append(" ".join(data.split()))
+
+    walk = Walk()
+    walk.feed(html)
+    walk.close()
+    return walk.rows
+
+
+MARK = '<div class="toprint">'
+PAGES = [
+    f"{MARK}<table><tr><td>1<td>2</td></tr><tr><td>lost<tr><td>3</td><td>4</td></tr><tr><td>open</table>",  # unclosed cells and rows
+    f"{MARK}<table><tr><td>a</td></tr></table><table><tr><td>no</td></tr></table>{MARK}<p><table><tr><td>b</td></tr></table>",  # every marked table
+    f"{MARK}<table><tr><td>x<!-- <td>y</td></tr> -->z</td></tr><!-- </table> --><tr><td>w</td></tr></table>",  # comments
+    f"{MARK}<table><tr><td>&#233;&#xE9;&#x1F600;&eacute;&nbsp;&hellip;&euro; &amp;lt; &unknown; 5 & 6 &#0; &#x110000;</td></tr></table>",  # references
+    "<DIV id=1 CLASS = toprint ><TABLE BORDER=1><TR><TD title='a>b'>u</TD><td> v\n <b>w</b>\t</td><th>h</th></TR></TABLE></DIV>",  # attributes
+    "<div class=' toprint '><table><tr><th>head</th></tr><tr></tr><tr><td></td></tr></table>",  # rows without cells, an empty cell
+    f"{MARK}<table><tr><td>out<table><tr><td>in</td></tr></table>rest</td></tr><tr><td>after</td></tr></table>",  # a table in a cell
+    f"{MARK}<table><tr><td>1</td></td></tr></tr><td>2</td></table></table>",  # surplus end tags
+    f"{MARK}<table><tr><td>if 3 < 4 then</td><td>tail",  # a bare sign, a cut page
+    "<table><tr><td>unmarked</td></tr></table>", "<div class='toprint'>no table", "", "plain text",
+    f"{MARK}<style>td > tr {{}}</style><script>document.write('<table><tr><td>script</td></tr></table>')</script><table><tr><td>ok</td></tr></table>",
+]
+
+
+def test_pages_as_a_parser_walks_them(spark):
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(PAGES)] + [(99, None)], "page_id long, html string")
+    got = {}
+    for r in WX.page_table_rows(pages).orderBy("page_id", "row_index").collect():
+        got.setdefault(r.page_id, []).append((r.row_index, r.cells))
+    for i, h in enumerate(PAGES):
+        want = [(k, [c.replace("\x00", "\ufffd") for c in cells]) for k, cells in _walked(h)]
+        assert got.get(i, []) == want, h
+    assert 99 not in got
+
+
+def test_random_pages(spark):
+    import random
+
+    rng = random.Random(4)
+    parts = [MARK, "</div>", "<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<td class='x'>", "<b>", "</b>", "text ", " 12,5 ", "&deg;C", "&#38;", "<!-- c -->", "<th>h</th>", "\n"]
+    pages = ["".join([MARK, "<table>", *rng.choices(parts, weights=[1, 1, 1, 1, 5, 5, 8, 8, 2, 1, 1, 6, 6, 2, 2, 1, 1, 2], k=60)]) for _ in range(160)]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    got = {}
+    for r in WX.page_table_rows(df).orderBy("page_id", "row_index").collect():
+        got.setdefault(r.page_id, []).append((r.row_index, r.cells))
+    assert sum(map(len, got.values())) > 60
+    for i, h in enumerate(pages):
+        assert got.get(i, []) == _walked(h), h
