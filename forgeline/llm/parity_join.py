@@ -21,9 +21,8 @@ them, and every link still shows in another group.  Documents with more of
 them, copies of each other, are not paired with one another but with one
 centre per group; a second, parity sketch of one bit per hash slot (its
 Hamming distance never exceeds the symmetric difference) and the sizes sift
-the pairs, and the survivors are verified on their shingles.  Groups that
-still span several components are tried against other centres, and what then
-remains is compared exhaustively, block by block, on sizes and sketches: a task
+the pairs, and the survivors are verified on their shingles.  What of the groups
+then spans several components is compared exhaustively, block by block, on sizes and sketches: a task
 returns a spanning forest of the likely pairs, fewer than its rows, and never
 the pairs of a group.  The forest is verified; where that refutes pairs, the
 groups are compared again without them, with four times as many pairs a
@@ -354,13 +353,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sides = F.array(F.struct(F.col("band"), F.col("own_spare").alias("spare"), F.col("own_keys").alias("keys")),
                     F.struct((F.col("band") - 1).alias("band"), F.col("low_spare").alias("spare"), F.col("low_keys").alias("keys")))
     emitted = own.where("band is not null").select("doc_id", F.explode(sides).alias("s")).select(F.explode("s.keys").alias("key"), "doc_id", "s.band", "s.spare")
-    centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("mid"),
-                                         F.count(F.lit(1)).alias("size")).where("lo < hi")
+    centres = emitted.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").drop("hi")
     shared = stored(emitted.join(centres.withColumnRenamed("key", "__k").hint("merge"), F.col("key") == F.col("__k")).drop("__k"), "meeting")
     frequent = F.col("size") > FREQUENT
     own_groups = Window.partitionBy("doc_id", "band")  # at most GROUPS or PLAIN_BELOW rows
     shared = shared.withColumn("__often", F.count_if(frequent).over(own_groups)).where(~frequent | (F.col("__often") > F.col("spare")))
-    shared = stored(shared.select("key", "doc_id", "lo", "mid", "hi", "size"), "shared")
+    shared = stored(shared.select("key", "doc_id", "lo", "size"), "shared")
 
     # rows that share a doc_id but not a text are one node
     split = member.groupBy("member").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select(F.col("member").alias("__m"), "a")
@@ -370,22 +368,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = _links(shared.where("doc_id != lo").select(F.col("doc_id").alias("x"), F.col("lo").alias("y")).distinct(), member, texts)
     links = links.unionByName(found)
     comps = components(links)
-    for centre in ("hi", "mid"):
-        shared = _open(shared, member, comps, centre)
-        if shared.isEmpty():
-            break
-        pairs = shared.where((F.col("doc_id") != F.col(centre)) & (F.col("comp") != F.col("of_centre")))
-        found = _links(pairs.select(F.col("doc_id").alias("x"), F.col(centre).alias("y")).distinct(), member, texts)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            comps = components(links)
 
-    refuted, more = None, 0
+    refuted, wrong, more = None, None, 0
     while True:
-        shared = _open(shared, member, comps, "lo")
-        if shared.isEmpty():
+        open_groups = _open(shared, member, comps, wrong)
+        if open_groups.isEmpty():
             break
-        likely = stored(_likely(shared, member, refuted, more).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "likely-pairs")
+        likely = stored(_likely(open_groups, member, refuted, more).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "likely-pairs")
         if likely.isEmpty():
             break
         found = _links(likely.select(F.col("a").alias("x"), F.col("b").alias("y")), member, texts)
@@ -405,15 +394,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("__c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _open(shared: DataFrame, member: DataFrame, comps: DataFrame, centre: str) -> DataFrame:
-    """Rows of the groups whose members lie in several components, with ``comp`` and their centre's component (one value a group)."""
-    shared = shared.select("key", "doc_id", "lo", "mid", "hi", "size")
+def _open(shared: DataFrame, member: DataFrame, comps: DataFrame, refuted: DataFrame | None) -> DataFrame:
+    """Rows (key, doc_id, size, comp) of the groups whose members lie in several components.
+
+    After a forest of which pairs were ``refuted``, what it left out lies
+    between components that hold a refuted pair's ends: other rows are done.
+    """
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
     label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
-    named = shared.join(label, F.col("doc_id") == F.col("__m")).drop("__m")
-    apart = named.groupBy(F.col("key").alias("__k")).agg(
-        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max(F.when(F.col("doc_id") == F.col(centre), F.col("comp"))).alias("of_centre")).where("c0 < c1")
-    return stored(named.join(apart, F.col("key") == F.col("__k")).drop("__k", "c0", "c1"), "open")
+    named = shared.select("key", "doc_id", "size").join(label, F.col("doc_id") == F.col("__m")).drop("__m")
+    if refuted is not None:
+        ends = refuted.select(F.explode(F.array("a", "b")).alias("__e")).distinct().join(label, F.col("__e") == F.col("__m"))
+        named = named.join(ends.select(F.col("comp").alias("__o")).distinct(), F.col("comp") == F.col("__o"), "left_semi")
+    apart = named.groupBy(F.col("key").alias("__k")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
+    return stored(named.join(apart, F.col("key") == F.col("__k"), "left_semi"), "open")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
