@@ -40,6 +40,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plainly_named(docs: DataFrame, *kept: str) -> DataFrame:
+    """All columns but ``kept`` under names of their place, so that none clashes with an inner one or needs quoting; ``toDF`` names them back."""
+    return docs.toDF(*[c if c in kept else f"column_{i}" for i, c in enumerate(docs.columns)])
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> tuple[int, int]:
     """(rows, UTF-8 bytes of the text column): one aggregate over the scan."""
     r = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("b")).first()

@@ -21,8 +21,8 @@ Edge cases: a null text stays null, an empty one empty; a text without
 repeated runs is returned unchanged, one that loses lines is the rest joined
 by ``\\n``.  Rows that repeat id and text count as one document, each keeping
 what the first keeps; rows with one id and other text are ordered by a hash of
-the text; null ids come last.  All input columns are returned; an empty table
-gives an empty result.
+the text; null ids come last.  All input columns are returned, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import stored
+from forgeline.llm.common import plainly_named, stored
 
 LONG_WORDS = 20
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -80,13 +80,14 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = repeated_lines(docs).groupBy("id", "tie").agg(F.collect_set("at").alias("__gone")).select(
         F.col("id").alias("__id"), F.col("tie").alias("__tie"), "__gone")
     gone = stored(gone, "gone")
-    own = docs.withColumns({"__own": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "__hash": F.xxhash64("text")})
+    plain = plainly_named(docs, "doc_id", "text")
+    own = plain.withColumns({"__own": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), "__hash": F.xxhash64("text")})
     joined = own.join(gone.hint("merge"), (F.col("__own") == F.col("__id")) & (F.col("__hash") == F.col("__tie")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest)
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in plain.columns]).toDF(*docs.columns)
 
 
 def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, str | None]:

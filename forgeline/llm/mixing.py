@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgeline.llm.common import plainly_named
+
 TEMPERATURE = 0.7
 KEEP_SHARE = 0.8
 MAX_CELLS = 1_000_000
@@ -210,5 +212,6 @@ def calibrated(docs: DataFrame, source: Column, language: Column, topic: Column
 
 def sampled(docs: DataFrame, **options) -> DataFrame:
     """The documents drawn, all their columns: source and lang columns, topic by form."""
-    rows = calibrated(docs, F.col("source"), F.col("lang"), **options)
-    return rows.where("__kept").select(*docs.columns)
+    plain = plainly_named(docs, "doc_id", "text", "source", "lang")
+    rows = calibrated(plain, F.col("source"), F.col("lang"), **options)
+    return rows.where("__kept").select(*plain.columns).toDF(*docs.columns)

@@ -35,6 +35,7 @@ END_ID = 1
 GAP = 2e-4  # column generation ends this close to the lower bound of sequences, or half a sequence
 UNIT_CACHE = 400_000
 SPECIAL = "<|endoftext|>"
+_LONG_RUN = re.compile(r"\s{10000}")  # the fast encoder's pattern matching needs a stack as deep as a run of white space is long
 _TOUCHING = re.compile(r" (?:\s|(?<=\s ))")  # a space beside white space; \s has every character that the tokenizer's has
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -72,11 +73,13 @@ def packed_ids(text: str, units: Units, tokenizer) -> bytes:
     A space between characters that are no white space always starts a new
     pre-token, so a text whose spaces stand alone is the concatenation of its
     units.  Beside other white space (line ends, tabs, U+00A0) a space can lie
-    inside a token of a run: such a text is encoded whole.
+    inside a token of a run: such a text is encoded whole.  Texts with the
+    special token, or with a run of white space that is too long for the fast
+    encoder, take the tokenizer itself.
     """
     if not text:
         return b""
-    if SPECIAL in text:
+    if SPECIAL in text or _LONG_RUN.search(text):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
     if text[0] == " " or text[-1] == " " or _TOUCHING.search(text):
         return np.array(units.encode(text), dtype="<u4").tobytes()

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import WordHashes, mixed, shingle_hashes, stored
+from forgeline.llm.common import WordHashes, mixed, plainly_named, shingle_hashes, stored
 from forgeline.llm.components import components, merged
 
 SHINGLE_WORDS = 5
@@ -422,16 +422,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marked = stored(ids.where("__gone = 1 or __n > 1").select("__id", "__gone"), "marked")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     is_marked = worded & (F.col("doc_id").cast("long") == F.col("__id"))
-    kept = docs.join(marked, is_marked, "left_anti")
+    plain = plainly_named(docs, "doc_id", "text")
+    kept = plain.join(marked, is_marked, "left_anti")
     repeated = marked.where("__gone = 0")
     if repeated.isEmpty():
-        return kept
+        return kept.toDF(*docs.columns)
     # one row per id from partial minima, so that no task holds all rows of an id; maps can't be ordered
-    values = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    values = [F.col(f.name) for f in plain.schema.fields if "map<" not in f.dataType.simpleString()]
     order = F.struct(F.xxhash64("text").alias("__hash"), *values)
-    one = docs.join(repeated, is_marked, "left_semi").groupBy(F.col("doc_id").cast("long").alias("__id"))
-    one = one.agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("__row"))
-    return kept.unionByName(one.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns]))
+    one = plain.join(repeated, is_marked, "left_semi").groupBy(F.col("doc_id").cast("long").alias("__id"))
+    one = one.agg(F.min_by(F.struct(*plain.columns), order).alias("__row"))
+    return kept.unionByName(one.select("__row.*")).toDF(*docs.columns)
 
 
 def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from forgeline.llm import packing as P
@@ -72,3 +73,20 @@ def test_patterns_cover_demand_near_the_bound():
 
 def test_empty(frame):
     assert P.pack_documents(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("kind", [" ", "\n", "\t", "\u00a0", " \n", "\r\n", "\u3000", "\x0b "])
+def test_long_white_space(kind):
+    """Two million characters of every kind of white space, alone and between words: no crash, the tokenizer's ids."""
+    encode, tokenizer = P._encoders("byte_bpe_50k.tiktoken", "byte_bpe_50k.json")
+    run = kind * (2_000_000 // len(kind))
+    for text in (run, "before" + run + "after it"):
+        assert P.packed_ids(text, P.Units(encode), tokenizer) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+@pytest.mark.parametrize("length", [9_999, 10_000, 10_001])
+def test_white_space_about_the_limit(length):
+    encode, tokenizer = P._encoders("byte_bpe_50k.tiktoken", "byte_bpe_50k.json")
+    for kind in (" ", "\n"):
+        text = "a" + kind * length + "b c"
+        assert P.packed_ids(text, P.Units(encode), tokenizer) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
