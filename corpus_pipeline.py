@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.llm import line_dedup, mixing, packing, parity_join, toxicity
-from forgeline.llm.common import stored
+from forgeline.llm.common import plainly_named, stored
 
 ORACLE_SQL = None
 
@@ -28,13 +28,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: later runs of repeated lines go; a document that consists of nothing else goes with them."""
-    left = line_dedup.without_repeated_lines(docs.withColumn("__was", F.octet_length("text")))
+    plain = plainly_named(docs, "doc_id", "text", "n_chars")
+    left = line_dedup.without_repeated_lines(plain.withColumn("__was", F.octet_length("text")))
     emptied = F.coalesce((F.col("__was") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]") & (F.octet_length("text") < F.col("__was")), F.lit(False))
     left = left.where(~emptied)
     if "n_chars" in docs.columns:
         changed = F.octet_length("text") < F.col("__was")
         left = left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return left.select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
