@@ -369,9 +369,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.unionByName(found)
     comps = components(links)
 
-    refuted, wrong, more = None, None, 0
+    refuted, more = None, 0
     while True:
-        open_groups = _open(shared, member, comps, wrong)
+        open_groups = _open(shared, member, comps)
         if open_groups.isEmpty():
             break
         likely = stored(_likely(open_groups, member, refuted, more).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "likely-pairs")
@@ -394,18 +394,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("__c", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _open(shared: DataFrame, member: DataFrame, comps: DataFrame, refuted: DataFrame | None) -> DataFrame:
-    """Rows (key, doc_id, size, comp) of the groups whose members lie in several components.
-
-    After a forest of which pairs were ``refuted``, what it left out lies
-    between components that hold a refuted pair's ends: other rows are done.
-    """
+def _open(shared: DataFrame, member: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows (key, doc_id, size, comp) of the groups whose members lie in several components."""
     label = member.join(comps, F.col("rep") == F.col("node"), "left").select(F.col("member").alias("__m"), F.coalesce("component", "rep").alias("comp"))
     label = label.groupBy("__m").agg(F.min("comp").alias("comp"))
     named = shared.select("key", "doc_id", "size").join(label, F.col("doc_id") == F.col("__m")).drop("__m")
-    if refuted is not None:
-        ends = refuted.select(F.explode(F.array("a", "b")).alias("__e")).distinct().join(label, F.col("__e") == F.col("__m"))
-        named = named.join(ends.select(F.col("comp").alias("__o")).distinct(), F.col("comp") == F.col("__o"), "left_semi")
     apart = named.groupBy(F.col("key").alias("__k")).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
     return stored(named.join(apart, F.col("key") == F.col("__k"), "left_semi"), "open")
 
