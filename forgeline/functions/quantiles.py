@@ -35,11 +35,15 @@ def ordered_bits(v: Column) -> Column:
     return F.when(v < 0, -magnitude).otherwise(magnitude)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, digits: tuple[int, ...] = DIGITS) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, digits: tuple[int, ...] = DIGITS,
+                    into: Column | None = None) -> DataFrame:
     """One row per group of ``by`` (or one for all): ``n`` and linearly interpolated quantiles ``q0``, ``q1``, ...
 
     NULL and NaN values don't count, infinite ones do; a group without values
-    has no row.
+    has no row.  ``into``, an array of structs made from the ``by`` columns,
+    names the groups that a row counts for, if those are others or several: the
+    result has its fields instead of ``by``.  Counts are handed on to groups,
+    not rows, so a row is read once however many groups it counts for.
     """
     if sum(digits) != 64:
         raise ValueError("digits must cover 64 bits")
@@ -50,30 +54,45 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(v)).select(*named, v.alias("_v"))
     rows = rows.withColumn("_bits", ordered_bits(F.col("_v")))
 
+    def digit(i: int) -> Column:
+        return (F.col("_v") if i == len(digits) - 1 else F.shiftright("_bits", 64 - sum(digits[: i + 1]))).alias("_b")
+
+    def same(left: str, right: str, columns: list[str]) -> Column:
+        return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in columns])
+
+    counts = rows.select(*keys, digit(0)).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    members, groups = None, keys
+    if into is not None:
+        told = counts.select(*[F.col(k).alias(b) for b, k in zip(by, keys)], "_b", "_c").select("*", F.explode(into).alias("_g"))
+        by_group = told.select("_g.*").columns
+        groups = [f"_g{i}" for i in range(len(by_group))]
+        to = [F.col("_g").getField(c).alias(g) for c, g in zip(by_group, groups)]
+        members = told.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *to).distinct()
+        counts = told.select(*to, "_b", "_c").groupBy(*groups, "_b").agg(F.sum("_c").alias("_c"))
+        by = by_group
+
     def ranks(p: float) -> tuple[Column, Column, Column]:
         """(lower rank, upper rank, weight of the upper value)."""
         position = F.lit(float(p)) * (F.col("_n") - 1)
         return F.floor(position).cast("long"), F.ceil(position).cast("long"), position - F.floor(position)
 
+    every = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = counts.withColumn("_n", F.sum("_c").over(every)).withColumn("_from", F.lit(0).cast("long"))
     wanted = F.array(*[r for p in probs for r in ranks(p)[:2]])
-    left, hit = 64, None
-    for i, bits in enumerate(digits):
-        left -= bits
-        digit = (F.col("_v") if i == len(digits) - 1 else F.shiftright("_bits", left)).alias("_b")
-        if hit is None:
-            counts = rows.select(*keys, digit).groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
-            every = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            counts = counts.withColumn("_n", F.sum("_c").over(every)).withColumn("_from", F.lit(0).cast("long"))
-            inside = keys
-        else:  # only values whose digits so far hold a wanted rank
-            same = reduce(Column.__and__, [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
-            open_ = rows.alias("r").join(hit.alias("h"), same & (F.shiftright("r._bits", left + bits) == F.col("h._b")))
-            open_ = open_.select(*[F.col(f"r.{k}").alias(k) for k in keys], "r._bits", "r._v", "h._n", F.col("h._before").alias("_from"))
-            inside = [*keys, "_n", "_from"]
-            counts = open_.select(*inside, digit).groupBy(*inside, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    inside = groups
+    for i in range(len(digits)):
+        if i:  # only values whose digits so far hold a wanted rank
+            left = 64 - sum(digits[:i])
+            if members is not None:
+                hit = members.alias("m").join(hit.alias("h"), same("m", "h", groups)).select(*[F.col(f"m.{k}") for k in keys], *[F.col(f"h.{c}") for c in [*groups, "_b", "_n", "_before"]])
+            open_ = rows.alias("r").join(hit.alias("h"), same("r", "h", keys) & (F.shiftright("r._bits", left) == F.col("h._b")))
+            open_ = open_.select(*[F.col(f"h.{g}").alias(g) for g in groups], "r._bits", "r._v", "h._n", F.col("h._before").alias("_from"))
+            inside = [*groups, "_n", "_from"]
+            counts = open_.select(*inside, digit(i)).groupBy(*inside, "_b").agg(F.count(F.lit(1)).alias("_c"))
         running = Window.partitionBy(*inside).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.col("_from") + F.coalesce(F.sum("_c").over(running), F.lit(0)))
         hit = counts.where(F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))))
+    keys = groups
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c")), F.col("_b")))

@@ -99,9 +99,9 @@ def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str) -
         stats = df.groupBy(group).agg(F.avg(value).alias(f"_{out}_g"))
         global_stat = df.agg(F.avg(value)).scalar()
     elif strategy == "median":
-        # every value counts for its group and for all: one pass gives both medians, one row per group
-        both = F.explode(F.array(F.struct(F.lit(False).alias("all"), F.col(group).alias("g")), F.struct(F.lit(True).alias("all"), F.lit(None).alias("g"))))
-        medians = materialize(exact_quantiles(df.select(F.col(value).alias("v"), both.alias("of")).select("v", "of.all", "of.g"), "v", [0.5], ["all", "g"]), "medians")
+        # every value counts for its group and for all
+        both = F.array(F.struct(F.lit(False).alias("all"), F.col("g")), F.struct(F.lit(True).alias("all"), F.lit(None).cast(df.schema[group].dataType).alias("g")))
+        medians = materialize(exact_quantiles(df.select(F.col(value).alias("v"), F.col(group).alias("g")), "v", [0.5], ["g"], into=both), "medians")
         stats = medians.where("not all").select(F.col("g").alias(group), F.col("q0").alias(f"_{out}_g"))
         global_stat = medians.where("all").select("q0").scalar()
     else:
@@ -127,49 +127,49 @@ def candidate_columns(masked: DataFrame, ctx: ImputationContext, methods=METHODS
 
 def benchmark_metrics(cands: DataFrame, ctx: ImputationContext, methods=METHODS,
                       observed: DataFrame | None = None) -> DataFrame:
-    """A09-A11 per method, in one aggregate over a stacked view.
+    """A09-A11 per method: one wide aggregate, and one pass for all medians.
 
-    ``observed`` (default ``cands``) supplies the original values for the
-    drift baseline; passing the stored input avoids re-running the candidates.
+    Only filled values differ between methods, so an observed value is read
+    once: it counts for the medians of all methods, and moments of observed
+    and of filled values are put together.  ``observed`` (default ``cands``)
+    supplies the original values.
     """
-    target = F.col(ctx.target)
-    stacked = cands.select(
-        "is_masked",
-        target.alias("_truth"),
-        F.explode(
-            F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"_cand_{m}").alias("pred")) for m in methods])
-        ).alias("_c"),
-    ).select("is_masked", "_truth", "_c.method", "_c.pred")
-    full = F.coalesce(F.col("_truth"), F.col("pred"))
-    err = F.when(F.col("is_masked"), F.col("pred") - F.col("_truth"))
-    if ctx.plausible_min is not None and ctx.plausible_max is not None:
-        oor = F.avg((~X.in_range(F.col("_full"), ctx.plausible_min, ctx.plausible_max)).cast("double"))
-    else:
-        oor = F.max(F.lit(0.0))
-    scored = stacked.select("method", "is_masked", "_truth", full.alias("_full"), err.alias("_err"), F.abs(err).alias("_abs"))
+    truth, hidden = F.col(ctx.target), F.col("is_masked")
+    bounded = ctx.plausible_min is not None and ctx.plausible_max is not None
+    out = (lambda v: (~X.in_range(v, ctx.plausible_min, ctx.plausible_max)).cast("long")) if bounded else (lambda v: F.lit(0).cast("long"))
+    wide = [F.count(F.lit(1)).alias("rows"), F.count_if(hidden).alias("masked_rows"), F.sum(F.when(truth.isNotNull(), out(truth))).alias("out_observed")]
+    for m in methods:
+        pred = F.col(f"_cand_{m}")
+        err, filled = F.when(hidden, pred - truth), F.when(truth.isNull(), pred)
+        wide.append(F.struct(
+            F.lit(m).alias("method"), F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(err).alias("bias"),
+            F.sum(F.when(truth.isNull(), out(pred))).alias("out_filled"), F.count(filled).alias("n"), F.avg(filled).alias("mean"), F.var_pop(filled).alias("var")).alias(f"_of_{m}"))
+    scores = cands.agg(*wide).select("rows", "masked_rows", "out_observed", F.explode(F.array(*[f"_of_{m}" for m in methods])).alias("s")).select(
+        "rows", "masked_rows", "out_observed", "s.*")
+
+    kind = lambda name, method, v: F.struct(F.lit(name).alias("kind"), F.lit(method).alias("method"), v.alias("v"))
+    values = [kind("observed", "", truth)]
+    for m in methods:
+        pred = F.col(f"_cand_{m}")
+        values += [kind("medae", m, F.when(hidden, F.abs(pred - truth))), kind("filled", m, F.when(truth.isNull(), pred))]
+    long = cands.select(F.explode(F.filter(F.array(*values), lambda x: x["v"].isNotNull())).alias("x")).select("x.*")
+    group = lambda name, method: F.struct(F.lit(name).alias("kind"), method.alias("method"))
+    into = F.when(F.col("kind") == "observed", F.array(*[group("filled", F.lit(m)) for m in methods], *[group("observed", F.lit(m)) for m in methods])).otherwise(
+        F.array(F.struct("kind", "method")))
+    medians = exact_quantiles(long, "v", [0.5], ["kind", "method"], into=into)
+    of = lambda name: F.max(F.when(F.col("kind") == name, F.col("q0")))
+    by_method = medians.groupBy("method").agg(of("medae").alias("medae"), of("filled").alias("_i_median"), of("observed").alias("_o_median"))
+
     source = observed if observed is not None else cands
-    m = scored.groupBy("method").agg(
-        F.count_if(F.col("is_masked")).alias("masked_rows"),
-        F.avg("_abs").alias("mae"),
-        F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
-        F.avg("_err").alias("bias"),
-        oor.alias("out_of_range_rate"),
-        F.avg("_full").alias("_i_mean"),
-        F.stddev_pop("_full").alias("_i_std"),
-    )
-    # all medians in one pass: errors and filled values of every method, observed values once
-    kind = lambda name, v: F.struct(F.lit(name).alias("kind"), v.alias("v"))
-    values = scored.select("method", F.explode(F.array(
-        kind("medae", F.col("_abs")), kind("filled", F.col("_full")), kind("observed", F.when(F.col("method") == methods[0], F.col("_truth"))))).alias("k"))
-    medians = exact_quantiles(values.select("method", "k.kind", "k.v"), "v", [0.5], ["method", "kind"])
-    by_method = medians.groupBy("method").agg(F.max(F.when(F.col("kind") == "medae", F.col("q0"))).alias("medae"),
-                                              F.max(F.when(F.col("kind") == "filled", F.col("q0"))).alias("_i_median"),
-                                              F.max(F.when(F.col("kind") == "observed", F.col("q0"))).alias("_o_median"))
-    m = m.join(by_method, "method", "left").withColumn("_o_median", F.max("_o_median").over(Window.partitionBy()))  # one row per method
-    # statistics of the observed values, one scalar subquery (a struct) reused twice
-    orig = source.agg(F.struct(F.avg(ctx.target).alias("mean"), F.stddev_pop(ctx.target).alias("std")).alias("_o")).scalar()
-    base = {"mean": orig.getField("mean"), "std": orig.getField("std"),
-            "median": F.col("_o_median")}
+    orig = source.agg(F.struct(F.count(ctx.target).alias("n"), F.avg(ctx.target).alias("mean"), F.stddev_pop(ctx.target).alias("std")).alias("_o")).scalar()
+    base = {"mean": orig.getField("mean"), "std": orig.getField("std"), "median": F.col("_o_median")}
+    n_o, n_f = orig.getField("n").cast("double"), F.col("n").cast("double")
+    mean_o, mean_f = F.coalesce(base["mean"], F.lit(0.0)), F.coalesce("mean", F.lit(0.0))
+    n = F.nullif(n_o + n_f, F.lit(0.0))
+    mean = (n_o * mean_o + n_f * mean_f) / n
+    spread = n_o * (F.coalesce(base["std"] * base["std"], F.lit(0.0)) + (mean_o - mean) * (mean_o - mean)) + n_f * (F.coalesce("var", F.lit(0.0)) + (mean_f - mean) * (mean_f - mean))
+    out_rate = (F.coalesce("out_observed", F.lit(0)) + F.coalesce("out_filled", F.lit(0))) / F.nullif(F.col("rows").cast("double"), F.lit(0.0)) if bounded else F.lit(0.0)
+    m = scores.join(by_method, "method", "left").withColumns({"_i_mean": mean, "_i_std": F.sqrt(spread / n), "out_of_range_rate": out_rate})
     diffs = [F.abs(F.col(f"_i_{s}") - base[s]) for s in ("mean", "median", "std")]
     n_ok = sum((d.isNotNull().cast("int") for d in diffs[1:]), diffs[0].isNotNull().cast("int"))
     tot = sum((F.coalesce(d, F.lit(0.0)) for d in diffs[1:]), F.coalesce(diffs[0], F.lit(0.0)))

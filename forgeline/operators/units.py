@@ -38,9 +38,9 @@ MIN_RUN = 3
 def machine_baseline(df: DataFrame, value: str = "temperature", group: str = "machine_id_std") -> DataFrame:
     """Median of values in 10..80, else median of all values, per machine."""
     v = F.col(value)
-    kinds = F.explode(F.array(F.struct(F.lit(False).alias("usual"), v.alias("v")), F.struct(F.lit(True).alias("usual"), F.when(v.between(*BASELINE_RANGE), v).alias("v"))))
-    rows = df.where(F.col(group).isNotNull() & v.isNotNull()).select(group, kinds.alias("k")).select(group, "k.usual", "k.v")
-    medians = exact_quantiles(rows, "v", [0.5], [group, "usual"])
+    rows = df.where(F.col(group).isNotNull() & v.isNotNull()).select(F.col(group).alias("machine"), F.coalesce(v.between(*BASELINE_RANGE), F.lit(False)).alias("usual"), v.alias("v"))
+    of = lambda usual: F.struct(F.col("machine").alias(group), F.lit(usual).alias("usual"))
+    medians = exact_quantiles(rows, "v", [0.5], ["machine", "usual"], into=F.when(F.col("usual"), F.array(of(True), of(False))).otherwise(F.array(of(False))))
     return medians.groupBy(group).agg(F.max_by("q0", "usual").alias("baseline_celsius"))
 
 

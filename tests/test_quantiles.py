@@ -66,3 +66,20 @@ def test_an_outlier_leaves_the_others_spread(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double").select("v", F.shiftright(ordered_bits(F.col("v")), 42).alias("digit"))
     assert df.groupBy("digit").count().agg(F.max("count")).first()[0] < 100
     assert exact_quantiles(df, "v", [0.5]).first().q0 == pytest.approx(np.quantile(values, 0.5), rel=1e-15)
+
+
+def test_rows_that_count_for_several_groups(spark):
+    """``into``: every value counts for its group and for all, flagged ones for a third group; rows are not repeated for it."""
+    rng = np.random.default_rng(8)
+    rows = [(("a", "b", None)[i % 3], bool(i % 4 == 0), float(v)) for i, v in enumerate(rng.standard_normal(300))]
+    df = spark.createDataFrame(rows, "g string, flag boolean, v double")
+    group = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    both = [group("own", F.col("g")), group("all", F.lit("-"))]
+    into = F.when(F.col("flag"), F.array(*both, group("flagged", F.lit("-")))).otherwise(F.array(*both))
+    out = exact_quantiles(df, "v", [0.25, 0.5], ["g", "flag"], into=into)
+    assert out.columns == ["kind", "name", "n", "q0", "q1"]
+    got = {(r.kind, r["name"]): (r.n, r.q0, r.q1) for r in out.collect()}
+    want = {("own", g): [v for x, _, v in rows if x == g] for g in ("a", "b", None)} | {("all", "-"): [v for *_, v in rows], ("flagged", "-"): [v for _, f, v in rows if f]}
+    assert set(got) == set(want)
+    for k, values in want.items():
+        assert got[k] == (len(values), pytest.approx(np.quantile(values, 0.25)), pytest.approx(np.quantile(values, 0.5)))
