@@ -6,7 +6,8 @@ those that hold the wanted ranks, and only their values are counted by the next
 digit, until a digit is one value.  Digits have at most 22 bits, so the counts
 that one task orders are bounded whatever the values: one value of 1e12 or an
 infinite one takes a digit of its own and leaves the others where they are.
-What crosses a shuffle is pre-aggregated counts.
+What crosses a shuffle is pre-aggregated counts; what is sent to all tasks is the
+digits that hold a wanted rank, at most two rows a group and quantile.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     named = [F.col(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_k0")]
     v = F.col(value).cast("double")
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(v)).select(*named, v.alias("_v"))
-    rows = rows.withColumn("_bits", ordered_bits(F.col("_v")))
+    # never null: no filter computes the bits once more before a join
+    rows = rows.withColumn("_bits", F.coalesce(ordered_bits(F.col("_v")), F.lit(0).cast("long")))
 
     def digit(i: int) -> Column:
         return (F.col("_v") if i == len(digits) - 1 else F.shiftright("_bits", 64 - sum(digits[: i + 1]))).alias("_b")
@@ -84,8 +86,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
         if i:  # only values whose digits so far hold a wanted rank
             left = 64 - sum(digits[:i])
             if members is not None:
-                hit = members.alias("m").join(hit.alias("h"), same("m", "h", groups)).select(*[F.col(f"m.{k}") for k in keys], *[F.col(f"h.{c}") for c in [*groups, "_b", "_n", "_before"]])
-            open_ = rows.alias("r").join(hit.alias("h"), same("r", "h", keys) & (F.shiftright("r._bits", left) == F.col("h._b")))
+                hit = members.alias("m").join(F.broadcast(hit.alias("h")), same("m", "h", groups)).select(*[F.col(f"m.{k}") for k in keys], *[F.col(f"h.{c}") for c in [*groups, "_b", "_n", "_before"]])
+            # stored rows can look small to the planner, so it might collect and send those instead of the hits
+            open_ = rows.alias("r").join(F.broadcast(hit.alias("h")), same("r", "h", keys) & (F.shiftright("r._bits", left) == F.col("h._b")))
             open_ = open_.select(*[F.col(f"h.{g}").alias(g) for g in groups], "r._bits", "r._v", "h._n", F.col("h._before").alias("_from"))
             inside = [*groups, "_n", "_from"]
             counts = open_.select(*inside, digit(i)).groupBy(*inside, "_b").agg(F.count(F.lit(1)).alias("_c"))

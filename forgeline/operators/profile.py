@@ -16,6 +16,7 @@ from forgeline.functions import expr as X
 from forgeline.functions.quantiles import exact_quantiles
 from forgeline.operators.chunked import chunk_of
 from forgeline.operators.dedup import row_order
+from forgeline.session import materialize
 
 DERIVED_COLUMNS = ("source_file", "separator", "machine_id_original", "machine_id_std", "event_ts", "row_number")
 
@@ -87,6 +88,7 @@ def numeric_profile(df: DataFrame, name: str, cols: list[str]) -> DataFrame:
     q = exact_quantiles(_stack(df, cols), "value", [0.25, 0.5, 0.75], ["column"])
     q = q.select("column", F.col("q1").alias("median"), (F.col("q0") - 1.5 * (F.col("q2") - F.col("q0"))).alias("iqr_lower"),
                  (F.col("q2") + 1.5 * (F.col("q2") - F.col("q0"))).alias("iqr_upper"))
+    q = materialize(q, "quantiles")  # one row per column, read for the fences and for the result
     fences = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("iqr_lower", "iqr_upper")))).alias("m")).scalar()  # one entry per column
     v = {c: F.col(c).cast("double") for c in cols}
     fence = lambda c, side: F.element_at(fences, F.lit(c)).getField(side)

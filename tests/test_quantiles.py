@@ -83,3 +83,19 @@ def test_rows_that_count_for_several_groups(spark):
     assert set(got) == set(want)
     for k, values in want.items():
         assert got[k] == (len(values), pytest.approx(np.quantile(values, 0.25)), pytest.approx(np.quantile(values, 0.5)))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_rows_are_never_sent_or_sorted_whole(spark, tmp_path, threshold):
+    """Stored rows that look small to the planner stay where they are: the few hits go to them, whatever the broadcast threshold."""
+    spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 50).cast("double").alias("v")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        q = exact_quantiles(df, "v", [0.5], ["g"])
+        joins = [ln for ln in q._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in ln]
+        assert len(joins) == 2 and all("BroadcastHashJoin" in ln and "BuildRight" in ln for ln in joins), joins
+        assert {r.g: r.q0 for r in q.collect()} == {g: float(np.median([i % 50 for i in range(g, 20_000, 3)])) for g in range(3)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
