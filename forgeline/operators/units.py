@@ -88,7 +88,8 @@ def flagged_readings(df: DataFrame, value: str, group: str, ts: str, order: list
     the run that goes on from the chunk before.
     """
     base = machine_baseline(df, value, group).select(F.col(group).alias("__w11_machine"), F.col("baseline_celsius").alias("__w11_baseline"))
-    rows = df.join(base, F.col(group) == F.col("__w11_machine"), "left").drop("__w11_machine")
+    # one row a machine: joined by a shuffle, a machine's readings would be sorted in one task
+    rows = df.join(F.broadcast(base), F.col(group) == F.col("__w11_machine"), "left").drop("__w11_machine")
     home = chunk_of(ts, chunk_unit)
     reach = F.expr(f"INTERVAL {(MIN_RUN - 1) * MAX_GAP_SECONDS + MIN_RUN} SECOND")  # whole seconds count: one more a row
     near = F.sequence(chunk_of(F.col(ts) - reach, chunk_unit), chunk_of(F.col(ts) + reach, chunk_unit), F.expr(f"INTERVAL 1 {chunk_unit}"))

@@ -126,3 +126,19 @@ def test_zscore_alerts_deal_readings_once(spark):
     assert sum("ReusedExchange" in ln for ln in dealt) == 1  # the tails read what was dealt for the result
     new = [ln for ln in dealt if "ReusedExchange" not in ln]
     assert sum("ENSURE_REQUIREMENTS" in ln for ln in new) == 1 and sum("REPARTITION_BY_COL" in ln for ln in new) == 2  # counts; readings, copied tails
+
+
+def test_values_of_a_machine_go_to_its_rows(spark):
+    """One row a machine is broadcast; a shuffle by machine would put a machine's readings into one task."""
+    from forgeline.operators import impute, regression, units
+
+    t = L.FixtureChain(spark, SF).t_parsed()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [units.normalize_temperature_units(t)[0], impute.group_fill(t, "temperature", "machine_id_std", "mean", "f"), impute.group_fill(t, "temperature", "machine_id_std", "median", "f"),
+                  regression.regression_fill(t, "temperature", "machine_id_std", "event_ts", "f"), regression.imputation_features(t, "machine_id_std", "event_ts")]
+        for df in frames:
+            assert "SortMergeJoin" not in _plan(df) and "ShuffledHashJoin" not in _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
