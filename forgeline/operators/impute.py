@@ -92,7 +92,8 @@ def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str) -
     """``coalesce(value, group statistic, global statistic)``.
 
     Group statistics are an aggregate joined back (small side: one row per
-    machine, AQE broadcasts it); the global fallback is a scalar subquery.
+    machine, broadcast, as a shuffle would put a machine's rows into one task);
+    the global fallback is a scalar subquery.
     Medians come from the distributed exact quantiles.
     """
     if strategy == "mean":
@@ -106,7 +107,7 @@ def group_fill(df: DataFrame, value: str, group: str, strategy: str, out: str) -
         global_stat = medians.where("all").select("q0").scalar()
     else:
         raise ValueError(f"unsupported strategy {strategy}")
-    return df.join(stats, group, "left").withColumn(
+    return df.join(F.broadcast(stats), group, "left").withColumn(
         out, F.coalesce(F.col(value), F.col(f"_{out}_g"), global_stat)
     ).drop(f"_{out}_g")
 

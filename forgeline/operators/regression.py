@@ -33,7 +33,7 @@ def machine_codes(df: DataFrame, group: str) -> DataFrame:
 
 def imputation_features(df: DataFrame, group: str, time: str, aux: list[str] | None = None) -> DataFrame:
     """Machine code, hour, day of week (Mon=0), month, ordinal hours."""
-    out = df.join(machine_codes(df, group), group, "left")
+    out = df.join(F.broadcast(machine_codes(df, group)), group, "left")
     feats = X.calendar_features(time)
     out = out.withColumns({k: v.cast("double") for k, v in feats.items()})
     for c in aux or []:
@@ -49,7 +49,7 @@ def regression_fill(df: DataFrame, value: str, group: str, time: str, out: str,
     taken.  Rows without a machine or time get no prediction.
     """
     codes = machine_codes(df, group).select(F.col(group).alias("__group"), F.col("machine_code_numeric").alias("__x0"))
-    rows = df.join(codes, F.col(group) == F.col("__group"), "left").drop("__group")
+    rows = df.join(F.broadcast(codes), F.col(group) == F.col("__group"), "left").drop("__group")
     features = list(X.calendar_features(time).values())
     features += [F.coalesce(F.col(c).cast("double"), exact_quantiles(df, c, [0.5]).select("q0").scalar()) for c in aux or []]
     names = [f"__x{i}" for i in range(len(features) + 1)]
@@ -136,7 +136,7 @@ def chained_fill(df: DataFrame, value: str, group: str, time: str, out: str, aux
     more than one.
     """
     codes = machine_codes(df, group).select(F.col(group).alias("__group"), F.col("machine_code_numeric").alias("__c1"))
-    rows = df.join(codes, F.col(group) == F.col("__group"), "left").drop("__group")
+    rows = df.join(F.broadcast(codes), F.col(group) == F.col("__group"), "left").drop("__group")
     features = [F.col("__c1"), *X.calendar_features(time).values(), *[F.col(c) for c in aux or []]]
     columns = {"__c0": F.col(value), **{f"__c{i}": f for i, f in enumerate(features, 1)}}
     rows = rows.withColumns({c: F.when(~F.isnan(v.cast("double")), v.cast("double")) for c, v in columns.items()})
