@@ -81,8 +81,9 @@ def run_from_bronze_inputs(spark: SparkSession, t_in: DataFrame, p_in: DataFrame
     def temperature() -> tuple[DataFrame, str]:
         # normalise units -> dedup -> benchmark -> fill
         # the flagged rows feed both the dedup table and the windows table: store them once
+        # the readings are parsed once for the passes of the baseline's medians and for the runs
         t_norm, t_windows = units.normalize_temperature_units(
-            parse.parse_temperature(accepted("bronze_temperature")), materialize_fn=lambda df: materialize(df, "t_norm"))
+            materialize(parse.parse_temperature(accepted("bronze_temperature")), "t_parsed"), materialize_fn=lambda df: materialize(df, "t_norm"))
         sinks.write_table(dedup.dedup_sensor(t_norm, "temperature_normalized"), out_root, "_t_dedup")
         sinks.write_table(t_windows, out_root, "temperature_normalization_windows")
         t_dedup = read("_t_dedup")

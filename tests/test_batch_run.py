@@ -156,3 +156,18 @@ def test_a_failed_write_keeps_the_stored_dimension(spark, tmp_path):
     again = dims.synced(spark, path, dims.machine_seed(spark), keys("MACH-21"), "machine_code", "machine_id")
     assert {r.machine_code: r.machine_id for r in again.collect()} == {**first, "MACH-21": max(first.values()) + 1}
     assert {r.machine_code for r in spark.read.parquet(path + ".previous").collect()} == set(first)
+
+
+def test_readings_are_parsed_once(spark, tmp_path, monkeypatch):
+    """The passes of the baseline read parsed readings that are stored, not Bronze text parsed again in each."""
+    class Seen(Exception):
+        pass
+
+    def looked_at(df, **_):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(pipeline.units, "normalize_temperature_units", looked_at)
+    t, pr, i = L.FixtureChain(spark, "/root/testdata/sf0.001").raw()
+    with pytest.raises(Seen) as seen:
+        pipeline.run_from_bronze_inputs(spark, t, pr, i, str(tmp_path / "out"), batch_id="t", estimator="least_squares")
+    assert "regexp" not in str(seen.value) and "parse_ok" not in str(seen.value)
